@@ -94,16 +94,16 @@ def seq2seq_windows(df: DataFrame, x_value: str | Sequence[str], y_value: str |
 
 def inference_windows(df: DataFrame, value: str | Sequence[str], lookback: int, n: int,
                       horizon: int = 1, include_latest: bool = False, idx: str = "idx",
-                      block: int | None = None) -> DataFrame:
+                      block: int | None = None, series: Sequence[str] = ()) -> DataFrame:
     """Input windows only. A window ends at row ``r`` (``x = [r-lookback+1, r]``).
     With the reference rule the newest ``horizon`` windows are not emitted
     (``r <= n - 1 - horizon``); ``include_latest`` emits them all."""
     v = col(value) if isinstance(value, str) else F.array(*[col(c) for c in value])
     blocks, _ = halo_blocks(df, lookback - 1, 0, block, idx)
-    w = Window.partitionBy(F.col("_blk")).orderBy(F.col(idx))
+    w = Window.partitionBy(*[col(s) for s in series], F.col("_blk")).orderBy(F.col(idx))
     x = F.collect_list(v).over(w.rangeBetween(-(lookback - 1), 0))
     last = n - 1 if include_latest else n - 1 - horizon
-    out = blocks.select(F.col(idx).alias("end_idx"), x.alias("x"), "_blk", "_own")
+    out = blocks.select(*[col(s) for s in series], F.col(idx).alias("end_idx"), x.alias("x"), "_blk", "_own")
     return (out.where((F.col("_blk") == F.col("_own")) & (F.size("x") == lookback)
                       & (F.col("end_idx") <= last))
             .drop("_blk", "_own"))

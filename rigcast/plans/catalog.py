@@ -29,8 +29,13 @@ from rigcast.operators.clean import (add_running_time, clean_interim, coerce_num
 from rigcast.operators.ingest import test_ordinals
 from rigcast.operators.order import dense_index
 from rigcast.plans import oracle as oq
+from rigcast.functions.numeric import coerce_double
+from rigcast.operators.order import RAW_ORDER
+from rigcast.session import scratch_path
+from rigcast.sources import files as fl
 from rigcast.sources.telemetry import (EVENT_ORDER, SENSOR_SOURCE, load, raw_file_names,
-                                       raw_from_events)
+                                       raw_from_events, write_raw_csv_folder,
+                                       write_raw_xlsx_folder)
 
 TARGETS = FORECAST_FEATURES
 SENSORS = [normalise_name(c) for c in SENSOR_SOURCE]
@@ -401,6 +406,65 @@ def q_trial_search(spark, d):
                        r6("params.ridge").alias("ridge"), r6("rmse").alias("rmse"))
 
 
+# ---------------------------------------------------------------- A
+
+def raw_folder(spark: SparkSession, sf_dir: str, kind: str = "csv") -> str:
+    """Stand-in raw folder written from ``events`` (once per session)."""
+    k = _key(spark, sf_dir, f"folder-{kind}")
+    if k not in _MEMO:
+        ev = load(spark, sf_dir, "events")
+        path = scratch_path(spark, f"raw-{kind}")
+        _MEMO[k] = (write_raw_csv_folder(ev, path) if kind == "csv" else write_raw_xlsx_folder(ev, path))
+    return _MEMO[k]
+
+
+def _ingested(spark, d, kind):
+    ing = fl.ingest_folder(spark, raw_folder(spark, d, kind))
+    ordered = dense_index(ing.rows, RAW_ORDER)
+    return ordered.select("idx", F.col("UNIT").cast("long").alias("UNIT"), F.col("TEST").cast("long").alias("TEST"),
+                          r6(coerce_double(F.col("`M1 SPEED`"))).alias("M1_SPEED"),
+                          r6(coerce_double(F.col("`M1 TORQUE`"))).alias("M1_TORQUE"),
+                          r6(coerce_double(F.col("`M1 CURRENT`"))).alias("M1_CURRENT"))
+
+
+def q_ingest_csv(spark, d):
+    """A1 manifest, A2 header-grouped CSV scans, A4 rejects, B1-B3 file
+    constants, I2 union by name, I1/B16 order and index."""
+    return _ingested(spark, d, "csv")
+
+
+def q_ingest_xlsx(spark, d):
+    """A3: the same folder as workbooks."""
+    return _ingested(spark, d, "xlsx")
+
+
+def q_rejects(spark, d):
+    ing = fl.ingest_folder(spark, raw_folder(spark, d, "csv"))
+    return ing.rejects.select("name", "reason")
+
+
+def q_predict_new_data(spark, d):
+    """new raw CSV data (A13, here the stand-in folder) -> coerce all but time (B6) -> idle filter
+    (B9) -> drop missing (B7) -> power (B11-B13) -> index -> the training
+    scaler (D2) -> inference windows (E4) -> native predict (F3)."""
+    from rigcast.operators.clean import add_power_features, coerce_all_but_time
+    wide, n = scaled_wide(spark, d)
+    k = sp.split_border(n, TRAIN)
+    coefs = fc.fit_ar(wide, TARGETS, LOOKBACK, end=k, ridge=RIDGE, n_rows=n)
+    new = fl.ingest_folder(spark, raw_folder(spark, d, "csv")).rows.drop("UNIT", "TEST")
+    order = ["_file", "_block", "_ord"]
+    feats = [c for c in new.columns if c not in order]
+    x = drop_missing(drop_idle_steps(coerce_all_but_time(new, feats)), [c for c in feats if c != "TIME"])
+    x = normalise_columns(add_power_features(x), keep=order)
+    x = dense_index(x, order)
+    m = x.count()
+    scaled = sc.transform(x.select("idx", *TARGETS), train_params(spark, d), TARGETS)
+    long = unpivot_targets(scaled, TARGETS)
+    w = wn.inference_windows(long, "value", LOOKBACK, m, include_latest=True, series=["target"])
+    pred = fc.predict(w, coefs.where(F.col("fit") == "full"))
+    return pred.groupBy("target").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("pred")).alias("avg_pred"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coerce_dropna_step": q_coerce_dropna_step,
     "unit_from_name": q_unit_from_name,
@@ -437,6 +501,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ar_forecast": q_ar_forecast,
     "ar_horizon": q_ar_horizon,
     "trial_search": q_trial_search,
+    "ingest_csv": q_ingest_csv,
+    "ingest_xlsx": q_ingest_xlsx,
+    "rejects": q_rejects,
+    "predict_new_data": q_predict_new_data,
 }
 
 
@@ -623,6 +691,21 @@ def oracle() -> dict[str, str]:
         "lp AS (SELECT target, idx, value AS y, lag(value) OVER (PARTITION BY target ORDER BY idx) AS x FROM scaled)")) + (
         "SELECT target, round(regr_intercept(y, x), 6) AS intercept, round(regr_slope(y, x), 6) AS slope "
         f"FROM lp WHERE idx >= 1 AND idx < {k} GROUP BY target")
+    files = ("f AS (SELECT *, 'HYD' || lpad(CAST(user_id AS VARCHAR), 6, '0') || '-' || event_type "
+             "|| '_RAW.csv' AS name FROM events)")
+    units = f"u AS (SELECT *, {oq.unit_sql('name')} AS unit FROM f)"
+    ranked = ("a AS (SELECT *, dense_rank() OVER (PARTITION BY unit ORDER BY name) AS test "
+              "FROM u WHERE unit IS NOT NULL)")
+    ingest = _with(files, units, ranked) + (
+        "SELECT row_number() OVER (ORDER BY unit, test, ts, event_id) - 1 AS idx, CAST(unit AS BIGINT) AS UNIT, "
+        "CAST(test AS BIGINT) AS TEST, round(value, 6) AS M1_SPEED, "
+        "round(TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE), 6) AS M1_TORQUE, "
+        "round(CAST(user_id AS DOUBLE), 6) AS M1_CURRENT FROM a")
+    sql["ingest_csv"] = ingest
+    sql["ingest_xlsx"] = ingest
+    sql["rejects"] = _with(files, units) + (
+        "SELECT DISTINCT name, 'unit not parsable' AS reason FROM u WHERE unit IS NULL "
+        "UNION ALL SELECT 'README.txt' AS name, 'ignored' AS reason")
     return {k: _canon_sql(v) for k, v in sql.items()}
 
 
@@ -630,4 +713,5 @@ ORACLE_EXCLUDED = {
     # closed-form ridge solves and hashed shuffles: rows-only in the driver,
     # cross-checked against numpy in tests/test_forecast.py
     "shuffled_batches", "ar_fit", "ar_cv", "ar_forecast", "ar_horizon", "trial_search",
+    "predict_new_data",
 }

@@ -68,6 +68,88 @@ def raw_sql_columns() -> str:
 def raw_file_names(events: DataFrame) -> DataFrame:
     """Stand-in raw-file names, one per (unit, event type):
     ``HYD<user_id padded to 6>-<event_type>_RAW.csv``."""
-    name = F.concat(F.lit("HYD"), F.lpad(F.col("user_id").cast("string"), 6, "0"), F.lit("-"),
+    return events.select(_file_name_col().alias("name")).distinct()
+
+
+def _file_name_col():
+    return F.concat(F.lit("HYD"), F.lpad(F.col("user_id").cast("string"), 6, "0"), F.lit("-"),
                     F.col("event_type"), F.lit("_RAW.csv"))
-    return events.select(name.alias("name")).distinct()
+
+
+def _layouts(events: DataFrame) -> list[tuple[str, DataFrame]]:
+    """Three header layouts: ``click`` files have the columns reversed plus a
+    ``DURATION`` column, ``view`` files lack ``" Vibration 2"``, the rest use
+    the configured order. Every event row lands in exactly one file."""
+    raw = raw_from_events(events).withColumn("TIME", F.col("ts").cast("string"))
+    named = raw.join(events.select("event_id", "event_type", _file_name_col().alias("name")), "event_id")
+    std = ["TIME", *INTERIM_FEATURES]
+    rev = ["DURATION", *reversed(INTERIM_FEATURES), "TIME"]
+    nov2 = [c for c in std if c != " Vibration 2"]
+    click = named.where(F.col("event_type") == "click").withColumn("DURATION", F.lit("1"))
+    view = named.where(F.col("event_type") == "view")
+    rest = named.where(~F.col("event_type").isin("click", "view"))
+    return [("click", click.select("name", "ts", "event_id", *[F.col(f"`{c}`") for c in rev])),
+            ("view", view.select("name", "ts", "event_id", *[F.col(f"`{c}`") for c in nov2])),
+            ("rest", rest.select("name", "ts", "event_id", *[F.col(f"`{c}`") for c in std]))]
+
+
+def _flatten(spark: SparkSession, staging: str, final: str, pattern: str) -> None:
+    """Move ``staging/*/name=<file>/part-*`` to ``final/<file>`` (metadata
+    operations, one per file)."""
+    from urllib.parse import unquote
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(final).getFileSystem(conf)
+    fs.mkdirs(Path(final))
+    for st in fs.globStatus(Path(staging + pattern)):
+        name = unquote(st.getPath().getParent().getName().split("=", 1)[1])
+        fs.rename(st.getPath(), Path(final + "/" + name))
+
+
+def _note(spark: SparkSession, final: str) -> None:
+    jvm = spark.sparkContext._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(final).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(Path(final + "/README.txt"))
+    out.write(bytearray(b"not a raw file\n"))
+    out.close()
+
+
+def write_raw_csv_folder(events: DataFrame, folder: str) -> str:
+    """Stand-in raw folder: one CSV per (unit, event type), rows in time order,
+    plus one non-raw file. Returns the folder."""
+    spark = events.sparkSession
+    staging = folder + "-staging"
+    for tag, df in _layouts(events):
+        body = df.repartition("name").sortWithinPartitions("name", "ts", "event_id").drop("ts", "event_id")
+        (body.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).partitionBy("name").csv(f"{staging}/{tag}"))
+    _flatten(spark, staging, folder, "/*/name=*/part-*.csv")
+    _note(spark, folder)
+    return folder
+
+
+def write_raw_xlsx_folder(events: DataFrame, folder: str) -> str:
+    """Stand-in raw folder of ``.xlsx`` workbooks, one per (unit, event type),
+    written by executor tasks (one group per workbook)."""
+    import pandas as pd
+    from rigcast.sources.files import write_xlsx
+
+    def one_book(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        name = key[0].replace("_RAW.csv", "_RAW.xlsx")
+        cols = [c for c in pdf.columns if c not in ("name", "ts", "event_id")]
+        pdf = pdf.sort_values(["ts", "event_id"])
+        rows = [cols] + pdf[cols].astype(object).where(pdf[cols].notna(), None).values.tolist()
+        write_xlsx(rows, f"{folder}/{name}")
+        return pd.DataFrame({"name": [name], "rows": [len(pdf)]})
+
+    jvm = events.sparkSession.sparkContext._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    Path(folder).getFileSystem(events.sparkSession.sparkContext._jsc.hadoopConfiguration()).mkdirs(Path(folder))
+    written = None
+    for _, df in _layouts(events):
+        w = df.groupBy("name").applyInPandas(one_book, "name string, rows long")
+        written = w if written is None else written.unionByName(w)
+    written.count()
+    return folder
