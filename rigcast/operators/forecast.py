@@ -66,7 +66,8 @@ def lag_statistics(df: DataFrame, targets: Sequence[str], max_lag: int, cuts: Se
         seg = np.searchsorted(cut_arr, own_t, side="right")
         valid = present[:b] & (seg < n_seg)
         if not valid.any():
-            return pd.DataFrame({"target": [], "seg": [], "d": [], "s": []})
+            return pd.DataFrame({"target": pd.Series([], dtype=object), "seg": np.array([], np.int32),
+                                 "d": np.array([], np.int32), "s": np.array([], np.float64)})
         seg_v = seg[valid]
         used = np.unique(seg_v)
         cnt = np.bincount(seg_v, minlength=n_seg)[used].astype(float)

@@ -123,3 +123,12 @@ def test_trial_search_picks_min(spark):
     for r in t:
         assert b[r["target"]] == pytest.approx(r["m"])
     assert tab.count() == 12
+
+
+def test_prefix_fit_with_blocks_past_last_cut(spark):
+    n, L = 700, 4
+    df, cols = _series(spark, n, k=1, seed=4)
+    res = fc.fit_ranges(df, ["s0"], L, {"p": (L, 150)}, ridge=0.2, n_rows=n, block=32)
+    r = res.coefs.first()
+    w, _, _ = _brute(cols["s0"], L, L, 150, 0.2)
+    assert np.allclose(r["coef"], w[1:][::-1], atol=1e-9) and r["intercept"] == pytest.approx(w[0], abs=1e-9)
