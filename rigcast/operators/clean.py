@@ -55,16 +55,19 @@ def coerce_all_but_time(df: DataFrame, columns: Iterable[str] | None = None) ->
 
 def drop_missing(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Drop rows with a null or NaN in any (B7) or in the given (B8) columns.
-    Infinite values are kept. Written as one conjunction of ``isNotNull`` /
-    ``NOT isnan`` terms: the same rule as ``na.drop('any')``, but it stays a
-    plain codegen filter (about 4x faster on 28 coerced columns)."""
+    Infinite values are kept. Same rule as ``na.drop('any')``, written as one
+    conjunction with a single reference per column (``NOT isnan(coalesce(c,
+    NaN))``): Catalyst pushes the filter below the coercion projection and
+    inlines it, so every reference is one more coercion per row. This form
+    is about 4x faster than ``na.drop`` on 28 coerced columns."""
     types = dict(df.dtypes)
     cols = list(df.columns if subset is None else subset)
     cond = None
     for c in cols:
-        term = col(c).isNotNull()
         if types[c] in ("double", "float"):
-            term = term & ~F.isnan(col(c))
+            term = ~F.isnan(F.coalesce(col(c), F.lit(float("nan")).cast(types[c])))
+        else:
+            term = col(c).isNotNull()
         cond = term if cond is None else cond & term
     return df if cond is None else df.where(cond)
 
