@@ -465,6 +465,107 @@ def q_predict_new_data(spark, d):
     return pred.groupBy("target").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("pred")).alias("avg_pred"))
 
 
+# ---------------------------------------------------------------- variants and stages
+
+def q_union_by_name(spark, d):
+    """Raw logs with differing columns (events-shaped and orders-shaped)."""
+    from rigcast.operators.ingest import union_by_name
+    from rigcast.sources.telemetry import raw_from_orders
+    a = raw_from_events(load(spark, d, "events")).drop("ts", "event_id")
+    b = raw_from_orders(load(spark, d, "orders"))
+    u = union_by_name([a, b])
+    return u.select(F.col("UNIT").cast("long").alias("UNIT"),
+                    r6(coerce_double(F.col("`M1 SPEED`"))).alias("M1_SPEED"),
+                    r6(coerce_double(F.col("`M1 TORQUE`"))).alias("M1_TORQUE"),
+                    F.col("DURATION"), F.col("STEP"))
+
+
+def q_kfp_features(spark, d):
+    """KFP-style cleaner: coerce all but time (B6), drop missing in the
+    non-time columns (B8), drop date/duration columns (B10), idle filter
+    (B9, step kept), power (B11-B13), time as text (B18), running time (B16,
+    B17), left-strip/underscore names with case kept (B14)."""
+    from rigcast.constants import KFP_DROP_COLUMNS, TIME_COLUMNS
+    from rigcast.operators.clean import (add_power_features, coerce_all_but_time,
+                                         drop_time_columns, time_to_string)
+    ev = load(spark, d, "events")
+    raw = (raw_from_events(ev).withColumn("TIME", F.col("ts").cast("string"))
+           .withColumn("DURATION", F.lit("1")))
+    feats = ["TIME", "DURATION", *INTERIM_FEATURES]
+    x = select_features(raw, feats, keep=list(EVENT_ORDER))
+    x = coerce_all_but_time(x, feats)
+    x = drop_missing(x, [c for c in feats if c not in TIME_COLUMNS])
+    x = drop_idle_steps(drop_time_columns(x))
+    x = time_to_string(add_power_features(x))
+    x = add_running_time(dense_index(x, list(EVENT_ORDER)))
+    x = normalise_columns(x, "keep_case", keep=[*EVENT_ORDER, "idx", "RUNNING_SECONDS", "RUNNING_HOURS"])
+    return x.select("idx", "TIME", r6("Vibration_2").alias("Vibration_2"), r6("M2_Amp").alias("M2_Amp"),
+                    r6("STEP").alias("STEP"), r6("LOAD_POWER").alias("LOAD_POWER"), "RUNNING_SECONDS")
+
+
+def q_torch_scale(spark, d):
+    """Three-way split with inclusive borders (C3) and the own-standard scaler
+    (D3, zero deviation kept) fitted on each part itself (D6 ``own_part``)."""
+    df, n = interim(spark, d)
+    parts = sp.three_way_split(df.select("idx", *TARGETS), n, 0.2, 0.2)
+    out = None
+    for name, part in parts.items():
+        p = sc.fit_standard(part, TARGETS, zero_std="zero").select(F.lit(name).alias("part"), "*")
+        out = p if out is None else out.unionByName(p)
+    return out.select("part", "feature", r6("center").alias("center"), r6("scale").alias("scale"))
+
+
+def q_params_roundtrip(spark, d):
+    """A12 scaler parameters and A10/A9 feature list through storage: the
+    list is written and read back, the parameters of those features are
+    written as Parquet and read back."""
+    df, n = interim(spark, d)
+    base = scratch_path(spark, "stages")
+    fl.write_feature_list(spark, TARGETS, f"{base}/forecast_features")
+    feats = fl.read_feature_list(spark, f"{base}/forecast_features")
+    train, _ = sp.prefix_split(df, n, TRAIN)
+    fl.write_params(sc.fit_standard(train, feats), f"{base}/scaler")
+    back = fl.read_params(spark, f"{base}/scaler")
+    return back.select("feature", r6("center").alias("center"), r6("scale").alias("scale"))
+
+
+def q_metrics_roundtrip(spark, d):
+    """G11 record -> long metric rows -> JSON sink partitioned by run
+    -> JSON source with a fixed schema."""
+    path = scratch_path(spark, "metrics")
+    rec = mt.test_record(_test_pairs(spark, d), run_id="naive")
+    fl.write_metrics(fl.metrics_long(rec), path)
+    back = fl.read_metrics(spark, path)
+    return back.select("target", "run_id", "metric", r6("value").alias("value"))
+
+
+def q_csv_roundtrip(spark, d):
+    """A8 Parquet sink + A7 projected Parquet source, then A5 CSV sink and a
+    text scan of the written files (A2/A13), coerced back to numbers."""
+    df, _ = interim(spark, d)
+    base = scratch_path(spark, "stages")
+    fl.write_parquet(df, f"{base}/interim")
+    proj = fl.read_parquet(spark, f"{base}/interim", ["idx", "DRIVE_POWER", "VIBRATION_1"])
+    fl.write_csv(proj, f"{base}/interim_csv")
+    files = [r["path"] for r in fl.file_manifest(spark, f"{base}/interim_csv").where(F.col("kind") == "csv").collect()]
+    text = fl.scan_csv(spark, files, ["idx", "DRIVE_POWER", "VIBRATION_1"])
+    return text.select(F.col("idx").cast("long").alias("idx"),
+                       r6(coerce_double(F.col("DRIVE_POWER"))).alias("DRIVE_POWER"),
+                       r6(coerce_double(F.col("VIBRATION_1"))).alias("VIBRATION_1"))
+
+
+def q_pipeline_registry(spark, d):
+    """Full batch pipeline (split, scale, CV fit, test windows, predict,
+    metrics) followed by the strict registry update against the naive
+    champions (H1 + H3)."""
+    from rigcast.plans.pipeline import train_pipeline, update_registry
+    df, n = interim(spark, d)
+    res = train_pipeline(df, n, TARGETS, LOOKBACK, FOLDS, TRAIN, 0.2, RIDGE, run_id="ridge-ar")
+    champ = mt.test_record(_test_pairs(spark, d), run_id="naive")
+    reg = update_registry(champ, res)
+    return reg.select("target", "run_id", r6("test_loss").alias("test_loss"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coerce_dropna_step": q_coerce_dropna_step,
     "unit_from_name": q_unit_from_name,
@@ -505,6 +606,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_xlsx": q_ingest_xlsx,
     "rejects": q_rejects,
     "predict_new_data": q_predict_new_data,
+    "union_by_name": q_union_by_name,
+    "kfp_features": q_kfp_features,
+    "torch_scale": q_torch_scale,
+    "params_roundtrip": q_params_roundtrip,
+    "metrics_roundtrip": q_metrics_roundtrip,
+    "csv_roundtrip": q_csv_roundtrip,
+    "pipeline_registry": q_pipeline_registry,
 }
 
 
@@ -706,6 +814,32 @@ def oracle() -> dict[str, str]:
     sql["rejects"] = _with(files, units) + (
         "SELECT DISTINCT name, 'unit not parsable' AS reason FROM u WHERE unit IS NULL "
         "UNION ALL SELECT 'README.txt' AS name, 'ignored' AS reason")
+    sql["union_by_name"] = (
+        "WITH a AS (SELECT CAST(user_id AS BIGINT) AS UNIT, value AS s, "
+        "TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS t, NULL AS DURATION, "
+        "CASE WHEN event_type = 'error' THEN '0' ELSE '1' END AS STEP FROM events), "
+        "b AS (SELECT CAST(o_custkey AS BIGINT) AS UNIT, o_totalprice AS s, NULL AS t, "
+        "o_orderpriority AS DURATION, '1' AS STEP FROM orders)\n"
+        "SELECT UNIT, round(s, 6) AS M1_SPEED, round(t, 6) AS M1_TORQUE, DURATION, STEP FROM a "
+        "UNION ALL SELECT UNIT, round(s, 6), round(t, 6), DURATION, STEP FROM b")
+    sql["kfp_features"] = _with(base) + (
+        "SELECT idx, CAST(ts AS VARCHAR) AS TIME, round(VIBRATION_2, 6) AS Vibration_2, "
+        "round(M2_AMP, 6) AS M2_Amp, round(1.0, 6) AS STEP, round(LOAD_POWER, 6) AS LOAD_POWER, "
+        "idx AS RUNNING_SECONDS FROM interim")
+    own = " UNION ALL ".join(
+        f"SELECT '{part}' AS part, '{t}' AS feature, round(avg({t}), 6) AS center, "
+        f"round(stddev_pop({t}), 6) AS scale FROM interim WHERE idx BETWEEN {lo} AND {hi}"
+        for part, lo, hi in (("train", 0, b1), ("val", b1, b2), ("test", b2, "(SELECT n FROM nrows)"))
+        for t in TARGETS)
+    sql["torch_scale"] = _with(base) + own
+    sql["params_roundtrip"] = sql["standard_params"]
+    sql["metrics_roundtrip"] = _with(base, scaled, test_pairs, (
+        "rec AS (SELECT target, 'naive' AS run_id, avg(power(pred - yt, 2)) AS test_loss, "
+        "sqrt(avg(power(pred - yt, 2))) AS test_rmse FROM tpairs GROUP BY target)")) + (
+        "SELECT target, run_id, 'test_loss' AS metric, round(test_loss, 6) AS value FROM rec UNION ALL "
+        "SELECT target, run_id, 'test_rmse' AS metric, round(test_rmse, 6) AS value FROM rec")
+    sql["csv_roundtrip"] = _with(base) + (
+        "SELECT idx, round(DRIVE_POWER, 6) AS DRIVE_POWER, round(VIBRATION_1, 6) AS VIBRATION_1 FROM interim")
     return {k: _canon_sql(v) for k, v in sql.items()}
 
 
@@ -713,5 +847,5 @@ ORACLE_EXCLUDED = {
     # closed-form ridge solves and hashed shuffles: rows-only in the driver,
     # cross-checked against numpy in tests/test_forecast.py
     "shuffled_batches", "ar_fit", "ar_cv", "ar_forecast", "ar_horizon", "trial_search",
-    "predict_new_data",
+    "predict_new_data", "pipeline_registry",
 }

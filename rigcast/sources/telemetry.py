@@ -57,6 +57,14 @@ def raw_from_events(events: DataFrame) -> DataFrame:
         step.alias("STEP"))
 
 
+def raw_from_orders(orders: DataFrame) -> DataFrame:
+    """Rows of ``orders`` as a raw log of another logger layout: unit
+    ``o_custkey``, ``M1 SPEED`` = price text, ``DURATION`` = priority text."""
+    return orders.select(F.col("o_custkey").cast("int").alias("UNIT"),
+                         F.col("o_totalprice").cast("string").alias("M1 SPEED"),
+                         F.col("o_orderpriority").alias("DURATION"), F.lit("1").alias("STEP"))
+
+
 def raw_sql_columns() -> str:
     """The same shaping as SQL text (for the DuckDB oracle)."""
     src = {"v": "CAST(value AS VARCHAR)", "k": "json_extract_string(props, '$.k')",
