@@ -327,6 +327,66 @@ def predict_horizon(windows: DataFrame, coefs: DataFrame, on: Sequence[str] = ("
     return joined.withColumn(out, step).drop("_m")
 
 
+def forecast_blocks(series: DataFrame, coefs: DataFrame, lookback: int, horizon: int = 1,
+                    key: str = "target", value: str = "value", idx: str = "idx",
+                    block: int | None = None) -> DataFrame:
+    """F3/F4 on a long series without materialised windows: rows
+    ``(key, idx, h, pred, true)`` for every anchor with a full lookback and a
+    full horizon of true values. Halo blocks of the series are grouped by
+    ``(key, block)`` (bounded size); each block is one numpy product of its
+    lag matrix with the ``lookback x horizon`` coefficient matrix. The
+    coefficient table is collected (one row per key and horizon: bounded by
+    configuration) and shipped with the task."""
+    rows = coefs.select(key, "h", "intercept", "coef").collect()
+    table: dict = {}
+    for r in rows:
+        table.setdefault(r[key], {})[r["h"]] = (r["intercept"], np.asarray(r["coef"], dtype=float))
+    model = {k: (np.array([v[h][0] for h in range(1, horizon + 1)]),
+                 np.column_stack([v[h][1] for h in range(1, horizon + 1)]))
+             for k, v in table.items() if all(h in v for h in range(1, horizon + 1))}
+    b = block or max(1 << 14, 20 * (lookback + horizon))
+    blocks, _ = halo_blocks(series.select(col(key).alias("_k"), F.col(idx).alias("_i"), col(value).alias("_v")),
+                            lookback, horizon - 1, b, "_i")
+    blocks = blocks.drop("_own")
+
+    def one_block(pdf: pd.DataFrame) -> pd.DataFrame:
+        k = pdf["_k"].iloc[0]
+        blk = int(pdf["_blk"].iloc[0])
+        empty = pd.DataFrame({"_k": pd.Series([], dtype=object), "idx": np.array([], np.int64),
+                              "h": np.array([], np.int32), "pred": np.array([], float), "true": np.array([], float)})
+        if k not in model:
+            return empty
+        icpt, C = model[k]
+        start = blk * b - lookback                      # position 0 of the local array
+        width = lookback + b + horizon - 1
+        pos = pdf["_i"].to_numpy(np.int64) - start
+        ok = (pos >= 0) & (pos < width)
+        x = np.zeros(width)
+        have = np.zeros(width, dtype=bool)
+        x[pos[ok]] = pdf["_v"].to_numpy(float)[ok]
+        have[pos[ok]] = True
+        csum = np.concatenate([[0], np.cumsum(have)])
+        anchors = lookback + np.arange(b)               # local positions of the block's anchors
+        full = (csum[anchors] - csum[anchors - lookback] == lookback) & \
+               (csum[np.minimum(anchors + horizon, width)] - csum[anchors] == horizon) & \
+               (anchors + horizon <= width)
+        a = anchors[full]
+        if a.size == 0:
+            return empty
+        lag = np.lib.stride_tricks.sliding_window_view(x, lookback)[a - lookback]   # x[a-L .. a-1]
+        pred = lag @ C + icpt                                                           # (m, P)
+        true = np.lib.stride_tricks.sliding_window_view(x, horizon)[a]                 # x[a .. a+P-1]
+        m = a.size
+        return pd.DataFrame({"_k": np.repeat(np.array([k], dtype=object), m * horizon),
+                             "idx": np.repeat(a + start, horizon).astype(np.int64),
+                             "h": np.tile(np.arange(1, horizon + 1), m).astype(np.int32),
+                             "pred": pred.ravel(), "true": true.ravel()})
+
+    out = blocks.groupBy("_k", "_blk").applyInPandas(
+        one_block, "_k string, idx long, h int, pred double, true double")
+    return out.withColumnRenamed("_k", key)
+
+
 # ---------------------------------------------------------------- search
 
 def trial_table(spark: SparkSession, n_trials: int, seed: int, lookback_range: tuple[int, int],

@@ -21,7 +21,6 @@ from rigcast.operators import metrics as mt
 from rigcast.operators import registry as rg
 from rigcast.operators import scaling as sc
 from rigcast.operators import splits as sp
-from rigcast.operators import windows as wn
 from rigcast.operators.clean import (add_running_time, clean_interim, forecast_targets,
                                      normalise_columns, unpivot_targets)
 from rigcast.operators.order import dense_index
@@ -50,8 +49,8 @@ class TrainResult:
 def train_pipeline(interim: DataFrame, n: int, targets: Sequence[str], lookback: int = 120,
                    folds: int = 5, train_size: float = 0.8, val_size: float | None = 0.2,
                    ridge: float = 1e-3, run_id: str = "run", keep: str = "last_fold") -> TrainResult:
-    """Split (C1) -> scale (D1/D2) -> CV fit (F2, C4/C5) -> test windows
-    -> predict (F3) -> metrics (G9-G11). ``keep='last_fold'`` ships the last
+    """Split (C1) -> scale (D1/D2) -> CV fit (F2, C4/C5) -> test anchors inside
+    the test slice, predicted block-wise (F3) -> metrics (G9-G11). ``keep='last_fold'`` ships the last
     fold's model as the batch pipeline does; ``'refit'`` refits on the whole
     training part."""
     targets = list(targets)
@@ -67,8 +66,7 @@ def train_pipeline(interim: DataFrame, n: int, targets: Sequence[str], lookback:
     else:
         coefs = fc.fit_ar(scaled, targets, lookback, end=k, ridge=ridge, n_rows=n)
     test_long = unpivot_targets(scaled.where(F.col("idx") >= k), targets)
-    w = wn.lookback_windows(test_long, "value", lookback, series=["target"])
-    pred = fc.predict(w, coefs).withColumnRenamed("y", "true")
+    pred = fc.forecast_blocks(test_long, coefs, lookback)
     return TrainResult(params, coefs, fold_tab, mt.fold_summary(fold_tab),
                        mt.test_record(pred, run_id), mt.metric_bundle(pred))
 

@@ -132,3 +132,20 @@ def test_prefix_fit_with_blocks_past_last_cut(spark):
     r = res.coefs.first()
     w, _, _ = _brute(cols["s0"], L, L, 150, 0.2)
     assert np.allclose(r["coef"], w[1:][::-1], atol=1e-9) and r["intercept"] == pytest.approx(w[0], abs=1e-9)
+
+
+def test_forecast_blocks_equals_window_predict(spark):
+    from rigcast.operators.windows import seq2seq_windows
+    n, L, P = 400, 6, 3
+    df, cols = _series(spark, n, k=2, seed=13)
+    coefs = fc.fit_ar(df, list(cols), L, ridge=0.3, horizon=P, n_rows=n)
+    long = df.unpivot(["idx"], list(cols), "target", "value")
+    blk = {(r["target"], r["idx"], r["h"]): (r["pred"], r["true"])
+           for r in fc.forecast_blocks(long, coefs, L, P, block=50).collect()}
+    w = seq2seq_windows(long, "value", "value", L, P, series=["target"])
+    win = fc.predict_horizon(w, coefs).collect()
+    assert len(blk) == len(win) * P == 2 * (n - L - P + 1) * P
+    for r in win:
+        for h in range(P):
+            p, t = blk[(r["target"], r["idx"], h + 1)]
+            assert p == pytest.approx(r["pred"][h], abs=1e-9) and t == r["y"][h]
