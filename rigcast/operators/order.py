@@ -7,11 +7,17 @@ written once under the checkpoint folder, so range sampling and the stamp are
 never recomputed. Phase 2 counts rows per partition (one row per partition),
 turns the counts into offsets and joins them back with a broadcast whose size
 is bounded by the partition count. ``idx = offset + position`` is 0..n-1.
+
+Because the stamps grow with ``idx`` and are stored in that order, an
+``idx`` range is an exact ``_rid`` range: :class:`IndexedTable` pushes split
+borders into the Parquet scan.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,10 +33,50 @@ def _sort_cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def dense_index(df: DataFrame, order: Sequence[str | Column], idx: str = "idx",
-                num_partitions: int | None = None, name: str = "dense-index") -> DataFrame:
-    """Add ``idx`` = 0..n-1 following ``order`` (ties must be broken by the
-    caller: give a total order). Runs one write job (documented action)."""
+@dataclass
+class IndexedTable:
+    """Stored rows with their stamp ``_rid`` plus the per-partition offsets.
+
+    ``frame()`` is the indexed DataFrame. ``between(lo, hi)`` returns the rows
+    with ``lo <= idx < hi`` through an equivalent ``_rid`` range: the stamps
+    grow with ``idx`` and are stored in that order, so the range reaches the
+    Parquet scan as pushed filters and skips files and row groups."""
+    stored: DataFrame
+    offsets: list = field(repr=False)       # sorted (pid, offset, count), one per partition
+    idx: str = "idx"
+
+    @property
+    def count(self) -> int:
+        return sum(c for _, _, c in self.offsets)
+
+    def frame(self, rows: DataFrame | None = None) -> DataFrame:
+        src = self.stored if rows is None else rows
+        spark = src.sparkSession
+        off = spark.createDataFrame([(p, o) for p, o, _ in self.offsets], "_pid long, _off long")
+        pid = F.shiftright(F.col("_rid"), _POS_BITS)
+        body = [c for c in src.columns if c != "_rid"]
+        joined = src.join(F.broadcast(off), pid == F.col("_pid"))
+        return joined.select(*[F.col(f"`{c}`") for c in body],
+                             (F.col("_off") + F.col("_rid").bitwiseAND(F.lit(_POS_MASK))).alias(self.idx))
+
+    def _rid_of(self, i: int) -> int:
+        starts = [o for _, o, _ in self.offsets]
+        k = bisect_right(starts, i) - 1
+        pid, off, _ = self.offsets[k]
+        return (pid << _POS_BITS) + (i - off)
+
+    def between(self, lo: int, hi: int) -> DataFrame:
+        lo, hi = max(lo, 0), min(hi, self.count)
+        if hi <= lo:
+            return self.frame(self.stored.where(F.lit(False)))
+        rows = self.stored.where(F.col("_rid").between(self._rid_of(lo), self._rid_of(hi - 1)))
+        return self.frame(rows)
+
+
+def index_table(df: DataFrame, order: Sequence[str | Column], idx: str = "idx",
+                num_partitions: int | None = None, name: str = "dense-index") -> IndexedTable:
+    """Phase 1 of the dense index (one write) and the per-partition offsets
+    (one tiny aggregate, collected: one row per partition)."""
     spark = df.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if not 0 < parts <= MAX_INDEX_PARTITIONS:
@@ -40,11 +86,27 @@ def dense_index(df: DataFrame, order: Sequence[str | Column], idx: str = "idx",
                .sortWithinPartitions(*keys)
                .withColumn("_rid", F.monotonically_increasing_id()))
     stored = materialize(stamped, name)
-    return attach_offsets(stored, idx)
+    counts = (stored.groupBy(F.shiftright(F.col("_rid"), _POS_BITS).alias("_pid"))
+              .agg(F.count(F.lit(1)).alias("_n")).orderBy("_pid").collect())
+    offsets, run = [], 0
+    for r in counts:
+        offsets.append((int(r["_pid"]), run, int(r["_n"])))
+        run += int(r["_n"])
+    return IndexedTable(stored, offsets, idx)
+
+
+def dense_index(df: DataFrame, order: Sequence[str | Column], idx: str = "idx",
+                num_partitions: int | None = None, name: str = "dense-index") -> DataFrame:
+    """Add ``idx`` = 0..n-1 following ``order`` (ties must be broken by the
+    caller: give a total order). Runs one write job and one tiny count job
+    (documented actions)."""
+    return index_table(df, order, idx, num_partitions, name).frame()
 
 
 def attach_offsets(stored: DataFrame, idx: str = "idx", rid: str = "_rid") -> DataFrame:
-    """Phase 2 of :func:`dense_index` on rows that carry a stored stamp."""
+    """Phase 2 of :func:`dense_index` as a lazy plan on rows that carry a
+    stored stamp: counts per partition -> offsets (a window over one row per
+    partition) -> broadcast join."""
     pid = F.shiftright(F.col(rid), _POS_BITS)
     counts = stored.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: the window below runs over at most

@@ -11,6 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rigcast.operators.order import IndexedTable
+
+
+def _part(df, lo: int, hi: int, idx: str) -> DataFrame:
+    """Rows with ``lo <= idx < hi``: pushed into the scan for an IndexedTable."""
+    if isinstance(df, IndexedTable):
+        return df.between(lo, hi)
+    return df.where((F.col(idx) >= lo) & (F.col(idx) < hi))
+
 
 def split_border(n: int, frac: float) -> int:
     return int(n * frac)
@@ -19,13 +28,13 @@ def split_border(n: int, frac: float) -> int:
 def prefix_split(df: DataFrame, n: int, train_size: float, idx: str = "idx") -> tuple[DataFrame, DataFrame]:
     """Train ``[0, k)``, test ``[k, n)`` with ``k = int(n * train_size)``."""
     k = split_border(n, train_size)
-    return df.where(F.col(idx) < k), df.where(F.col(idx) >= k)
+    return _part(df, 0, k, idx), _part(df, k, n, idx)
 
 
 def inclusive_split(df: DataFrame, n: int, train_size: float, idx: str = "idx") -> tuple[DataFrame, DataFrame]:
     """Label-inclusive prefix split; row ``k`` is in both parts."""
     k = split_border(n, train_size)
-    return df.where(F.col(idx) <= k), df.where(F.col(idx) >= k)
+    return _part(df, 0, k + 1, idx), _part(df, k, n, idx)
 
 
 def three_way_borders(n: int, val_split: float, test_split: float) -> dict[str, tuple[int, int]]:
@@ -38,7 +47,7 @@ def three_way_split(df: DataFrame, n: int, val_split: float, test_split: float,
                     idx: str = "idx") -> dict[str, DataFrame]:
     """train/val/test with inclusive borders (``.loc[b1:b2]``): the row at
     each inner border belongs to both neighbouring parts."""
-    return {part: df.where(F.col(idx).between(lo, hi))
+    return {part: _part(df, lo, hi + 1, idx)
             for part, (lo, hi) in three_way_borders(n, val_split, test_split).items()}
 
 

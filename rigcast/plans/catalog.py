@@ -27,7 +27,7 @@ from rigcast.operators.clean import (add_running_time, clean_interim, coerce_num
                                      drop_columns, drop_idle_steps, drop_missing,
                                      normalise_columns, select_features, unpivot_targets)
 from rigcast.operators.ingest import test_ordinals
-from rigcast.operators.order import dense_index
+from rigcast.operators.order import IndexedTable, dense_index, index_table
 from rigcast.plans import oracle as oq
 from rigcast.functions.numeric import coerce_double
 from rigcast.operators.order import RAW_ORDER
@@ -61,24 +61,30 @@ def _key(spark: SparkSession, sf_dir: str, what: str):
     return (spark.sparkContext.applicationId, sf_dir, what)
 
 
-def interim(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
-    """Cleaned, normalised, indexed wide table (R3) and its row count.
-    Materialised once per session and data folder (the pipeline's interim stage)."""
+def interim_table(spark: SparkSession, sf_dir: str) -> IndexedTable:
+    """Cleaned, normalised, indexed wide table (R3), stored once per session
+    and data folder (the pipeline's interim stage). Split borders on it are
+    pushed into the scan."""
     k = _key(spark, sf_dir, "interim")
     if k not in _MEMO:
         raw = raw_from_events(load(spark, sf_dir, "events"))
         clean = normalise_columns(clean_interim(raw, INTERIM_FEATURES, keep=EVENT_ORDER),
                                   keep=EVENT_ORDER)
-        df = add_running_time(dense_index(clean, EVENT_ORDER))
-        _MEMO[k] = (df, df.count())
+        _MEMO[k] = index_table(clean, EVENT_ORDER)
     return _MEMO[k]
 
 
+def interim(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """The interim table as a DataFrame (with running time) and its row count."""
+    t = interim_table(spark, sf_dir)
+    return add_running_time(t.frame()), t.count
+
+
 def train_params(spark: SparkSession, sf_dir: str) -> dict:
     k = _key(spark, sf_dir, "params")
     if k not in _MEMO:
-        df, n = interim(spark, sf_dir)
-        train, _ = sp.prefix_split(df, n, TRAIN)
+        t = interim_table(spark, sf_dir)
+        train, _ = sp.prefix_split(t, t.count, TRAIN)
         _MEMO[k] = sc.collect_params(sc.fit_standard(train, TARGETS))
     return _MEMO[k]
 
@@ -160,20 +166,20 @@ def _part_summary(parts: dict[str, DataFrame]) -> DataFrame:
 
 
 def q_prefix_split(spark, d):
-    df, n = interim(spark, d)
-    tr, te = sp.prefix_split(df, n, TRAIN)
+    t = interim_table(spark, d)
+    tr, te = sp.prefix_split(t, t.count, TRAIN)
     return _part_summary({"train": tr, "test": te})
 
 
 def q_inclusive_split(spark, d):
-    df, n = interim(spark, d)
-    tr, te = sp.inclusive_split(df, n, TRAIN)
+    t = interim_table(spark, d)
+    tr, te = sp.inclusive_split(t, t.count, TRAIN)
     return _part_summary({"train": tr, "test": te})
 
 
 def q_three_way_split(spark, d):
-    df, n = interim(spark, d)
-    return _part_summary(sp.three_way_split(df, n, 0.2, 0.2))
+    t = interim_table(spark, d)
+    return _part_summary(sp.three_way_split(t, t.count, 0.2, 0.2))
 
 
 def q_ts_folds(spark, d):
@@ -186,8 +192,8 @@ def q_ts_folds(spark, d):
 # ---------------------------------------------------------------- D
 
 def q_standard_params(spark, d):
-    df, n = interim(spark, d)
-    tr, _ = sp.prefix_split(df, n, TRAIN)
+    t = interim_table(spark, d)
+    tr, _ = sp.prefix_split(t, t.count, TRAIN)
     return sc.fit_standard(tr, TARGETS).select("feature", r6("center").alias("center"), r6("scale").alias("scale"))
 
 
@@ -520,11 +526,11 @@ def q_kfp_features(spark, d):
 def q_torch_scale(spark, d):
     """Three-way split with inclusive borders (C3) and the own-standard scaler
     (D3, zero deviation kept) fitted on each part itself (D6 ``own_part``)."""
-    df, n = interim(spark, d)
-    parts = sp.three_way_split(df.select("idx", *TARGETS), n, 0.2, 0.2)
+    t = interim_table(spark, d)
+    parts = sp.three_way_split(t, t.count, 0.2, 0.2)
     out = None
     for name, part in parts.items():
-        p = sc.fit_standard(part, TARGETS, zero_std="zero").select(F.lit(name).alias("part"), "*")
+        p = sc.fit_standard(part.select("idx", *TARGETS), TARGETS, zero_std="zero").select(F.lit(name).alias("part"), "*")
         out = p if out is None else out.unionByName(p)
     return out.select("part", "feature", r6("center").alias("center"), r6("scale").alias("scale"))
 
@@ -533,11 +539,11 @@ def q_params_roundtrip(spark, d):
     """A12 scaler parameters and A10/A9 feature list through storage: the
     list is written and read back, the parameters of those features are
     written as Parquet and read back."""
-    df, n = interim(spark, d)
+    t = interim_table(spark, d)
     base = scratch_path(spark, "stages")
     fl.write_feature_list(spark, TARGETS, f"{base}/forecast_features")
     feats = fl.read_feature_list(spark, f"{base}/forecast_features")
-    train, _ = sp.prefix_split(df, n, TRAIN)
+    train, _ = sp.prefix_split(t, t.count, TRAIN)
     fl.write_params(sc.fit_standard(train, feats), f"{base}/scaler")
     back = fl.read_params(spark, f"{base}/scaler")
     return back.select("feature", r6("center").alias("center"), r6("scale").alias("scale"))

@@ -23,7 +23,7 @@ from rigcast.operators import scaling as sc
 from rigcast.operators import splits as sp
 from rigcast.operators.clean import (add_running_time, clean_interim, forecast_targets,
                                      normalise_columns, unpivot_targets)
-from rigcast.operators.order import dense_index
+from rigcast.operators.order import index_table
 from rigcast.sources.telemetry import EVENT_ORDER, load, raw_from_events
 
 
@@ -32,8 +32,9 @@ def preprocess(raw: DataFrame, order: Sequence[str], features: Sequence[str] = I
     """Raw text rows -> interim table (R3) with ``idx``, its row count and the
     forecast targets (B15). Materialises once (dense index)."""
     clean = normalise_columns(clean_interim(raw, features, keep=order), style, keep=order)
-    df = add_running_time(dense_index(clean, list(order)))
-    return df, df.count(), forecast_targets(df.columns)
+    table = index_table(clean, list(order))
+    df = add_running_time(table.frame())
+    return df, table.count, forecast_targets(df.columns)
 
 
 @dataclass

@@ -64,3 +64,18 @@ def test_plan_check_detects_global_window(spark):
     df = spark.range(100).select(F.col("id").alias("k"))
     bad = df.withColumn("rn", F.row_number().over(Window.orderBy("k")))
     assert unpartitioned_windows(bad, data_columns={"k"})
+
+
+def test_indexed_table_between_pushes_rid_range(spark):
+    from rigcast.operators.order import index_table
+    from rigcast.operators.splits import prefix_split
+    df = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") * 2.0).alias("v")).repartition(7)
+    t = index_table(df, ["k"], num_partitions=5)
+    assert t.count == 3000
+    for lo, hi in [(0, 1), (599, 1801), (2999, 3000), (0, 3000)]:
+        got = sorted(r["idx"] for r in t.between(lo, hi).collect())
+        assert got == list(range(lo, hi))
+    tr, te = prefix_split(t, t.count, 0.8)
+    assert tr.count() == 2400 and te.count() == 600
+    plan = te._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(_rid), GreaterThanOrEqual(_rid," in plan
