@@ -39,6 +39,14 @@ COEF_SCHEMA = ("target string, fit string, h int, lookback int, ridge double, n
 
 # ---------------------------------------------------------------- statistics
 
+def stats_block(spark: SparkSession, n_rows: int, max_lag: int, cap: int = 1 << 16) -> int:
+    """Block size of the statistics pass: at most ``cap`` rows (bounded
+    groups), at least ``20 (max_lag + 1)`` (copy factor <= 1.05), and small
+    enough that a short series still spreads over every core."""
+    lanes = 4 * max(spark.sparkContext.defaultParallelism, 1)
+    return int(max(20 * (max_lag + 1), min(cap, -(-n_rows // lanes))))
+
+
 def lag_statistics(df: DataFrame, targets: Sequence[str], max_lag: int, cuts: Sequence[int],
                    n_rows: int, idx: str = "idx", block: int | None = None) -> DataFrame:
     """Sums per ``(target, seg, d)``: ``d >= 0`` -> ``sum x[t] * x[t+d]``,
@@ -46,7 +54,7 @@ def lag_statistics(df: DataFrame, targets: Sequence[str], max_lag: int, cuts: Se
     ``cuts[seg-1] <= t < cuts[seg]`` (``cuts[-1] = 0``). Rows at or after the
     last cut are not needed and not summed. Lazy."""
     cut_arr = np.array(sorted(set(int(c) for c in cuts)), dtype=np.int64)
-    b = block or max(1 << 16, 20 * (max_lag + 1))
+    b = block or stats_block(df.sparkSession, n_rows, max_lag)
     names = list(targets)
     blocks, _ = halo_blocks(df.select(F.col(idx).alias("_i"), *[col(t).alias(f"_v{k}") for k, t in enumerate(names)]),
                             0, max_lag, b, "_i")
