@@ -21,7 +21,7 @@ def unpartitioned_windows(df: DataFrame, data_columns: set[str]) -> list[str]:
         name = node.nodeName()
         if name == "Window" and node.partitionSpec().isEmpty():
             cols = {a.name() for a in _iter(node.child().output())}
-            if cols & data_columns:
+            if cols & data_columns or not data_columns:
                 found.append(node.toString())
         stack.extend(_iter(node.children()))
         if name == "AdaptiveSparkPlan":

@@ -51,3 +51,11 @@ def test_query(spark, con, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() == 11
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_no_single_task_window(spark, name):
+    """No registered query plans a window without a partition key."""
+    from rigcast.plans.inspect import unpartitioned_windows
+    df = entry.queries()[name](spark, SF)
+    assert unpartitioned_windows(df, data_columns=set(df.columns) | {"idx", "value", "_rid"}) == []

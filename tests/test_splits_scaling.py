@@ -78,3 +78,21 @@ def test_fit_scope_own_part(spark):
     assert sorted(r["a"] for r in parts["test"].collect()) == [-1.0, 1.0]
     _, parts = sc.fit_transform(tr, {"test": te}, ["a"], fit_on="train")
     assert sorted(r["a"] for r in parts["test"].collect()) == [9.0, 19.0]
+
+
+def test_splits_cover_without_overlap_property():
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.integers(1, 10_000), st.floats(0.01, 0.99), st.integers(2, 8))
+    def check(n, frac, k):
+        kk = sp.split_border(n, frac)
+        assert 0 <= kk <= n                                  # prefix parts cover [0, n) once
+        b = sp.three_way_borders(n, 0.2, 0.2)
+        assert b["train"][1] == b["val"][0] and b["val"][1] == b["test"][0] and b["test"][1] == n
+        if n // (k + 1) >= 1:
+            f = sp.fold_bounds(n, k)
+            assert f[-1][2] == n and all(f[i][2] == f[i + 1][1] for i in range(k - 1))
+            assert all(ve - vs == n // (k + 1) for _, vs, ve in f)
+    check()

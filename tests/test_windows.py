@@ -84,3 +84,16 @@ def test_window_plan_is_partitioned(spark):
     df, _ = _series(spark, 100)
     w = wn.lookback_windows(df, "v", 5)
     assert unpartitioned_windows(w, data_columns={"v", "idx"}) == []
+
+
+def test_halo_equals_numpy_random_shapes(spark):
+    """Seeded random (n, L, P, B): every window equals the numpy slice."""
+    rng = random.Random(42)
+    for _ in range(4):
+        n, L, P = rng.randint(20, 300), rng.randint(1, 15), rng.randint(1, 6)
+        B = rng.randint(1, 64)
+        df, x = _series(spark, n, seed=n)
+        got = {r["idx"]: (r["x"], r["y"]) for r in wn.seq2seq_windows(df, "v", "v", L, P, block=B).collect()}
+        assert sorted(got) == list(range(L, n - P + 1))
+        for a, (xs, ys) in got.items():
+            assert np.allclose(xs, x[a - L:a]) and np.allclose(ys, x[a:a + P])
