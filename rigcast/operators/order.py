@@ -19,6 +19,7 @@ from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,18 +75,31 @@ class IndexedTable:
 
 
 def index_table(df: DataFrame, order: Sequence[str | Column], idx: str = "idx",
-                num_partitions: int | None = None, name: str = "dense-index") -> IndexedTable:
+                num_partitions: int | None = None, name: str = "dense-index",
+                reuse_input: bool = True) -> IndexedTable:
     """Phase 1 of the dense index (one write) and the per-partition offsets
-    (one tiny aggregate, collected: one row per partition)."""
+    (one tiny aggregate, collected: one row per partition).
+
+    Range partitioning runs its input twice (key sampling, then the shuffle
+    write). ``reuse_input`` persists the input (memory, spilling to disk)
+    for the duration of phase 1, so the source is scanned and parsed once;
+    lost blocks are recomputed from lineage, and the cache is released as
+    soon as the stamped rows are stored."""
     spark = df.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if not 0 < parts <= MAX_INDEX_PARTITIONS:
         raise ValueError(f"num_partitions must be in 1..{MAX_INDEX_PARTITIONS}")
     keys = _sort_cols(order)
-    stamped = (df.repartitionByRange(parts, *keys)
-               .sortWithinPartitions(*keys)
-               .withColumn("_rid", F.monotonically_increasing_id()))
-    stored = materialize(stamped, name)
+    reuse_input = reuse_input and not df.is_cached      # never drop the caller's cache
+    src = df.persist(StorageLevel.MEMORY_AND_DISK) if reuse_input else df
+    try:
+        stamped = (src.repartitionByRange(parts, *keys)
+                   .sortWithinPartitions(*keys)
+                   .withColumn("_rid", F.monotonically_increasing_id()))
+        stored = materialize(stamped, name)
+    finally:
+        if reuse_input:
+            src.unpersist()
     counts = (stored.groupBy(F.shiftright(F.col("_rid"), _POS_BITS).alias("_pid"))
               .agg(F.count(F.lit(1)).alias("_n")).orderBy("_pid").collect())
     offsets, run = [], 0
