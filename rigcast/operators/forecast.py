@@ -220,12 +220,14 @@ def _window_coef(w: np.ndarray) -> list[float]:
 def fit_ranges(df: DataFrame, targets: Sequence[str], lookback: int,
                fits: Mapping[str, tuple[int, int]],
                evals: Mapping[str, Mapping[str, tuple[int, int]]] | None = None,
-               ridge: float = 1e-3, horizon: int = 1, n_rows: int | None = None,
-               idx: str = "idx", block: int | None = None) -> FitResult:
+               ridge: float | Sequence[float] = 1e-3, horizon: int = 1, n_rows: int | None = None,
+               idx: str = "idx", block: int | None = None, select_on: str = "tail") -> FitResult:
     """fit one ridge AR model per ``(target, fit, h)`` on the anchor
     ranges in ``fits`` and score it on the anchor ranges ``evals[fit]``.
     All ranges are served by one statistics pass over ``df`` (wide: ``idx`` +
-    one column per target, dense ``idx``). Raises if a range is too short."""
+    one column per target, dense ``idx``). Raises if a range is too short.
+    A sequence of ``ridge`` values is a grid: per ``(target, fit, h)`` the
+    value with the lowest MSE on ``evals[fit][select_on]`` is kept."""
     spark = df.sparkSession
     evals = evals or {}
     if n_rows is None:
@@ -252,10 +254,19 @@ def fit_ranges(df: DataFrame, targets: Sequence[str], lookback: int,
             have = st.N[ci[e]] - st.N[ci[s]] + min(lookback, s)
             if have < (e - s):
                 raise ValueError(f"index of {t} has gaps inside [{s - lookback}, {e})")
+            grid = [float(r) for r in ridge] if isinstance(ridge, (list, tuple)) else [float(ridge)]
             for h in range(1, horizon + 1):
                 G = range_gram(st, s, e, lookback, h)
-                w = solve_ridge(G, ridge)
-                coef_rows.append((t, name, h, lookback, float(ridge), int(e - s), float(w[0]),
+                lam, w = grid[0], solve_ridge(G, grid[0])
+                if len(grid) > 1:
+                    if select_on not in evals.get(name, {}):
+                        raise ValueError(f"a ridge grid needs an evaluation range {select_on!r} for {name}")
+                    ss, se = evals[name][select_on]
+                    Gs = range_gram(st, ss, se, lookback, h)
+                    scored = [(range_sse(Gs, solve_ridge(G, r)), r) for r in grid]
+                    lam = min(scored)[1]
+                    w = solve_ridge(G, lam)
+                coef_rows.append((t, name, h, lookback, lam, int(e - s), float(w[0]),
                                   _window_coef(w)))
                 score_rows.append((t, name, "fit", h, int(e - s), range_sse(G, w) / (e - s)))
                 for rname, (rs, re_) in evals.get(name, {}).items():
@@ -282,20 +293,29 @@ def fit_ar(df: DataFrame, targets: Sequence[str], lookback: int, start: int | No
 
 
 def cross_validate(df: DataFrame, targets: Sequence[str], lookback: int, n_rows: int, folds: int,
-                   ridge: float = 1e-3, val_size: float | None = None,
+                   ridge: float | Sequence[float] = 1e-3, val_size: float | None = None,
                    idx: str = "idx") -> FitResult:
     """expanding-window CV (C4 bounds on ``[0, n_rows)``). Fold ``j`` fits on
     the anchors of its training prefix (C5: without the last ``val_size`` share
     of its windows) and is scored on windows built *inside* its validation
     slice (anchors from ``val_start + lookback``). Scores give loss = MSE and
-    RMSE per fold; the last fold's model is the one kept by the pipelines."""
+    RMSE per fold; the last fold's model is the one kept by the pipelines.
+    With a grid of ``ridge`` values the C5 tail (the held-out last windows of
+    the fold's training part) picks the value, as the hold-out share picks
+    the stopping epoch in the batch pipelines. One statistics pass serves
+    every fold, grid value and score."""
     from rigcast.operators.splits import fold_bounds
+    grid = isinstance(ridge, (list, tuple)) and len(ridge) > 1
+    if grid and not val_size:
+        raise ValueError("a ridge grid needs val_size (the hold-out tail that picks it)")
     fits, evals = {}, {}
     for fold, vs, ve in fold_bounds(n_rows, folds):
         m = vs - lookback
         end = lookback + (int(m * (1 - val_size)) if val_size else m)
         fits[f"fold{fold}"] = (lookback, end)
         evals[f"fold{fold}"] = {"val": (vs + lookback, ve)}
+        if grid:
+            evals[f"fold{fold}"]["tail"] = (end, vs)
     return fit_ranges(df, targets, lookback, fits, evals, ridge=ridge, n_rows=n_rows, idx=idx)
 
 

@@ -49,11 +49,13 @@ class TrainResult:
 
 def train_pipeline(interim: DataFrame, n: int, targets: Sequence[str], lookback: int = 120,
                    folds: int = 5, train_size: float = 0.8, val_size: float | None = 0.2,
-                   ridge: float = 1e-3, run_id: str = "run", keep: str = "last_fold") -> TrainResult:
+                   ridge: float | Sequence[float] = 1e-3, run_id: str = "run",
+                   keep: str = "last_fold") -> TrainResult:
     """Split (C1) -> scale (D1/D2) -> CV fit (F2, C4/C5) -> test anchors inside
     the test slice, predicted block-wise (F3) -> metrics (G9-G11). ``keep='last_fold'`` ships the last
     fold's model as the batch pipeline does; ``'refit'`` refits on the whole
-    training part."""
+    training part. A ``ridge`` grid is resolved per fold on the hold-out tail
+    (``val_size``)."""
     targets = list(targets)
     k = sp.split_border(n, train_size)
     wide = interim.select("idx", *targets)
@@ -65,7 +67,9 @@ def train_pipeline(interim: DataFrame, n: int, targets: Sequence[str], lookback:
     if keep == "last_fold":
         coefs = cv.coefs.where(F.col("fit") == f"fold{folds}")
     else:
-        coefs = fc.fit_ar(scaled, targets, lookback, end=k, ridge=ridge, n_rows=n)
+        lam = ridge if isinstance(ridge, (int, float)) else float(
+            cv.coefs.where(F.col("fit") == f"fold{folds}").agg(F.median("ridge")).first()[0])
+        coefs = fc.fit_ar(scaled, targets, lookback, end=k, ridge=lam, n_rows=n)
     test_long = unpivot_targets(scaled.where(F.col("idx") >= k), targets)
     pred = fc.forecast_blocks(test_long, coefs, lookback)
     return TrainResult(params, coefs, fold_tab, mt.fold_summary(fold_tab),

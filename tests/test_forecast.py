@@ -149,3 +149,23 @@ def test_forecast_blocks_equals_window_predict(spark):
         for h in range(P):
             p, t = blk[(r["target"], r["idx"], h + 1)]
             assert p == pytest.approx(r["pred"][h], abs=1e-9) and t == r["y"][h]
+
+
+def test_ridge_grid_picked_on_tail(spark):
+    n, L, k = 600, 5, 3
+    df, cols = _series(spark, n, k=1, seed=21)
+    grid = [1e-4, 10.0, 1e4]
+    res = fc.cross_validate(df, ["s0"], L, n, k, ridge=grid, val_size=0.25)
+    x = cols["s0"]
+    got = {r["fit"]: r for r in res.coefs.collect()}
+    for fold, vs, ve in fold_bounds(n, k):
+        m = vs - L
+        end = L + int(m * 0.75)
+        Xt = np.array([[1.0, *x[a - L:a][::-1]] for a in range(end, vs)])
+        best = min(grid, key=lambda r: np.mean((Xt @ _brute(x, L, L, end, r)[0] - x[end:vs]) ** 2))
+        r = got[f"fold{fold}"]
+        assert r["ridge"] == best
+        w, _, _ = _brute(x, L, L, end, best)
+        assert np.allclose(r["coef"], w[1:][::-1], atol=1e-8)
+    with pytest.raises(ValueError):
+        fc.cross_validate(df, ["s0"], L, n, k, ridge=grid)
