@@ -4,9 +4,10 @@ Phase 1 range-partitions the rows on the order keys, sorts inside each
 partition and stamps every row with ``monotonically_increasing_id`` (partition
 number in the upper bits, position in the lower 33). The stamped rows are
 written once under the checkpoint folder, so range sampling and the stamp are
-never recomputed. Phase 2 counts rows per partition (one row per partition),
-turns the counts into offsets and joins them back with a broadcast whose size
-is bounded by the partition count. ``idx = offset + position`` is 0..n-1.
+never recomputed. Phase 2 counts rows per partition (one row per partition,
+collected), turns the counts into offsets and joins them back with a
+broadcast whose size is bounded by the partition count.
+``idx = offset + position`` is 0..n-1.
 
 Because the stamps grow with ``idx`` and are stored in that order, an
 ``idx`` range is an exact ``_rid`` range: :class:`IndexedTable` pushes split
@@ -20,7 +21,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rigcast.session import materialize
@@ -117,22 +118,6 @@ def dense_index(df: DataFrame, order: Sequence[str | Column], idx: str = "idx",
     return index_table(df, order, idx, num_partitions, name).frame()
 
 
-def attach_offsets(stored: DataFrame, idx: str = "idx", rid: str = "_rid") -> DataFrame:
-    """Phase 2 of :func:`dense_index` as a lazy plan on rows that carry a
-    stored stamp: counts per partition -> offsets (a window over one row per
-    partition) -> broadcast join."""
-    pid = F.shiftright(F.col(rid), _POS_BITS)
-    counts = stored.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: the window below runs over at most
-    # MAX_INDEX_PARTITIONS rows, never over data rows
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    body = [c for c in stored.columns if c != rid]
-    joined = stored.join(F.broadcast(offsets), pid == F.col("_pid"))
-    return joined.select(*[F.col(f"`{c}`") for c in body],
-                         (F.col("_off") + F.col(rid).bitwiseAND(F.lit(_POS_MASK))).alias(idx))
-
-
 def order_by_unit_test(df: DataFrame) -> DataFrame:
     """Total order of the raw union with explicit tie-breakers that keep
     the in-file line order. Prefer :func:`dense_index` with the same keys."""
