@@ -90,6 +90,24 @@ def update_registry(champions: DataFrame, result: TrainResult, rule: str = "stri
     return rg.promote(champions, dec)
 
 
+def preprocess_folder(spark: SparkSession, folder: str, features: Sequence[str] = INTERIM_FEATURES,
+                      style: str = "upper") -> tuple[DataFrame, int, list[str], DataFrame]:
+    """Raw folder -> interim table: ingest (A1-A4, B1-B3, I2), then the
+    preprocessing of :func:`preprocess` over the raw order (I1). Files missing
+    a configured column cannot provide it (their rows are dropped as missing,
+    as the by-name union leaves it null). Returns the interim DataFrame, its
+    row count, the forecast targets and the rejects table."""
+    from rigcast.operators.order import RAW_ORDER
+    from rigcast.sources.files import ingest_folder
+    ing = ingest_folder(spark, folder)
+    rows = ing.rows
+    for c in features:
+        if c not in rows.columns:
+            rows = rows.withColumn(c, F.lit(None).cast("string"))
+    interim, n, targets = preprocess(rows, list(RAW_ORDER), features, style)
+    return interim.drop(*RAW_ORDER), n, targets, ing.rejects
+
+
 def flagship(spark: SparkSession, sf_dir: str, lookback: int = 120, folds: int = 5) -> DataFrame:
     """Minimum slice end to end on ``events``; returns the metric bundle."""
     raw = raw_from_events(load(spark, sf_dir, "events"))
