@@ -23,21 +23,30 @@ def compare_strict(challengers: DataFrame, champions: DataFrame, metric: str = "
 
 def compare_tolerance(challengers: DataFrame, champions: DataFrame,
                       metric: str = "root_mean_squared_error",
-                      absolute_difference: float | None = 0.0, key: str = "target") -> DataFrame:
+                      absolute_difference: float | None = 0.0, key: str = "target",
+                      on_missing: str = "error") -> DataFrame:
     """H2: promote when ``challenger - champion <= |absolute_difference|`` (a
     tie promotes). The metric must exist on both sides (else ``ValueError``);
-    ``None`` tolerance counts as 0. A missing metric *value* raises at run
-    time via ``raise_error``."""
+    ``None`` tolerance counts as 0. A challenger without a champion, or a
+    missing metric value, fails the job (``raise_error``) as the reference
+    does when the champion record is absent; ``on_missing='skip'`` leaves
+    such targets out instead."""
+    if on_missing not in ("error", "skip"):
+        raise ValueError("on_missing must be 'error' or 'skip'")
     for side, frame in (("champion", champions), ("challenger", challengers)):
         if metric not in frame.columns:
             raise ValueError(f"{metric} is not present in both metrics ({side} lacks it)")
     tol = abs(absolute_difference or 0.0)
-    champ = champions.select(key, F.col(metric).alias(f"champion_{metric}"))
-    j = challengers.join(champ, key, "inner")
+    champ = champions.select(key, F.lit(True).alias("_has_champion"),
+                             F.col(metric).alias(f"champion_{metric}"))
+    j = challengers.join(champ, key, "left" if on_missing == "error" else "inner")
     chal_v, champ_v = F.col(metric), F.col(f"champion_{metric}")
-    checked = F.when(chal_v.isNull() | champ_v.isNull(),
-                     F.raise_error(F.lit(f"{metric} is missing for a target"))).otherwise(chal_v - champ_v)
-    return j.withColumn("promote", checked.cast("double") <= F.lit(tol))
+    checked = (F.when(F.col("_has_champion").isNull(),
+                      F.raise_error(F.concat(F.lit("no champion metrics for "), F.col(key).cast("string"))))
+               .when(chal_v.isNull() | champ_v.isNull(),
+                     F.raise_error(F.lit(f"{metric} is missing for a target")))
+               .otherwise(chal_v - champ_v))
+    return j.withColumn("promote", checked.cast("double") <= F.lit(tol)).drop("_has_champion")
 
 
 def promote(champions: DataFrame, decisions: DataFrame, key: str = "target") -> DataFrame:

@@ -77,7 +77,7 @@ def train_pipeline(interim: DataFrame, n: int, targets: Sequence[str], lookback:
 
 
 def update_registry(champions: DataFrame, result: TrainResult, rule: str = "strict",
-                    tolerance: float = 0.0) -> DataFrame:
+                    tolerance: float = 0.0, on_missing: str = "error") -> DataFrame:
     """H1/H2 + H3: compare this run's test record with the champions and upsert
     the winners (with their coefficients and validation summary)."""
     chal = (result.test.join(result.val_summary, "target")
@@ -86,7 +86,8 @@ def update_registry(champions: DataFrame, result: TrainResult, rule: str = "stri
         dec = rg.compare_strict(chal, champions)
     else:
         chal = chal.withColumn("root_mean_squared_error", F.col("test_rmse"))
-        dec = rg.compare_tolerance(chal, champions, absolute_difference=tolerance)
+        dec = rg.compare_tolerance(chal, champions, absolute_difference=tolerance,
+                                   on_missing=on_missing)
     return rg.promote(champions, dec)
 
 

@@ -64,10 +64,14 @@ def test_strict_rule(spark):
 
 def test_tolerance_rule(spark):
     champ, chal = _tables(spark)
-    got = {r["target"]: r["promote"] for r in rg.compare_tolerance(chal, champ, "test_loss", None).collect()}
+    got = {r["target"]: r["promote"]
+           for r in rg.compare_tolerance(chal, champ, "test_loss", None, on_missing="skip").collect()}
     assert got == {"t1": True, "t2": True, "t3": False}
-    got = {r["target"]: r["promote"] for r in rg.compare_tolerance(chal, champ, "test_loss", -1.5).collect()}
+    got = {r["target"]: r["promote"]
+           for r in rg.compare_tolerance(chal, champ, "test_loss", -1.5, on_missing="skip").collect()}
     assert got["t3"] is True
+    with pytest.raises(Exception, match="no champion metrics for t4"):
+        rg.compare_tolerance(chal, champ, "test_loss").collect()
     with pytest.raises(ValueError):
         rg.compare_tolerance(chal, champ, "rmse")
 
