@@ -69,10 +69,9 @@ def interim_table(spark: SparkSession, sf_dir: str) -> IndexedTable:
     pushed into the scan."""
     k = _key(spark, sf_dir, "interim")
     if k not in _MEMO:
+        from rigcast.plans.pipeline import clean_and_index
         raw = raw_from_events(load(spark, sf_dir, "events"))
-        clean = normalise_columns(clean_interim(raw, INTERIM_FEATURES, keep=EVENT_ORDER),
-                                  keep=EVENT_ORDER)
-        _MEMO[k] = index_table(clean, EVENT_ORDER)
+        _MEMO[k] = clean_and_index(raw, EVENT_ORDER)
     return _MEMO[k]
 
 

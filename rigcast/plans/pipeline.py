@@ -21,18 +21,42 @@ from rigcast.operators import metrics as mt
 from rigcast.operators import registry as rg
 from rigcast.operators import scaling as sc
 from rigcast.operators import splits as sp
-from rigcast.operators.clean import (add_running_time, clean_interim, forecast_targets,
-                                     normalise_columns, unpivot_targets)
-from rigcast.operators.order import index_table
+from pyspark import StorageLevel
+
+from rigcast.constants import STEP_COLUMN
+from rigcast.operators.clean import (add_power_features, add_running_time, coerce_numeric,
+                                     drop_columns, drop_idle_steps, drop_missing,
+                                     forecast_targets, normalise_columns, select_features,
+                                     unpivot_targets)
+from rigcast.operators.order import IndexedTable, index_table
 from rigcast.sources.telemetry import EVENT_ORDER, load, raw_from_events
 
 
+def clean_and_index(raw: DataFrame, order: Sequence[str], features: Sequence[str] = INTERIM_FEATURES,
+                    style: str = "upper") -> IndexedTable:
+    """Raw text rows -> cleaned rows (B4-B15) -> dense index (B16), stored.
+
+    The coerced rows are persisted while the index is built: Catalyst pushes
+    the missing-value filter below the coercion and inlines it, and range
+    sampling plus the stamped write read the input twice, so without the
+    cache every value would be parsed several times. The cache is released
+    as soon as the indexed rows are stored (lost blocks recompute from
+    lineage)."""
+    typed = coerce_numeric(select_features(raw, features, keep=order), features)
+    typed = typed.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        x = drop_columns(drop_idle_steps(drop_missing(typed, list(features))), [STEP_COLUMN])
+        clean = normalise_columns(add_power_features(x), style, keep=order)
+        return index_table(clean, list(order), reuse_input=False)
+    finally:
+        typed.unpersist()
+
+
 def preprocess(raw: DataFrame, order: Sequence[str], features: Sequence[str] = INTERIM_FEATURES,
                style: str = "upper") -> tuple[DataFrame, int, list[str]]:
     """Raw text rows -> interim table (R3) with ``idx``, its row count and the
     forecast targets (B15). Materialises once (dense index)."""
-    clean = normalise_columns(clean_interim(raw, features, keep=order), style, keep=order)
-    table = index_table(clean, list(order))
+    table = clean_and_index(raw, order, features, style)
     df = add_running_time(table.frame())
     return df, table.count, forecast_targets(df.columns)
 
