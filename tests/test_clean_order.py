@@ -79,3 +79,22 @@ def test_indexed_table_between_pushes_rid_range(spark):
     assert tr.count() == 2400 and te.count() == 600
     plan = te._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(_rid), GreaterThanOrEqual(_rid," in plan
+
+
+def test_planned_broadcast_joins(spark):
+    """The joins with bounded tables are broadcasts: index offsets, fold bounds,
+    coefficient table."""
+    from rigcast.operators import forecast as fc
+    from rigcast.operators.splits import assign_folds
+    from rigcast.operators.windows import lookback_windows
+    from rigcast.plans.inspect import broadcast_joins
+    df = spark.range(400).select(F.col("id").alias("k"), F.sin(F.col("id") * 0.1).alias("v"))
+    idx = dense_index(df, ["k"], num_partitions=3)
+    assert broadcast_joins(idx) >= 1
+    assert broadcast_joins(assign_folds(idx, 400, 3)) >= 2
+    coefs = fc.fit_ar(idx.select("idx", "v"), ["v"], 4, n_rows=400)
+    w = lookback_windows(idx.select("idx", F.lit("v").alias("target"), F.col("v").alias("value")),
+                         "value", 4, series=["target"])
+    p = fc.predict(w, coefs)
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and broadcast_joins(p) >= 2
