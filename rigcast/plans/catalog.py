@@ -9,7 +9,6 @@ shuffles) have none and are cross-checked in the tests instead.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +26,7 @@ from rigcast.operators.clean import (add_running_time, clean_interim, coerce_num
                                      drop_columns, drop_idle_steps, drop_missing,
                                      normalise_columns, select_features, unpivot_targets)
 from rigcast.operators.ingest import test_ordinals
-from rigcast.operators.order import IndexedTable, dense_index, index_table
+from rigcast.operators.order import IndexedTable, dense_index
 from rigcast.plans import oracle as oq
 from rigcast.functions.numeric import coerce_double
 from rigcast.operators.order import RAW_ORDER
@@ -506,7 +505,7 @@ def q_kfp_features(spark, d):
     non-time columns (B8), drop date/duration columns (B10), idle filter
     (B9, step kept), power (B11-B13), time as text (B18), running time (B16,
     B17), left-strip/underscore names with case kept (B14)."""
-    from rigcast.constants import KFP_DROP_COLUMNS, TIME_COLUMNS
+    from rigcast.constants import TIME_COLUMNS
     from rigcast.operators.clean import (add_power_features, coerce_all_but_time,
                                          drop_time_columns, time_to_string)
     ev = load(spark, d, "events")
