@@ -1,16 +1,53 @@
-"""Corpus pipeline: language ID, quality rules, near-duplicate removal, packing."""
+"""Corpus pipeline: language ID, quality rules, near-duplicate removal, packing.
+
+Each stage takes ``(spark, docs, sf_dir)``; its result is written as Parquet
+and reread as the next stage's ``docs``. All but the last return the columns
+of ``documents``. Null texts are rejected by the first stage (no letter), so
+later stages see texts only; an empty table passes through every stage.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from rigcast.llm import jaccard, langid, packing, quality_rules
 from rigcast.llm.common import stage
 
-STAGES: list = []
+
+def language(spark, docs, sf_dir):
+    """Documents in a known language: texts without a letter, null and empty texts go."""
+    model = langid.fit(langid.training_rows(docs, "doc_id", "text", "lang"))
+    return langid.predict(docs, model).where(F.col("lang_pred") != langid.UNKNOWN).select("row.*")
+
+
+def quality(spark, docs, sf_dir):
+    """Documents that the base rule and the weak-supervision posterior keep."""
+    voted = quality_rules.rule_votes(docs)
+    return quality_rules.judge(voted, quality_rules.posteriors(voted)).where("kept").select("row.*")
+
+
+def near_duplicates(spark, docs, sf_dir):
+    """One document of each component of similar texts: the one with the smallest id.
+    Rows that repeat an id and its text are one document; rows without an id
+    link with nothing and stay, once for each text."""
+    found = jaccard.jaccard_components(docs)
+    gone = found.where("component_id <> doc_id").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+
+
+def pack(spark, docs, sf_dir):
+    """Pieces of the documents, packed into sequences of 4096 ids."""
+    import public_tokenizers
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("language ID", language), ("quality rules", quality), ("n-gram Jaccard join", near_duplicates), ("packing", pack)]
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """Apply the stages to ``documents``; each result is written as Parquet and reread."""
+    """Apply the stages to ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
-    return docs
+    for _, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), "documents")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from rigcast.session import scratch_path
 
+FILTER_BITS = 1 << 23  # fixed size of an id filter
 ARROW_ROWS = 500      # rows per Arrow batch: bounds a Python worker's memory on long texts
 
 
@@ -32,6 +38,43 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def id_bits(ids: DataFrame) -> np.ndarray:
+    """A bitmap of ``FILTER_BITS`` bits over the hashed ``id`` column. Its size
+    is fixed, so it is collected and sent to the tasks at any size of input;
+    callers remove false hits by a join, and a full bitmap only saves less."""
+    words = ids.select(id_place("id")).groupBy(F.expr("at div 64").cast("int").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits")).toArrow()
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def id_place(col: str):
+    return F.pmod(F.xxhash64(col), F.lit(FILTER_BITS)).alias("at")
+
+
+def id_hits(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return ((bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+
+
+def add_columns(docs: DataFrame, text_col: str, columns: str, work: Callable) -> DataFrame:
+    """``row`` (the whole input row as a struct, so that no name clashes) and
+    the ``columns`` that ``work(texts) -> dict of arrays`` derives from its text."""
+    from rigcast.llm.textnum import chunks
+    spark = docs.sparkSession
+    small_batches(spark)
+    extra = StructType.fromDDL(columns)
+    schema = StructType([StructField("row", docs.schema), *extra.fields])
+
+    def run(batches):
+        for b in chunks(batches, "text"):
+            got = work(b.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column("row"), *[pa.array(got[f.name]) for f in extra.fields]],
+                                             names=["row", *[f.name for f in extra.fields]])
+
+    return docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+
+
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of undirected ``links(a, b)`` as ``(node, comp)``,
     ``comp`` being the smallest node of the component.

@@ -40,14 +40,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rigcast.llm.common import components, shuffle_width, small_batches, stage, table
+from rigcast.llm.common import components, id_bits, id_hits, id_place, shuffle_width, small_batches, stage, table
 from rigcast.llm.textnum import chunks, mix64, runs, shingles
 
 BITS = 1024          # bitmap of a leaf
 FANOUT = 8           # children of an inner node
 BLOCK = 1024         # rows that meet in one task's tree
-PERMS = 2            # min-hashes that gather near copies before the completion
-LEVELS = 2           # rounds of gathering: members, then representatives
+LEVELS = 2           # rounds of gathering, each by its own min-hash: members, then representatives
+MULT = [np.uint64(x) for x in (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
 # ------------------------------------------------------------ signature tree
@@ -290,32 +290,30 @@ def profile(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den:
 
 # ---------------------------------------------------------------- steps 3, 4
 
-def _token_sets(k: int):
-    schema = pa.schema([("key", pa.binary()), ("n", pa.int64()), ("tokens", pa.binary())])
+def fine(tokens: np.ndarray) -> np.ndarray:
+    """The 65,536-bit bitmap of a set, as the ascending list of its set bits."""
+    t = (tokens >> np.uint64(48)).astype(np.uint16)
+    return t[np.r_[True, t[1:] != t[:-1]]] if len(t) else t
 
-    def run(batches):
-        for b in chunks(batches, "text"):
-            tok, first = shingles(b.column("text").to_pylist(), k)
-            rows = []
-            for want, s, e in zip(b.column("key").to_pylist(), first[:-1].tolist(), first[1:].tolist()):
-                raw = tok[s:e].tobytes()
-                if hashlib.blake2b(raw, digest_size=16).digest() == want:
-                    rows.append({"key": want, "n": e - s, "tokens": raw})
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
-    return run
 
-
-def _min_hashes(perms: int):
-    mult = [np.uint64(x) for x in (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)][:perms]
-    schema = pa.schema([("mh", pa.string()), ("key", pa.binary()), ("tokens", pa.binary())])
+def _token_sets(k: int, bits):
+    schema = pa.schema([("key", pa.binary()), ("n", pa.int64()), ("tokens", pa.binary()), ("short", pa.binary()),
+                        *[(f"mh{j}", pa.int64()) for j in range(LEVELS)]])
 
     def run(batches):
         for b in batches:
-            rows = []
-            for key, raw in zip(b.column("key").to_pylist(), b.column("tokens").to_pylist()):
-                t = np.frombuffer(raw, np.uint64)
-                rows += [{"mh": f"{j}:{int((t * m).min()):x}", "key": key, "tokens": raw} for j, m in enumerate(mult)]
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            for c in chunks([b.filter(pa.array(id_hits(bits.value, b.column("at").to_numpy())))], "text"):
+                tok, first = shingles(c.column("text").to_pylist(), k)
+                rows = []
+                for s, e in zip(first[:-1].tolist(), first[1:].tolist()):
+                    if e > s:
+                        t = tok[s:e]
+                        raw = t.tobytes()
+                        rows.append({"key": hashlib.blake2b(raw, digest_size=16).digest(), "n": e - s, "tokens": raw,
+                                     "short": fine(t).tobytes()}
+                                    | {f"mh{j}": int((t * MULT[j]).min().view(np.int64)) for j in range(LEVELS)})
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
     return run
 
 
@@ -332,40 +330,45 @@ def _gather(num: int, den: int):
     return run
 
 
-def _gather_links(sets: DataFrame, num: int, den: int) -> DataFrame:
+def _gather_links(sets: DataFrame, level: int, num: int, den: int) -> DataFrame:
     """Links inside blocks of sets that share a min-hash; a large group is split into blocks by key."""
-    mh = sets.mapInArrow(_min_hashes(PERMS), "mh string, key binary, tokens binary")
+    mh = sets.select("key", F.col(f"mh{level}").alias("mh"))
     count = mh.groupBy("mh").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    blocks = mh.join(count, "mh").withColumn(
-        "salt", F.pmod(F.xxhash64("key"), F.ceil(F.col("c") / F.lit(BLOCK)).cast("long"))).drop("c")
-    return blocks.groupBy("mh", "salt").applyInArrow(_gather(num, den), "a binary, b binary")
+    place = mh.join(count, "mh").select("key", "mh", F.pmod(F.xxhash64("key"), F.ceil(F.col("c") / F.lit(BLOCK)).cast("long")).alias("salt"))
+    return place.join(sets.select("key", "tokens"), "key").repartition("mh", "salt") \
+        .groupBy("mh", "salt").applyInArrow(_gather(num, den), "a binary, b binary")
 
 
 def _prefix(num: int, den: int):
-    schema = pa.schema([("token", pa.int64()), ("key", pa.binary()), ("n", pa.int64()), ("comp", pa.binary())])
+    schema = pa.schema([("token", pa.int64()), ("key", pa.binary()), ("comp", pa.int64())])
 
     def run(batches):
         for b in batches:
-            for key, comp, raw in zip(*(b.column(c).to_pylist() for c in ("key", "comp", "tokens"))):
-                t = np.frombuffer(raw, np.uint64)
-                n = len(t)
+            keys, comps, tokens, at, rows = b.column("key"), b.column("comp").to_numpy(), [], [], b.column("tokens").to_pylist()
+            for i, raw in enumerate(rows):
+                n = len(raw) // 8
                 p = n - -(-num * n // den) + 1
-                yield pa.RecordBatch.from_pydict({"token": t[:p].view(np.int64), "key": [key] * p, "n": [n] * p, "comp": [comp] * p}, schema=schema)
+                tokens.append(np.frombuffer(raw, np.int64, p))
+                at.append(np.full(p, i))
+            at = np.concatenate(at)
+            for lo in range(0, len(at), 20_000):
+                part = at[lo:lo + 20_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)[lo:lo + 20_000]), keys.take(pa.array(part)),
+                                                  pa.array(comps[part])], schema=schema)
     return run
 
 
 def _signed(batches):
-    schema = pa.schema([("key", pa.binary()), ("sig", pa.binary())])
+    schema = pa.schema([("key", pa.binary()), ("n", pa.int64()), ("sig", pa.binary())])
     for b in batches:
-        rows = [{"key": k, "sig": bitmaps(np.array([0, len(raw) // 8]), np.frombuffer(raw, np.uint64)).tobytes()}
-                for k, raw in zip(b.column("key").to_pylist(), b.column("tokens").to_pylist())]
-        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+        sig = [bitmaps(np.array([0, len(raw) // 8]), np.frombuffer(raw, np.uint64)).tobytes() for raw in b.column("tokens").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("key"), b.column("n"), pa.array(sig, pa.binary())], schema=schema)
 
 
 def _propose(num: int, den: int):
     """Pairs of one token's holders (one block, or two different ones) that the trees cannot exclude."""
     def tree(t: pa.Table, code: dict) -> tuple[SignatureTree, list]:
-        comp = np.array([code.setdefault(c, len(code)) for c in t.column("comp").to_pylist()], np.int64)
+        comp = np.array([code.setdefault(c, len(code)) for c in t.column("comp").to_pylist()], np.int64)     # small and non-negative
         size = t.column("n").to_numpy()
         sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint64).reshape(len(size), BITS // 64)
         order = np.lexsort((size, comp))
@@ -391,6 +394,20 @@ def _propose(num: int, den: int):
     return run
 
 
+def _bounded(num: int, den: int):
+    """Keep pairs whose fine bitmaps leave the needed overlap possible."""
+    def run(batches):
+        for b in batches:
+            cols = [b.column(c).to_pylist() for c in ("na", "sa", "nb", "sb")]
+            keep = []
+            for na, sa, nb, sb in zip(*cols):
+                x, y = np.frombuffer(sa, np.uint16), np.frombuffer(sb, np.uint16)
+                both = len(np.intersect1d(x, y, assume_unique=True)) + min(na - len(x), nb - len(y))
+                keep.append((num + den) * both >= num * (na + nb))
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], schema=_LINKS).filter(pa.array(keep, pa.bool_()))
+    return run
+
+
 def _verify(num: int, den: int):
     def run(batches):
         for b in batches:
@@ -400,24 +417,32 @@ def _verify(num: int, den: int):
     return run
 
 
+def _sides(pairs: DataFrame, sets: DataFrame, cols: dict[str, str]) -> DataFrame:
+    for end in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("key").alias(end), *[F.col(c).alias(x + end) for c, x in cols.items()]), end)
+    return pairs
+
+
 def _cross_links(sets: DataFrame, comp: DataFrame, num: int, den: int) -> DataFrame:
     """Links between different components, complete by the prefix rule."""
-    labelled = sets.join(comp.withColumnRenamed("node", "key"), "key", "left") \
-        .withColumn("comp", F.coalesce("comp", "key"))
-    pre = stage(labelled.select("key", "comp", "tokens").mapInArrow(
-        _prefix(num, den), "token long, key binary, n long, comp binary"), "prefix")
-    shared = pre.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
-        .where("lo <> hi").select("token", F.ceil(F.col("c") / F.lit(BLOCK)).cast("long").alias("parts"))
-    sig = sets.select("key", "tokens").mapInArrow(_signed, "key binary, sig binary")
+    comp = comp.select(F.col("node").alias("key"), F.xxhash64("comp").alias("comp"))
+    labelled = sets.join(comp, "key", "left").withColumn("comp", F.coalesce("comp", F.xxhash64("key")))
+    pre = stage(labelled.select("key", "comp", "tokens").mapInArrow(_prefix(num, den), "token long, key binary, comp long"), "prefix")
+    # tokens with the same holders propose the same pairs: one of them is enough (128-bit digest of the holder set)
+    shared = pre.groupBy("token").agg(
+        F.count(F.lit(1)).alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+        F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("y")) \
+        .where("lo <> hi").groupBy("c", "x", "y").agg(F.min("token").alias("token")) \
+        .select("token", F.ceil(F.col("c") / F.lit(BLOCK)).cast("long").alias("parts"))
+    sig = sets.select("key", "n", "tokens").mapInArrow(_signed, "key binary, n long, sig binary")
     met = pre.join(shared, "token").withColumn("own", F.pmod(F.xxhash64("key"), F.col("parts"))) \
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))) \
-        .select("token", "key", "n", "comp", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
+        .select("token", "key", "comp", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
                 F.col("own").alias("side")) \
         .join(sig, "key")
-    pairs = met.groupBy("token", "p", "q").applyInArrow(_propose(num, den), "a binary, b binary").distinct()
-    left = sets.select(F.col("key").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("key").alias("b"), F.col("tokens").alias("tb"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(_verify(num, den), "a binary, b binary")
+    pairs = stage(met.groupBy("token", "p", "q").applyInArrow(_propose(num, den), "a binary, b binary").distinct(), "pairs")
+    close = stage(_sides(pairs, sets, {"n": "n", "short": "s"}).mapInArrow(_bounded(num, den), "a binary, b binary"), "pairs")
+    return _sides(close, sets, {"tokens": "t"}).mapInArrow(_verify(num, den), "a binary, b binary")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
@@ -439,15 +464,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     known = base.where("id is not null")
     prof = stage(profile(known, "id", "text", k, num, den), "profile")
     nodes = prof.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("min_id"), F.max("alive").alias("alive"))
-    alive = nodes.where("alive")
-    sets = stage(known.join(alive.select(F.col("min_id").alias("id"), "key"), "id")
-                 .select("key", "text").mapInArrow(_token_sets(k), "key binary, n long, tokens binary")
+    alive = nodes.where("alive").select(F.col("min_id").alias("id"), "key")
+    bits = spark.sparkContext.broadcast(id_bits(alive))
+    again = known.select("id", "text", id_place("id"))
+    columns = "key binary, n long, tokens binary, short binary" + "".join(f", mh{j} long" for j in range(LEVELS))
+    sets = stage(again.mapInArrow(_token_sets(k, bits), columns).join(alive.select("key"), "key", "left_semi")
                  .dropDuplicates(["key"]), "sets")
-    links = stage(_gather_links(sets, num, den), "links")
+    links = stage(_gather_links(sets, 0, num, den), "links")
     comp = stage(components(links), "comp")
-    for _ in range(LEVELS - 1):
+    for level in range(1, LEVELS):
         chosen = sets.join(comp.where("node <> comp").select(F.col("node").alias("key")), "key", "left_anti")
-        links = links.union(stage(_gather_links(chosen, num, den), "links"))
+        links = links.union(stage(_gather_links(chosen, level, num, den), "links"))
         comp = stage(components(links), "comp")
     links = links.union(_cross_links(sets, comp, num, den))
     comp = components(links)
