@@ -1,13 +1,13 @@
 """The registered queries of this subpackage and their DuckDB SQL.
 
-Only the chat formatting has an SQL counterpart that is quick on whole tables;
-the others are held against brute force, round trips or held-out labels in
+Chat formatting and revisit resolution have an SQL counterpart that is quick
+on whole tables; the others are held against brute force, round trips or held-out labels in
 ``tests/llm``.
 """
 
 from __future__ import annotations
 
-from rigcast.llm import bpe, crosspoly, html_text, jaccard, langid, nbsvm, packing, quality_rules, reply_trees
+from rigcast.llm import bpe, crosspoly, html_text, jaccard, langid, nbsvm, packing, quality_rules, reply_trees, revisits
 
 QUERIES = {
     "op1_cross_polytope": crosspoly.op1_cross_polytope,
@@ -15,10 +15,11 @@ QUERIES = {
     "op3_nb_svm": nbsvm.op3_nb_svm,
     "op4_reply_trees": reply_trees.op4_reply_trees,
     "op5_jaccard_join": jaccard.op5_jaccard_join,
+    "op6_warc_revisits": revisits.op6_warc_revisits,
     "op7_html_extraction": html_text.op7_html_extraction,
     "op8_language_id": langid.op8_language_id,
     "op9_bpe": bpe.op9_bpe,
     "op10_packing": packing.op10_packing,
 }
 
-ORACLE = {"op4_reply_trees": reply_trees.OP4_SQL}
+ORACLE = {"op4_reply_trees": reply_trees.OP4_SQL, "op6_warc_revisits": revisits.OP6_SQL}
