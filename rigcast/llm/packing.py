@@ -23,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,8 +38,8 @@ BUCKETS = 256        # parts of a source, so that a source holding most rows is
 ROUNDS = 512         # rounds in a block of the stream
 END_ID = 2           # closes every document
 
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
-_WORD = regex.compile(r"\S+")
+# White space beyond ASCII, which the vocabulary's split drops as well
+_OTHER_SPACE = r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 # Latin words without marks for special tokens: lower-casing and composition leave their split unchanged
 _PLAIN = re.compile("(?!.*<\\|)[\x21-\x7e\u00c0-\u012f\u0131-\u024f]+").fullmatch
 # Fixed value: the split pattern of word_bpe_49k.json
@@ -53,10 +54,15 @@ class WhiteSpaceTokenizer:
     library's answer tell the parts apart."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        # for parts, which are cut and lower-cased already
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split("\n", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
@@ -78,7 +84,7 @@ class WhiteSpaceTokenizer:
 
     def _encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         batch = ["\n".join(parts[i:i + 2000]) for i in range(0, len(parts), 2000)]
-        ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)])
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.plain.encode_batch_fast(batch, add_special_tokens=False)])
         at = np.flatnonzero(self.ends[ids])
         if len(at) != len(parts) or at[-1] != len(ids) - 1:
             return self._by_word(parts)
@@ -96,8 +102,11 @@ class WhiteSpaceTokenizer:
         out[plain[owner]], out[~plain[owner]] = ids, other
         return out, n
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        return self.words.lookup([[] if not t else _WORD.findall(t) if _ODD_SPACE.search(t) else t.split() for t in texts])
+    def encode(self, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of all texts and the number of ids of each (null: none)."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        texts = pc.replace_substring_regex(pc.fill_null(texts, ""), pattern=_OTHER_SPACE, replacement=" ")
+        return self.words.lookup_arrow(pc.ascii_split_whitespace(texts))
 
 
 @lru_cache(maxsize=2)
@@ -111,7 +120,7 @@ def _tokenize(path: str, end_id: int):
     def run(batches):
         tok = load(path)
         for b in chunks(batches, "text"):
-            flat, n = tok.encode(b.column("text").to_pylist())
+            flat, n = tok.encode(b.column("text"))
             ends = np.cumsum(n)
             flat = np.insert(flat, ends, end_id)             # after each document
             n = n + 1
@@ -132,27 +141,32 @@ def _pieces(seq_len: int, with_ids: bool):
 
     def run(batches):
         for b in batches:
-            out = {f.name: [] for f in schema}
-            for doc, q, n, raw, cuts in zip(*(b.column(c).to_pylist() for c in ("doc_id", "q", "n", "ids", "cuts"))):
-                ids = np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4").astype("<u4").tobytes()
-                spans: list[list[int]] = []
-                for c in sorted(cuts, key=lambda c: c["start"]):
-                    at, left, pos = c["start"], c["length"], c["pos"]
-                    while left:
-                        take = min(left, seq_len - pos % seq_len)
-                        if spans and pos % seq_len and spans[-1][2] + spans[-1][1] == pos:   # goes on where it stopped
-                            spans[-1][1] += take
-                        else:
-                            spans.append([at, take, pos])
-                        at, left, pos = at + take, left - take, pos + take
-                for s, length, pos in spans:
-                    part = ids[4 * s:4 * (s + length)]
-                    row = (doc, s, length, zlib.crc32(part), n, pos // seq_len, pos % seq_len, q[1:] if q else None)
-                    for name, v in zip(out, row):
-                        out[name].append(v)
-                    if with_ids:
-                        out["ids"].append(part)
-            yield pa.RecordBatch.from_pydict(out, schema=schema)
+            cuts = b.column("cuts")
+            flat = cuts.flatten()
+            doc = np.repeat(np.arange(b.num_rows), np.asarray(cuts.value_lengths()))
+            start, length, pos = (np.asarray(flat.field(c), np.int64) for c in ("start", "length", "pos"))
+            order = np.lexsort((start, doc))
+            doc, start, length, pos = doc[order], start[order], length[order], pos[order]
+            # cut at the ends of sequences
+            times = (pos + length - 1) // seq_len - pos // seq_len + 1
+            at = np.repeat(np.arange(len(doc)), times)
+            turn = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+            lo = np.maximum(pos[at], (pos[at] // seq_len + turn) * seq_len)
+            hi = np.minimum(pos[at] + length[at], (pos[at] // seq_len + turn + 1) * seq_len)
+            doc, start, length, pos = doc[at], start[at] + lo - pos[at], hi - lo, lo
+            # join what goes on where the piece before stopped
+            new = np.r_[True, (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1] + length[:-1]) | (pos[1:] % seq_len == 0)]
+            first = np.flatnonzero(new)
+            doc, start, pos, length = doc[first], start[first], pos[first], np.add.reduceat(length, first)
+            n = np.asarray(b.column("n"), np.int64)
+            raw = [r if len(r) == 4 * k else np.frombuffer(r, "<u2").astype("<u4").tobytes() for r, k in zip(b.column("ids").to_pylist(), n.tolist())]
+            parts = [raw[d][4 * s:4 * (s + k)] for d, s, k in zip(doc.tolist(), start.tolist(), length.tolist())]
+            rows = pa.array(doc)
+            cols = [b.column("doc_id").take(rows), pa.array(start), pa.array(length), pa.array(list(map(zlib.crc32, parts)), pa.int64()),
+                    pa.array(n[doc]), pa.array(pos // seq_len), pa.array(pos % seq_len), pc.utf8_slice_codeunits(b.column("q"), 1).take(rows)]
+            null = pc.equal(b.column("q"), "").take(rows)
+            cols[-1] = pc.if_else(null, pa.scalar(None, pa.string()), cols[-1])
+            yield pa.RecordBatch.from_arrays(cols + ([pa.array(parts, pa.binary())] if with_ids else []), schema=schema)
     return run
 
 
