@@ -24,9 +24,9 @@ Plan, every step a Spark job over bounded blocks:
    of near copies.
 4. **Completion.** Two linked sets share one of the ``n - ceil(t n) + 1``
    smallest tokens of each. Where such a token still joins different
-   components, its holders meet again (in pairs of bounded blocks where they
-   are many) and the same traversal proposes pairs, which are tested on the
-   whole sets. So no link between components is lost.
+   components, its holders meet again under the smallest of them (in pairs of
+   bounded blocks where they are many) for the same traversal and the same
+   test on the whole sets. So no link between components is lost.
 """
 
 from __future__ import annotations
@@ -44,6 +44,7 @@ from rigcast.llm.common import components, id_bits, id_hits, id_place, shuffle_w
 from rigcast.llm.textnum import chunks, mix64, runs, shingles
 
 BITS = 1024          # bitmap of a leaf
+WIDE = 4096          # bitmap that decides which pairs of leaves are compared in full
 FANOUT = 8           # children of an inner node
 BLOCK = 1024         # rows that meet in one task's tree
 LEVELS = 2           # rounds of gathering, each by its own min-hash: members, then representatives
@@ -290,14 +291,16 @@ def profile(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den:
 
 # ---------------------------------------------------------------- steps 3, 4
 
-def fine(tokens: np.ndarray) -> np.ndarray:
-    """The 65,536-bit bitmap of a set, as the ascending list of its set bits."""
-    t = (tokens >> np.uint64(48)).astype(np.uint16)
-    return t[np.r_[True, t[1:] != t[:-1]]] if len(t) else t
+def wide_bits(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of ``WIDE`` packed bits per set."""
+    out = np.zeros((len(sets), WIDE), np.uint8)
+    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    out[rows, (np.concatenate(sets) >> np.uint64(52)).astype(np.int64)] = 1
+    return np.packbits(out, axis=1).view(np.uint64)
 
 
 def _token_sets(k: int, bits):
-    schema = pa.schema([("key", pa.binary()), ("n", pa.int64()), ("tokens", pa.binary()), ("short", pa.binary()),
+    schema = pa.schema([("key", pa.binary()), ("n", pa.int64()), ("tokens", pa.binary()), ("wide", pa.binary()),
                         *[(f"mh{j}", pa.int64()) for j in range(LEVELS)]])
 
     def run(batches):
@@ -309,8 +312,7 @@ def _token_sets(k: int, bits):
                     if e > s:
                         t = tok[s:e]
                         raw = t.tobytes()
-                        rows.append({"key": hashlib.blake2b(raw, digest_size=16).digest(), "n": e - s, "tokens": raw,
-                                     "short": fine(t).tobytes()}
+                        rows.append({"key": hashlib.blake2b(raw, digest_size=16).digest(), "n": e - s, "tokens": raw, "wide": wide_bits([t])[0].tobytes()}
                                     | {f"mh{j}": int((t * MULT[j]).min().view(np.int64)) for j in range(LEVELS)})
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -330,9 +332,9 @@ def _gather(num: int, den: int):
     return run
 
 
-def _gather_links(sets: DataFrame, level: int, num: int, den: int) -> DataFrame:
-    """Links inside blocks of sets that share a min-hash; a large group is split into blocks by key."""
-    mh = sets.select("key", F.col(f"mh{level}").alias("mh"))
+def _gather_links(sets: DataFrame, chosen: DataFrame, level: int, num: int, den: int) -> DataFrame:
+    """Links inside blocks of chosen sets that share a min-hash; a large group is split into blocks by key."""
+    mh = sets.select("key", F.col(f"mh{level}").alias("mh")).join(chosen, "key", "left_semi")
     count = mh.groupBy("mh").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     place = mh.join(count, "mh").select("key", "mh", F.pmod(F.xxhash64("key"), F.ceil(F.col("c") / F.lit(BLOCK)).cast("long")).alias("salt"))
     return place.join(sets.select("key", "tokens"), "key").repartition("mh", "salt") \
@@ -358,91 +360,90 @@ def _prefix(num: int, den: int):
     return run
 
 
-def _signed(batches):
-    schema = pa.schema([("key", pa.binary()), ("n", pa.int64()), ("sig", pa.binary())])
-    for b in batches:
-        sig = [bitmaps(np.array([0, len(raw) // 8]), np.frombuffer(raw, np.uint64)).tobytes() for raw in b.column("tokens").to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column("key"), b.column("n"), pa.array(sig, pa.binary())], schema=schema)
+class _Side:
+    """One block of a meeting: its rows in tree order, and the tree over them."""
 
+    def __init__(self, rows: list[dict], code: dict):
+        self.rows = sorted(rows, key=lambda r: (code.setdefault(r["comp"], len(code)), r["n"], r["key"]))
+        self.size = np.array([r["n"] for r in self.rows], np.int64)
+        self.comp = np.array([code[r["comp"]] for r in self.rows], np.int64)
+        self.wide = np.frombuffer(b"".join(r["wide"] for r in self.rows), np.uint64).reshape(len(self.rows), -1)
+        self.spare = self.size - np.bitwise_count(self.wide).sum(axis=1)
+        narrow = np.bitwise_or.reduce(self.wide.reshape(len(self.rows), WIDE // BITS, BITS // 64), axis=1)
+        self.tree = SignatureTree(narrow, self.size, self.comp)
 
-def _propose(num: int, den: int):
-    """Pairs of one token's holders (one block, or two different ones) that the trees cannot exclude."""
-    def tree(t: pa.Table, code: dict) -> tuple[SignatureTree, list]:
-        comp = np.array([code.setdefault(c, len(code)) for c in t.column("comp").to_pylist()], np.int64)     # small and non-negative
-        size = t.column("n").to_numpy()
-        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint64).reshape(len(size), BITS // 64)
-        order = np.lexsort((size, comp))
-        keys = t.column("key").to_pylist()
-        return SignatureTree(sig[order], size[order], comp[order]), [keys[i] for i in order]
-
-    def run(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        code: dict = {}
-        side = t.column("side").to_numpy()
-        if side.min() == side.max():
-            left, lk = tree(t, code)
-            right, rk = left, lk
-        else:
-            left, lk = tree(t.filter(pa.array(side == side.min())), code)
-            right, rk = tree(t.filter(pa.array(side == side.max())), code)
-        a, b = [], []
-        for p, q in left.pairs(right, num, den):
-            for i, j in zip(p.tolist(), q.tolist()):
-                x, y = lk[i], rk[j]
-                a.append(min(x, y))
-                b.append(max(x, y))
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())}, schema=_LINKS)
-    return run
 
+def _possible(t: pa.Table, num: int, den: int) -> Iterator[tuple[_Side, _Side, np.ndarray, np.ndarray, int]]:
+    """Leaf pairs of a meeting that neither the trees nor the wide bitmaps exclude."""
+    rows, code = t.to_pylist(), {}
+    sides = sorted({r["side"] for r in rows})
+    left = _Side([r for r in rows if r["side"] == sides[0]], code)
+    right = left if len(sides) == 1 else _Side([r for r in rows if r["side"] == sides[1]], code)
+    for p, q in left.tree.pairs(right.tree, num, den):
+        need = -(-num * (left.size[p] + right.size[q]) // (num + den))
+        most = np.bitwise_count(left.wide[p] & right.wide[q]).sum(axis=1).astype(np.int64) + np.minimum(left.spare[p], right.spare[q])
+        on = most >= need
+        if on.any():
+            yield left, right, p[on], q[on], len(code)
 
-def _bounded(num: int, den: int):
-    """Keep pairs whose fine bitmaps leave the needed overlap possible."""
-    def run(batches):
-        for b in batches:
-            cols = [b.column(c).to_pylist() for c in ("na", "sa", "nb", "sb")]
-            keep = []
-            for na, sa, nb, sb in zip(*cols):
-                x, y = np.frombuffer(sa, np.uint16), np.frombuffer(sb, np.uint16)
-                both = len(np.intersect1d(x, y, assume_unique=True)) + min(na - len(x), nb - len(y))
-                keep.append((num + den) * both >= num * (na + nb))
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], schema=_LINKS).filter(pa.array(keep, pa.bool_()))
-    return run
 
+_MEMBER = pa.schema([("meet", pa.binary()), ("p", pa.int64()), ("q", pa.int64()), ("side", pa.int64()), ("key", pa.binary()),
+                     ("comp", pa.int64()), ("n", pa.int64()), ("wide", pa.binary())])
 
-def _verify(num: int, den: int):
-    def run(batches):
-        for b in batches:
-            keep = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), num, den)
-                    for x, y in zip(b.column("ta").to_pylist(), b.column("tb").to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], schema=_LINKS).filter(pa.array(keep, pa.bool_()))
+
+def _hopeful(num: int, den: int):
+    """The rows of a meeting that are in any possible pair: only their whole sets have to move."""
+    def run(t: pa.Table) -> pa.Table:
+        out: dict = {}
+        for left, right, p, q, _ in _possible(t, num, den):
+            for side, at in ((left, p), (right, q)):
+                out.update((side.rows[i]["key"], side.rows[i]) for i in np.unique(at).tolist())
+        return pa.Table.from_pylist([out[k] for k in sorted(out)], schema=_MEMBER)
     return run
 
 
-def _sides(pairs: DataFrame, sets: DataFrame, cols: dict[str, str]) -> DataFrame:
-    for end in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("key").alias(end), *[F.col(c).alias(x + end) for c, x in cols.items()]), end)
-    return pairs
+def _meet_links(num: int, den: int):
+    """Links that connect the components of one meeting. Pairs whose components are connected are passed over."""
+    def run(t: pa.Table) -> pa.Table:
+        forest, a, b = None, [], []
+        for left, right, p, q, n in _possible(t, num, den):
+            forest = forest or Forest(n)
+            for i, j, x, y in zip(p.tolist(), q.tolist(), left.comp[p].tolist(), right.comp[q].tolist()):
+                u, v = left.rows[i], right.rows[j]
+                if forest.find(x) != forest.find(y) and linked(np.frombuffer(u["tokens"], np.uint64), np.frombuffer(v["tokens"], np.uint64), num, den):
+                    forest.union(x, y)
+                    a.append(u["key"])
+                    b.append(v["key"])
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())}, schema=_LINKS)
+    return run
 
 
-def _cross_links(sets: DataFrame, comp: DataFrame, num: int, den: int) -> DataFrame:
-    """Links between different components, complete by the prefix rule."""
-    comp = comp.select(F.col("node").alias("key"), F.xxhash64("comp").alias("comp"))
-    labelled = sets.join(comp, "key", "left").withColumn("comp", F.coalesce("comp", F.xxhash64("key")))
+def _cross_links(sets: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
+    """Links that connect different components, complete by the prefix rule."""
+    labelled = sets.join(labels.select("key", F.xxhash64("comp").alias("comp")), "key")
     pre = stage(labelled.select("key", "comp", "tokens").mapInArrow(_prefix(num, den), "token long, key binary, comp long"), "prefix")
-    # tokens with the same holders propose the same pairs: one of them is enough (128-bit digest of the holder set)
-    shared = pre.groupBy("token").agg(
-        F.count(F.lit(1)).alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-        F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("y")) \
-        .where("lo <> hi").groupBy("c", "x", "y").agg(F.min("token").alias("token")) \
-        .select("token", F.ceil(F.col("c") / F.lit(BLOCK)).cast("long").alias("parts"))
-    sig = sets.select("key", "n", "tokens").mapInArrow(_signed, "key binary, n long, sig binary")
-    met = pre.join(shared, "token").withColumn("own", F.pmod(F.xxhash64("key"), F.col("parts"))) \
+    # holders of a token meet under the smallest of them, so that the many tokens of similar sets make few meetings
+    shared = pre.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("key").alias("meet")) \
+        .where("lo <> hi").select("token", "meet")
+    met = stage(pre.join(shared, "token").select("meet", "key", "comp").distinct(), "met")
+    split = met.groupBy("meet").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("long").alias("parts"))
+    dealt = met.join(split, "meet").withColumn("own", F.pmod(F.xxhash64("key"), F.col("parts"))) \
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))) \
-        .select("token", "key", "comp", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
+        .select("meet", "key", "comp", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
                 F.col("own").alias("side")) \
-        .join(sig, "key")
-    pairs = stage(met.groupBy("token", "p", "q").applyInArrow(_propose(num, den), "a binary, b binary").distinct(), "pairs")
-    close = stage(_sides(pairs, sets, {"n": "n", "short": "s"}).mapInArrow(_bounded(num, den), "a binary, b binary"), "pairs")
-    return _sides(close, sets, {"tokens": "t"}).mapInArrow(_verify(num, den), "a binary, b binary")
+        .join(sets.select("key", "n", "wide"), "key").select(*_MEMBER.names)
+    meeting = ["meet", "p", "q"]
+    kept = dealt.groupBy(*meeting).applyInArrow(_hopeful(num, den), dealt.schema)
+    return kept.join(sets.select("key", "tokens"), "key").groupBy(*meeting).applyInArrow(_meet_links(num, den), "a binary, b binary")
+
+
+def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after the links are added: only components and their distinct links are walked, not their members."""
+    for end in ("a", "b"):
+        links = links.join(labels.select(F.col("key").alias(end), F.col("comp").alias("c" + end)), end)
+    merged = components(links.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")))
+    return stage(labels.join(merged.withColumnRenamed("comp", "into"), labels.comp == merged.node, "left")
+                 .select("key", F.coalesce("into", "comp").alias("comp")), "labels")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
@@ -467,17 +468,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     alive = nodes.where("alive").select(F.col("min_id").alias("id"), "key")
     bits = spark.sparkContext.broadcast(id_bits(alive))
     again = known.select("id", "text", id_place("id"))
-    columns = "key binary, n long, tokens binary, short binary" + "".join(f", mh{j} long" for j in range(LEVELS))
+    columns = "key binary, n long, tokens binary, wide binary" + "".join(f", mh{j} long" for j in range(LEVELS))
     sets = stage(again.mapInArrow(_token_sets(k, bits), columns).join(alive.select("key"), "key", "left_semi")
                  .dropDuplicates(["key"]), "sets")
-    links = stage(_gather_links(sets, 0, num, den), "links")
-    comp = stage(components(links), "comp")
-    for level in range(1, LEVELS):
-        chosen = sets.join(comp.where("node <> comp").select(F.col("node").alias("key")), "key", "left_anti")
-        links = links.union(stage(_gather_links(chosen, level, num, den), "links"))
-        comp = stage(components(links), "comp")
-    links = links.union(_cross_links(sets, comp, num, den))
-    comp = components(links)
+    labels = sets.select("key", F.col("key").alias("comp"))
+    for level in range(LEVELS):
+        labels = _relabel(labels, _gather_links(sets, labels.where("key = comp").select("key"), level, num, den))
+    labels = _relabel(labels, _cross_links(sets, labels, num, den))
+    comp = labels.select(F.col("key").alias("node"), "comp")
     ids = nodes.select("key", "min_id")
     labelled = ids.join(comp.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     lowest = labelled.groupBy("comp").agg(F.min("min_id").alias("low"))

@@ -20,7 +20,7 @@ _BYTE = _RNG.integers(1, 2**63, size=256, dtype=np.uint64) * np.uint64(2) + np.u
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _POS = (_RNG.integers(1, 2**62, size=16, dtype=np.uint64) << np.uint64(1)) + np.uint64(1)
 
-BATCH_BYTES = 4 << 20     # bytes of text handled at once; a longer text is a batch of its own
+BATCH_BYTES = 2 << 20     # bytes of text handled at once; a longer text is a batch of its own
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
