@@ -217,6 +217,16 @@ def _window_coef(w: np.ndarray) -> list[float]:
     return [float(v) for v in w[:0:-1]]
 
 
+def check_dense(st: SeriesStats, target: str, s: int, e: int, lookback: int, horizon: int = 1) -> None:
+    """Raise unless every row of ``[s - lookback, e + horizon - 1)`` is present:
+    the rows between the cuts are counted by the statistics pass, those outside
+    them are looked up among the rows kept next to the cuts."""
+    at = {int(c): i for i, c in enumerate(st.cuts)}
+    have = st.N[at[e]] - st.N[at[s]] + sum(i in st.edges for i in (*range(s - lookback, s), *range(e, e + horizon - 1)))
+    if have != e - s + lookback + horizon - 1:
+        raise ValueError(f"index of {target} has gaps inside [{s - lookback}, {e + horizon - 1})")
+
+
 def fit_ranges(df: DataFrame, targets: Sequence[str], lookback: int,
                fits: Mapping[str, tuple[int, int]],
                evals: Mapping[str, Mapping[str, tuple[int, int]]] | None = None,
@@ -251,9 +261,8 @@ def fit_ranges(df: DataFrame, targets: Sequence[str], lookback: int,
         st = per_target[t]
         ci = {int(c): i for i, c in enumerate(st.cuts)}
         for name, (s, e) in fits.items():
-            have = st.N[ci[e]] - st.N[ci[s]] + min(lookback, s)
-            if have < (e - s):
-                raise ValueError(f"index of {t} has gaps inside [{s - lookback}, {e})")
+            for a, b in ((s, e), *evals.get(name, {}).values()):
+                check_dense(st, t, a, b, lookback, horizon)
             grid = [float(r) for r in ridge] if isinstance(ridge, (list, tuple)) else [float(ridge)]
             for h in range(1, horizon + 1):
                 G = range_gram(st, s, e, lookback, h)
@@ -456,6 +465,8 @@ def trial_search(df: DataFrame, targets: Sequence[str], n_rows: int, train_end:
     for t in targets:
         for r in plan:
             (fs, fe), (es, ee) = ranges[r["trial"]]
+            for a, b in ranges[r["trial"]]:
+                check_dense(per_target[t], t, a, b, r["lookback"])
             w = solve_ridge(range_gram(per_target[t], fs, fe, r["lookback"]), r["ridge"])
             mse = range_sse(range_gram(per_target[t], es, ee, r["lookback"]), w) / (ee - es)
             rows.append((t, r["trial"], (r["lookback"], float(r["ridge"])), math.sqrt(mse)))

@@ -14,11 +14,15 @@ from pyspark.sql import functions as F
 def compare_strict(challengers: DataFrame, champions: DataFrame, metric: str = "test_loss",
                    key: str = "target") -> DataFrame:
     """H1: promote when there is no champion or ``challenger < champion``.
-    Adds ``champion_<metric>`` and ``promote``."""
-    champ = champions.select(key, F.col(metric).alias(f"champion_{metric}"))
+    Adds ``champion_<metric>`` and ``promote``. A comparison with NaN on either
+    side does not promote; a champion row without a value fails the job."""
+    champ = champions.select(key, F.lit(True).alias("_has_champion"), F.col(metric).alias(f"champion_{metric}"))
+    new, old = F.col(metric), F.col(f"champion_{metric}")
+    better = (new < old) & ~F.isnan(new.cast("double")) & ~F.isnan(old.cast("double"))
     j = challengers.join(champ, key, "left")
-    return j.withColumn("promote", F.col(f"champion_{metric}").isNull()
-                        | (F.col(metric) < F.col(f"champion_{metric}")))
+    return j.withColumn("promote", F.when(F.col("_has_champion").isNull(), F.lit(True))
+                        .when(old.isNull(), F.raise_error(F.lit(f"a champion has no {metric}")).cast("boolean"))
+                        .otherwise(F.coalesce(better, F.lit(False)))).drop("_has_champion")
 
 
 def compare_tolerance(challengers: DataFrame, champions: DataFrame,
@@ -35,7 +39,7 @@ def compare_tolerance(challengers: DataFrame, champions: DataFrame,
         raise ValueError("on_missing must be 'error' or 'skip'")
     for side, frame in (("champion", champions), ("challenger", challengers)):
         if metric not in frame.columns:
-            raise ValueError(f"{metric} is not present in both metrics ({side} lacks it)")
+            raise ValueError(f"{metric} is missing on the {side} side")
     tol = abs(absolute_difference or 0.0)
     champ = champions.select(key, F.lit(True).alias("_has_champion"),
                              F.col(metric).alias(f"champion_{metric}"))
@@ -58,13 +62,18 @@ def promote(champions: DataFrame, decisions: DataFrame, key: str = "target") ->
     return kept.unionByName(winners, allowMissingColumns=True)
 
 
-def register_versions(registry: DataFrame, uploads: DataFrame, key: str = "target") -> DataFrame:
+def register_versions(registry: DataFrame, uploads: DataFrame, key: str = "target",
+                      order_by: tuple[str, ...] = ("timestamp", "run_id")) -> DataFrame:
     """H4: a new name gets version 1, a known name the next version, which
-    becomes the default; older versions of that name lose the flag."""
+    becomes the default; older versions of that name lose the flag. Several
+    uploads of one name are numbered in the order of those ``order_by`` columns
+    that they have, then of their other columns' hash."""
+    rest = [c for c in uploads.columns if c not in (key, *order_by)]
+    order = [c for c in order_by if c in uploads.columns] + [F.xxhash64(*rest or [key])]
     last = registry.groupBy(key).agg(F.max("version").alias("_last"))
     new = (uploads.join(last, key, "left")
            .withColumn("version", (F.coalesce(F.col("_last"), F.lit(0))
-                                   + F.row_number().over(Window.partitionBy(key).orderBy(F.lit(1)))).cast("int"))
+                                   + F.row_number().over(Window.partitionBy(key).orderBy(*order))).cast("int"))
            .drop("_last"))
     both = registry.drop("is_default").unionByName(new, allowMissingColumns=True)
     w = Window.partitionBy(key)
