@@ -67,7 +67,7 @@ def add_columns(docs: DataFrame, text_col: str, columns: str, work: Callable) ->
     schema = StructType([StructField("row", docs.schema), *extra.fields])
 
     def run(batches):
-        for b in chunks(batches, "text"):
+        for b in chunks(batches, "text", 1 << 20):
             got = work(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("row"), *[pa.array(got[f.name]) for f in extra.fields]],
                                              names=["row", *[f.name for f in extra.fields]])

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rigcast.llm.common import components, id_bits, id_hits, id_place, shuffle_width, small_batches, stage, table
-from rigcast.llm.textnum import chunks, mix64, runs, shingles
+from rigcast.llm.textnum import chunks, give_back, mix64, runs, shingles
 
 BITS = 1024          # bitmap of a leaf
 WIDE = 4096          # bitmap that decides which pairs of leaves are compared in full
@@ -254,6 +254,8 @@ def _meet(t: pa.Table) -> pa.Table:
             if got.any():
                 out.append({"block": r["block"], "n_docs": r["n_docs"], "shared": got.astype(np.uint32).tobytes(),
                             "ids": None, "sizes": None, "keys": None, "local": None})
+    del rows, sent
+    give_back()
     return pa.Table.from_pylist(out, schema=_ARROW_SHARED)
 
 

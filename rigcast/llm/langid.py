@@ -88,7 +88,7 @@ def train(langs: list[str], packed: list[bytes], landmarks: int = LANDMARKS, rid
 
 def _pack(batches):
     schema = pa.schema([("lang", pa.string()), ("id", pa.int64()), ("bits", pa.binary())])
-    for b in chunks(batches, "text"):
+    for b in chunks(batches, "text", 1 << 20):
         ids, first = grams(b.column("text").to_pylist())
         bits = []
         for s, e in zip(first[:-1].tolist(), first[1:].tolist()):

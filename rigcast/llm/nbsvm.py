@@ -98,7 +98,7 @@ def _featurise(bits):
 
     def run(batches):
         for b in batches:
-            for c in chunks([b.filter(pa.array(id_hits(bits.value, b.column("at").to_numpy())))], "text"):
+            for c in chunks([b.filter(pa.array(id_hits(bits.value, b.column("at").to_numpy())))], "text", 1 << 20):
                 ids, first = features(c.column("text").to_pylist())
                 raw = ids.astype("<u2").tobytes()
                 yield pa.RecordBatch.from_arrays([c.column("id"), pa.array(

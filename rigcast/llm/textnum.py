@@ -9,6 +9,7 @@ the character view agree.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -41,6 +42,16 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str, limit: int = BATCH_BYTE
         part = (np.cumsum(size) - size) // limit
         for lo, hi in zip(*runs(part)):
             yield b.slice(int(lo), int(hi - lo))
+    give_back()
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system at the end of a task, so that a
+    reused worker does not hold the peak of an earlier stage (glibc only)."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
 
 
 def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

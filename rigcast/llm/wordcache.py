@@ -25,7 +25,7 @@ class PieceTable:
     results do not depend on it.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 400_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 300_000):
         self.encode, self.limit = encode, limit
         self.index = _Numbers()
         self.ids = np.empty(0, np.uint32)
