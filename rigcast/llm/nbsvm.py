@@ -49,6 +49,32 @@ class Model:
         return 1 / (1 + np.exp(np.clip(-(self.slope * margin + self.shift), -500, 500)))
 
 
+def pack(ids: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """The ascending features of each text as gaps, seven bits to a byte, the top bit set on all but a gap's last byte."""
+    gap = np.diff(ids, prepend=0)
+    start = first[:-1][np.diff(first) > 0]
+    gap[start] = ids[start]
+    size = 1 + (gap >= 1 << 7) + (gap >= 1 << 14)
+    end = np.r_[0, np.cumsum(size)]
+    out = np.zeros(end[-1], np.uint8)
+    for k in range(3):                              # byte k from the end of its gap
+        on = size > k
+        out[end[1:][on] - 1 - k] = (gap[on] >> 7 * k & 127) | (128 if k else 0)
+    raw, cut = out.tobytes(), end[first].tolist()
+    return [raw[a:b] for a, b in zip(cut, cut[1:])]
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    b = np.frombuffer(raw, np.uint8)
+    last = np.flatnonzero(b < 128)
+    size = np.diff(last, prepend=-1)
+    gap = b[last].astype(np.int64)
+    for k in (1, 2):
+        on = size > k
+        gap[on] += (b[last[on] - k].astype(np.int64) & 127) << 7 * k
+    return np.cumsum(gap)
+
+
 def log_ratio(pos: np.ndarray, neg: np.ndarray) -> np.ndarray:
     p, q = ALPHA + pos, ALPHA + neg
     return np.log(p / p.sum()) - np.log(q / q.sum())
@@ -99,10 +125,8 @@ def _featurise(bits):
     def run(batches):
         for b in batches:
             for c in chunks([b.filter(pa.array(id_hits(bits.value, b.column("at").to_numpy())))], "text", 1 << 20):
-                ids, first = features(c.column("text").to_pylist())
-                raw = ids.astype("<u2").tobytes()
-                yield pa.RecordBatch.from_arrays([c.column("id"), pa.array(
-                    [raw[2 * s:2 * e] for s, e in zip(first[:-1].tolist(), first[1:].tolist())], pa.binary())], schema=schema)
+                yield pa.RecordBatch.from_arrays([c.column("id"), pa.array(pack(*features(c.column("text").to_pylist())), pa.binary())],
+                                                 schema=schema)
     return run
 
 
@@ -111,7 +135,7 @@ def _count(batches):
     total = np.zeros((2, WIDTH), np.int64)
     for b in batches:
         for y, raw in zip(b.column("quality").to_pylist(), b.column("feats").to_pylist()):
-            total[int(y), np.frombuffer(raw, "<u2")] += 1
+            total[int(y), unpack(raw)] += 1
     step = WIDTH // 16
     for i in range(16):
         cut = total[:, i * step:(i + 1) * step]
@@ -134,7 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     labels = labels.where("id is not null and quality in (0, 1)").groupBy("id").agg(F.max("quality").cast("int").alias("quality"))
     bits = spark.sparkContext.broadcast(id_bits(labels))
     rows = docs.where("id is not null").select("id", "text", id_place("id")).mapInArrow(_featurise(bits), "id long, feats binary") \
-        .join(labels, "id")
+        .join(labels.hint("shuffle_hash"), "id")    # one plan at every size: labels grow with the documents
     rows = stage(rows, "feats")
     n = rows.count()
     width = "part int, pos binary, neg binary"
@@ -147,7 +171,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     ratio = log_ratio(pos, neg)
     share = min(1.0, sample / max(n, 1))
     drawn = rows.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1_000_000)) < int(share * 1_000_000)).orderBy("id", "feats").collect()
-    x = [np.frombuffer(r.feats, "<u2").astype(np.int64) for r in drawn]
+    x = [unpack(r.feats) for r in drawn]
     y = np.array([1.0 if r.quality else -1.0 for r in drawn])
     if not len(y) or abs(y.sum()) == len(y):
         good = (y > 0).mean() if len(y) else 0.5

@@ -122,6 +122,15 @@ def test_dual_descent_separates():
     assert all((w[r].sum() / np.sqrt(len(r)) + b) * t > 0 for r, t in zip(rows, y))
 
 
+def test_packed_features_round_trip():
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        own = [np.sort(rng.choice(nbsvm.WIDTH, n, replace=False)) for n in rng.choice([0, 1, 3, 60, 2000, nbsvm.WIDTH], rng.integers(0, 6))]
+        first = np.r_[0, np.cumsum([len(x) for x in own])].astype(np.int64)
+        packed = nbsvm.pack(np.concatenate([*own, np.empty(0, np.int64)]).astype(np.int64), first)
+        assert [nbsvm.unpack(x).tolist() for x in packed] == [x.tolist() for x in own]
+
+
 def test_reply_trees(spark):
     rows = [("t", "1", None, "system", "root", 0.0), ("t", "2", "1", "user", "a\\<|im_end|>\n", 1.0), ("t", "3", "2", "assistant", "<|x\\", 5.0),
             ("t", "4", "2", "assistant", None, 9.0), ("t", "5", "4", None, "tail", -3.0), ("u", "1", "9", "assistant", "", None),
