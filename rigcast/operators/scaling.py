@@ -106,12 +106,21 @@ def inverse_long(df: DataFrame, params: DataFrame, by: str = "target", value: st
     return out.drop("center", "scale")
 
 
+def first_rows(part: DataFrame, n: int, idx: str = "idx") -> DataFrame:
+    """The first ``n`` rows of a part with a dense index."""
+    low = part.agg(F.min(idx)).first()[0]
+    return part if low is None else part.where(F.col(idx) < low + n)
+
+
 def fit_transform(train: DataFrame, others: dict[str, DataFrame], columns: Sequence[str],
-                  kind: str = "standard", fit_on: str = "train",
-                  zero_std: str = "one") -> tuple[DataFrame, dict[str, DataFrame]]:
+                  kind: str = "standard", fit_on: str = "train", zero_std: str = "one",
+                  fit_rows: int | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Fit scope. ``fit_on='train'`` scales every part with the training
-    parameters; ``'own_part'`` fits each part on itself."""
+    parameters; ``'own_part'`` fits each part on itself. ``fit_rows`` fits on
+    the first so many rows of a part (by ``idx``) and still scales all of it.
+    Columns left out of ``columns`` (an unscaled target) stay as they are."""
     def fit(d):
+        d = d if fit_rows is None else first_rows(d, fit_rows)
         return fit_standard(d, columns, zero_std) if kind == "standard" else fit_minmax(d, columns)
     params = fit(train)
     p = collect_params(params)

@@ -109,6 +109,21 @@ def inference_windows(df: DataFrame, value: str | Sequence[str], lookback: int,
             .drop("_blk", "_own"))
 
 
+def lookback_stats(df: DataFrame, value: str, lookback: int, series: Sequence[str] = (),
+                   idx: str = "idx", block: int | None = None) -> DataFrame:
+    """E1 where only the newest value and the mean of a window are needed:
+    ``last``, ``mean`` and the anchor's ``y`` for every full window, from frame
+    aggregates instead of one array per row."""
+    blocks, _ = halo_blocks(df, lookback, 0, block, idx)
+    frame = (Window.partitionBy(*[col(s) for s in series], F.col("_blk")).orderBy(F.col(idx))
+             .rangeBetween(-lookback, -1))
+    v = col(value)
+    out = blocks.select(*[col(s) for s in series], F.col(idx), F.last(v).over(frame).alias("last"),
+                        F.avg(v).over(frame).alias("mean"), v.alias("y"),
+                        F.count(v).over(frame).alias("_n"), "_blk", "_own")
+    return out.where((F.col("_blk") == F.col("_own")) & (F.col("_n") == lookback)).drop("_n", "_blk", "_own")
+
+
 def batch_windows(windows: DataFrame, batch_size: int, first: int, count: int,
                   pos: Column | None = None, idx: str = "idx") -> DataFrame:
     """E5: ``batch_id = window_no div batch_size``; the incomplete last batch
@@ -120,14 +135,23 @@ def batch_windows(windows: DataFrame, batch_size: int, first: int, count: int,
     return out.where(F.col("batch_id") < full)
 
 
-def shuffled_batches(windows: DataFrame, batch_size: int, seed: int, idx: str = "idx",
+def shuffled_batches(windows: DataFrame, batch_size: int, seed: int | str, idx: str = "idx",
                      series: Sequence[str] = ()) -> DataFrame:
-    """Repeatable shuffle: windows are ranked by ``xxhash64(series, idx, seed)``
-    with the dense index (no single-task sort), then batched as E5."""
-    keyed = windows.withColumn("_h", F.xxhash64(*[col(s) for s in series], F.col(idx), F.lit(seed)))
-    ranked = dense_index(keyed, ["_h", *series, idx], idx="window_no", name="shuffled-batches")
-    count = ranked.count()
-    return batch_windows(ranked.drop("_h"), batch_size, 0, count, pos=F.col("window_no"))
+    """Repeatable shuffle of every series on its own: its windows are ranked
+    by ``md5('seed:series:idx')`` (``seed`` may name a column, so that repeats
+    are one more series key), then batched as E5, each series dropping its own
+    incomplete last batch. The rank is the dense index less the series' first
+    position, so neither a long series nor many repeats become one task."""
+    keys = list(series) or ["_all"]
+    seeded = F.col(seed) if isinstance(seed, str) else F.lit(seed)
+    keyed = windows if series else windows.withColumn("_all", F.lit(0))
+    text = [x.cast("string") for x in (seeded, *[col(s) for s in series], F.col(idx))]
+    keyed = keyed.withColumn("_h", F.md5(F.concat_ws(":", *text)))
+    ranked = dense_index(keyed, [*keys, "_h", idx], idx="_pos", name="shuffled-batches")
+    span = ranked.groupBy(*[col(k) for k in keys]).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    out = (ranked.join(span, keys).withColumn("window_no", F.col("_pos") - F.col("_first"))
+           .withColumn("batch_id", F.expr(f"window_no div {int(batch_size)}")))
+    return out.where(F.expr(f"batch_id < _n div {int(batch_size)}")).drop("_h", "_pos", "_first", "_n", "_all")
 
 
 def horizon_slice(c: Column | str, pred_len: int) -> Column:

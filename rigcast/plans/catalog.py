@@ -26,7 +26,7 @@ from rigcast.operators.clean import (add_running_time, clean_interim, coerce_num
                                      drop_columns, drop_idle_steps, drop_missing,
                                      normalise_columns, select_features, unpivot_targets)
 from rigcast.operators.ingest import test_ordinals
-from rigcast.operators.order import IndexedTable, dense_index
+from rigcast.operators.order import IndexedTable, dense_index, index_table
 from rigcast.plans import oracle as oq
 from rigcast.functions.numeric import coerce_double
 from rigcast.operators.order import RAW_ORDER
@@ -46,6 +46,9 @@ SEQ_LEN, PRED_LEN = 120, 15
 RIDGE = 1e-3
 RIDGE_GRID = [1e-3, 1e-1, 10.0]   # picked per fold on the held-out tail (C5)
 VAL_SIZE = 0.2
+REPEATS = 3
+TRIALS = 100
+SMALL_TRIALS = [(0, 1, 1e-3), (1, 2, 1e-3), (2, 1, 50.0), (3, 2, 50.0)]   # trial, lookback, ridge: solved in the SQL as well
 
 _MEMO: dict = {}
 
@@ -107,10 +110,11 @@ def window_scalars(w: DataFrame, keys: list[str], y: str = "y") -> DataFrame:
 
 def lag1_pairs(spark: SparkSession, sf_dir: str, series: DataFrame | None = None,
                keys: tuple[str, ...] = ("target",)) -> DataFrame:
-    """Lookback windows with the newest lagged value as the naive prediction."""
+    """Full lookback windows with the newest lagged value as the naive
+    prediction ``pred`` and their ``mean``."""
     src = series if series is not None else scaled_long(spark, sf_dir)[0]
-    w = wn.lookback_windows(src, "value", LOOKBACK, series=list(keys))
-    return w.select(*keys, "idx", F.element_at("x", -1).alias("pred"), F.col("y").alias("true"), "x")
+    w = wn.lookback_stats(src, "value", LOOKBACK, series=list(keys))
+    return w.select(*keys, "idx", F.col("last").alias("pred"), F.col("y").alias("true"), "mean")
 
 
 # ---------------------------------------------------------------- B
@@ -227,29 +231,31 @@ def q_lookback_windows(spark, d):
 
 def q_multivar_windows(spark, d):
     wide, _ = scaled_wide(spark, d)
-    w = wn.multivar_windows(wide, TARGETS, "DRIVE_POWER", LOOKBACK)
+    ys = F.array(*[F.struct(F.lit(t).alias("target"), F.col(t).alias("y")) for t in TARGETS])
+    w = wn.multivar_windows(wide.withColumn("ys", ys), TARGETS, "ys", LOOKBACK)
     flat = F.flatten("x")
-    return w.select("idx", F.size("x").cast("long").alias("x_len"),
+    w = w.select("idx", F.size("x").cast("long").alias("x_len"),
                     F.size(F.col("x")[0]).cast("long").alias("step_len"),
                     r6(F.aggregate(F.col("x")[0], F.lit(0.0), lambda a, v: a + v)).alias("first_step_sum"),
                     r6(F.aggregate(F.element_at("x", -1), F.lit(0.0), lambda a, v: a + v)).alias("last_step_sum"),
                     r6(F.aggregate(flat, F.lit(0.0), lambda a, v: a + v)).alias("x_sum"),
-                    r6("y").alias("y"))
+                    F.col("y").alias("ys"))
+    return w.select(*[c for c in w.columns if c != "ys"], F.inline("ys")).withColumn("y", r6("y"))
 
 
 def q_seq2seq_windows(spark, d):
-    wide, _ = scaled_wide(spark, d)
-    w = wn.seq2seq_windows(wide, "DRIVE_POWER", "DRIVE_POWER", SEQ_LEN, PRED_LEN)
-    return w.select("idx", F.size("x").cast("long").alias("x_len"), F.size("y").cast("long").alias("y_len"),
+    long, _ = scaled_long(spark, d)
+    w = wn.seq2seq_windows(long, "value", "value", SEQ_LEN, PRED_LEN, series=["target"])
+    return w.select("target", "idx", F.size("x").cast("long").alias("x_len"), F.size("y").cast("long").alias("y_len"),
                     r6(F.col("x")[0]).alias("x_first"), r6(F.element_at("x", -1)).alias("x_last"),
                     r6(F.col("y")[0]).alias("y_first"), r6(F.element_at("y", -1)).alias("y_last"),
                     r6(F.aggregate("y", F.lit(0.0), lambda a, v: a + v)).alias("y_sum"))
 
 
 def q_inference_windows(spark, d):
-    wide, n = scaled_wide(spark, d)
-    w = wn.inference_windows(wide, "DRIVE_POWER", LOOKBACK, n)
-    return w.select("end_idx", F.size("x").cast("long").alias("x_len"),
+    long, n = scaled_long(spark, d)
+    w = wn.inference_windows(long, "value", LOOKBACK, n, series=["target"])
+    return w.select("target", "end_idx", F.size("x").cast("long").alias("x_len"),
                     r6(F.col("x")[0]).alias("x_first"), r6(F.element_at("x", -1)).alias("x_last"))
 
 
@@ -262,11 +268,14 @@ def q_batch_rmse(spark, d):
 
 
 def q_shuffled_batches(spark, d):
-    pairs = lag1_pairs(spark, d).drop("x")
-    seeds = sp.seeded_repeats(spark, 1, seed=1).first()["seed"]
-    b = wn.shuffled_batches(pairs, BATCH, seeds, series=["target"])
-    return mt.batch_rmse(b, by=()).select(r6("batch_rmse").alias("batch_rmse"),
-                                          F.col("n_batches").cast("long").alias("n_batches"))
+    """E6 for every target and each of the seeded repeats."""
+    repeats = sp.seeded_repeats(spark, REPEATS, seed=1).collect()
+    each = F.inline(F.array(*[F.struct(F.lit(r["exp"]).alias("exp"), F.lit(r["seed"]).alias("seed")) for r in repeats]))
+    pairs = lag1_pairs(spark, d).select("target", "idx", "pred", "true", each)
+    b = wn.shuffled_batches(pairs, BATCH, "seed", series=["target", "exp"])
+    return mt.batch_rmse(b, by=("target", "exp")).select(
+        "target", F.col("exp").cast("long").alias("exp"), r6("batch_rmse").alias("batch_rmse"),
+        F.col("n_batches").cast("long").alias("n_batches"))
 
 
 # ---------------------------------------------------------------- G
@@ -314,11 +323,12 @@ def q_test_record(spark, d):
 
 # ---------------------------------------------------------------- H
 
-def _champions_challengers(spark, d):
+def _champions_challengers(spark, d, every: bool = False):
+    """Champions (those of the power targets, or ``every`` target's) and challengers."""
     pairs = _test_pairs(spark, d)
-    champ = mt.test_record(pairs, run_id="naive").where(F.col("target").contains("POWER"))
-    mean_pred = pairs.withColumn("pred", F.aggregate("x", F.lit(0.0), lambda a, v: a + v) / F.size("x"))
-    chal = mt.test_record(mean_pred, run_id="window-mean")
+    champ = mt.test_record(pairs, run_id="naive")
+    champ = champ if every else champ.where(F.col("target").contains("POWER"))
+    chal = mt.test_record(pairs.withColumn("pred", F.col("mean")), run_id="window-mean")
     rn = {"test_rmse": "root_mean_squared_error"}
     return champ.withColumnsRenamed(rn), chal.withColumnsRenamed(rn)
 
@@ -331,8 +341,8 @@ def q_promote_strict(spark, d):
 
 
 def q_promote_tolerance(spark, d):
-    champ, chal = _champions_challengers(spark, d)
-    out = rg.compare_tolerance(chal, champ, absolute_difference=-0.05, on_missing="skip")
+    champ, chal = _champions_challengers(spark, d, every=True)
+    out = rg.compare_tolerance(chal, champ, absolute_difference=-0.05)
     return out.select("target", r6("root_mean_squared_error").alias("rmse"),
                       r6("champion_root_mean_squared_error").alias("champion_rmse"), "promote")
 
@@ -383,12 +393,65 @@ def q_ar_forecast(spark, d):
     wide, n = scaled_wide(spark, d)
     k = sp.split_border(n, TRAIN)
     coefs = fc.fit_ar(wide, TARGETS, LOOKBACK, end=k, ridge=RIDGE, n_rows=n)
-    pairs = _test_pairs(spark, d)
-    pred = fc.predict(pairs.drop("pred"), coefs)
-    m = mt.metric_bundle(pred)
+    return _scored(wide, k, coefs, LOOKBACK)
+
+
+def _scored(wide, k, coefs, lookback):
+    """Metric bundle of the predictions on windows inside the test part."""
+    long = unpivot_targets(wide.where(F.col("idx") >= k), TARGETS)
+    w = wn.lookback_windows(long, "value", lookback, series=["target"]).withColumnRenamed("y", "true")
+    m = mt.metric_bundle(fc.predict(w, coefs))
     return m.select("target", *[r6(c).alias(c) for c in ("mae", "mse", "rmse", "mape", "mspe")])
 
 
+def q_ar2_fit(spark, d):
+    """F1 at lookback 2 with a ridge, small enough for a closed form in SQL."""
+    wide, n = scaled_wide(spark, d)
+    k = sp.split_border(n, TRAIN)
+    coefs = fc.fit_ar(wide, TARGETS, 2, end=k, ridge=1.0, n_rows=n)
+    return coefs.select("target", "n", r6("intercept").alias("intercept"),
+                        r6(F.col("coef")[0]).alias("older"), r6(F.col("coef")[1]).alias("newer"))
+
+
+def q_ar2_forecast(spark, d):
+    """F1, F3 and G9 at lookback 2."""
+    wide, n = scaled_wide(spark, d)
+    k = sp.split_border(n, TRAIN)
+    return _scored(wide, k, fc.fit_ar(wide, TARGETS, 2, end=k, ridge=1.0, n_rows=n), 2)
+
+
+def q_ar1_cv(spark, d):
+    """F2 at lookback 1 without a ridge: fold fits, scores inside each fold, summary."""
+    wide, n = scaled_wide(spark, d)
+    k = sp.split_border(n, TRAIN)
+    res = fc.cross_validate(wide.where(F.col("idx") < k), TARGETS, 1, k, FOLDS, 0.0)
+    s = mt.fold_summary(fc.fold_scores(res))
+    return s.select("target", *[r6(c).alias(c) for c in
+                                ("val_loss_mean", "val_loss_std", "val_rmse_mean", "val_rmse_std")])
+
+
+def q_ar1_horizon(spark, d):
+    """F4 at lookback 1 without a ridge: one model per step, scored per step on the test part."""
+    wide, n = scaled_wide(spark, d)
+    k = sp.split_border(n, TRAIN)
+    coefs = fc.fit_ar(wide, TARGETS, 1, end=k - PRED_LEN + 1, ridge=0.0, horizon=PRED_LEN, n_rows=n)
+    long = unpivot_targets(wide.where(F.col("idx") >= k), TARGETS)
+    per_h = fc.forecast_blocks(long, coefs, 1, PRED_LEN)
+    return per_h.groupBy("target", F.col("h").cast("long").alias("h")).agg(
+        r6(mt.rmse()).alias("rmse"), F.count(F.lit(1)).alias("n"))
+
+
+def q_small_trials(spark, d):
+    """F6 over a fixed list of trials at lookbacks 1 and 2: every trial's score."""
+    wide, n = scaled_wide(spark, d)
+    k = sp.split_border(n, TRAIN)
+    trials = spark.createDataFrame(SMALL_TRIALS, "trial int, lookback int, ridge double")
+    scored, best = fc.trial_search(wide, TARGETS, n, k, trials, val_size=0.1)
+    best = best.select("target", F.col("rmse").alias("best"))
+    return scored.join(best, "target").select("target", F.col("trial").cast("long").alias("trial"),
+                                              r6("rmse").alias("rmse"), (F.col("rmse") == F.col("best")).alias("chosen"))
+
+
 def q_ar_horizon(spark, d):
     """Direct multi-step models (F4) scored per horizon on the test part:
     block-wise prediction (numpy per halo block) of every anchor with a full
@@ -420,7 +483,7 @@ def q_ar_horizon_windows(spark, d):
 def q_trial_search(spark, d):
     wide, n = scaled_wide(spark, d)
     k = sp.split_border(n, TRAIN)
-    trials = fc.trial_table(spark, 12, seed=7, lookback_range=(12, LOOKBACK), ridge_range=(1e-4, 10.0))
+    trials = fc.trial_table(spark, TRIALS, seed=7, lookback_range=(12, LOOKBACK), ridge_range=(1e-4, 10.0))
     _, best = fc.trial_search(wide, TARGETS, n, k, trials, val_size=0.1)
     return best.select("target", F.col("params.lookback").cast("long").alias("lookback"),
                        r6("params.ridge").alias("ridge"), r6("rmse").alias("rmse"))
@@ -464,23 +527,24 @@ def q_rejects(spark, d):
 
 
 def q_predict_new_data(spark, d):
-    """new raw CSV data (A13, here the stand-in folder) -> coerce all but time (B6) -> idle filter
-    (B9) -> drop missing (B7) -> power (B11-B13) -> index -> the training
-    scaler (D2) -> inference windows (E4) -> native predict (F3)."""
+    """new raw files (A13, here the stand-in folder) -> coerce all but time
+    (B6) -> idle filter (B9) -> drop rows with a missing interim feature (B7; a
+    column that only some layouts have decides nothing) -> power (B11-B13) ->
+    index -> the training scaler (D2) -> inference windows inside each file
+    (E4) -> native predict (F3). Lookback 2, as most stand-in files are short."""
     from rigcast.operators.clean import add_power_features, coerce_all_but_time
     wide, n = scaled_wide(spark, d)
     k = sp.split_border(n, TRAIN)
-    coefs = fc.fit_ar(wide, TARGETS, LOOKBACK, end=k, ridge=RIDGE, n_rows=n)
+    coefs = fc.fit_ar(wide, TARGETS, 2, end=k, ridge=1.0, n_rows=n)
     new = fl.ingest_folder(spark, raw_folder(spark, d, "csv")).rows.drop("UNIT", "TEST")
     order = ["_file", "_block", "_ord"]
     feats = [c for c in new.columns if c not in order]
-    x = drop_missing(drop_idle_steps(coerce_all_but_time(new, feats)), [c for c in feats if c != "TIME"])
+    x = drop_missing(drop_idle_steps(coerce_all_but_time(new, feats)), INTERIM_FEATURES)
     x = normalise_columns(add_power_features(x), keep=order)
-    x = dense_index(x, order)
-    m = x.count()
-    scaled = sc.transform(x.select("idx", *TARGETS), train_params(spark, d), TARGETS)
-    long = unpivot_targets(scaled, TARGETS)
-    w = wn.inference_windows(long, "value", LOOKBACK, m, include_latest=True, series=["target"])
+    x = index_table(x, order)
+    scaled = sc.transform(x.frame().select("_file", "idx", *TARGETS), train_params(spark, d), TARGETS)
+    long = unpivot_targets(scaled, TARGETS, ids=("_file", "idx"))
+    w = wn.inference_windows(long, "value", 2, x.count, include_latest=True, series=["_file", "target"])
     pred = fc.predict(w, coefs.where(F.col("fit") == "full"))
     return pred.groupBy("target").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("pred")).alias("avg_pred"))
 
@@ -524,15 +588,21 @@ def q_kfp_features(spark, d):
 
 
 def q_torch_scale(spark, d):
-    """Three-way split with inclusive borders (C3) and the own-standard scaler
-    (D3, zero deviation kept) fitted on each part itself (D6 ``own_part``)."""
+    """Three-way split with inclusive borders (C3); the own-standard scaler (D3,
+    zero deviation kept) fitted on the first rows of each part itself, as many
+    as lie before the first border, and applied to all of the part (D6)."""
     t = interim_table(spark, d)
-    parts = sp.three_way_split(t, t.count, 0.2, 0.2)
+    parts = {k: p.select("idx", *TARGETS) for k, p in sp.three_way_split(t, t.count, 0.2, 0.2).items()}
+    first = sp.split_border(t.count, 1 - 0.2 - 0.2)
+    train = parts.pop("train")
+    _, scaled = sc.fit_transform(train, parts, TARGETS, fit_on="own_part", zero_std="zero", fit_rows=first)
     out = None
-    for name, part in parts.items():
-        p = sc.fit_standard(part.select("idx", *TARGETS), TARGETS, zero_std="zero").select(F.lit(name).alias("part"), "*")
+    for name, part in scaled.items():
+        p = unpivot_targets(part, TARGETS).groupBy("target").agg(
+            F.count(F.lit(1)).alias("n"), r6(F.min("value")).alias("low"), r6(F.max("value")).alias("high"))
+        p = p.select(F.lit(name).alias("part"), "*")
         out = p if out is None else out.unionByName(p)
-    return out.select("part", "feature", r6("center").alias("center"), r6("scale").alias("scale"))
+    return out
 
 
 def q_params_roundtrip(spark, d):
@@ -640,6 +710,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ar_horizon": q_ar_horizon,
     "ar_horizon_windows": q_ar_horizon_windows,
     "trial_search": q_trial_search,
+    "ar2_fit": q_ar2_fit,
+    "ar2_forecast": q_ar2_forecast,
+    "ar1_cv": q_ar1_cv,
+    "ar1_horizon": q_ar1_horizon,
+    "small_trials": q_small_trials,
     "ingest_csv": q_ingest_csv,
     "ingest_xlsx": q_ingest_xlsx,
     "rejects": q_rejects,
@@ -716,9 +791,9 @@ def oracle() -> dict[str, str]:
                   f"SELECT target, idx, value AS yt, list(value) OVER (PARTITION BY target ORDER BY idx "
                   f"ROWS BETWEEN {LOOKBACK} PRECEDING AND 1 PRECEDING) AS x FROM scaled WHERE idx >= {k}) "
                   f"WHERE len(x) = {LOOKBACK})")
-    records = ("champ AS (SELECT target, 'naive' AS run_id, avg(power(pred - yt, 2)) AS test_loss, "
-               "sqrt(avg(power(pred - yt, 2))) AS root_mean_squared_error FROM tpairs "
-               "WHERE target LIKE '%POWER%' GROUP BY target),\n"
+    records = ("every_champ AS (SELECT target, 'naive' AS run_id, avg(power(pred - yt, 2)) AS test_loss, "
+               "sqrt(avg(power(pred - yt, 2))) AS root_mean_squared_error FROM tpairs GROUP BY target),\n"
+               "champ AS (SELECT * FROM every_champ WHERE target LIKE '%POWER%'),\n"
                f"chal AS (SELECT target, 'window-mean' AS run_id, avg(power({_sum_list('x')} / len(x) - yt, 2)) AS test_loss, "
                f"sqrt(avg(power({_sum_list('x')} / len(x) - yt, 2))) AS root_mean_squared_error FROM tpairs GROUP BY target),\n"
                "strict AS (SELECT c.target, c.run_id, c.test_loss, h.test_loss AS champion_test_loss, "
@@ -772,23 +847,24 @@ def oracle() -> dict[str, str]:
         f"round({_sum_list('x')}, 6) AS x_sum, round(y, 6) AS y FROM w WHERE len(x) = {LOOKBACK}")
     steps = ", ".join(TARGETS)
     sql["multivar_windows"] = _with(base, scaled, wide_scaled, (
-        f"w AS (SELECT idx, DRIVE_POWER AS y, list([{steps}]) OVER (ORDER BY idx "
+        f"w AS (SELECT idx, {steps}, list([{steps}]) OVER (ORDER BY idx "
         f"ROWS BETWEEN {LOOKBACK} PRECEDING AND 1 PRECEDING) AS x FROM wscaled)")) + (
-        "SELECT idx, len(x) AS x_len, len(x[1]) AS step_len, "
+        "SELECT w.idx, s.target, len(x) AS x_len, len(x[1]) AS step_len, "
         f"round({_sum_list('x[1]')}, 6) AS first_step_sum, round({_sum_list('x[-1]')}, 6) AS last_step_sum, "
-        f"round({_sum_list('flatten(x)')}, 6) AS x_sum, round(y, 6) AS y FROM w WHERE len(x) = {LOOKBACK}")
+        f"round({_sum_list('flatten(x)')}, 6) AS x_sum, round(s.value, 6) AS y FROM w JOIN scaled s ON s.idx = w.idx "
+        f"WHERE len(x) = {LOOKBACK}")
     sql["seq2seq_windows"] = _with(base, scaled, (
-        "w AS (SELECT idx, "
-        f"list(value) OVER (ORDER BY idx ROWS BETWEEN {SEQ_LEN} PRECEDING AND 1 PRECEDING) AS x, "
-        f"list(value) OVER (ORDER BY idx ROWS BETWEEN CURRENT ROW AND {PRED_LEN - 1} FOLLOWING) AS y "
-        "FROM scaled WHERE target = 'DRIVE_POWER')")) + (
-        "SELECT idx, len(x) AS x_len, len(y) AS y_len, round(x[1], 6) AS x_first, round(x[-1], 6) AS x_last, "
+        "w AS (SELECT target, idx, "
+        f"list(value) OVER (PARTITION BY target ORDER BY idx ROWS BETWEEN {SEQ_LEN} PRECEDING AND 1 PRECEDING) AS x, "
+        f"list(value) OVER (PARTITION BY target ORDER BY idx ROWS BETWEEN CURRENT ROW AND {PRED_LEN - 1} FOLLOWING) AS y "
+        "FROM scaled)")) + (
+        "SELECT target, idx, len(x) AS x_len, len(y) AS y_len, round(x[1], 6) AS x_first, round(x[-1], 6) AS x_last, "
         f"round(y[1], 6) AS y_first, round(y[-1], 6) AS y_last, round({_sum_list('y')}, 6) AS y_sum "
         f"FROM w WHERE len(x) = {SEQ_LEN} AND len(y) = {PRED_LEN}")
     sql["inference_windows"] = _with(base, scaled, (
-        f"w AS (SELECT idx AS end_idx, list(value) OVER (ORDER BY idx ROWS BETWEEN {LOOKBACK - 1} PRECEDING "
-        "AND CURRENT ROW) AS x FROM scaled WHERE target = 'DRIVE_POWER')")) + (
-        "SELECT end_idx, len(x) AS x_len, round(x[1], 6) AS x_first, round(x[-1], 6) AS x_last FROM w "
+        f"w AS (SELECT target, idx AS end_idx, list(value) OVER (PARTITION BY target ORDER BY idx "
+        f"ROWS BETWEEN {LOOKBACK - 1} PRECEDING AND CURRENT ROW) AS x FROM scaled)")) + (
+        "SELECT target, end_idx, len(x) AS x_len, round(x[1], 6) AS x_first, round(x[-1], 6) AS x_last FROM w "
         f"WHERE len(x) = {LOOKBACK} AND end_idx <= (SELECT n FROM nrows) - 2")
     sql["batch_rmse"] = _with(base, scaled, lag1, (
         f"b AS (SELECT target, (idx - {LOOKBACK}) // {BATCH} AS batch_id, pred, yt FROM pairs "
@@ -823,7 +899,7 @@ def oracle() -> dict[str, str]:
         "SELECT c.target, round(c.root_mean_squared_error, 6) AS rmse, "
         "round(h.root_mean_squared_error, 6) AS champion_rmse, "
         "(c.root_mean_squared_error - h.root_mean_squared_error) <= 0.05 AS promote "
-        "FROM chal c JOIN champ h ON c.target = h.target")
+        "FROM chal c JOIN every_champ h ON c.target = h.target")
     sql["registry_upsert"] = _with(base, scaled, test_pairs, records) + (
         "SELECT target, run_id, round(test_loss, 6) AS test_loss FROM champ "
         "WHERE target NOT IN (SELECT target FROM strict WHERE promote) UNION ALL "
@@ -866,11 +942,27 @@ def oracle() -> dict[str, str]:
         "round(M2_AMP, 6) AS M2_Amp, round(1.0, 6) AS STEP, round(LOAD_POWER, 6) AS LOAD_POWER, "
         "idx AS RUNNING_SECONDS FROM interim")
     own = " UNION ALL ".join(
-        f"SELECT '{part}' AS part, '{t}' AS feature, round(avg({t}), 6) AS center, "
-        f"round(stddev_pop({t}), 6) AS scale FROM interim WHERE idx BETWEEN {lo} AND {hi}"
+        f"SELECT '{part}' AS part, '{t}' AS target, count(*) AS n, "
+        f"round((min({t}) - avg({t}) FILTER (idx < {lo} + {b1})) / stddev_pop({t}) FILTER (idx < {lo} + {b1}), 6) AS low, "
+        f"round((max({t}) - avg({t}) FILTER (idx < {lo} + {b1})) / stddev_pop({t}) FILTER (idx < {lo} + {b1}), 6) AS high "
+        f"FROM interim WHERE idx BETWEEN {lo} AND {hi}"
         for part, lo, hi in (("train", 0, b1), ("val", b1, b2), ("test", b2, "(SELECT n FROM nrows)"))
         for t in TARGETS)
     sql["torch_scale"] = _with(base) + own
+    repeats = ", ".join(f"({e}, {1 + e * (e + 1) // 2})" for e in range(REPEATS))
+    sql["shuffled_batches"] = _with(base, scaled, lag1, f"reps AS (SELECT * FROM (VALUES {repeats}) r(exp, seed))", (
+        "rk AS (SELECT target, exp, pred, yt, row_number() OVER (PARTITION BY target, exp "
+        "ORDER BY md5(concat_ws(':', seed, target, exp, idx))) - 1 AS p, "
+        "count(*) OVER (PARTITION BY target, exp) AS n FROM pairs, reps)"), (
+        f"pb AS (SELECT target, exp, p // {BATCH} AS b, sqrt(avg(power(pred - yt, 2))) AS r FROM rk "
+        f"WHERE p // {BATCH} < n // {BATCH} GROUP BY 1, 2, 3)")) + (
+        "SELECT target, CAST(exp AS BIGINT) AS exp, round(avg(r), 6) AS batch_rmse, count(*) AS n_batches "
+        "FROM pb GROUP BY target, exp")
+    sql |= oq.small_forecasts(base, scaled, tfolds, k, PRED_LEN, SMALL_TRIALS, TARGETS)
+    sql["predict_new_data"] = _with(base, scaled, oq.lag2_ctes(), oq.ridge2("ar2", f"idx >= 2 AND idx < {k}", 1.0),
+                                    files, units, oq.new_rows_ctes()) + (
+        "SELECT w.target, count(*) AS n, round(avg(icpt + older * x2 + newer * x1), 6) AS avg_pred "
+        "FROM neww w JOIN ar2 ON ar2.target = w.target WHERE x2 IS NOT NULL GROUP BY w.target")
     sql["params_roundtrip"] = sql["standard_params"]
     sql["metrics_roundtrip"] = _with(base, scaled, test_pairs, (
         "rec AS (SELECT target, 'naive' AS run_id, avg(power(pred - yt, 2)) AS test_loss, "
@@ -883,8 +975,9 @@ def oracle() -> dict[str, str]:
 
 
 ORACLE_EXCLUDED = {
-    # closed-form ridge solves and hashed shuffles: rows-only in the driver,
-    # cross-checked against numpy in tests/test_forecast.py
-    "shuffled_batches", "ar_fit", "ar_cv", "ar_forecast", "ar_horizon", "trial_search",
-    "predict_new_data", "pipeline_registry", "ar_horizon_windows", "folder_pipeline",
+    # closed-form solves at the real lookback: rows-only in the driver, held
+    # against numpy in tests/test_forecast.py; the same operators at lookbacks
+    # 1 and 2 have SQL (ar1_*, ar2_*, small_trials, predict_new_data)
+    "ar_fit", "ar_cv", "ar_forecast", "ar_horizon", "trial_search",
+    "pipeline_registry", "ar_horizon_windows", "folder_pipeline",
 }

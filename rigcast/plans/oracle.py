@@ -97,3 +97,74 @@ def lag1_ctes(lookback: int = 120, src: str = "scaled") -> str:
 
 def unit_sql(name: str) -> str:
     return (f"TRY_CAST(right(string_split_regex(ltrim({name}, '-/HYDhyd0'), '[_-]')[1], 4) AS INTEGER)")
+
+
+def lag2_ctes(src: str = "scaled", by: str = "target") -> str:
+    """Every row with its last value ``x1`` and the one before, ``x2``."""
+    return (f"lp AS (SELECT target, idx, value AS y, lag(value) OVER (PARTITION BY {by} ORDER BY idx) AS x1, "
+            f"lag(value, 2) OVER (PARTITION BY {by} ORDER BY idx) AS x2 FROM {src})")
+
+
+def ridge1(name: str, rows: str, ridge: float, group: str = "target", src: str = "lp") -> str:
+    """Ridge regression of ``y`` on ``x1``: ``(group, icpt, newer, older = 0)``."""
+    return (f"{name} AS (SELECT {group}, my - newer * m1 AS icpt, newer, 0.0 AS older FROM (SELECT {group}, "
+            f"n * c1y / (n * v1 + {ridge!r}) AS newer, my, m1 FROM (SELECT {group}, count(*) AS n, covar_pop(y, x1) AS c1y, "
+            f"var_pop(x1) AS v1, avg(y) AS my, avg(x1) AS m1 FROM {src} WHERE {rows} GROUP BY {group})))")
+
+
+def ridge2(name: str, rows: str, ridge: float) -> str:
+    """Ridge regression of ``y`` on ``x1, x2`` by Cramer's rule: ``(target, n, icpt, newer, older)``."""
+    return (f"{name} AS (SELECT target, n, my - newer * m1 - older * m2 AS icpt, newer, older FROM (SELECT target, n, my, m1, m2, "
+            "(s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS newer, "
+            "(s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS older FROM (SELECT target, count(*) AS n, "
+            f"count(*) * var_pop(x1) + {ridge!r} AS s11, count(*) * var_pop(x2) + {ridge!r} AS s22, "
+            "count(*) * covar_pop(x1, x2) AS s12, count(*) * covar_pop(y, x1) AS s1y, count(*) * covar_pop(y, x2) AS s2y, "
+            f"avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2 FROM lp WHERE {rows} GROUP BY target)))")
+
+
+def small_forecasts(base: str, scaled: str, tfolds: str, k: str, pred_len: int, trials: list, targets) -> dict[str, str]:
+    """Closed forms of the forecaster at lookbacks 1 and 2."""
+    def ctes(*parts):
+        return "WITH " + ",\n".join((base, scaled, lag2_ctes(), *parts)) + "\n"
+    ar2 = ridge2("ar2", f"idx >= 2 AND idx < {k}", 1.0)
+    rel = "CASE WHEN y <> 0 THEN (p - y) / y END"
+    out = {"ar2_fit": ctes(ar2) + "SELECT target, n, round(icpt, 6) AS intercept, round(older, 6) AS older, round(newer, 6) AS newer FROM ar2"}
+    out["ar2_forecast"] = ctes(ar2, "sc AS (SELECT lp.target, y, icpt + newer * x1 + older * x2 AS p FROM lp "
+                               f"JOIN ar2 ON ar2.target = lp.target WHERE idx >= {k} + 2)") + (
+        "SELECT target, round(avg(abs(p - y)), 6) AS mae, round(avg(power(p - y, 2)), 6) AS mse, "
+        f"round(sqrt(avg(power(p - y, 2))), 6) AS rmse, round(avg(abs({rel})), 6) AS mape, "
+        f"round(avg(power({rel}, 2)), 6) AS mspe FROM sc GROUP BY target")
+    out["ar1_cv"] = ctes(tfolds, "ff AS (SELECT lp.*, fold, vs, ve FROM lp JOIN tfolds ON idx < ve)",
+                         ridge1("fits", "idx >= 1 AND idx < vs", 0.0, "target, fold", "ff"),
+                         "pf AS (SELECT ff.target, ff.fold, avg(power(icpt + newer * x1 - y, 2)) AS l FROM ff JOIN fits "
+                         "ON fits.target = ff.target AND fits.fold = ff.fold WHERE idx > vs GROUP BY 1, 2)") + (
+        "SELECT target, round(avg(l), 6) AS val_loss_mean, round(stddev_pop(l), 6) AS val_loss_std, "
+        "round(avg(sqrt(l)), 6) AS val_rmse_mean, round(stddev_pop(sqrt(l)), 6) AS val_rmse_std FROM pf GROUP BY target")
+    steps = (f"hp AS (SELECT a.target, a.idx, a.x1, CAST(h AS BIGINT) AS h, b.value AS y FROM lp a, range(1, {pred_len} + 1) r(h), "
+             "scaled b WHERE b.target = a.target AND b.idx = a.idx + h - 1)")
+    out["ar1_horizon"] = ctes(steps, ridge1("fits", f"idx >= 1 AND idx < {k} - {pred_len} + 1", 0.0, "target, h", "hp")) + (
+        "SELECT hp.target, hp.h, round(sqrt(avg(power(icpt + newer * x1 - y, 2))), 6) AS rmse, count(*) AS n FROM hp "
+        f"JOIN fits ON fits.target = hp.target AND fits.h = hp.h WHERE idx > {k} AND idx <= (SELECT n FROM nrows) - {pred_len} GROUP BY 1, 2")
+    vb = f"CAST(floor({k} * CAST({1 - 0.1!r} AS DOUBLE)) AS BIGINT)"
+    fits = [(ridge1 if look == 1 else ridge2)(f"t{i}", f"idx >= {look} AND idx < {vb}", ridge) for i, look, ridge in trials]
+    scores = " UNION ALL ".join(
+        f"SELECT lp.target, CAST({i} AS BIGINT) AS trial, sqrt(avg(power(icpt + newer * x1 + older * coalesce(x2, 0.0) - y, 2))) AS r FROM lp "
+        f"JOIN t{i} ON t{i}.target = lp.target WHERE idx >= {vb} + {look} AND idx < {k} GROUP BY lp.target" for i, look, _ in trials)
+    out["small_trials"] = ctes(*fits, f"sc AS ({scores})") + (
+        "SELECT target, trial, round(r, 6) AS rmse, r = min(r) OVER (PARTITION BY target) AS chosen FROM sc")
+    return out
+
+
+def new_rows_ctes() -> str:
+    """Scaled lookback-2 windows inside each stand-in file; ``view`` files lack one interim column."""
+    typed = ", ".join(["name", "ts", "event_id"] + [f"{coerce(qi(c))} AS {qi(c)}" for c in INTERIM_FEATURES])
+    ok = " AND ".join(f"{qi(c)} IS NOT NULL AND NOT isnan({qi(c)})" for c in INTERIM_FEATURES)
+    feat = ", ".join(["name", "ts", "event_id"] + [f"{qi(c)} AS {NORM[c]}" for c in SENSORS]
+                     + [f"{power_sql(k, qi(a), qi(b))} AS {out}" for out, k, a, b in POWER_FEATURES])
+    long = " UNION ALL ".join(f"SELECT name, ts, event_id, '{t}' AS target, {t} AS v FROM newf" for t in TARGETS)
+    return (f"newr AS (SELECT name, {raw_sql_columns()} FROM u WHERE unit IS NOT NULL AND event_type <> 'view'),\n"
+            f"newt AS (SELECT {typed} FROM newr),\n"
+            f"newf AS (SELECT {feat} FROM newt WHERE {ok} AND \"STEP\" <> 0),\n"
+            f"newl AS ({long}),\n"
+            "news AS (SELECT name, ts, event_id, l.target, (v - center) / scale AS v FROM newl l JOIN params p ON p.feature = l.target),\n"
+            "neww AS (SELECT target, v AS x1, lag(v) OVER (PARTITION BY name, target ORDER BY ts, event_id) AS x2 FROM news)")
