@@ -65,7 +65,7 @@ def test_header_above_16_mib_is_whole(tmp_dir):
     assert len(head) > 1 << 24
     with open(path, "w") as f:
         f.write(head + "\n1\n")
-    assert fl._first_line(path) == head
+    assert fl._header_row(path) == head.split(",")
 
 
 def test_folder_name_with_brackets(spark, tmp_dir):
@@ -74,3 +74,31 @@ def test_folder_name_with_brackets(spark, tmp_dir):
     with open(os.path.join(folder, "HYD000135-1_RAW.csv"), "w") as f:
         f.write("A\n1\n")
     assert [r.name for r in fl.file_manifest(spark, folder).collect()] == ["HYD000135-1_RAW.csv"]
+
+
+def test_csv_blank_lines_and_quoted_breaks(spark, tmp_path):
+    (tmp_path / "HYD000101-a_RAW.csv").write_bytes(b'\n\nA,"B\nC"\n1,"x\ny"\n\n2,z\n')
+    (tmp_path / "HYD000102-a_RAW.csv").write_bytes(b"\n\nA,D\n3,4\n")
+    ing = fl.ingest_folder(spark, str(tmp_path), line_breaks=True)
+    assert ing.rejects.count() == 0
+    got = sorted((r["A"], r["B\nC"], r["D"]) for r in ing.rows.collect())
+    assert got == [("1", "x\ny", None), ("2", "z", None), ("3", None, "4")]
+    (tmp_path / "HYD000103-a_RAW.csv").write_bytes(b"\n  \r\nA,E\n5,6\n")
+    plain = fl.ingest_folder(spark, str(tmp_path)).rows.where("TEST = 1 and UNIT = 103").collect()
+    assert [(r["A"], r["E"]) for r in plain] == [("5", "6")]
+    one = fl.scan_new_data(spark, str(tmp_path / "HYD000102-a_RAW.csv"))
+    assert [(r["A"], r["D"]) for r in one.collect()] == [("3", "4")]
+
+
+def test_shuffled_batches_stay_in_their_series(spark):
+    from rigcast.operators import windows as wn
+    w = spark.range(95).select((F.col("id") % 2).alias("s"), (F.col("id") / 2).cast("long").alias("idx"))
+    got = wn.shuffled_batches(w, 10, seed=3, series=["s"]).collect()
+    assert len(got) == 80 and {(r.s, r.batch_id) for r in got} == {(s, b) for s in (0, 1) for b in range(4)}
+
+
+def test_fit_on_first_rows(spark):
+    from rigcast.operators import scaling as sc
+    df = spark.range(10, 20).select(F.col("id").alias("idx"), F.col("id").cast("double").alias("x"))
+    params, _ = sc.fit_transform(df, {}, ["x"], fit_rows=4)
+    assert params.first()["center"] == 11.5
