@@ -7,9 +7,14 @@ bucket of each table, a query probes the axes nearest to it. All vectors that
 share a bucket with a probe are candidates and are reranked by the exact
 inner product.
 
-Vectors need not have length one: stored vectors get one more coordinate,
-``sqrt(longest^2 - |v|^2)``, and queries a zero there, which turns the largest
-inner product into the nearest direction. With unit vectors it is zero.
+Vectors need not have length one. Stored vectors are split into bands of
+length (``BAND`` from the longest down); inside a band the largest inner
+product is nearly the nearest direction, so each is hashed by its direction
+and every query probes every band. That needs no buckets of its own: a bucket
+holds the vectors of one direction from all bands. Only a band of few vectors
+(at most ``SCAN``) can have some of the largest products far from the query's
+direction; such a band is not hashed but met by every query as a whole. So is
+a small table.
 
 Equal vectors are stored once. Only the ``top + 1`` smallest ids of a vector
 can be in a result (ties go to the smaller id and a query drops only its own),
@@ -18,6 +23,8 @@ so a vector that very many rows share costs no more than any other.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -28,6 +35,8 @@ from rigcast.llm.common import stage, table
 TABLES = 12
 PROBES = 12          # nearest signed axes that a query probes in each table
 BLOCK = 4000         # stored vectors of a bucket that meet the probes in one task
+BAND = 1.1           # longest to shortest vector of a band of lengths
+SCAN = 1000          # stored vectors of a band up to which it is met as a whole
 SEED = 7
 
 
@@ -66,7 +75,7 @@ def _rows(b: pa.RecordBatch) -> np.ndarray:
     return np.asarray(v.flatten(), np.float64).reshape(len(v), -1)
 
 
-def _place(tables: int, probes: int, longest: float, seed: int, query: bool):
+def _place(tables: int, probes: int, seed: int, query: bool):
     schema = pa.schema([("cls", pa.int64()), ("dim", pa.int32()), ("tab", pa.int32()), ("axis", pa.int32())])
 
     def run(batches):
@@ -74,12 +83,8 @@ def _place(tables: int, probes: int, longest: float, seed: int, query: bool):
             for dim in np.unique(b.column("dim").to_numpy()).tolist():
                 part = b.filter(pa.array(b.column("dim").to_numpy() == dim))
                 x = _rows(part)
-                length = np.sqrt((x * x).sum(axis=1))
-                if longest > 0:
-                    lift = np.zeros(len(x)) if query else np.sqrt(np.maximum(0.0, longest**2 - length**2))
-                    x = np.c_[x, lift]
-                    length = np.sqrt(length**2 + lift**2)
-                x = x / length[:, None]
+                x = x / np.abs(x).max(axis=1)[:, None]       # squares neither overflow nor vanish
+                x = x / np.sqrt((x * x).sum(axis=1))[:, None]
                 cls = part.column("cls").to_numpy()
                 for t, signs in enumerate(rotations(x.shape[1], tables, seed)):
                     a = axes(x, signs, probes if query else 1)
@@ -138,11 +143,30 @@ def _merge(keep: int):
     return run
 
 
+def _in_blocks(stored: DataFrame, asked: DataFrame) -> DataFrame:
+    """All of ``stored`` beside all of ``asked`` (``cls, dim, vec``) of the same
+    ``dim``, dealt over pairs of blocks for ``_score``."""
+    def parts(df: DataFrame, name: str) -> DataFrame:
+        return F.broadcast(df.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("long").alias(name)))
+
+    sizes = stage(parts(stored, "parts").join(parts(asked, "turns"), "dim"), "blocks")
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        return df.join(F.broadcast(sizes), "dim").select(
+            "cls", "dim", "vec", F.pmod(F.xxhash64("cls"), F.col(own)).alias(own),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other))
+
+    both = dealt(stored, "parts", "turns").withColumn("query", F.lit(False)) \
+        .unionByName(dealt(asked, "turns", "parts").withColumn("query", F.lit(True)))
+    return both.groupBy("dim", "parts", "turns")
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, top: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
             tables: int = TABLES, probes: int = PROBES, seed: int = SEED) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each row of ``queries`` the
     ``top`` rows of ``vectors`` with the largest inner product that share a
-    bucket with it, the query's own id left out; ties go to the smaller id.
+    bucket with it or lie in a small band of length, the query's own id left
+    out; ties go to the smaller id.
 
     Both frames hold ``id_col`` and ``vec_col``; extra columns are ignored.
     Null or zero vectors, vectors with null or non-finite components and rows
@@ -161,16 +185,20 @@ def nearest(vectors: DataFrame, queries: DataFrame, top: int = 20, id_col: str =
     ranked = clean(vectors).withColumn("at", F.row_number().over(Window.partitionBy("vec").orderBy("id"))).where(F.col("at") <= top + 1)
     # a class of equal vectors is named by its smallest id; an id with two vectors names two, so number them
     classes = stage(ranked.groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-                    .withColumn("cls", F.monotonically_increasing_id()).withColumn("dim", F.size("vec")), "classes")
+                    .withColumn("cls", F.monotonically_increasing_id()).withColumn("dim", F.size("vec"))
+                    .withColumn("big", F.array_max(F.transform("vec", F.abs)))
+                    .withColumn("log_length", F.expr("ln(big) + ln(aggregate(vec, 0D, (a, v) -> a + (v / big) * (v / big))) / 2")).drop("big"), "classes")
     asked = stage(clean(queries), "asked")
     wanted = stage(asked.select("vec").distinct().withColumn("cls", F.monotonically_increasing_id()).withColumn("dim", F.size("vec")), "wanted")
-    longest2, shortest2 = classes.select(F.aggregate("vec", F.lit(0.0), lambda a, v: a + v * v).alias("s")).agg(F.max("s"), F.min("s")).first()
-    even = longest2 is None or longest2 - shortest2 <= 1e-5 * longest2
-    longest = 0.0 if even else float(longest2) ** 0.5
+    longest = F.broadcast(classes.groupBy("dim").agg(F.max("log_length").alias("longest")))
+    banded = classes.join(longest, "dim").withColumn("band", F.floor((F.col("longest") - F.col("log_length")) / math.log(BAND)))
+    small = stage(banded.groupBy("dim", "band").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") <= SCAN), "small")
+    hashed = banded.join(F.broadcast(small), ["dim", "band"], "left_anti")
+    whole = banded.join(F.broadcast(small), ["dim", "band"], "left_semi")
 
     place = "cls long, dim int, tab int, axis int"
-    stored = classes.select("cls", "dim", "vec").mapInArrow(_place(tables, 1, longest, seed, False), place)
-    probed = wanted.select("cls", "dim", "vec").mapInArrow(_place(tables, probes, longest, seed, True), place)
+    stored = hashed.select("cls", "dim", "vec").mapInArrow(_place(tables, 1, seed, False), place)
+    probed = wanted.select("cls", "dim", "vec").mapInArrow(_place(tables, probes, seed, True), place)
     stored = stage(stored, "stored")
     spread = stored.groupBy("dim", "tab", "axis").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("long").alias("parts"))
     bucket = ["dim", "tab", "axis"]
@@ -178,8 +206,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, top: int = 20, id_col: str =
         .join(classes.select("cls", "vec"), "cls").withColumn("query", F.lit(False))
     right = probed.join(spread, bucket).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts") \
         .join(wanted.select("cls", "vec"), "cls").withColumn("query", F.lit(True))
-    found = left.unionByName(right).groupBy(*bucket, "part") \
-        .applyInArrow(_score(top + 1), "cls long, vec_ids array<long>, scores array<double>")
+    columns = "cls long, vec_ids array<long>, scores array<double>"
+    found = left.unionByName(right).groupBy(*bucket, "part").applyInArrow(_score(top + 1), columns) \
+        .union(_in_blocks(whole.select("cls", "dim", "vec"), wanted).applyInArrow(_score(top + 1), columns))
     near = found.groupBy("cls").applyInArrow(_merge(top + 1), "cls long, near array<struct<cls: long, score: double>>")
     # from classes back to rows: top + 1 ids of each class found, then each query without its own
     hits = near.select(F.col("cls").alias("wanted"), F.explode("near").alias("n")).select("wanted", F.col("n.cls").alias("cls"), F.col("n.score").alias("score")) \

@@ -64,6 +64,31 @@ def test_recall_on_the_table(spark):
     assert set(found) == {i for i in rows if i % 20 == 0} and hit >= 0.9 * 20 * len(found)
 
 
+def recall(spark, x, asked, top=20):
+    """Share of the true ``top`` that is found, and the fewest rows found for a query."""
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {i: set() for i in asked}
+    for r in crosspoly.nearest(df, df.where(F.col("vec_id").isin(asked)), top=top).collect():
+        found[r.query_id].add(r.vec_id)
+    hit = 0
+    for q in asked:
+        score = x @ x[q]
+        score[q] = -np.inf
+        hit += len(found[q] & set(np.argsort(-score)[:top].tolist()))
+    return hit / (top * len(asked)), min(map(len, found.values()))
+
+
+def test_recall_with_uneven_lengths(spark):
+    rng = np.random.default_rng(5)
+    unit = rng.normal(size=(3000, 64))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    one, uneven = unit.copy(), unit * np.exp(rng.normal(size=(3000, 1)))
+    one[17] *= 20
+    for x in (one, uneven):
+        share, fewest = recall(spark, x, list(range(0, 3000, 50)))
+        assert share >= 0.9 and fewest == 20
+
+
 def base_figures(t):
     w = WORD.findall(t or "")
     grams = [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
