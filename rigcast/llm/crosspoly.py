@@ -14,7 +14,8 @@ and every query probes every band. That needs no buckets of its own: a bucket
 holds the vectors of one direction from all bands. Only a band of few vectors
 (at most ``SCAN``) can have some of the largest products far from the query's
 direction; such a band is not hashed but met by every query as a whole. So is
-a small table.
+a small table. A query that still finds fewer than ``top`` rows meets all
+stored vectors of its dimension.
 
 Equal vectors are stored once. Only the ``top + 1`` smallest ids of a vector
 can be in a result (ties go to the smaller id and a query drops only its own),
@@ -101,25 +102,37 @@ def _best(ids: np.ndarray, score: np.ndarray, keep: int) -> np.ndarray:
     return np.lexsort((ids, -score))[:keep]
 
 
+def _filled(t: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    c = t.column(name).combine_chunks()
+    return c.fill_null(0).to_numpy(zero_copy_only=False), c.is_valid().to_numpy(zero_copy_only=False)
+
+
 def _score(keep: int, step: int = 256):
-    """The best stored vectors of one bucket part for each probe that reaches it."""
+    """The best stored vectors of one bucket part for each probe that reaches it.
+    ``low`` and ``second`` are the smallest ids of a stored class; a query that
+    names its own id in ``low`` does not count classes which only that id has."""
     def run(t: pa.Table) -> pa.Table:
         t = t.sort_by("cls")
         is_query = t.column("query").to_numpy()
         vec = t.column("vec").combine_chunks()
         x = np.asarray(vec.flatten(), np.float64).reshape(len(vec), -1)
         cls = t.column("cls").to_numpy()
-        q, qc = x[is_query], cls[is_query]
-        v, vc = x[~is_query], cls[~is_query]
+        low, has_low = _filled(t, "low")
+        _, has_second = _filled(t, "second")
+        q, qc, own, names = x[is_query], cls[is_query], low[is_query], has_low[is_query]
+        v, vc, low, alone = x[~is_query], cls[~is_query], low[~is_query], ~has_second[~is_query]
         out = {"cls": [], "vec_ids": [], "scores": []}
         if len(q) and len(v):
             m = min(keep + 4, len(v))
             for i in range(0, len(q), step):
                 rough = q[i:i + step] @ v.T
+                void = names[i:i + step, None] & alone & (low == own[i:i + step, None])
+                rough[void] = -np.inf
                 near = np.argpartition(-rough, m - 1, axis=1)[:, :m]
                 for j in range(len(near)):
-                    ids = vc[near[j]]
-                    exact = (v[near[j]] * q[i + j]).sum(axis=1)      # the same sum wherever the pair meets
+                    at = near[j][~void[j, near[j]]]
+                    ids = vc[at]
+                    exact = (v[at] * q[i + j]).sum(axis=1)           # the same sum wherever the pair meets
                     best = _best(ids, exact, keep)
                     out["cls"].append(int(qc[i + j]))
                     out["vec_ids"].append(ids[best])
@@ -144,7 +157,7 @@ def _merge(keep: int):
 
 
 def _in_blocks(stored: DataFrame, asked: DataFrame) -> DataFrame:
-    """All of ``stored`` beside all of ``asked`` (``cls, dim, vec``) of the same
+    """All of ``stored`` beside all of ``asked`` (``cls, dim, vec, low, second``) of the same
     ``dim``, dealt over pairs of blocks for ``_score``."""
     def parts(df: DataFrame, name: str) -> DataFrame:
         return F.broadcast(df.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("long").alias(name)))
@@ -153,7 +166,7 @@ def _in_blocks(stored: DataFrame, asked: DataFrame) -> DataFrame:
 
     def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
         return df.join(F.broadcast(sizes), "dim").select(
-            "cls", "dim", "vec", F.pmod(F.xxhash64("cls"), F.col(own)).alias(own),
+            "cls", "dim", "vec", "low", "second", F.pmod(F.xxhash64("cls"), F.col(own)).alias(own),
             F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other))
 
     both = dealt(stored, "parts", "turns").withColumn("query", F.lit(False)) \
@@ -161,12 +174,23 @@ def _in_blocks(stored: DataFrame, asked: DataFrame) -> DataFrame:
     return both.groupBy("dim", "parts", "turns")
 
 
+def _answers(near: DataFrame, classes: DataFrame, units: DataFrame, top: int) -> DataFrame:
+    """From classes back to rows: top + 1 ids of each class found, then ``hits``
+    of each query of ``units(id, cls)`` without its own id."""
+    hits = near.select(F.col("cls").alias("wanted"), F.explode("near").alias("n")).select("wanted", F.col("n.cls").alias("cls"), F.col("n.score").alias("score")) \
+        .join(classes.select("cls", "ids"), "cls").select("wanted", "score", F.explode("ids").alias("vec_id"))
+    lists = hits.groupBy("wanted").agg(F.slice(F.array_sort(F.collect_set(F.struct((-F.col("score")).alias("minus"), "vec_id"))), 1, 2 * top + 2).alias("hits"))
+    return units.join(lists, F.col("cls") == F.col("wanted"), "left").drop("wanted") \
+        .withColumn("hits", F.coalesce(F.expr(f"slice(filter(hits, h -> h.vec_id <> id), 1, {top})"), F.expr("array()")))
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, top: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
             tables: int = TABLES, probes: int = PROBES, seed: int = SEED) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each row of ``queries`` the
     ``top`` rows of ``vectors`` with the largest inner product that share a
     bucket with it or lie in a small band of length, the query's own id left
-    out; ties go to the smaller id.
+    out; ties go to the smaller id. Where these are fewer than ``top``, it is
+    the ``top`` of all rows of the query's dimension, or all if there are fewer.
 
     Both frames hold ``id_col`` and ``vec_col``; extra columns are ignored.
     Null or zero vectors, vectors with null or non-finite components and rows
@@ -196,6 +220,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, top: int = 20, id_col: str =
     hashed = banded.join(F.broadcast(small), ["dim", "band"], "left_anti")
     whole = banded.join(F.broadcast(small), ["dim", "band"], "left_semi")
 
+    firsts = [F.col("ids")[0].alias("low"), F.get("ids", F.lit(1)).alias("second")]
+    none = F.lit(None).cast("long")
+    unnamed = [none.alias("low"), none.alias("second")]
+
     place = "cls long, dim int, tab int, axis int"
     stored = hashed.select("cls", "dim", "vec").mapInArrow(_place(tables, 1, seed, False), place)
     probed = wanted.select("cls", "dim", "vec").mapInArrow(_place(tables, probes, seed, True), place)
@@ -203,20 +231,24 @@ def nearest(vectors: DataFrame, queries: DataFrame, top: int = 20, id_col: str =
     spread = stored.groupBy("dim", "tab", "axis").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("long").alias("parts"))
     bucket = ["dim", "tab", "axis"]
     left = stored.join(spread, bucket).withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts"))).drop("parts") \
-        .join(classes.select("cls", "vec"), "cls").withColumn("query", F.lit(False))
+        .join(classes.select("cls", "vec", *firsts), "cls").withColumn("query", F.lit(False))
     right = probed.join(spread, bucket).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts") \
-        .join(wanted.select("cls", "vec"), "cls").withColumn("query", F.lit(True))
+        .join(wanted.select("cls", "vec", *unnamed), "cls").withColumn("query", F.lit(True))
     columns = "cls long, vec_ids array<long>, scores array<double>"
     found = left.unionByName(right).groupBy(*bucket, "part").applyInArrow(_score(top + 1), columns) \
-        .union(_in_blocks(whole.select("cls", "dim", "vec"), wanted).applyInArrow(_score(top + 1), columns))
-    near = found.groupBy("cls").applyInArrow(_merge(top + 1), "cls long, near array<struct<cls: long, score: double>>")
-    # from classes back to rows: top + 1 ids of each class found, then each query without its own
-    hits = near.select(F.col("cls").alias("wanted"), F.explode("near").alias("n")).select("wanted", F.col("n.cls").alias("cls"), F.col("n.score").alias("score")) \
-        .join(classes.select("cls", "ids"), "cls").select("wanted", "score", F.explode("ids").alias("vec_id"))
-    lists = hits.groupBy("wanted").agg(F.slice(F.array_sort(F.collect_set(F.struct((-F.col("score")).alias("minus"), "vec_id"))), 1, 2 * top + 2).alias("hits"))
-    per_query = asked.join(wanted.select("vec", "cls"), "vec").join(lists, F.col("cls") == F.col("wanted")) \
-        .select(F.col("id").alias("query_id"), F.expr(f"slice(filter(hits, h -> h.vec_id <> id), 1, {top})").alias("hits"))
-    return per_query.select("query_id", F.posexplode("hits").alias("pos", "h")) \
+        .union(_in_blocks(whole.select("cls", "dim", "vec", *firsts), wanted.select("cls", "dim", "vec", *unnamed)).applyInArrow(_score(top + 1), columns))
+    merged = "cls long, near array<struct<cls: long, score: double>>"
+    near = found.groupBy("cls").applyInArrow(_merge(top + 1), merged)
+    answers = stage(_answers(near, classes, asked.join(wanted, "vec").select("id", "cls"), top), "answers")
+    result = answers.where(F.size("hits") >= top).select("id", "hits")
+    # the few queries that found too little, each for its own id, against everything
+    short = stage(answers.where(F.size("hits") < top).select("id", F.col("cls").alias("of")).join(wanted.withColumnRenamed("cls", "of"), "of")
+                  .select("id", "dim", "vec", F.monotonically_increasing_id().alias("cls")), "short")
+    if short.limit(1).count():
+        all_near = _in_blocks(classes.select("cls", "dim", "vec", *firsts), short.select("cls", "dim", "vec", F.col("id").alias("low"), none.alias("second"))) \
+            .applyInArrow(_score(top + 1), columns).groupBy("cls").applyInArrow(_merge(top + 1), merged)
+        result = result.union(_answers(all_near, classes, short.select("id", "cls"), top).select("id", "hits"))
+    return result.select(F.col("id").alias("query_id"), F.posexplode("hits").alias("pos", "h")) \
         .select("query_id", (F.col("pos") + 1).alias("rank"), F.col("h.vec_id").alias("vec_id"), (-F.col("h.minus")).alias("score"))
 
 

@@ -89,6 +89,24 @@ def test_recall_with_uneven_lengths(spark):
         assert share >= 0.9 and fewest == 20
 
 
+def test_every_query_gets_all_it_can(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    for n in (2, 5, 20):
+        assert recall(spark, rng.normal(size=(n, 64)), list(range(n)), top=n - 1) == (1.0, n - 1)
+    x = rng.normal(size=(60, 256))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    # an id with many vectors: not one of its rows is an answer, and the others are found
+    rows = [(i, v.tolist()) for i, v in enumerate(x[:30])] + [(0, (x[0] + 0.01 * v).tolist()) for v in x[30:]] + [(50, x[0].tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    one = spark.createDataFrame([(0, x[0].tolist())], "vec_id long, embedding array<double>")
+    want = [50] + [i for _, i in sorted((-(x[0] @ x[i]), i) for i in range(1, 30))]
+    for scan in (1000, 10):                            # met whole; hashed, so queries reach few rows
+        monkeypatch.setattr(crosspoly, "SCAN", scan)
+        found = sorted((r["rank"], r.vec_id) for r in crosspoly.nearest(df, one, top=20).collect())
+        assert found == list(enumerate(want[:20], 1))
+    assert recall(spark, x, list(range(0, 60, 7)), top=59) == (1.0, 59)
+
+
 def base_figures(t):
     w = WORD.findall(t or "")
     grams = [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
