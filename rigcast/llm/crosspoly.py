@@ -95,11 +95,12 @@ def _place(tables: int, probes: int, seed: int, query: bool):
     return run
 
 
-_FOUND = pa.schema([("cls", pa.int64()), ("vec_ids", pa.list_(pa.int64())), ("scores", pa.list_(pa.float64()))])
+_FOUND = pa.schema([("cls", pa.int64()), ("vec_ids", pa.list_(pa.int64())), ("lows", pa.list_(pa.int64())), ("scores", pa.list_(pa.float64()))])
 
 
-def _best(ids: np.ndarray, score: np.ndarray, keep: int) -> np.ndarray:
-    return np.lexsort((ids, -score))[:keep]
+def _best(low: np.ndarray, score: np.ndarray, keep: int) -> np.ndarray:
+    """Places of the best ``keep``; of equal scores those with the smallest ids."""
+    return np.lexsort((low, -score))[:keep]
 
 
 def _filled(t: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
@@ -110,7 +111,8 @@ def _filled(t: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
 def _score(keep: int, step: int = 256):
     """The best stored vectors of one bucket part for each probe that reaches it.
     ``low`` and ``second`` are the smallest ids of a stored class; a query that
-    names its own id in ``low`` does not count classes which only that id has."""
+    names its own id in ``low`` does not count classes which only that id has,
+    and ranks one that it shares by the second id."""
     def run(t: pa.Table) -> pa.Table:
         t = t.sort_by("cls")
         is_query = t.column("query").to_numpy()
@@ -118,27 +120,32 @@ def _score(keep: int, step: int = 256):
         x = np.asarray(vec.flatten(), np.float64).reshape(len(vec), -1)
         cls = t.column("cls").to_numpy()
         low, has_low = _filled(t, "low")
-        _, has_second = _filled(t, "second")
+        second, has_second = _filled(t, "second")
         q, qc, own, names = x[is_query], cls[is_query], low[is_query], has_low[is_query]
-        v, vc, low, alone = x[~is_query], cls[~is_query], low[~is_query], ~has_second[~is_query]
-        out = {"cls": [], "vec_ids": [], "scores": []}
+        v, vc, low, second, alone = x[~is_query], cls[~is_query], low[~is_query], second[~is_query], ~has_second[~is_query]
+        out = {"cls": [], "vec_ids": [], "lows": [], "scores": []}
         if len(q) and len(v):
-            m = min(keep + 4, len(v))
+            m = min(keep, len(v))
+            # twice what a rough score can be off, so that all that tie with the last one kept are scored exactly
+            slack = 4 * x.shape[1] * np.finfo(float).eps * np.linalg.norm(v, axis=1).max() * np.linalg.norm(q, axis=1)
             for i in range(0, len(q), step):
                 rough = q[i:i + step] @ v.T
-                void = names[i:i + step, None] & alone & (low == own[i:i + step, None])
+                mine = names[i:i + step, None] & (low == own[i:i + step, None])
+                void = mine & alone
                 rough[void] = -np.inf
-                near = np.argpartition(-rough, m - 1, axis=1)[:, :m]
+                last = np.partition(rough, len(v) - m, axis=1)[:, len(v) - m] - slack[i:i + step]
+                near = ~(rough < last[:, None]) & ~void
                 for j in range(len(near)):
-                    at = near[j][~void[j, near[j]]]
-                    ids = vc[at]
+                    at = np.flatnonzero(near[j])
+                    first = np.where(mine[j, at], second[at], low[at])
                     exact = (v[at] * q[i + j]).sum(axis=1)           # the same sum wherever the pair meets
-                    best = _best(ids, exact, keep)
+                    best = _best(first, exact, keep)
                     out["cls"].append(int(qc[i + j]))
-                    out["vec_ids"].append(ids[best])
+                    out["vec_ids"].append(vc[at[best]])
+                    out["lows"].append(first[best])
                     out["scores"].append(exact[best])
         return pa.table({"cls": pa.array(out["cls"], pa.int64()), "vec_ids": pa.array(out["vec_ids"], pa.list_(pa.int64())),
-                         "scores": pa.array(out["scores"], pa.list_(pa.float64()))}, schema=_FOUND)
+                         "lows": pa.array(out["lows"], pa.list_(pa.int64())), "scores": pa.array(out["scores"], pa.list_(pa.float64()))}, schema=_FOUND)
     return run
 
 
@@ -147,10 +154,11 @@ def _merge(keep: int):
 
     def run(t: pa.Table) -> pa.Table:
         ids = np.asarray(t.column("vec_ids").combine_chunks().flatten(), np.int64)
+        low = np.asarray(t.column("lows").combine_chunks().flatten(), np.int64)
         score = np.asarray(t.column("scores").combine_chunks().flatten(), np.float64)
         ids, first = np.unique(ids, return_index=True)
-        score = score[first]
-        best = _best(ids, score, keep)
+        low, score = low[first], score[first]
+        best = _best(low, score, keep)
         return pa.table({"cls": [t.column("cls")[0].as_py()],
                          "near": [[{"cls": int(ids[i]), "score": float(score[i])} for i in best]]}, schema=schema)
     return run
@@ -234,7 +242,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, top: int = 20, id_col: str =
         .join(classes.select("cls", "vec", *firsts), "cls").withColumn("query", F.lit(False))
     right = probed.join(spread, bucket).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts") \
         .join(wanted.select("cls", "vec", *unnamed), "cls").withColumn("query", F.lit(True))
-    columns = "cls long, vec_ids array<long>, scores array<double>"
+    columns = "cls long, vec_ids array<long>, lows array<long>, scores array<double>"
     found = left.unionByName(right).groupBy(*bucket, "part").applyInArrow(_score(top + 1), columns) \
         .union(_in_blocks(whole.select("cls", "dim", "vec", *firsts), wanted.select("cls", "dim", "vec", *unnamed)).applyInArrow(_score(top + 1), columns))
     merged = "cls long, near array<struct<cls: long, score: double>>"

@@ -107,6 +107,22 @@ def test_every_query_gets_all_it_can(spark, monkeypatch):
     assert recall(spark, x, list(range(0, 60, 7)), top=59) == (1.0, 59)
 
 
+@pytest.mark.parametrize("scan", [1000, 10])
+def test_ties_go_to_the_smaller_id(spark, monkeypatch, scan):
+    """Different vectors of one score, more than can be kept, stored with the largest ids first."""
+    monkeypatch.setattr(crosspoly, "SCAN", scan)
+    rng = np.random.default_rng(8)
+    x = np.c_[np.ones(400), rng.choice([-1.0, 1.0], size=(400, 15))]
+    rows = [(400 - i, v.tolist()) for i, v in enumerate(np.unique(x, axis=0))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    one = spark.createDataFrame([(999, [1.0] + [0.0] * 15), (rows[-1][0], [1.0] + [0.0] * 15)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in crosspoly.nearest(df, one, top=5, probes=32).orderBy("rank").collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    least = sorted(i for i, _ in rows)
+    assert found == {999: least[:5], least[0]: least[1:6]}
+
+
 def base_figures(t):
     w = WORD.findall(t or "")
     grams = [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
