@@ -202,10 +202,14 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         if queues.where("w = 0").limit(1).count():
             raise ValueError("a source with documents has no target weight")
     all_w = queues.agg(F.sum("w")).first()[0] or 1
-    # r * quantum as an exact fraction: r * seq_len * w / all_w
-    big = "decimal(38,0)"
-    queues = stage(queues.withColumn("last", F.expr(
-        f"cast(ceil(cast(total as {big}) * {all_w} / (cast(w as {big}) * {seq_len})) as long)")), "queues")
+    # r * quantum as an exact fraction, r * seq_len * w / all_w, by whole numbers: `/` would round to six places
+    big = "decimal(19,0)"
+
+    def up(a: str, b: str) -> str:
+        return f"({a} + {b} - 1) div ({b})"
+
+    quantum = f"cast(w as {big}) * {seq_len}"
+    queues = stage(queues.withColumn("last", F.expr(up(f"cast(total as {big}) * {all_w}", quantum))), "queues")
 
     along = Window.partitionBy("q").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.withColumn("base", F.coalesce(F.sum("held").over(along), F.lit(0)))
@@ -220,10 +224,10 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
             f"if((base + held - 1) div {granule} >= (base + {granule - 1}) div {granule}, "
             f"sequence((base + {granule - 1}) div {granule}, (base + held - 1) div {granule}), array())")).alias("k")) \
         .withColumn("size", F.least(F.lit(granule), F.col("total") - F.col("k") * granule)) \
-        .withColumn("r", F.expr(f"least(last, cast(ceil(cast((k + 1) * {granule} as {big}) * {all_w} / (cast(w as {big}) * {seq_len})) as long))")) \
+        .withColumn("r", F.expr(f"least(last, {up(f'cast((k + 1) * {granule} as {big}) * {all_w}', quantum)})")) \
         .withColumn("block", F.expr(f"(r - 1) div {ROUNDS}"))
     served = F.expr(f"if(block * {ROUNDS} >= last, total, "
-                    f"{granule} * cast(floor(cast(block * {ROUNDS} as {big}) * {seq_len} * w / (cast({all_w} as {big}) * {granule})) as long))")
+                    f"{granule} * (cast(block * {ROUNDS} as {big}) * ({quantum}) div (cast({all_w} as {big}) * {granule})))")
     end = queues.agg(F.max("last")).first()[0] or 0
     block_start = queues.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit((end - 1) // ROUNDS if end else 0).cast("long")))) \
         .groupBy("block").agg(F.sum(served).alias("block_start"))

@@ -384,6 +384,18 @@ def test_packing(spark, odd, targets):
     assert packing.pack(rows.limit(0), path).count() == 0
 
 
+def test_packing_is_gapless_at_a_block_border(spark):
+    """A share a hair below a third: 8,192 granules are due just after round 1,536, which ends a block."""
+    rows = spark.createDataFrame([(i, "a " * 1200, "third" if i % 3 == 0 else "rest") for i in range(30)], "doc_id long, text string, source string")
+    got = packing.pack(rows, public_tokenizers.path("word_bpe_49k.json"), seq_len=16, granule=1,
+                       targets={"third": 2381.424169, "rest": 4762.84834}).collect()
+    at = 0
+    for p in sorted(got, key=lambda p: (p.sequence_id, p.offset)):
+        assert p.sequence_id * 16 + p.offset == at
+        at += p.length
+    assert at == sum({p.doc_id: p.doc_tokens for p in got}.values())
+
+
 def test_packing_needs_a_weight_for_each_source(spark, odd):
     with pytest.raises(ValueError):
         packing.pack(odd, public_tokenizers.path("word_bpe_49k.json"), targets={"s0": 1.0})
