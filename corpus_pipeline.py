@@ -27,12 +27,25 @@ def quality(spark, docs, sf_dir):
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """One document of each component of similar texts: the one with the smallest id.
-    Rows that repeat an id and its text are one document; rows without an id
-    link with nothing and stay, once for each text."""
-    found = jaccard.jaccard_components(docs)
-    gone = found.where("component_id <> doc_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    """One row of each component of similar texts: the one with the smallest id, of
+    these the one with the smallest text. Rows that repeat an id with other texts
+    are judged each by its text; rows that repeat an id and its text are one
+    document; rows without an id link with nothing and stay, once for each text."""
+    # components of rows, not of ids: an id can have several texts
+    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = stage(jaccard.jaccard_components(rows.select(F.when(F.col("doc_id").isNotNull(), F.col("_row")).alias("_row"), "text"), "_row")
+                  .where("component_id is not null").select(F.col("doc_id").alias("_row"), F.col("component_id").alias("comp")), "found")
+    later = found.where("comp <> _row")
+    members = later.union(later.select(F.col("comp").alias("_row"), "comp").distinct())
+    named = stage(members.join(rows.select("_row", "doc_id"), "_row"), "members")
+    least = stage(named.groupBy("comp", "doc_id").agg(F.count(F.lit(1)).alias("c"), F.min("_row").alias("_row"))
+                  .groupBy("comp").agg(F.min(F.struct("doc_id", "c", "_row")).alias("m")).select("comp", "m.*"), "least")
+    keep = least.where("c = 1").select("_row")
+    if least.where("c > 1").limit(1).count():             # the smallest id repeated: its smallest text
+        texts = named.join(least.where("c > 1").select("comp", "doc_id"), ["comp", "doc_id"], "left_semi").join(rows.select("_row", "text"), "_row")
+        keep = keep.union(texts.groupBy("comp").agg(F.min(F.struct("text", "_row")).alias("m")).select("m._row"))
+    gone = named.select("_row").join(keep, "_row", "left_anti")
+    return rows.join(gone, "_row", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 
 
 def pack(spark, docs, sf_dir):

@@ -415,3 +415,20 @@ def test_pipeline_stages(spark):
     for name, step in corpus_pipeline.STAGES:
         assert step(spark, rows.limit(0), sf).count() == 0, name
     assert corpus_pipeline.run(spark, sf).count() > 0
+
+
+def test_near_duplicates_judge_rows_not_ids(spark):
+    a, near_a, other = ("w%d " * 40 % tuple(range(40))), ("w%d " * 40 % (*range(39), 99)), "another text of its own with quite other words"
+    rows = [(1, a), (5, a), (5, other), (7, near_a + "z"), (7, near_a), (8, ""), (8, ""), (8, " "), (None, a), (None, a), (9, None)]
+    rows += [(20, "p " + other.upper()), (20, "o " + other.upper() + " p q"), (21, "p " + other.upper())]
+    alone = [(30, x + " ".join(f"k{i}" for i in range(50))) for x in ("c ", "b ", "b ", "d ")]
+    df = spark.createDataFrame(rows + alone, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, df, None).collect()), key=str)
+    linked = brute_components({i: t for i, (d, t) in enumerate(rows + alone) if d is not None})
+    best = {}
+    for i, (_, comp) in linked.items():
+        best.setdefault(comp, []).append(i)
+    all_rows = rows + alone
+    want = {min(((all_rows[i]) for i in ids), key=lambda r: (r[0], r[1] or "")) for ids in best.values()} | {(None, a)}
+    assert (5, other) in want and (30, alone[1][1]) in want
+    assert got == sorted(want, key=str)
