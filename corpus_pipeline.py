@@ -11,12 +11,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rigcast.llm import jaccard, langid, packing, quality_rules
-from rigcast.llm.common import stage
+from rigcast.llm.common import add_columns, stage
 
 
 def language(spark, docs, sf_dir):
-    """Documents in a known language: texts without a letter, null and empty texts go."""
+    """Documents in a known language: texts without a letter, null and empty texts go.
+    Where no row teaches a language, all texts with a letter stay."""
     model = langid.fit(langid.training_rows(docs, "doc_id", "text", "lang"))
+    if not model.langs:
+        return add_columns(docs, "text", "letter boolean", langid.letters).where("letter").select("row.*")
     return langid.predict(docs, model).where(F.col("lang_pred") != langid.UNKNOWN).select("row.*")
 
 

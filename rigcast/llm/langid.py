@@ -40,6 +40,10 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return presence(flat, [byte_grams(flat, n, WIDTH) for n in GRAMS], WIDTH)
 
 
+def letters(texts: list[str | None]) -> dict[str, list]:
+    return {"letter": [bool(t and _LETTER.search(t)) for t in texts]}
+
+
 @dataclass
 class Model:
     langs: list[str]

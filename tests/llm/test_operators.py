@@ -432,3 +432,10 @@ def test_near_duplicates_judge_rows_not_ids(spark):
     want = {min(((all_rows[i]) for i in ids), key=lambda r: (r[0], r[1] or "")) for ids in best.values()} | {(None, a)}
     assert (5, other) in want and (30, alone[1][1]) in want
     assert got == sorted(want, key=str)
+
+
+def test_language_stage_without_labels(spark, odd):
+    rows = odd.withColumn("lang", F.lit(None).cast("string"))
+    got = corpus_pipeline.language(spark, rows, None)
+    assert got.columns == rows.columns
+    assert sorted(r.text for r in got.collect()) == sorted(r.text for r in rows.collect() if r.text and re.search(r"[^\W\d_]", r.text))
