@@ -1,13 +1,14 @@
 """The registered queries of this subpackage and their DuckDB SQL.
 
-Chat formatting and revisit resolution have an SQL counterpart that is quick
-on whole tables; the others are held against brute force, round trips or held-out labels in
+Chat formatting, revisit resolution and the filter audit have an SQL counterpart
+that is quick on whole tables; the others are held against brute force, round trips or held-out labels in
 ``tests/llm``.
 """
 
 from __future__ import annotations
 
-from rigcast.llm import bpe, crosspoly, html_text, jaccard, langid, nbsvm, packing, quality_rules, reply_trees, revisits
+from rigcast.llm import (bpe, crosspoly, filter_audit, html_text, jaccard, langid, nbsvm, packing, quality_rules, reply_trees, revisits,
+                         simhash)
 
 QUERIES = {
     "op1_cross_polytope": crosspoly.op1_cross_polytope,
@@ -20,6 +21,9 @@ QUERIES = {
     "op8_language_id": langid.op8_language_id,
     "op9_bpe": bpe.op9_bpe,
     "op10_packing": packing.op10_packing,
+    "op12_simhash": simhash.op12_simhash,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
-ORACLE = {"op4_reply_trees": reply_trees.OP4_SQL, "op6_warc_revisits": revisits.OP6_SQL}
+ORACLE = {"op4_reply_trees": reply_trees.OP4_SQL, "op6_warc_revisits": revisits.OP6_SQL,
+          "op13_filter_audit": filter_audit.OP13_SQL}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -110,3 +111,28 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         before = now
     own = edges.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(own)
+
+
+@contextmanager
+def text_batches(spark: SparkSession):
+    """Small Arrow batches for the jobs run inside; the caller's setting comes back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(ARROW_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+HOT_SHARE = 1000      # a key with more than this fraction of all rows is hot: there are fewer than HOT_SHARE such keys
+
+
+def hot_join(rows: DataFrame, keyed: DataFrame, key: str, count: str, total: int) -> DataFrame:
+    """Inner join of stored ``rows`` with ``keyed`` (one row per ``key``, ``count`` rows each
+    of ``total``). Hot keys, fewer than ``HOT_SHARE`` by the definition, are joined by a
+    broadcast and so stay where their rows lie; all others are shuffled."""
+    hot = F.col(count) * HOT_SHARE > total
+    warm = F.broadcast(keyed.where(hot).drop(count))
+    cold = rows.join(warm.select(key), key, "left_anti").join(keyed.where(~hot).drop(count), key)
+    return rows.join(warm, key).unionByName(cold)
