@@ -7,7 +7,7 @@ that is quick on whole tables; the others are held against brute force, round tr
 
 from __future__ import annotations
 
-from rigcast.llm import (bpe, crosspoly, filter_audit, html_text, jaccard, langid, nbsvm, packing, quality_rules, reply_trees, revisits,
+from rigcast.llm import (bpe, chat_repair, crosspoly, filter_audit, html_text, jaccard, langid, nbsvm, packing, quality_rules, reply_trees, revisits,
                          simhash)
 
 QUERIES = {
@@ -21,6 +21,7 @@ QUERIES = {
     "op8_language_id": langid.op8_language_id,
     "op9_bpe": bpe.op9_bpe,
     "op10_packing": packing.op10_packing,
+    "op11_chat_repair": chat_repair.op11_chat_repair,
     "op12_simhash": simhash.op12_simhash,
     "op13_filter_audit": filter_audit.op13_filter_audit,
 }
