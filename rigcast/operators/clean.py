@@ -40,12 +40,20 @@ def select_features(df: DataFrame, features: Sequence[str], keep: Sequence[str]
 def coerce_numeric(df: DataFrame, columns: Iterable[str] | None = None,
                    exclude: Iterable[str] = ()) -> DataFrame:
     """Lenient text -> double on ``columns`` (B5); ``exclude`` keeps e.g. time
-    columns as text (B6). Unparsable values become null."""
+    columns as text (B6). Unparsable values become null.
+
+    The values of a row are coerced as one array, once: the array passes through
+    a generator of one element, below which no later filter or projection can be
+    pushed, so a filter on missing values does not repeat the parsing."""
     cols = list(df.columns if columns is None else columns)
     skip = set(exclude)
-    todo = {c for c in cols if c not in skip}
-    return df.select(*[coerce_double(col(c)).alias(c) if c in todo else col(c)
-                       for c in df.columns])
+    todo = [c for c in df.columns if c in cols and c not in skip]
+    if not todo:
+        return df
+    at = {c: i for i, c in enumerate(todo)}
+    parsed = F.transform(F.array(*[col(c).cast("string") for c in todo]), coerce_double)
+    rows = df.select(*[col(c) for c in df.columns if c not in at], F.explode(F.array(parsed)).alias("_parsed"))
+    return rows.select(*[F.col("_parsed")[at[c]].alias(c) if c in at else col(c) for c in df.columns])
 
 
 def coerce_all_but_time(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:

@@ -1,21 +1,13 @@
-"""F: ridge autoregressive forecaster, fitted for all targets in one pass.
-
-The batch pipelines train one sequence model per target on lookback windows.
-Here the model is a ridge regression of ``y = x[a + h - 1]`` on the lag
-vector ``x[a-L .. a-1]`` (plus intercept), fitted in closed form.
-
-Scale plan. Windows are never materialised for the fit. For a series ``x``
-and anchor range ``[s, e)`` every entry of the normal equations is a shifted
-range sum of lagged products ``x[t] * x[t + d]`` (``d = 0 .. L+P-1``) or of
-``x[t]``. One Spark job computes those sums per *segment* between cut points
-(the borders of every requested range): halo blocks of the wide table are
-grouped by block (bounded size), each block is reduced with numpy to
-``targets x segments x (L+P+1)`` numbers, and a partial/final ``sum``
-aggregate adds them up. A second, tiny job collects the values next to each
-cut point (``cuts x (2L+2P)`` rows). From these the driver assembles, for any
-range, the exact Gram matrix ``[1, lags, y]``: fits, fold fits (F2) and
-validation/test MSE all come from the same single pass over the data.
-Prediction (F3/F4) is a native dot product over windows.
+"""F: ridge autoregressive forecasters, fitted for all targets in one pass.
+
+The batch pipelines train one sequence model per target on lookback windows
+(or one on all of them, in modes M and MS). Here the model is a ridge
+regression of ``y = x[a + h - 1]`` on the lags ``x[a-L .. a-1]`` of the target
+itself or of all features (plus intercept), in closed form. Windows are never
+materialised for the fit: ``operators.lagfit`` reduces the rows to lagged
+sums in one pass and solves every model on the executors.
+Prediction (F3/F4) is a native dot product over windows, or a matrix product
+per halo block.
 """
 
 from __future__ import annotations
@@ -29,181 +21,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rigcast.operators.clean import col
+from rigcast.operators.clean import col, select_mode
+from rigcast.operators.lagfit import Job, solve
+from rigcast.operators.order import rows_in
 from rigcast.operators.windows import halo_blocks
 
-STATS_SCHEMA = "target string, seg int, d int, s double"
 COEF_SCHEMA = ("target string, fit string, h int, lookback int, ridge double, n long, "
                "intercept double, coef array<double>")
 
 
-# ---------------------------------------------------------------- statistics
-
-def stats_block(spark: SparkSession, n_rows: int, max_lag: int, cap: int = 1 << 16) -> int:
-    """Block size of the statistics pass: at most ``cap`` rows (bounded
-    groups), at least ``20 (max_lag + 1)`` (copy factor <= 1.05), and small
-    enough that a short series still spreads over every core."""
-    lanes = 4 * max(spark.sparkContext.defaultParallelism, 1)
-    return int(max(20 * (max_lag + 1), min(cap, -(-n_rows // lanes))))
-
-
-def lag_statistics(df: DataFrame, targets: Sequence[str], max_lag: int, cuts: Sequence[int],
-                   n_rows: int, idx: str = "idx", block: int | None = None) -> DataFrame:
-    """Sums per ``(target, seg, d)``: ``d >= 0`` -> ``sum x[t] * x[t+d]``,
-    ``d = -1`` -> ``sum x[t]``, ``d = -2`` -> row count, over rows ``t`` with
-    ``cuts[seg-1] <= t < cuts[seg]`` (``cuts[-1] = 0``). Rows at or after the
-    last cut are not needed and not summed. Lazy."""
-    cut_arr = np.array(sorted(set(int(c) for c in cuts)), dtype=np.int64)
-    b = block or stats_block(df.sparkSession, n_rows, max_lag)
-    names = list(targets)
-    blocks, _ = halo_blocks(df.select(F.col(idx).alias("_i"), *[col(t).alias(f"_v{k}") for k, t in enumerate(names)]),
-                            0, max_lag, b, "_i")
-    blocks = blocks.drop("_own")
-    n_seg = len(cut_arr)
-
-    def reduce_block(pdf: pd.DataFrame) -> pd.DataFrame:
-        blk = int(pdf["_blk"].iloc[0])
-        base = blk * b
-        width = b + max_lag
-        pos = pdf["_i"].to_numpy(dtype=np.int64) - base
-        inside = (pos >= 0) & (pos < width)
-        pos = pos[inside]
-        present = np.zeros(width, dtype=bool)
-        present[pos] = True
-        own_t = base + np.arange(b, dtype=np.int64)
-        seg = np.searchsorted(cut_arr, own_t, side="right")
-        valid = present[:b] & (seg < n_seg)
-        if not valid.any():
-            return pd.DataFrame({"target": pd.Series([], dtype=object), "seg": np.array([], np.int32),
-                                 "d": np.array([], np.int32), "s": np.array([], np.float64)})
-        seg_v = seg[valid]
-        used = np.unique(seg_v)
-        cnt = np.bincount(seg_v, minlength=n_seg)[used].astype(float)
-        out_t, out_g, out_d, out_s = [], [], [], []
-        for k, name in enumerate(names):
-            x = np.zeros(width)
-            x[pos] = pdf[f"_v{k}"].to_numpy(dtype=float)[inside]
-            own = x[:b]
-            rows = [cnt, np.bincount(seg_v, weights=own[valid], minlength=n_seg)[used]]
-            for d in range(max_lag + 1):
-                prod = own * x[d:d + b]
-                rows.append(np.bincount(seg_v, weights=prod[valid], minlength=n_seg)[used])
-            mat = np.vstack(rows)          # (max_lag + 3, len(used))
-            dd = np.repeat(np.arange(-2, max_lag + 1), len(used))
-            out_t.append(np.full(mat.size, name, dtype=object))
-            out_g.append(np.tile(used, mat.shape[0]))
-            out_d.append(dd)
-            out_s.append(mat.ravel())
-        return pd.DataFrame({"target": np.concatenate(out_t), "seg": np.concatenate(out_g).astype(np.int32),
-                             "d": np.concatenate(out_d).astype(np.int32), "s": np.concatenate(out_s)})
-
-    per_block = blocks.groupBy("_blk").applyInPandas(reduce_block, STATS_SCHEMA)
-    return per_block.groupBy("target", "seg", "d").agg(F.sum("s").alias("s"))
-
-
-def edge_values(df: DataFrame, targets: Sequence[str], cuts: Sequence[int], before: int,
-                after: int, idx: str = "idx") -> DataFrame:
-    """Rows next to each cut point: ``idx`` in ``[c - before, c + after)``."""
-    cond = None
-    for c in sorted(set(int(c) for c in cuts)):
-        term = F.col(idx).between(c - before, c + after - 1)
-        cond = term if cond is None else (cond | term)
-    return df.where(cond).select(F.col(idx).alias("idx"), *[col(t) for t in targets])
-
-
-@dataclass
-class SeriesStats:
-    """Driver-side view of one target's statistics (tens of KB)."""
-    cuts: np.ndarray          # sorted cut points
-    T: np.ndarray             # (len(cuts), D+1): T_d(c_i) = sum_{t < c_i} x[t] x[t+d]
-    P: np.ndarray             # (len(cuts),):     sum_{t < c_i} x[t]
-    N: np.ndarray             # (len(cuts),):     rows before c_i
-    edges: dict               # idx -> value near the cuts
-    max_lag: int
-
-    def _local(self, i: int, left: int, right: int):
-        c = int(self.cuts[i])
-        t0 = c - left
-        w = left + right + self.max_lag + 1
-        x = np.array([self.edges.get(t, 0.0) for t in range(t0, t0 + w)])
-        return c, t0, x
-
-    def shifted(self, i: int, shifts: np.ndarray, left: int, right: int):
-        """``T_d(c_i - j)`` for every ``j`` in ``shifts`` and every ``d``, plus ``P(c_i - j)``."""
-        c, t0, x = self._local(i, left, right)
-        span = left + right
-        D = self.max_lag
-        prods = np.vstack([x[:span] * x[d:d + span] for d in range(D + 1)])      # (D+1, span)
-        qc = np.concatenate([np.zeros((D + 1, 1)), np.cumsum(prods, axis=1)], axis=1)
-        qx = np.concatenate([[0.0], np.cumsum(x[:span])])
-        at_c = c - t0
-        at_j = c - shifts - t0
-        T = self.T[i][:, None] - qc[:, [at_c]] + qc[:, at_j]                      # (D+1, len(shifts))
-        P = self.P[i] - qx[at_c] + qx[at_j]
-        return T, P
-
-
-def collect_stats(stats: DataFrame, edges: DataFrame, targets: Sequence[str], cuts: Sequence[int],
-                  max_lag: int) -> dict[str, SeriesStats]:
-    """Bring the (bounded) statistics to the driver and cumulate over segments."""
-    cut_arr = np.array(sorted(set(int(c) for c in cuts)), dtype=np.int64)
-    G = len(cut_arr)
-    acc = {t: np.zeros((G, max_lag + 3)) for t in targets}
-    for r in stats.collect():
-        acc[r["target"]][r["seg"], r["d"] + 2] = r["s"]
-    edge_rows = edges.collect()
-    out = {}
-    for t in targets:
-        cum = np.cumsum(acc[t], axis=0)
-        ev = {int(r["idx"]): float(r[t]) for r in edge_rows}
-        out[t] = SeriesStats(cut_arr, cum[:, 2:], cum[:, 1], cum[:, 0], ev, max_lag)
-    return out
-
-
-def range_gram(st: SeriesStats, start: int, end: int, lookback: int, h: int = 1) -> np.ndarray:
-    """Exact Gram matrix over anchors ``[start, end)`` of the features
-    ``[1, x[a-1], ..., x[a-lookback], y = x[a+h-1]]``."""
-    if start < lookback:
-        raise ValueError("the first anchor needs a full lookback")
-    if end <= start:
-        raise ValueError("empty anchor range")
-    shifts = np.array([*range(1, lookback + 1), -(h - 1)])           # lag j of each column
-    left, right = lookback + 1, h + 1
-    ci = {int(c): i for i, c in enumerate(st.cuts)}
-    Te, Pe = st.shifted(ci[end], shifts, left, right)
-    Ts, Ps = st.shifted(ci[start], shifts, left, right)
-    m = len(shifts)
-    jj, kk = np.meshgrid(np.arange(m), np.arange(m), indexing="ij")
-    sj, sk = shifts[jj], shifts[kk]
-    d = np.abs(sj - sk)
-    hi = np.where(sj >= sk, jj, kk)                                  # column with the larger lag
-    M = Te[d, hi] - Ts[d, hi]
-    S = Pe - Ps
-    G = np.empty((m + 1, m + 1))
-    G[0, 0] = end - start
-    G[0, 1:] = S
-    G[1:, 0] = S
-    G[1:, 1:] = M
-    return G
-
-
-def solve_ridge(G: np.ndarray, ridge: float) -> np.ndarray:
-    """Solve ``(A + ridge * I') w = b`` (intercept not penalised); ``A``, ``b``
-    are the feature block and the target column of the Gram matrix."""
-    A = G[:-1, :-1].copy()
-    b = G[:-1, -1]
-    A[np.arange(1, len(A)), np.arange(1, len(A))] += ridge
-    try:
-        return np.linalg.solve(A, b)
-    except np.linalg.LinAlgError:
-        return np.linalg.lstsq(A, b, rcond=None)[0]
-
-
-def range_sse(G: np.ndarray, w: np.ndarray) -> float:
-    v = np.append(w, -1.0)
-    return float(max(v @ G @ v, 0.0))
-
-
 # ---------------------------------------------------------------- fitting
 
 @dataclass
@@ -212,87 +38,69 @@ class FitResult:
     scores: DataFrame         # (target, fit, range, h, n, mse)
 
 
-def _window_coef(w: np.ndarray) -> list[float]:
-    # w = [intercept, lag1 .. lagL]; windows hold x[a-L] .. x[a-1] (oldest first)
-    return [float(v) for v in w[:0:-1]]
+def _result(solved: DataFrame, names: Sequence[str], cross: bool) -> FitResult:
+    """Names instead of positions; the stored rows are as many as the configuration has models."""
+    target = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("out" if cross else "unit") + 1)
+    rows = solved.withColumn("target", target).withColumnRenamed("job", "fit")
+    scores = rows.select("target", "fit", "h", F.inline("scores")).select("target", "fit", "range", "h", "n", "mse")
+    return FitResult(rows.select(*[c.split()[0] for c in COEF_SCHEMA.split(", ")]), scores)
 
 
-def check_dense(st: SeriesStats, target: str, s: int, e: int, lookback: int, horizon: int = 1) -> None:
-    """Raise unless every row of ``[s - lookback, e + horizon - 1)`` is present:
-    the rows between the cuts are counted by the statistics pass, those outside
-    them are looked up among the rows kept next to the cuts."""
-    at = {int(c): i for i, c in enumerate(st.cuts)}
-    have = st.N[at[e]] - st.N[at[s]] + sum(i in st.edges for i in (*range(s - lookback, s), *range(e, e + horizon - 1)))
-    if have != e - s + lookback + horizon - 1:
-        raise ValueError(f"index of {target} has gaps inside [{s - lookback}, {e + horizon - 1})")
+def _jobs(lookback: int, fits: Mapping, evals: Mapping | None, ridge, horizon: int, select_on: str) -> list[Job]:
+    grid = tuple(float(r) for r in ridge) if isinstance(ridge, (list, tuple)) else (float(ridge),)
+    return [Job(name, lookback, r, dict((evals or {}).get(name, {})), grid, select_on, horizon) for name, r in fits.items()]
 
 
-def fit_ranges(df: DataFrame, targets: Sequence[str], lookback: int,
+def fit_ranges(df, targets: Sequence[str], lookback: int,
                fits: Mapping[str, tuple[int, int]],
                evals: Mapping[str, Mapping[str, tuple[int, int]]] | None = None,
                ridge: float | Sequence[float] = 1e-3, horizon: int = 1, n_rows: int | None = None,
                idx: str = "idx", block: int | None = None, select_on: str = "tail") -> FitResult:
     """fit one ridge AR model per ``(target, fit, h)`` on the anchor
     ranges in ``fits`` and score it on the anchor ranges ``evals[fit]``.
-    All ranges are served by one statistics pass over ``df`` (wide: ``idx`` +
-    one column per target, dense ``idx``). Raises if a range is too short.
+    All ranges are served by one statistics pass over ``df`` (a DataFrame with
+    dense ``idx`` and one column per target, or a stored index whose scan takes
+    the ranges). Raises if a range is too short or has gaps.
     A sequence of ``ridge`` values is a grid: per ``(target, fit, h)`` the
     value with the lowest MSE on ``evals[fit][select_on]`` is kept."""
-    spark = df.sparkSession
-    evals = evals or {}
-    if n_rows is None:
-        n_rows = df.agg(F.max(idx)).first()[0] + 1
-    cuts = set()
-    for s, e in fits.values():
-        cuts |= {s, e}
-    for per_fit in evals.values():
-        for s, e in per_fit.values():
-            cuts |= {s, e}
-    for s, e in [*fits.values(), *(r for pf in evals.values() for r in pf.values())]:
-        if s < lookback or e <= s or e > n_rows - horizon + 1:
-            raise ValueError(f"anchor range [{s}, {e}) is empty or out of bounds for "
-                             f"n={n_rows}, lookback={lookback}, horizon={horizon}")
-    max_lag = lookback + horizon - 1
-    stats = lag_statistics(df, targets, max_lag, sorted(cuts), n_rows, idx, block)
-    edges = edge_values(df, targets, sorted(cuts), lookback + 2, lookback + 2 * horizon + 2, idx)
-    per_target = collect_stats(stats, edges, targets, sorted(cuts), max_lag)
-    coef_rows, score_rows = [], []
-    for t in targets:
-        st = per_target[t]
-        ci = {int(c): i for i, c in enumerate(st.cuts)}
-        for name, (s, e) in fits.items():
-            for a, b in ((s, e), *evals.get(name, {}).values()):
-                check_dense(st, t, a, b, lookback, horizon)
-            grid = [float(r) for r in ridge] if isinstance(ridge, (list, tuple)) else [float(ridge)]
-            for h in range(1, horizon + 1):
-                G = range_gram(st, s, e, lookback, h)
-                lam, w = grid[0], solve_ridge(G, grid[0])
-                if len(grid) > 1:
-                    if select_on not in evals.get(name, {}):
-                        raise ValueError(f"a ridge grid needs an evaluation range {select_on!r} for {name}")
-                    ss, se = evals[name][select_on]
-                    Gs = range_gram(st, ss, se, lookback, h)
-                    scored = [(range_sse(Gs, solve_ridge(G, r)), r) for r in grid]
-                    lam = min(scored)[1]
-                    w = solve_ridge(G, lam)
-                coef_rows.append((t, name, h, lookback, lam, int(e - s), float(w[0]),
-                                  _window_coef(w)))
-                score_rows.append((t, name, "fit", h, int(e - s), range_sse(G, w) / (e - s)))
-                for rname, (rs, re_) in evals.get(name, {}).items():
-                    Gv = range_gram(st, rs, re_, lookback, h)
-                    score_rows.append((t, name, rname, h, int(re_ - rs), range_sse(Gv, w) / (re_ - rs)))
-    coefs = spark.createDataFrame(coef_rows, COEF_SCHEMA)
-    scores = spark.createDataFrame(score_rows, "target string, fit string, range string, h int, n long, mse double")
-    return FitResult(coefs, scores)
-
-
-def fit_ar(df: DataFrame, targets: Sequence[str], lookback: int, start: int | None = None,
+    jobs = _jobs(lookback, fits, evals, ridge, horizon, select_on)
+    return _result(solve(df, targets, jobs, n_rows=n_rows, idx=idx, block=block), targets, False)
+
+
+def fit_vector(df, features: Sequence[str], targets: Sequence[str], lookback: int,
+               fits: Mapping[str, tuple[int, int]],
+               evals: Mapping[str, Mapping[str, tuple[int, int]]] | None = None,
+               ridge: float | Sequence[float] = 1e-3, horizon: int = 1, n_rows: int | None = None,
+               idx: str = "idx", block: int | None = None, select_on: str = "tail") -> FitResult:
+    """Vector autoregression: every target is regressed on the lags of *all*
+    ``features`` (modes M and MS). ``coef`` holds the oldest step first and
+    within a step the features in order, as flattened multivariate windows do.
+    ``targets`` must be among ``features``."""
+    names = list(features)
+    missing = [t for t in targets if t not in names]
+    if missing:
+        raise ValueError(f"targets not among the features: {missing}")
+    jobs = _jobs(lookback, fits, evals, ridge, horizon, select_on)
+    solved = solve(df, names, jobs, [names.index(t) for t in targets], True, n_rows, idx, block)
+    return _result(solved, names, True)
+
+
+def fit_mode(df, features: Sequence[str], target: str | None, mode: str, lookback: int, fits: Mapping,
+             evals: Mapping | None = None, **options) -> FitResult:
+    """F1 in mode ``M`` (all features predict all), ``MS`` (all predict one) or ``S`` (one predicts itself)."""
+    inputs, outputs = select_mode(features, target, mode)
+    if mode == "S":
+        return fit_ranges(df, outputs, lookback, fits, evals, **options)
+    return fit_vector(df, inputs, outputs, lookback, fits, evals, **options)
+
+
+def fit_ar(df, targets: Sequence[str], lookback: int, start: int | None = None,
            end: int | None = None, ridge: float = 1e-3, horizon: int = 1,
            n_rows: int | None = None, idx: str = "idx") -> DataFrame:
     """one model per target on anchors ``[start, end)`` (default: every
     anchor with a full lookback). Returns the coefficient table."""
     if n_rows is None:
-        n_rows = df.agg(F.max(idx)).first()[0] + 1
+        n_rows = df.agg(F.max(idx)).first()[0] + 1 if isinstance(df, DataFrame) else df.count
     s = lookback if start is None else start
     e = (n_rows - horizon + 1) if end is None else end
     if e - s < 1:
@@ -301,7 +109,7 @@ def fit_ar(df: DataFrame, targets: Sequence[str], lookback: int, start: int | No
                       n_rows=n_rows, idx=idx).coefs
 
 
-def cross_validate(df: DataFrame, targets: Sequence[str], lookback: int, n_rows: int, folds: int,
+def cross_validate(df, targets: Sequence[str], lookback: int, n_rows: int, folds: int,
                    ridge: float | Sequence[float] = 1e-3, val_size: float | None = None,
                    idx: str = "idx") -> FitResult:
     """expanding-window CV (C4 bounds on ``[0, n_rows)``). Fold ``j`` fits on
@@ -424,6 +232,60 @@ def forecast_blocks(series: DataFrame, coefs: DataFrame, lookback: int, horizon:
     return out.withColumnRenamed("_k", key)
 
 
+def predict_blocks(src, start: int, end: int, coefs: DataFrame, features: Sequence[str], targets: Sequence[str], lookback: int,
+                   horizon: int = 1, idx: str = "idx", block: int | None = None) -> DataFrame:
+    """F3/F4 for every anchor whose window and horizon lie in rows ``[start, end)``:
+    ``(target, idx, h, pred, true)``. One wide row per index is copied to its
+    halo block (all features together, no row per target); a block multiplies
+    its lag matrix, some anchors at a time, with the coefficients. A model whose
+    coefficients number ``lookback`` reads its own target, one with ``lookback
+    x features`` reads them all. The coefficient table has one row per target
+    and step (bounded by configuration) and goes with the task."""
+    names, wanted = list(features), list(targets)
+    rows = coefs.where(F.col("target").isin(wanted)).select("target", "h", "intercept", "coef").collect()
+    models: dict = {}
+    for r in rows:
+        models.setdefault(r["target"], {})[r["h"]] = (r["intercept"], np.asarray(r["coef"], float))
+    steps = range(1, horizon + 1)
+    models = {t: (np.array([m[h][0] for h in steps]), np.column_stack([m[h][1] for h in steps])) for t, m in models.items() if all(h in m for h in steps)}
+    b = block or max(1 << 14, 20 * (lookback + horizon))
+    part = rows_in(src, [(start, end)], idx)
+    blocks, _ = halo_blocks(part.select(F.col(idx).alias("_i"), F.array(*[col(c).cast("double") for c in names]).alias("x")),
+                            lookback, horizon - 1, b, "_i")
+
+    def one_block(pdf: pd.DataFrame) -> pd.DataFrame:
+        low = int(pdf["_blk"].iloc[0]) * b - lookback
+        width = lookback + b + horizon - 1
+        pos = pdf["_i"].to_numpy(np.int64) - low
+        x, have = np.zeros((width, len(names))), np.zeros(width, bool)
+        x[pos], have[pos] = np.vstack(pdf["x"].to_numpy()), True
+        run = np.r_[0, np.cumsum(have)]
+        at = lookback + np.arange(b)
+        at = at[run[at + horizon] - run[at - lookback] == lookback + horizon]
+        out = []
+        chunk = max(1, (1 << 22) // (lookback * len(names)))
+        for lo in range(0, len(at), chunk):
+            a = at[lo:lo + chunk]
+            past = np.lib.stride_tricks.sliding_window_view(x, lookback, axis=0)[a - lookback]          # (m, features, lookback)
+            wide = None
+            for t, (icpt, c) in models.items():
+                own = names.index(t)
+                if len(c) == lookback:
+                    lag = past[:, own]
+                else:
+                    if wide is None:
+                        wide = past.transpose(0, 2, 1).reshape(len(a), -1)
+                    lag = wide
+                true = np.lib.stride_tricks.sliding_window_view(x[:, own], horizon)[a]
+                out.append(pd.DataFrame({"target": t, "idx": np.repeat(a + low, horizon), "h": np.tile(np.arange(1, horizon + 1), len(a)),
+                                         "pred": (lag @ c + icpt).ravel(), "true": true.ravel()}))
+        if not out:
+            return pd.DataFrame({"target": [], "idx": [], "h": [], "pred": [], "true": []})
+        return pd.concat(out)
+
+    return blocks.groupBy("_blk").applyInPandas(one_block, "target string, idx long, h int, pred double, true double")
+
+
 # ---------------------------------------------------------------- search
 
 def trial_table(spark: SparkSession, n_trials: int, seed: int, lookback_range: tuple[int, int],
@@ -438,7 +300,7 @@ def trial_table(spark: SparkSession, n_trials: int, seed: int, lookback_range: t
         F.exp(F.lit(rlo) + F.rand(seed + 1) * (rhi - rlo)).alias("ridge"))
 
 
-def trial_search(df: DataFrame, targets: Sequence[str], n_rows: int, train_end: int,
+def trial_search(df, targets: Sequence[str], n_rows: int, train_end: int,
                  trials: DataFrame, val_size: float = 0.1, select_on: str = "val",
                  idx: str = "idx") -> tuple[DataFrame, DataFrame]:
     """score every trial for every target and keep the best per target.
@@ -446,32 +308,19 @@ def trial_search(df: DataFrame, targets: Sequence[str], n_rows: int, train_end:
     ``select_on='val'`` fits on the train part without its last ``val_size``
     share and scores on windows inside that tail; ``'test'`` fits on the whole
     train part and scores on windows inside ``[train_end, n_rows)`` (the
-    reference's rule). One statistics pass serves every trial. Returns
-    ``(trials, best)``; ``best`` is picked with ``min_by`` per target."""
-    spark = df.sparkSession
+    reference's rule). One statistics pass serves every trial, and every
+    (target, trial) is a group of its own. Returns ``(trials, best)``; ``best``
+    is picked with ``min_by`` per target."""
     plan = trials.select("trial", "lookback", "ridge").collect()   # bounded by the trial budget
-    max_l = max(r["lookback"] for r in plan)
     vb = int(train_end * (1 - val_size))
-    cuts, ranges = set(), {}
+    jobs = []
     for r in plan:
-        L = r["lookback"]
-        fit_r, ev_r = ((L, vb), (vb + L, train_end)) if select_on == "val" else ((L, train_end), (train_end + L, n_rows))
-        ranges[r["trial"]] = (fit_r, ev_r)
-        cuts |= {*fit_r, *ev_r}
-    stats = lag_statistics(df, targets, max_l, sorted(cuts), n_rows, idx)
-    edges = edge_values(df, targets, sorted(cuts), max_l + 2, max_l + 4, idx)
-    per_target = collect_stats(stats, edges, targets, sorted(cuts), max_l)
-    rows = []
-    for t in targets:
-        for r in plan:
-            (fs, fe), (es, ee) = ranges[r["trial"]]
-            for a, b in ranges[r["trial"]]:
-                check_dense(per_target[t], t, a, b, r["lookback"])
-            w = solve_ridge(range_gram(per_target[t], fs, fe, r["lookback"]), r["ridge"])
-            mse = range_sse(range_gram(per_target[t], es, ee, r["lookback"]), w) / (ee - es)
-            rows.append((t, r["trial"], (r["lookback"], float(r["ridge"])), math.sqrt(mse)))
-    out = spark.createDataFrame(
-        rows, "target string, trial int, params struct<lookback:int,ridge:double>, rmse double")
+        look = r["lookback"]
+        fit, scored = ((look, vb), (vb + look, train_end)) if select_on == "val" else ((look, train_end), (train_end + look, n_rows))
+        jobs.append(Job(str(r["trial"]), look, fit, {"score": scored}, (float(r["ridge"]),)))
+    res = _result(solve(df, targets, jobs, n_rows=n_rows, idx=idx), targets, False)
+    out = res.scores.where(F.col("range") == "score").join(res.coefs.select("target", "fit", "lookback", "ridge"), ["target", "fit"]) \
+        .select("target", F.col("fit").cast("int").alias("trial"), F.struct("lookback", "ridge").alias("params"), F.sqrt("mse").alias("rmse"))
     best = out.groupBy("target").agg(F.min_by("params", "rmse").alias("params"),
                                      F.min("rmse").alias("rmse"))
     return out, best

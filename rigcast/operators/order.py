@@ -17,7 +17,7 @@ borders into the Parquet scan.
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -28,7 +28,6 @@ from rigcast.session import materialize
 
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
-MAX_INDEX_PARTITIONS = 1 << 20   # bound of the broadcast offsets table
 
 
 def _sort_cols(order: Sequence[str | Column]) -> list[Column]:
@@ -68,11 +67,66 @@ class IndexedTable:
         return (pid << _POS_BITS) + (i - off)
 
     def between(self, lo: int, hi: int) -> DataFrame:
-        lo, hi = max(lo, 0), min(hi, self.count)
-        if hi <= lo:
-            return self.frame(self.stored.where(F.lit(False)))
-        rows = self.stored.where(F.col("_rid").between(self._rid_of(lo), self._rid_of(hi - 1)))
-        return self.frame(rows)
+        return self.ranges([(lo, hi)])
+
+    def ranges(self, parts: Sequence[tuple[int, int]]) -> DataFrame:
+        """Rows of any of the ranges ``[lo, hi)``, each as a range of stamps."""
+        parts = [(max(lo, 0), min(hi, self.count)) for lo, hi in parts]
+        terms = [F.col("_rid").between(self._rid_of(lo), self._rid_of(hi - 1)) for lo, hi in merged(parts)]
+        return self.frame(self.stored.where(any_of(terms)))
+
+    def view(self, shape: Callable[[DataFrame], DataFrame]) -> IndexedView:
+        """The table with a projection that every reading applies."""
+        return IndexedView(self, shape)
+
+
+@dataclass
+class IndexedView:
+    """An :class:`IndexedTable` behind a row-wise projection that keeps ``idx``:
+    index ranges still reach the scan as ranges of stamps."""
+    table: IndexedTable
+    shape: Callable[[DataFrame], DataFrame] = field(repr=False)
+
+    @property
+    def count(self) -> int:
+        return self.table.count
+
+    def frame(self) -> DataFrame:
+        return self.shape(self.table.frame())
+
+    def between(self, lo: int, hi: int) -> DataFrame:
+        return self.shape(self.table.between(lo, hi))
+
+    def ranges(self, parts: Sequence[tuple[int, int]]) -> DataFrame:
+        return self.shape(self.table.ranges(parts))
+
+    def view(self, shape: Callable[[DataFrame], DataFrame]) -> IndexedView:
+        return IndexedView(self.table, lambda df: shape(self.shape(df)))
+
+
+def merged(parts: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges ``[lo, hi)`` in order, empty ones left out, overlapping and touching ones joined."""
+    out: list[tuple[int, int]] = []
+    for lo, hi in sorted(p for p in parts if p[1] > p[0]):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
+def any_of(terms: Sequence[Column]) -> Column:
+    out = F.lit(False)
+    for i, t in enumerate(terms):
+        out = t if i == 0 else out | t
+    return out
+
+
+def rows_in(src: DataFrame | IndexedTable | IndexedView, parts: Sequence[tuple[int, int]], idx: str = "idx") -> DataFrame:
+    """Rows whose index is in any of the ranges ``[lo, hi)``; pushed into the scan of a stored index."""
+    if isinstance(src, DataFrame):
+        return src.where(any_of([(F.col(idx) >= lo) & (F.col(idx) < hi) for lo, hi in merged(parts)]))
+    return src.ranges(parts)
 
 
 def index_table(df: DataFrame, order: Sequence[str | Column], idx: str = "idx",
@@ -88,8 +142,6 @@ def index_table(df: DataFrame, order: Sequence[str | Column], idx: str = "idx",
     soon as the stamped rows are stored."""
     spark = df.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if not 0 < parts <= MAX_INDEX_PARTITIONS:
-        raise ValueError(f"num_partitions must be in 1..{MAX_INDEX_PARTITIONS}")
     keys = _sort_cols(order)
     reuse_input = reuse_input and not df.is_cached      # never drop the caller's cache
     src = df.persist(StorageLevel.MEMORY_AND_DISK) if reuse_input else df
@@ -102,9 +154,11 @@ def index_table(df: DataFrame, order: Sequence[str | Column], idx: str = "idx",
         if reuse_input:
             src.unpersist()
     counts = (stored.groupBy(F.shiftright(F.col("_rid"), _POS_BITS).alias("_pid"))
-              .agg(F.count(F.lit(1)).alias("_n")).orderBy("_pid").collect())
+              .agg(F.count(F.lit(1)).alias("_n"), F.max(F.col("_rid").bitwiseAND(F.lit(_POS_MASK))).alias("_last")).orderBy("_pid").collect())
     offsets, run = [], 0
     for r in counts:
+        if r["_last"] + 1 != r["_n"]:
+            raise ValueError(f"a partition holds more than 2^{_POS_BITS} rows; use more partitions")
         offsets.append((int(r["_pid"]), run, int(r["_n"])))
         run += int(r["_n"])
     return IndexedTable(stored, offsets, idx)
@@ -118,10 +172,10 @@ def dense_index(df: DataFrame, order: Sequence[str | Column], idx: str = "idx",
     return index_table(df, order, idx, num_partitions, name).frame()
 
 
-def order_by_unit_test(df: DataFrame) -> DataFrame:
-    """Total order of the raw union with explicit tie-breakers that keep
-    the in-file line order. Prefer :func:`dense_index` with the same keys."""
-    return df.orderBy("UNIT", "TEST", "_file", "_block", "_ord")
+#: Total order of the raw union; the tie-breakers keep the line order within a file
+RAW_ORDER = ("UNIT", "TEST", "_file", "_block", "_ord")
 
 
-RAW_ORDER = ("UNIT", "TEST", "_file", "_block", "_ord")
+def shaped(src: DataFrame | IndexedTable | IndexedView, shape: Callable[[DataFrame], DataFrame]):
+    """``shape`` applied now to a DataFrame, or on every reading of a stored index."""
+    return shape(src) if isinstance(src, DataFrame) else src.view(shape)

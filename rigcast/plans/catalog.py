@@ -24,13 +24,13 @@ from rigcast.operators import splits as sp
 from rigcast.operators import windows as wn
 from rigcast.operators.clean import (add_running_time, clean_interim, coerce_numeric,
                                      drop_columns, drop_idle_steps, drop_missing,
-                                     normalise_columns, select_features, unpivot_targets)
+                                     normalise_columns, select_features, select_mode, unpivot_targets)
 from rigcast.operators.ingest import test_ordinals
-from rigcast.operators.order import IndexedTable, dense_index, index_table
+from rigcast.operators.order import IndexedTable, IndexedView, dense_index, index_table
 from rigcast.plans import oracle as oq
 from rigcast.functions.numeric import coerce_double
 from rigcast.operators.order import RAW_ORDER
-from rigcast.session import scratch_path
+from rigcast.session import materialize, scratch_path
 from rigcast.sources import files as fl
 from rigcast.sources.telemetry import (EVENT_ORDER, SENSOR_SOURCE, load, raw_file_names,
                                        raw_from_events, write_raw_csv_folder,
@@ -49,6 +49,8 @@ VAL_SIZE = 0.2
 REPEATS = 3
 TRIALS = 100
 SMALL_TRIALS = [(0, 1, 1e-3), (1, 2, 1e-3), (2, 1, 50.0), (3, 2, 50.0)]   # trial, lookback, ridge: solved in the SQL as well
+MODE_PAIR = ["VIBRATION_1", "DRIVE_POWER"]      # small enough for a closed form in SQL
+MODE_STEPS, MODE_KEPT = 3, 2
 
 _MEMO: dict = {}
 
@@ -61,8 +63,19 @@ def r6(c: Column | str) -> Column:
     return F.round(x, 9).cast("float").cast("double") + F.lit(0.0)
 
 
-def _key(spark: SparkSession, sf_dir: str, what: str):
-    return (spark.sparkContext.applicationId, sf_dir, what)
+def _key(spark: SparkSession, sf_dir: str, what: str, table: str = "events"):
+    """Key of a table derived once per session: a changed source table gives another key."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return (spark.sparkContext.applicationId, sf_dir, what, fs.getFileStatus(path).getModificationTime(), fs.getContentSummary(path).getLength())
+
+
+def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stand-in raw log, its text shaped and stored once per session: shaping it is not the library's work."""
+    k = _key(spark, sf_dir, "raw")
+    if k not in _MEMO:
+        _MEMO[k] = materialize(raw_from_events(load(spark, sf_dir, "events")), "raw-log")
+    return _MEMO[k]
 
 
 def interim_table(spark: SparkSession, sf_dir: str) -> IndexedTable:
@@ -72,8 +85,7 @@ def interim_table(spark: SparkSession, sf_dir: str) -> IndexedTable:
     k = _key(spark, sf_dir, "interim")
     if k not in _MEMO:
         from rigcast.plans.pipeline import clean_and_index
-        raw = raw_from_events(load(spark, sf_dir, "events"))
-        _MEMO[k] = clean_and_index(raw, EVENT_ORDER)
+        _MEMO[k] = clean_and_index(raw_log(spark, sf_dir), EVENT_ORDER)
     return _MEMO[k]
 
 
@@ -92,9 +104,15 @@ def train_params(spark: SparkSession, sf_dir: str) -> dict:
     return _MEMO[k]
 
 
+def scaled_view(spark: SparkSession, sf_dir: str) -> IndexedView:
+    """Scaled targets behind the stored index: index ranges reach its scan."""
+    p = train_params(spark, sf_dir)
+    return interim_table(spark, sf_dir).view(lambda df: sc.transform(df.select("idx", *TARGETS), p, TARGETS))
+
+
 def scaled_wide(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
-    df, n = interim(spark, sf_dir)
-    return sc.transform(df.select("idx", *TARGETS), train_params(spark, sf_dir), TARGETS), n
+    view = scaled_view(spark, sf_dir)
+    return view.frame(), view.count
 
 
 def scaled_long(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
@@ -120,8 +138,7 @@ def lag1_pairs(spark: SparkSession, sf_dir: str, series: DataFrame | None = None
 # ---------------------------------------------------------------- B
 
 def q_coerce_dropna_step(spark, d):
-    raw = raw_from_events(load(spark, d, "events"))
-    x = select_features(raw, INTERIM_FEATURES, keep=["event_id"])
+    x = select_features(raw_log(spark, d), INTERIM_FEATURES, keep=["event_id"])
     x = drop_idle_steps(drop_missing(coerce_numeric(x, INTERIM_FEATURES), INTERIM_FEATURES))
     x = normalise_columns(drop_columns(x, ["STEP"]), keep=["event_id"])
     return x.select("event_id", *[r6(c).alias(c) for c in SENSORS])
@@ -147,8 +164,7 @@ def q_power_features(spark, d):
 
 
 def q_dense_index(spark, d):
-    raw = raw_from_events(load(spark, d, "events"))
-    clean = clean_interim(raw, INTERIM_FEATURES, keep=EVENT_ORDER)
+    clean = clean_interim(raw_log(spark, d), INTERIM_FEATURES, keep=EVENT_ORDER)
     return dense_index(clean, EVENT_ORDER).select("event_id", "idx")
 
 
@@ -364,24 +380,24 @@ def q_registry_version(spark, d):
 # ---------------------------------------------------------------- F
 
 def q_ar1_fit(spark, d):
-    wide, n = scaled_wide(spark, d)
-    k = sp.split_border(n, TRAIN)
+    wide = scaled_view(spark, d)
+    n, k = wide.count, sp.split_border(wide.count, TRAIN)
     coefs = fc.fit_ar(wide, TARGETS, 1, start=1, end=k, ridge=0.0, n_rows=n)
     return coefs.select("target", r6("intercept").alias("intercept"), r6(F.col("coef")[0]).alias("slope"))
 
 
 def q_ar_fit(spark, d):
-    wide, n = scaled_wide(spark, d)
-    k = sp.split_border(n, TRAIN)
+    wide = scaled_view(spark, d)
+    n, k = wide.count, sp.split_border(wide.count, TRAIN)
     coefs = fc.fit_ar(wide, TARGETS, LOOKBACK, end=k, ridge=RIDGE, n_rows=n)
     return coefs.select("target", "n", r6("intercept").alias("intercept"),
                         r6(F.aggregate("coef", F.lit(0.0), lambda a, v: a + v)).alias("coef_sum"))
 
 
 def q_ar_cv(spark, d):
-    wide, n = scaled_wide(spark, d)
-    k = sp.split_border(n, TRAIN)
-    res = fc.cross_validate(wide.where(F.col("idx") < k), TARGETS, LOOKBACK, k, FOLDS, RIDGE_GRID, VAL_SIZE)
+    wide = scaled_view(spark, d)
+    n, k = wide.count, sp.split_border(wide.count, TRAIN)
+    res = fc.cross_validate(wide, TARGETS, LOOKBACK, k, FOLDS, RIDGE_GRID, VAL_SIZE)
     s = mt.fold_summary(fc.fold_scores(res))
     return s.select("target", *[r6(c).alias(c) for c in
                                 ("val_loss_mean", "val_loss_std", "val_rmse_mean", "val_rmse_std")])
@@ -390,15 +406,15 @@ def q_ar_cv(spark, d):
 def q_ar_forecast(spark, d):
     """Fit on the train part (F1), predict the test windows natively (F3),
     score with the metric bundle (G9)."""
-    wide, n = scaled_wide(spark, d)
-    k = sp.split_border(n, TRAIN)
+    wide = scaled_view(spark, d)
+    n, k = wide.count, sp.split_border(wide.count, TRAIN)
     coefs = fc.fit_ar(wide, TARGETS, LOOKBACK, end=k, ridge=RIDGE, n_rows=n)
     return _scored(wide, k, coefs, LOOKBACK)
 
 
 def _scored(wide, k, coefs, lookback):
     """Metric bundle of the predictions on windows inside the test part."""
-    long = unpivot_targets(wide.where(F.col("idx") >= k), TARGETS)
+    long = unpivot_targets(wide.between(k, wide.count), TARGETS)
     w = wn.lookback_windows(long, "value", lookback, series=["target"]).withColumnRenamed("y", "true")
     m = mt.metric_bundle(fc.predict(w, coefs))
     return m.select("target", *[r6(c).alias(c) for c in ("mae", "mse", "rmse", "mape", "mspe")])
@@ -406,8 +422,8 @@ def _scored(wide, k, coefs, lookback):
 
 def q_ar2_fit(spark, d):
     """F1 at lookback 2 with a ridge, small enough for a closed form in SQL."""
-    wide, n = scaled_wide(spark, d)
-    k = sp.split_border(n, TRAIN)
+    wide = scaled_view(spark, d)
+    n, k = wide.count, sp.split_border(wide.count, TRAIN)
     coefs = fc.fit_ar(wide, TARGETS, 2, end=k, ridge=1.0, n_rows=n)
     return coefs.select("target", "n", r6("intercept").alias("intercept"),
                         r6(F.col("coef")[0]).alias("older"), r6(F.col("coef")[1]).alias("newer"))
@@ -415,16 +431,16 @@ def q_ar2_fit(spark, d):
 
 def q_ar2_forecast(spark, d):
     """F1, F3 and G9 at lookback 2."""
-    wide, n = scaled_wide(spark, d)
-    k = sp.split_border(n, TRAIN)
+    wide = scaled_view(spark, d)
+    n, k = wide.count, sp.split_border(wide.count, TRAIN)
     return _scored(wide, k, fc.fit_ar(wide, TARGETS, 2, end=k, ridge=1.0, n_rows=n), 2)
 
 
 def q_ar1_cv(spark, d):
     """F2 at lookback 1 without a ridge: fold fits, scores inside each fold, summary."""
-    wide, n = scaled_wide(spark, d)
-    k = sp.split_border(n, TRAIN)
-    res = fc.cross_validate(wide.where(F.col("idx") < k), TARGETS, 1, k, FOLDS, 0.0)
+    wide = scaled_view(spark, d)
+    n, k = wide.count, sp.split_border(wide.count, TRAIN)
+    res = fc.cross_validate(wide, TARGETS, 1, k, FOLDS, 0.0)
     s = mt.fold_summary(fc.fold_scores(res))
     return s.select("target", *[r6(c).alias(c) for c in
                                 ("val_loss_mean", "val_loss_std", "val_rmse_mean", "val_rmse_std")])
@@ -432,19 +448,90 @@ def q_ar1_cv(spark, d):
 
 def q_ar1_horizon(spark, d):
     """F4 at lookback 1 without a ridge: one model per step, scored per step on the test part."""
-    wide, n = scaled_wide(spark, d)
-    k = sp.split_border(n, TRAIN)
+    wide = scaled_view(spark, d)
+    n, k = wide.count, sp.split_border(wide.count, TRAIN)
     coefs = fc.fit_ar(wide, TARGETS, 1, end=k - PRED_LEN + 1, ridge=0.0, horizon=PRED_LEN, n_rows=n)
-    long = unpivot_targets(wide.where(F.col("idx") >= k), TARGETS)
-    per_h = fc.forecast_blocks(long, coefs, 1, PRED_LEN)
+    per_h = fc.predict_blocks(wide, k, n, coefs, TARGETS, TARGETS, 1, PRED_LEN)
     return per_h.groupBy("target", F.col("h").cast("long").alias("h")).agg(
         r6(mt.rmse()).alias("rmse"), F.count(F.lit(1)).alias("n"))
 
 
+def _pair_view(spark, d) -> IndexedView:
+    return scaled_view(spark, d).view(lambda df: df.select("idx", *MODE_PAIR))
+
+
+def _modes(view: IndexedView, start: int, end: int, horizon: int = 1, modes=("M", "MS", "S")) -> dict[str, DataFrame]:
+    """Coefficients of every mode at lookback 1 over the two series of ``MODE_PAIR``."""
+    return {m: fc.fit_mode(view, MODE_PAIR, MODE_PAIR[1], m, 1, {"full": (start, end)}, ridge=1.0, horizon=horizon,
+                           n_rows=view.count).coefs for m in modes}
+
+
+def _each_output(windows: DataFrame, outputs: list[str]) -> DataFrame:
+    """One row per predicted series of a multivariate window; ``x`` flattened as the coefficients are."""
+    def of(i):
+        return F.transform("y", lambda step: step[i])
+
+    made = F.array(*[F.struct(F.lit(t).alias("target"), of(i).alias("y")) for i, t in enumerate(outputs)])
+    return windows.select("idx", F.flatten("x").alias("x"), F.inline(made))
+
+
+def q_mode_fit(spark, d):
+    """B19 and F1 in modes M (all predict all), MS (all predict one) and S (one predicts itself)."""
+    view = _pair_view(spark, d)
+    out = None
+    for mode, coefs in _modes(view, 1, sp.split_border(view.count, TRAIN)).items():
+        first, second = (F.lit(None).cast("double"), F.col("coef")[0]) if mode == "S" else (F.col("coef")[0], F.col("coef")[1])
+        c = coefs.select(F.lit(mode).alias("mode"), "target", "n", r6("intercept").alias("intercept"), r6(first).alias("first"), r6(second).alias("second"))
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+def q_mode_forecast(spark, d):
+    """The three modes on multivariate windows (E2) of the test part, natively predicted."""
+    view = _pair_view(spark, d)
+    k = sp.split_border(view.count, TRAIN)
+    out = None
+    for mode, coefs in _modes(view, 1, k).items():
+        inputs, outputs = select_mode(MODE_PAIR, MODE_PAIR[1], mode)
+        test = view.between(k, view.count).withColumn("_y", F.array(F.array(*[F.col(t) for t in outputs])))
+        w = _each_output(wn.multivar_windows(test, inputs, "_y", 1), outputs)
+        p = fc.predict(w, coefs).withColumn("true", F.col("y")[0])
+        m = p.groupBy("target").agg(F.count(F.lit(1)).alias("n"), r6(mt.mae()).alias("mae"), r6(mt.rmse()).alias("rmse"))
+        out = m.select(F.lit(mode).alias("mode"), "*") if out is None else out.unionByName(m.select(F.lit(mode).alias("mode"), "*"))
+    return out
+
+
+def q_mode_horizon(spark, d):
+    """Modes M and MS through sequence windows (E3), direct models per step
+    and the slice of the last steps of a longer prediction (E7)."""
+    view = _pair_view(spark, d)
+    k = sp.split_border(view.count, TRAIN)
+    out = None
+    for mode, coefs in _modes(view, 1, k - MODE_STEPS + 1, MODE_STEPS, ("M", "MS")).items():
+        inputs, outputs = select_mode(MODE_PAIR, MODE_PAIR[1], mode)
+        w = _each_output(wn.seq2seq_windows(view.between(k, view.count), inputs, outputs, 1, MODE_STEPS), outputs)
+        p = fc.predict_horizon(w, coefs).select("target", F.posexplode(F.arrays_zip(
+            wn.horizon_slice("pred", MODE_KEPT).alias("pred"), wn.horizon_slice("y", MODE_KEPT).alias("true"))).alias("h", "pt"))
+        per_h = p.select("target", (F.col("h") + 1 + MODE_STEPS - MODE_KEPT).cast("long").alias("h"), "pt.pred", "pt.true")
+        m = per_h.groupBy("target", "h").agg(F.count(F.lit(1)).alias("n"), r6(mt.rmse()).alias("rmse"))
+        out = m.select(F.lit(mode).alias("mode"), "*") if out is None else out.unionByName(m.select(F.lit(mode).alias("mode"), "*"))
+    return out
+
+
+def q_var_forecast(spark, d):
+    """Mode M at the real size: every target on the lags of all targets, fitted
+    on the train part and scored block-wise on the test part."""
+    view = scaled_view(spark, d)
+    n, k = view.count, sp.split_border(view.count, TRAIN)
+    coefs = fc.fit_vector(view, TARGETS, TARGETS, LOOKBACK, {"full": (LOOKBACK, k)}, ridge=RIDGE, n_rows=n).coefs
+    m = mt.metric_bundle(fc.predict_blocks(view, k, n, coefs, TARGETS, TARGETS, LOOKBACK))
+    return m.select("target", *[r6(c).alias(c) for c in ("mae", "mse", "rmse", "mape", "mspe")])
+
+
 def q_small_trials(spark, d):
     """F6 over a fixed list of trials at lookbacks 1 and 2: every trial's score."""
-    wide, n = scaled_wide(spark, d)
-    k = sp.split_border(n, TRAIN)
+    wide = scaled_view(spark, d)
+    n, k = wide.count, sp.split_border(wide.count, TRAIN)
     trials = spark.createDataFrame(SMALL_TRIALS, "trial int, lookback int, ridge double")
     scored, best = fc.trial_search(wide, TARGETS, n, k, trials, val_size=0.1)
     best = best.select("target", F.col("rmse").alias("best"))
@@ -456,11 +543,10 @@ def q_ar_horizon(spark, d):
     """Direct multi-step models (F4) scored per horizon on the test part:
     block-wise prediction (numpy per halo block) of every anchor with a full
     lookback and a full horizon inside the test slice."""
-    wide, n = scaled_wide(spark, d)
-    k = sp.split_border(n, TRAIN)
+    wide = scaled_view(spark, d)
+    n, k = wide.count, sp.split_border(wide.count, TRAIN)
     coefs = fc.fit_ar(wide, TARGETS, SEQ_LEN, end=k - PRED_LEN + 1, ridge=RIDGE, horizon=PRED_LEN, n_rows=n)
-    long = unpivot_targets(wide.where(F.col("idx") >= k), TARGETS)
-    per_h = fc.forecast_blocks(long, coefs, SEQ_LEN, PRED_LEN)
+    per_h = fc.predict_blocks(wide, k, n, coefs, TARGETS, TARGETS, SEQ_LEN, PRED_LEN)
     return per_h.groupBy("target", F.col("h").cast("long").alias("h")).agg(
         r6(mt.rmse()).alias("rmse"), F.count(F.lit(1)).alias("n"))
 
@@ -468,10 +554,10 @@ def q_ar_horizon(spark, d):
 def q_ar_horizon_windows(spark, d):
     """The same scores through seq2seq windows (E3), the native array predict
     (F4) and the horizon slice (E7)."""
-    wide, n = scaled_wide(spark, d)
-    k = sp.split_border(n, TRAIN)
+    wide = scaled_view(spark, d)
+    n, k = wide.count, sp.split_border(wide.count, TRAIN)
     coefs = fc.fit_ar(wide, TARGETS, SEQ_LEN, end=k - PRED_LEN + 1, ridge=RIDGE, horizon=PRED_LEN, n_rows=n)
-    long = unpivot_targets(wide.where(F.col("idx") >= k), TARGETS)
+    long = unpivot_targets(wide.between(k, wide.count), TARGETS)
     w = wn.seq2seq_windows(long, "value", "value", SEQ_LEN, PRED_LEN, series=["target"])
     p = fc.predict_horizon(w, coefs).withColumn("pred", wn.horizon_slice("pred", PRED_LEN))
     per_h = p.select("target", F.posexplode(F.arrays_zip("pred", "y")).alias("h", "pt"))
@@ -481,8 +567,8 @@ def q_ar_horizon_windows(spark, d):
 
 
 def q_trial_search(spark, d):
-    wide, n = scaled_wide(spark, d)
-    k = sp.split_border(n, TRAIN)
+    wide = scaled_view(spark, d)
+    n, k = wide.count, sp.split_border(wide.count, TRAIN)
     trials = fc.trial_table(spark, TRIALS, seed=7, lookback_range=(12, LOOKBACK), ridge_range=(1e-4, 10.0))
     _, best = fc.trial_search(wide, TARGETS, n, k, trials, val_size=0.1)
     return best.select("target", F.col("params.lookback").cast("long").alias("lookback"),
@@ -533,8 +619,8 @@ def q_predict_new_data(spark, d):
     index -> the training scaler (D2) -> inference windows inside each file
     (E4) -> native predict (F3). Lookback 2, as most stand-in files are short."""
     from rigcast.operators.clean import add_power_features, coerce_all_but_time
-    wide, n = scaled_wide(spark, d)
-    k = sp.split_border(n, TRAIN)
+    wide = scaled_view(spark, d)
+    n, k = wide.count, sp.split_border(wide.count, TRAIN)
     coefs = fc.fit_ar(wide, TARGETS, 2, end=k, ridge=1.0, n_rows=n)
     new = fl.ingest_folder(spark, raw_folder(spark, d, "csv")).rows.drop("UNIT", "TEST")
     order = ["_file", "_block", "_ord"]
@@ -555,7 +641,7 @@ def q_union_by_name(spark, d):
     """Raw logs with differing columns (events-shaped and orders-shaped)."""
     from rigcast.operators.ingest import union_by_name
     from rigcast.sources.telemetry import raw_from_orders
-    a = raw_from_events(load(spark, d, "events")).drop("ts", "event_id")
+    a = raw_log(spark, d).drop("ts", "event_id")
     b = raw_from_orders(load(spark, d, "orders"))
     u = union_by_name([a, b])
     return u.select(F.col("UNIT").cast("long").alias("UNIT"),
@@ -572,8 +658,7 @@ def q_kfp_features(spark, d):
     from rigcast.constants import TIME_COLUMNS
     from rigcast.operators.clean import (add_power_features, coerce_all_but_time,
                                          drop_time_columns, time_to_string)
-    ev = load(spark, d, "events")
-    raw = (raw_from_events(ev).withColumn("TIME", F.col("ts").cast("string"))
+    raw = (raw_log(spark, d).withColumn("TIME", F.col("ts").cast("string"))
            .withColumn("DURATION", F.lit("1")))
     feats = ["TIME", "DURATION", *INTERIM_FEATURES]
     x = select_features(raw, feats, keep=list(EVENT_ORDER))
@@ -649,8 +734,8 @@ def q_pipeline_registry(spark, d):
     metrics) followed by the strict registry update against the naive
     champions (H1 + H3)."""
     from rigcast.plans.pipeline import train_pipeline, update_registry
-    df, n = interim(spark, d)
-    res = train_pipeline(df, n, TARGETS, LOOKBACK, FOLDS, TRAIN, VAL_SIZE, RIDGE_GRID, run_id="ridge-ar")
+    t = interim_table(spark, d)
+    res = train_pipeline(t, t.count, TARGETS, LOOKBACK, FOLDS, TRAIN, VAL_SIZE, RIDGE_GRID, run_id="ridge-ar")
     champ = mt.test_record(_test_pairs(spark, d), run_id="naive")
     reg = update_registry(champ, res)
     return reg.select("target", "run_id", r6("test_loss").alias("test_loss"))
@@ -663,8 +748,8 @@ def q_folder_pipeline(spark, d):
     prediction (F3) -> metrics (G9-G11) -> strict registry update (H1/H3)
     of an empty registry (the first run: every target is promoted)."""
     from rigcast.plans.pipeline import preprocess_folder, train_pipeline, update_registry
-    interim_df, n, targets, _ = preprocess_folder(spark, raw_folder(spark, d, "csv"))
-    res = train_pipeline(interim_df, n, targets, LOOKBACK, FOLDS, TRAIN, VAL_SIZE, RIDGE_GRID,
+    rows, targets, _ = preprocess_folder(spark, raw_folder(spark, d, "csv"))
+    res = train_pipeline(rows, rows.count, targets, LOOKBACK, FOLDS, TRAIN, VAL_SIZE, RIDGE_GRID,
                          run_id="ridge-ar")
     champ = res.test.select("target", F.lit("naive").alias("run_id"),
                             (F.col("test_loss") * 2).alias("test_loss")).limit(0)
@@ -715,6 +800,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ar1_cv": q_ar1_cv,
     "ar1_horizon": q_ar1_horizon,
     "small_trials": q_small_trials,
+    "mode_fit": q_mode_fit,
+    "mode_forecast": q_mode_forecast,
+    "mode_horizon": q_mode_horizon,
+    "var_forecast": q_var_forecast,
     "ingest_csv": q_ingest_csv,
     "ingest_xlsx": q_ingest_xlsx,
     "rejects": q_rejects,
@@ -958,6 +1047,7 @@ def oracle() -> dict[str, str]:
         f"WHERE p // {BATCH} < n // {BATCH} GROUP BY 1, 2, 3)")) + (
         "SELECT target, CAST(exp AS BIGINT) AS exp, round(avg(r), 6) AS batch_rmse, count(*) AS n_batches "
         "FROM pb GROUP BY target, exp")
+    sql |= oq.mode_forecasts(base, scaled, k, tuple(MODE_PAIR), MODE_STEPS, MODE_KEPT)
     sql |= oq.small_forecasts(base, scaled, tfolds, k, PRED_LEN, SMALL_TRIALS, TARGETS)
     sql["predict_new_data"] = _with(base, scaled, oq.lag2_ctes(), oq.ridge2("ar2", f"idx >= 2 AND idx < {k}", 1.0),
                                     files, units, oq.new_rows_ctes()) + (
@@ -978,6 +1068,6 @@ ORACLE_EXCLUDED = {
     # closed-form solves at the real lookback: rows-only in the driver, held
     # against numpy in tests/test_forecast.py; the same operators at lookbacks
     # 1 and 2 have SQL (ar1_*, ar2_*, small_trials, predict_new_data)
-    "ar_fit", "ar_cv", "ar_forecast", "ar_horizon", "trial_search",
+    "ar_fit", "ar_cv", "ar_forecast", "ar_horizon", "trial_search", "var_forecast",
     "pipeline_registry", "ar_horizon_windows", "folder_pipeline",
 }

@@ -112,14 +112,14 @@ def ridge1(name: str, rows: str, ridge: float, group: str = "target", src: str =
             f"var_pop(x1) AS v1, avg(y) AS my, avg(x1) AS m1 FROM {src} WHERE {rows} GROUP BY {group})))")
 
 
-def ridge2(name: str, rows: str, ridge: float) -> str:
-    """Ridge regression of ``y`` on ``x1, x2`` by Cramer's rule: ``(target, n, icpt, newer, older)``."""
-    return (f"{name} AS (SELECT target, n, my - newer * m1 - older * m2 AS icpt, newer, older FROM (SELECT target, n, my, m1, m2, "
+def ridge2(name: str, rows: str, ridge: float, group: str = "target", src: str = "lp") -> str:
+    """Ridge regression of ``y`` on ``x1, x2`` by Cramer's rule: ``(group, n, icpt, newer, older)``."""
+    return (f"{name} AS (SELECT {group}, n, my - newer * m1 - older * m2 AS icpt, newer, older FROM (SELECT {group}, n, my, m1, m2, "
             "(s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS newer, "
-            "(s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS older FROM (SELECT target, count(*) AS n, "
+            f"(s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS older FROM (SELECT {group}, count(*) AS n, "
             f"count(*) * var_pop(x1) + {ridge!r} AS s11, count(*) * var_pop(x2) + {ridge!r} AS s22, "
             "count(*) * covar_pop(x1, x2) AS s12, count(*) * covar_pop(y, x1) AS s1y, count(*) * covar_pop(y, x2) AS s2y, "
-            f"avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2 FROM lp WHERE {rows} GROUP BY target)))")
+            f"avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2 FROM {src} WHERE {rows} GROUP BY {group})))")
 
 
 def small_forecasts(base: str, scaled: str, tfolds: str, k: str, pred_len: int, trials: list, targets) -> dict[str, str]:
@@ -168,3 +168,28 @@ def new_rows_ctes() -> str:
             f"newl AS ({long}),\n"
             "news AS (SELECT name, ts, event_id, l.target, (v - center) / scale AS v FROM newl l JOIN params p ON p.feature = l.target),\n"
             "neww AS (SELECT target, v AS x1, lag(v) OVER (PARTITION BY name, target ORDER BY ts, event_id) AS x2 FROM news)")
+
+
+def mode_forecasts(base: str, scaled: str, k: str, pair: tuple[str, str], steps: int, kept: int) -> dict[str, str]:
+    """Modes M, MS and S at lookback 1 with two series: each regressed on the last value of both (M, MS) or of itself (S)."""
+    a, b = pair
+    both = ("ab AS (SELECT x.idx, x.value AS va, y.value AS vb, lag(x.value) OVER (ORDER BY x.idx) AS x1, lag(y.value) OVER (ORDER BY x.idx) AS x2 "
+            f"FROM scaled x JOIN scaled y ON x.idx = y.idx WHERE x.target = '{a}' AND y.target = '{b}')")
+    each = (f"ml AS (SELECT '{a}' AS target, idx, va AS y, x1, x2 FROM ab UNION ALL SELECT '{b}', idx, vb, x1, x2 FROM ab),\n"
+            f"own AS (SELECT '{b}' AS target, idx, vb AS y, x2 AS x1 FROM ab)")
+    models = (ridge2("mb", f"idx >= 1 AND idx < {k}", 1.0, src="ml") + ",\n" + ridge1("mo", f"idx >= 1 AND idx < {k}", 1.0, src="own"))
+    modes = (f"md AS (SELECT 'M' AS mode, target, n, icpt, newer AS first, older AS second FROM mb UNION ALL SELECT 'MS', target, n, icpt, newer, older FROM mb "
+             f"WHERE target = '{b}' UNION ALL SELECT 'S', target, {k} - 1, icpt, CAST(NULL AS DOUBLE), newer FROM mo)")
+    head = "WITH " + ",\n".join((base, scaled, both, each, models, modes)) + "\n"
+    err = "(icpt + coalesce(first * x1, 0.0) + second * x2 - y)"
+    out = {"mode_fit": head + "SELECT mode, target, CAST(n AS BIGINT) AS n, round(icpt, 6) AS intercept, round(first, 6) AS first, round(second, 6) AS second FROM md",
+           "mode_forecast": head + f"SELECT mode, ml.target, count(*) AS n, round(avg(abs({err})), 6) AS mae, round(sqrt(avg(power({err}, 2))), 6) AS rmse "
+                                   f"FROM md JOIN ml ON md.target = ml.target WHERE idx > {k} GROUP BY 1, 2"}
+    far = (f"hl AS (SELECT p.target, p.idx, p.x1, p.x2, CAST(h AS BIGINT) AS h, q.y FROM ml p, range(1, {steps} + 1) r(h), ml q "
+           "WHERE q.target = p.target AND q.idx = p.idx + h - 1)")
+    fits = ridge2("hb", f"idx >= 1 AND idx < {k} - {steps} + 1", 1.0, "target, h", "hl")
+    out["mode_horizon"] = "WITH " + ",\n".join((base, scaled, both, each, far, fits)) + (
+        f"\nSELECT mode, hl.target, hl.h, count(*) AS n, round(sqrt(avg(power(icpt + newer * x1 + older * x2 - y, 2))), 6) AS rmse FROM hl "
+        f"JOIN hb ON hb.target = hl.target AND hb.h = hl.h JOIN (VALUES ('M', '{a}'), ('M', '{b}'), ('MS', '{b}')) m(mode, target) ON m.target = hl.target "
+        f"WHERE idx > {k} AND idx <= (SELECT n FROM nrows) - {steps} AND hl.h > {steps} - {kept} GROUP BY 1, 2, 3")
+    return out

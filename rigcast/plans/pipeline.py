@@ -21,14 +21,11 @@ from rigcast.operators import metrics as mt
 from rigcast.operators import registry as rg
 from rigcast.operators import scaling as sc
 from rigcast.operators import splits as sp
-from pyspark import StorageLevel
-
 from rigcast.constants import STEP_COLUMN
 from rigcast.operators.clean import (add_power_features, add_running_time, coerce_numeric,
                                      drop_columns, drop_idle_steps, drop_missing,
-                                     forecast_targets, normalise_columns, select_features,
-                                     unpivot_targets)
-from rigcast.operators.order import IndexedTable, index_table
+                                     forecast_targets, normalise_columns, select_features)
+from rigcast.operators.order import IndexedTable, IndexedView, index_table, rows_in, shaped
 from rigcast.sources.telemetry import EVENT_ORDER, load, raw_from_events
 
 
@@ -36,29 +33,19 @@ def clean_and_index(raw: DataFrame, order: Sequence[str], features: Sequence[str
                     style: str = "upper") -> IndexedTable:
     """Raw text rows -> cleaned rows (B4-B15) -> dense index (B16), stored.
 
-    The coerced rows are persisted while the index is built: Catalyst pushes
-    the missing-value filter below the coercion and inlines it, and range
-    sampling plus the stamped write read the input twice, so without the
-    cache every value would be parsed several times. The cache is released
-    as soon as the indexed rows are stored (lost blocks recompute from
-    lineage)."""
+    Every value is parsed once for the filters and the power columns; the
+    input of the range sampling is stored by ``index_table``."""
     typed = coerce_numeric(select_features(raw, features, keep=order), features)
-    typed = typed.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        x = drop_columns(drop_idle_steps(drop_missing(typed, list(features))), [STEP_COLUMN])
-        clean = normalise_columns(add_power_features(x), style, keep=order)
-        return index_table(clean, list(order), reuse_input=False)
-    finally:
-        typed.unpersist()
+    x = drop_columns(drop_idle_steps(drop_missing(typed, list(features))), [STEP_COLUMN])
+    return index_table(normalise_columns(add_power_features(x), style, keep=order), list(order))
 
 
 def preprocess(raw: DataFrame, order: Sequence[str], features: Sequence[str] = INTERIM_FEATURES,
-               style: str = "upper") -> tuple[DataFrame, int, list[str]]:
-    """Raw text rows -> interim table (R3) with ``idx``, its row count and the
-    forecast targets (B15). Materialises once (dense index)."""
-    table = clean_and_index(raw, order, features, style)
-    df = add_running_time(table.frame())
-    return df, table.count, forecast_targets(df.columns)
+               style: str = "upper") -> tuple[IndexedView, list[str]]:
+    """Raw text rows -> interim table (R3) with ``idx`` and running time, behind
+    its stored index, and the forecast targets (B15)."""
+    view = clean_and_index(raw, order, features, style).view(add_running_time)
+    return view, forecast_targets(view.frame().columns)
 
 
 @dataclass
@@ -71,7 +58,7 @@ class TrainResult:
     bundle: DataFrame       # G9 on the test windows
 
 
-def train_pipeline(interim: DataFrame, n: int, targets: Sequence[str], lookback: int = 120,
+def train_pipeline(interim, n: int, targets: Sequence[str], lookback: int = 120,
                    folds: int = 5, train_size: float = 0.8, val_size: float | None = 0.2,
                    ridge: float | Sequence[float] = 1e-3, run_id: str = "run",
                    keep: str = "last_fold") -> TrainResult:
@@ -82,11 +69,11 @@ def train_pipeline(interim: DataFrame, n: int, targets: Sequence[str], lookback:
     (``val_size``)."""
     targets = list(targets)
     k = sp.split_border(n, train_size)
-    wide = interim.select("idx", *targets)
-    train, _ = sp.prefix_split(wide, n, train_size)
-    params = sc.fit_standard(train, targets)
-    scaled = sc.transform(wide, sc.collect_params(params), targets)
-    cv = fc.cross_validate(scaled.where(F.col("idx") < k), targets, lookback, k, folds, ridge, val_size)
+    wide = shaped(interim, lambda df: df.select("idx", *targets))
+    params = sc.fit_standard(rows_in(wide, [(0, k)]), targets)
+    p = sc.collect_params(params)
+    scaled = shaped(wide, lambda df: sc.transform(df, p, targets))
+    cv = fc.cross_validate(scaled, targets, lookback, k, folds, ridge, val_size)
     fold_tab = fc.fold_scores(cv)
     if keep == "last_fold":
         coefs = cv.coefs.where(F.col("fit") == f"fold{folds}")
@@ -94,8 +81,7 @@ def train_pipeline(interim: DataFrame, n: int, targets: Sequence[str], lookback:
         lam = ridge if isinstance(ridge, (int, float)) else float(
             cv.coefs.where(F.col("fit") == f"fold{folds}").agg(F.median("ridge")).first()[0])
         coefs = fc.fit_ar(scaled, targets, lookback, end=k, ridge=lam, n_rows=n)
-    test_long = unpivot_targets(scaled.where(F.col("idx") >= k), targets)
-    pred = fc.forecast_blocks(test_long, coefs, lookback)
+    pred = fc.predict_blocks(scaled, k, n, coefs, targets, targets, lookback)
     return TrainResult(params, coefs, fold_tab, mt.fold_summary(fold_tab),
                        mt.test_record(pred, run_id), mt.metric_bundle(pred))
 
@@ -116,12 +102,12 @@ def update_registry(champions: DataFrame, result: TrainResult, rule: str = "stri
 
 
 def preprocess_folder(spark: SparkSession, folder: str, features: Sequence[str] = INTERIM_FEATURES,
-                      style: str = "upper") -> tuple[DataFrame, int, list[str], DataFrame]:
+                      style: str = "upper") -> tuple[IndexedView, list[str], DataFrame]:
     """Raw folder -> interim table: ingest (A1-A4, B1-B3, I2), then the
     preprocessing of :func:`preprocess` over the raw order (I1). Files missing
     a configured column cannot provide it (their rows are dropped as missing,
-    as the by-name union leaves it null). Returns the interim DataFrame, its
-    row count, the forecast targets and the rejects table."""
+    as the by-name union leaves it null). Returns the interim table, the
+    forecast targets and the rejects table."""
     from rigcast.operators.order import RAW_ORDER
     from rigcast.sources.files import ingest_folder
     ing = ingest_folder(spark, folder)
@@ -129,13 +115,13 @@ def preprocess_folder(spark: SparkSession, folder: str, features: Sequence[str]
     for c in features:
         if c not in rows.columns:
             rows = rows.withColumn(c, F.lit(None).cast("string"))
-    interim, n, targets = preprocess(rows, list(RAW_ORDER), features, style)
-    return interim.drop(*RAW_ORDER), n, targets, ing.rejects
+    interim, targets = preprocess(rows, list(RAW_ORDER), features, style)
+    return interim.view(lambda df: df.drop(*RAW_ORDER)), targets, ing.rejects
 
 
 def flagship(spark: SparkSession, sf_dir: str, lookback: int = 120, folds: int = 5) -> DataFrame:
     """Minimum slice end to end on ``events``; returns the metric bundle."""
     raw = raw_from_events(load(spark, sf_dir, "events"))
-    interim, n, targets = preprocess(raw, EVENT_ORDER)
-    res = train_pipeline(interim, n, [t for t in FORECAST_FEATURES if t in targets], lookback, folds)
+    interim, targets = preprocess(raw, EVENT_ORDER)
+    res = train_pipeline(interim, interim.count, [t for t in FORECAST_FEATURES if t in targets], lookback, folds)
     return res.bundle.join(res.val_summary, "target")

@@ -169,3 +169,90 @@ def test_ridge_grid_picked_on_tail(spark):
         assert np.allclose(r["coef"], w[1:][::-1], atol=1e-8)
     with pytest.raises(ValueError):
         fc.cross_validate(df, ["s0"], L, n, k, ridge=grid)
+
+
+def _vector_brute(x, outs, L, start, end, ridge, h=1):
+    """Ridge regression of every column in ``outs`` on the flattened windows of all columns."""
+    X = np.array([[1.0, *x[a - L:a].ravel()] for a in range(start, end)])
+    Y = np.array([x[a + h - 1, outs] for a in range(start, end)])
+    A = X.T @ X
+    A[1:, 1:] += ridge * np.eye(X.shape[1] - 1)
+    return np.linalg.solve(A, X.T @ Y), X, Y
+
+
+@pytest.mark.parametrize("k,L,block", [(2, 1, 64), (11, 4, 200), (3, 7, None)])
+def test_vector_fit_matches_numpy(spark, k, L, block):
+    n = 600
+    df, cols = _series(spark, n, k=k, seed=k)
+    names, x = list(cols), np.column_stack(list(cols.values()))
+    outs = [0, k - 1]
+    res = fc.fit_vector(df, names, [names[o] for o in outs], L, {"a": (L, 400), "b": (50, 560)}, {"a": {"v": (420, 600)}},
+                        ridge=0.7, n_rows=n, block=block)
+    coefs = {(r["target"], r["fit"]): r for r in res.coefs.collect()}
+    scores = {(r["target"], r["fit"], r["range"]): r["mse"] for r in res.scores.collect()}
+    for fit, (s, e) in {"a": (L, 400), "b": (50, 560)}.items():
+        w, X, Y = _vector_brute(x, outs, L, s, e, 0.7)
+        for n_out, o in enumerate(outs):
+            r = coefs[(names[o], fit)]
+            assert r["intercept"] == pytest.approx(w[0, n_out], abs=1e-8)
+            assert np.allclose(r["coef"], w[1:, n_out], atol=1e-8)
+            assert scores[(names[o], fit, "fit")] == pytest.approx(np.mean((X @ w - Y)[:, n_out] ** 2), rel=1e-8)
+    w, _, _ = _vector_brute(x, outs, L, L, 400, 0.7)
+    X = np.array([[1.0, *x[a - L:a].ravel()] for a in range(420, 600)])
+    assert scores[(names[0], "a", "v")] == pytest.approx(np.mean((X @ w[:, 0] - x[420:, 0]) ** 2), rel=1e-8)
+
+
+def test_vector_horizon_grid_and_blocks(spark):
+    n, L, P, k = 500, 3, 3, 4
+    df, cols = _series(spark, n, k=k, seed=8)
+    names, x = list(cols), np.column_stack(list(cols.values()))
+    res = fc.fit_vector(df, names, names[:2], L, {"f": (L, 300)}, {"f": {"tail": (300, 380)}}, ridge=[1e-3, 1.0, 1e4], horizon=P, n_rows=n)
+    coefs = {(r["target"], r["h"]): r for r in res.coefs.collect()}
+    assert len(coefs) == 2 * P
+    pred = {(r["target"], r["idx"], r["h"]): (r["pred"], r["true"])
+            for r in fc.predict_blocks(df, 400, n, res.coefs, names, names[:2], L, P, block=32).collect()}
+    assert len(pred) == 2 * P * (100 - L - P + 1)
+    for (t, a, h), (p, true) in pred.items():
+        r = coefs[(t, h)]
+        assert true == x[a + h - 1, names.index(t)]
+        assert p == pytest.approx(r["intercept"] + np.dot(x[a - L:a].ravel(), r["coef"]), abs=1e-9)
+    for o in (0, 1):
+        for h in range(1, P + 1):
+            errors = {}
+            for ridge in (1e-3, 1.0, 1e4):
+                w, _, _ = _vector_brute(x, [o], L, L, 300, ridge, h)
+                X = np.array([[1.0, *x[a - L:a].ravel()] for a in range(300, 380)])
+                errors[ridge] = np.mean((X @ w[:, 0] - x[300 + h - 1:380 + h - 1, o]) ** 2)
+            assert coefs[(names[o], h)]["ridge"] == min(errors, key=errors.get)
+
+
+def test_modes_choose_inputs_and_outputs(spark):
+    df, cols = _series(spark, 300, k=3, seed=1)
+    names = list(cols)
+    sizes = {m: [(r["target"], len(r["coef"])) for r in fc.fit_mode(df, names, names[1], m, 2, {"f": (2, 300)}, n_rows=300).coefs.orderBy("target").collect()]
+             for m in ("M", "MS", "S")}
+    assert sizes == {"M": [(t, 6) for t in names], "MS": [(names[1], 6)], "S": [(names[1], 2)]}
+    with pytest.raises(ValueError):
+        fc.fit_mode(df, names, "other", "MS", 2, {"f": (2, 300)})
+    gone = df.where("idx <> 100")
+    with pytest.raises(ValueError, match="gaps"):
+        fc.fit_vector(gone, names, names, 2, {"f": (2, 300)}, n_rows=300)
+
+
+def test_stored_index_gives_the_same_models_and_prunes(spark):
+    """Ranges of a stored index reach its scan as ranges of stamps, and nothing is collected but the solved models."""
+    from rigcast.operators import lagfit
+    from rigcast.operators.order import index_table, merged
+    df, cols = _series(spark, 400, k=2, seed=6)
+    t = index_table(df.withColumnRenamed("idx", "at"), ["at"])
+    view = t.view(lambda x: x.withColumn("s0", F.col("s0") * 2))
+    plan = view.between(100, 150)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(_rid" in plan and "LessThanOrEqual(_rid" in plan
+    assert [r.idx for r in view.ranges([(390, 500), (-5, 3), (2, 4), (7, 7)]).orderBy("idx").collect()] == [0, 1, 2, 3, *range(390, 400)]
+    assert merged([(5, 7), (0, 2), (7, 9), (3, 3)]) == [(0, 2), (5, 9)]
+    a = fc.fit_ar(view, ["s0", "s1"], 5, end=300).orderBy("target").collect()
+    b = fc.fit_ar(df.withColumn("s0", F.col("s0") * 2), ["s0", "s1"], 5, end=300, n_rows=400).orderBy("target").collect()
+    for x, y in zip(a, b):
+        assert np.allclose(x["coef"], y["coef"], atol=1e-10)
+    rows = lagfit.solve(view, ["s0"], [lagfit.Job("j", 5, (5, 300))])
+    assert rows.columns == [c for c in lagfit._COLUMNS if c != "gap"] and rows.count() == 1
