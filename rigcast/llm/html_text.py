@@ -26,8 +26,8 @@ _ATTR = re.compile(r"""(class|id|role|style|hidden|aria-hidden|itemprop)(?![\w-]
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "noembed", "noframes", "xmp"}
-CUT = {"nav", "footer", "aside", "form", "button", "select", "input", "svg", "math", "object", "embed", "canvas", "audio", "video",
-       "head", "menu", "dialog", "fieldset", "label", "option", "datalist", "map"} | RAW
+CUT = {"nav", "footer", "aside", "form", "button", "select", "input", "svg", "object", "embed", "canvas", "audio", "video",
+       "head", "menu", "dialog", "fieldset", "option", "datalist", "map"} | RAW
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr", "param"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset",
          "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "li",
@@ -38,71 +38,118 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}}
 FENCE = {"ul", "ol", "table", "dl", "div", "section", "article", "select", "body", "html"}
 
+COMMENT = {"comment", "comments", "disqus", "replies", "respond", "discussion"}
 UNLIKELY = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "adbox", "sponsor", "sponsored", "sponsors",
             "promo", "promotion", "banner", "cookie", "cookies", "consent", "gdpr", "popup", "modal", "overlay", "newsletter",
             "subscribe", "subscription", "signup", "login", "share", "sharing", "social", "related", "recommended",
-            "recommendations", "comment", "comments", "disqus", "replies", "respond", "discussion", "sidebar", "widget", "menu",
-            "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "pagination", "pager", "footer", "masthead", "topbar",
-            "notice", "notices", "alert", "toolbar", "search", "contentinfo", "complementary", "skip", "copyright", "outbrain", "taboola"}
+            "recommendations", "sidebar", "widget", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "pagination",
+            "pager", "footer", "masthead", "topbar", "notice", "notices", "alert", "toolbar", "search", "contentinfo",
+            "complementary", "skip", "copyright", "outbrain", "taboola"} | COMMENT
 LIKELY = {"article", "body", "content", "entry", "main", "post", "story", "text"}
+# A name says what its element is by its last word, or by its first where the last only says "box"
+BOX = {"area", "bar", "block", "body", "box", "container", "content", "form", "group", "header", "heading", "holder", "icons", "inner",
+       "item", "items", "label", "layer", "link", "links", "list", "message", "messages", "module", "outer", "panel", "posts", "row",
+       "section", "slot", "text", "thread", "title", "unit", "wrap", "wrapper", "zone", "articles", "stories", "card", "cards", "to"}
+# A first word that files its element or tells its state
+ABOUT = {"category", "tag", "topic", "subject", "author", "format", "type", "status", "has", "no", "not", "with", "without", "is"}
+NO_CUT, HARD, HIDDEN, SOFT, READERS = range(5)
+LEVELS = 16           # ancestors that a paragraph passes points to; the next would get a forty-eighth
+
+
+def named(value: str) -> tuple[int, bool]:
+    """What the names in a class, id or role say: a kind of cut, and whether it looks like the article."""
+    kind, likely = NO_CUT, False
+    for name in value.split():
+        words = [w.lower() for w in _TOKEN.findall(name)]
+        words = [w for w in words if not w.isdigit()]
+        if not words:
+            continue
+        if LIKELY.intersection(words):
+            likely = True
+        if words[0] in ABOUT:
+            continue
+        head = words[-1] if words[-1] in UNLIKELY else words[0] if all(w in BOX or w in UNLIKELY for w in words[1:]) else None
+        if head in COMMENT:
+            kind = READERS
+        elif head in UNLIKELY:
+            kind = max(kind, SOFT)
+    return kind, likely
 
 
 class Page:
     """Flat tree of a page; element 0 is the root."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.cut, self.own = ["#root"], [-1], [False], [0]
+        self.tag, self.parent, self.cut, self.own = ["#root"], [-1], [NO_CUT], [0]
         self.texts: list[tuple[int, str | None]] = []       # (element, text); None is a block boundary
+        self.stack: list[int] = [0]
+        self.open: dict[str, list[int]] = {}                # places in the stack by tag
+        self.walls: list[int] = [-1]                        # places of open blocks other than p
         self._parse(source)
 
     def _parse(self, s: str) -> None:
-        stack, at, n = [0], 0, len(s)
+        at, n = 0, len(s)
         while at < n:
             lt = s.find("<", at)
             if lt < 0:
-                self._text(stack[-1], s[at:])
+                self._text(s[at:])
                 break
             m = _MARKUP.match(s, lt) or _LOOSE.match(s, lt)
             if m is None:                                    # a "<" that opens nothing is text
-                self._text(stack[-1], s[at:lt + 1])
+                self._text(s[at:lt + 1])
                 at = lt + 1
                 continue
             if lt > at:
-                self._text(stack[-1], s[at:lt])
+                self._text(s[at:lt])
             at = m.end()
             name = m.group(2)
             if name is None:
                 continue
             name = name.lower()
             if m.group(1):
-                self._close(stack, name)
+                self._close(name)
             else:
-                at = self._open(stack, name, m.group(3) or "", s, at)
+                at = self._open(name, m.group(3) or "", s, at)
+
+    def _text(self, raw: str) -> None:
+        self.texts.append((self.stack[-1], html.unescape(raw) if "&" in raw else raw))
+
+    def _top(self, names) -> int:
+        """The highest place of an open element of these names (-1: none)."""
+        return max((self.open[t][-1] for t in names if self.open.get(t)), default=-1)
+
+    def _push(self, name: str, e: int) -> None:
+        place = len(self.stack)
+        self.open.setdefault(name, []).append(place)
+        if name in BLOCK and name != "p":
+            self.walls.append(place)
+        self.stack.append(e)
 
-    def _text(self, element: int, raw: str) -> None:
-        self.texts.append((element, html.unescape(raw) if "&" in raw else raw))
+    def _pop_to(self, place: int) -> None:
+        while len(self.stack) > place:
+            self.open[self.tag[self.stack.pop()]].pop()
+            if self.walls[-1] == len(self.stack):
+                self.walls.pop()
 
-    def _open(self, stack: list[int], name: str, attrs: str, s: str, at: int) -> int:
+    def _open(self, name: str, attrs: str, s: str, at: int) -> int:
         if name in BLOCK:
-            self._close(stack, "p", quiet=True)
-            self.texts.append((stack[-1], None))
+            self._close("p", quiet=True)
+            self.texts.append((self.stack[-1], None))
         if name in CLOSES:
-            for i in range(len(stack) - 1, 0, -1):
-                t = self.tag[stack[i]]
-                if t in CLOSES[name]:
-                    del stack[i:]
-                    break
-                if t in FENCE and not (name in ("td", "th", "tr", "tbody") and t in ("div", "section")):
-                    break
-        cut, likely = name in CUT, 0
+            place = self._top(CLOSES[name])
+            fence = FENCE - {"div", "section"} if name in ("td", "th", "tr", "tbody") else FENCE
+            if place > self._top(fence):
+                self._pop_to(place)
+        cut, likely = HARD if name in CUT else NO_CUT, 0
         if attrs:
-            bad, likely = self._attributes(attrs)
-            cut = cut or (bad and name not in ("html", "body", "main"))
-        if name == "header" and not any(self.tag[e] == "article" for e in stack):
-            cut = True
+            found, likely = self._attributes(attrs)
+            if cut == NO_CUT and name not in ("html", "body", "main"):
+                cut = found
+        if name == "header" and not self.open.get("article"):
+            cut = HARD
         e = len(self.tag)
         self.tag.append(name)
-        self.parent.append(stack[-1])
+        self.parent.append(self.stack[-1])
         self.cut.append(cut)
         self.own.append(likely)
         if name in RAW:
@@ -111,90 +158,111 @@ class Page:
         if name == "br":
             self.texts.append((e, " "))
         if name not in VOID and not attrs.endswith("/") or name in BLOCK and name not in VOID:
-            stack.append(e)
+            self._push(name, e)
         return at
 
     @staticmethod
-    def _attributes(attrs: str) -> tuple[bool, int]:
-        bad, likely = False, 0
+    def _attributes(attrs: str) -> tuple[int, int]:
+        cut, likely = NO_CUT, 0
         for m in _ATTR.finditer(attrs):
             key, value = m.group(1).lower(), next((v for v in m.groups()[1:] if v is not None), "")
-            if key == "hidden":
-                bad = True
-            elif key == "aria-hidden":
-                bad = bad or value.lower() == "true"
+            if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
+                cut = max(cut, HIDDEN)
             elif key == "style":
-                bad = bad or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) is not None
-            else:
-                words = {w.lower() for w in _TOKEN.findall(value)}
-                if words & LIKELY:
-                    likely = 25
-                if words & UNLIKELY:
-                    bad = True
-        return bad, likely
-
-    def _close(self, stack: list[int], name: str, quiet: bool = False) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            t = self.tag[stack[i]]
-            if t == name:
-                if name in BLOCK:
-                    self.texts.append((stack[i], None))
-                del stack[i:]
-                return
-            if quiet and t in BLOCK or name not in BLOCK and t in BLOCK and t != "p":
-                return
+                if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
+                    cut = max(cut, HIDDEN)
+            elif key in ("class", "id", "role", "itemprop"):
+                kind, good = named(value)
+                cut = max(cut, kind)
+                likely = 25 if good else likely
+        return cut, likely
+
+    def _close(self, name: str, quiet: bool = False) -> None:
+        places = self.open.get(name)
+        if not places or (quiet or name not in BLOCK) and places[-1] < self.walls[-1]:
+            return
+        if name in BLOCK:
+            self.texts.append((self.stack[places[-1]], None))
+        self._pop_to(places[-1])
 
     # ------------------------------------------------------------- scoring
 
-    def main_text(self) -> str:
+    def _under(self, gone: list[bool]) -> None:
+        """Text length, commas and text in links below every element that is not gone."""
         n = len(self.tag)
-        # a cut around the article itself (a wrapper named after its sidebar, say) does not count
-        holds = [False] * n
-        for e in range(n - 1, 0, -1):
-            if self.tag[e] in ("article", "main") and not self.cut[e]:
-                holds[e] = True
-            if holds[e]:
-                holds[self.parent[e]] = True
-        gone = [False] * n
-        for e in range(1, n):
-            hard = self.tag[e] in CUT or self.tag[e] == "header"
-            gone[e] = gone[self.parent[e]] or self.cut[e] and (hard or not holds[e])
-        length, commas, links = [0] * n, [0] * n, [0] * n
+        self.length, self.commas, self.links = [0] * n, [0] * n, [0] * n
+        self.direct = [0] * n                                # texts standing directly in a block
         for e, t in self.texts:
             if t is None or gone[e]:
                 continue
             size = len(" ".join(t.split()))
-            if not size:
-                continue
-            c = t.count(",") + t.count("、") + t.count("，")
-            length[e] += size
-            commas[e] += c
+            if size:
+                self.length[e] += size
+                self.commas[e] += t.count(",") + t.count("、") + t.count("，")
+                self.direct[self.block[e]] += 1
         for e in range(n - 1, 0, -1):
             if self.tag[e] == "a":
-                links[e] = length[e]
+                self.links[e] = self.length[e]
             p = self.parent[e]
-            length[p] += length[e]
-            links[p] += links[e]
-            commas[p] += commas[e]
+            self.length[p] += self.length[e]
+            self.links[p] += self.links[e]
+            self.commas[p] += self.commas[e]
+
+    def _worth(self, e: int) -> float:
+        """Points of a paragraph (0: not one). Text directly in a container makes it a paragraph of its own."""
+        if not self.length[e] or not (self.tag[e] in PARAGRAPH or self.direct[e] and self.tag[e] not in (
+                "h1", "h2", "h3", "h4", "h5", "h6", "body", "html", "#root")):
+            return 0.0
+        return (1 + self.commas[e] + min(self.length[e] / 100, 3)) * (1 - self.links[e] / self.length[e])
+
+    def _gone(self) -> list[bool]:
+        """Elements that are cut. A cut around the article itself (a wrapper named
+        after its sidebar, say) does not count, nor does one by name alone of the
+        element that holds most of the paragraph points."""
+        n = len(self.tag)
+        holds = [False] * n
+        for e in range(n - 1, 0, -1):
+            if self.tag[e] in ("article", "main") and self.cut[e] == NO_CUT:
+                holds[e] = True
+            if holds[e]:
+                holds[self.parent[e]] = True
+        most = [False] * n
+        if SOFT in self.cut:
+            hard = [False] * n
+            for e in range(1, n):
+                hard[e] = hard[self.parent[e]] or self.cut[e] == HARD or self.cut[e] in (HIDDEN, READERS) and not holds[e]
+            self._under(hard)
+            points = [0.0 if hard[e] else self._worth(e) for e in range(n)]
+            for e in range(n - 1, 0, -1):
+                points[self.parent[e]] += points[e]
+            most = [p > points[0] / 2 for p in points]
+        gone = [False] * n
+        for e in range(1, n):
+            kind = self.cut[e]
+            gone[e] = gone[self.parent[e]] or kind == HARD or kind in (HIDDEN, READERS) and not holds[e] \
+                or kind == SOFT and not holds[e] and not most[e]
+        return gone
+
+    def main_text(self) -> str:
+        n = len(self.tag)
+        self.block = [0] * n                                 # the block that an element stands in, itself included
+        for e in range(1, n):
+            self.block[e] = e if self.tag[e] in BLOCK else self.block[self.parent[e]]
+        gone = self._gone()
+        self._under(gone)
+        length, links = self.length, self.links
         points = [0.0] * n
         touched = [False] * n
-        # text standing directly in a container makes that container a paragraph of its own
-        direct = [0] * n
-        for e, t in self.texts:
-            if t is not None and not gone[e] and not t.isspace() and t:
-                while self.tag[e] not in BLOCK and e > 0:
-                    e = self.parent[e]
-                direct[e] += 1
         for e in range(1, n):
-            if gone[e] or not length[e]:
+            worth = 0.0 if gone[e] else self._worth(e)
+            if gone[e] or not length[e] or not (self.tag[e] in PARAGRAPH or self.direct[e] and self.tag[e] not in (
+                    "h1", "h2", "h3", "h4", "h5", "h6", "body", "html")):
                 continue
-            if self.tag[e] in PARAGRAPH or direct[e] and self.tag[e] not in ("h1", "h2", "h3", "h4", "h5", "h6", "body", "html"):
-                worth = (1 + commas[e] + min(length[e] / 100, 3)) * (1 - links[e] / length[e])
-                up, level = self.parent[e] if self.tag[e] in PARAGRAPH else e, 0
-                while up >= 0:
-                    points[up] += worth / (1 if level == 0 else 2 if level == 1 else 3 * level)
-                    touched[up] = True
-                    up, level = self.parent[up], level + 1
+            up, level = self.parent[e] if self.tag[e] in PARAGRAPH else e, 0
+            while up >= 0 and level < LEVELS:
+                points[up] += worth / (1 if level == 0 else 2 if level == 1 else 3 * level)
+                touched[up] = True
+                up, level = self.parent[up], level + 1
         best, top = 0, -1.0
         for e in range(n):
             if touched[e] and not gone[e] and self.tag[e] not in ("p", "ul", "ol", "tr", "table", "html", "#root"):
