@@ -13,11 +13,11 @@ matrix product with the result.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +32,7 @@ LANDMARKS = 240      # of them
 RIDGE = 1e-4
 SHARPNESS = 4.0      # of the score: soft maximum over the languages' outputs
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -111,10 +111,11 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     held = {r.lang: r.c for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("c")).collect()}
     if not held:
         return train([], [])
-    share = F.lit(0)
+    # a share of the 2^62 values that the hash can take, so fine at any number of rows
+    share = F.lit(0).cast("long")
     for lang, c in sorted(held.items()):
-        share = F.when(F.col("lang") == lang, min(1_000_000, -(-1_000_000 * sample // (len(held) * c)))).otherwise(share)
-    drawn = rows.where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1_000_000)) < share) \
+        share = F.when(F.col("lang") == lang, F.lit(min(1 << 62, (sample << 62) // (len(held) * c)))).otherwise(share)
+    drawn = rows.where(F.shiftrightunsigned(F.xxhash64("id", F.lit(11)), 2) < share) \
         .select("lang", "id", "text").mapInArrow(_pack, "lang string, id long, bits binary").orderBy("id", "bits").collect()
     return train([r.lang for r in drawn], [bytes(r.bits) for r in drawn])
 
