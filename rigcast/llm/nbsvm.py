@@ -169,8 +169,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     pos = np.concatenate([np.frombuffer(r.pos, np.int64) for r in counts])
     neg = np.concatenate([np.frombuffer(r.neg, np.int64) for r in counts])
     ratio = log_ratio(pos, neg)
-    share = min(1.0, sample / max(n, 1))
-    drawn = rows.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1_000_000)) < int(share * 1_000_000)).orderBy("id", "feats").collect()
+    share = min(1 << 62, (sample << 62) // max(n, 1))        # of the 2^62 values of the hash: fine at any number of rows
+    drawn = rows.where(F.shiftrightunsigned(F.xxhash64("id", F.lit(3)), 2) < F.lit(share)).orderBy("id", "feats").collect()
     x = [unpack(r.feats) for r in drawn]
     y = np.array([1.0 if r.quality else -1.0 for r in drawn])
     if not len(y) or abs(y.sum()) == len(y):
