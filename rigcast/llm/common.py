@@ -114,11 +114,11 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
 
 
 @contextmanager
-def text_batches(spark: SparkSession):
+def text_batches(spark: SparkSession, rows: int = ARROW_ROWS):
     """Small Arrow batches for the jobs run inside; the caller's setting comes back."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(ARROW_ROWS))
+    spark.conf.set(key, str(rows))
     try:
         yield
     finally:

@@ -28,14 +28,17 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rigcast.llm.common import small_batches, stage, table
+from rigcast.llm.common import stage, table, text_batches
 from rigcast.llm.textnum import chunks
 from rigcast.llm.wordcache import PieceTable
 
 SEQ_LEN = 4096
 GRANULE = 256        # tokens that a queue serves at once; pieces of one sequence are at least this long but at cuts
-BUCKETS = 256        # parts of a source, so that a source holding most rows is summed by many tasks
-ROUNDS = 512         # rounds in a block of the stream
+BUCKET_TOKENS = 1 << 24   # expected size of a part of the corpus: a source holding most rows is summed by many tasks
+LEAST_BUCKETS = 256
+LEAST_ROUNDS, MOST_BLOCKS = 512, 1 << 16   # rounds in a block of the stream, unless there would be more blocks than this
+TEXT_ROWS, TEXT_BYTES = 2000, 8 << 20      # texts whose distinct words are looked up at once
+WORDS = 600_000      # pieces that a worker remembers; results do not depend on it
 END_ID = 2           # closes every document
 
 # White space beyond ASCII, which the vocabulary's split drops as well
@@ -70,8 +73,8 @@ class WhiteSpaceTokenizer:
         self.split = next((s["pattern"].get("Regex") for s in spec["pre_tokenizer"].get("pretokenizers", []) if s["type"] == "Split"), None)
         for token, i in spec["model"]["vocab"].items():
             self.ends[i] = bool(suffix) and token.endswith(suffix)
-        self.parts = PieceTable(self._encode_parts)
-        self.words = PieceTable(self._encode_words)
+        self.parts = PieceTable(self._encode_parts, WORDS)
+        self.words = PieceTable(self._encode_words, WORDS)
 
     def _by_word(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids, n = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
@@ -119,7 +122,7 @@ def _tokenize(path: str, end_id: int):
 
     def run(batches):
         tok = load(path)
-        for b in chunks(batches, "text"):
+        for b in chunks(batches, "text", TEXT_BYTES):
             flat, n = tok.encode(b.column("text"))
             ends = np.cumsum(n)
             flat = np.insert(flat, ends, end_id)             # after each document
@@ -186,12 +189,14 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     hold exactly ``seq_len`` ids.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("")).alias("q"))
-    ids = stage(base.mapInArrow(_tokenize(path, end_id), "doc_id long, q string, n long, ids binary")
-                .withColumn("rid", F.monotonically_increasing_id()), "ids")
-    sized = ids.select("rid", "q", "n", F.pmod(F.xxhash64("rid"), F.lit(BUCKETS)).alias("bucket"))
+    with text_batches(spark, TEXT_ROWS):
+        ids = stage(base.mapInArrow(_tokenize(path, end_id), "doc_id long, q string, n long, ids binary")
+                    .withColumn("rid", F.monotonically_increasing_id()), "ids")
+    tokens = ids.agg(F.sum("n")).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, -(-tokens // BUCKET_TOKENS))
+    sized = ids.select("rid", "q", "n", F.pmod(F.xxhash64("rid"), F.lit(buckets)).alias("bucket"))
     parts = stage(sized.groupBy("q", "bucket").agg(F.sum("n").alias("held")), "parts")
     queues = parts.groupBy("q").agg(F.sum("held").alias("total"))
     if targets is None:
@@ -210,6 +215,8 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
     quantum = f"cast(w as {big}) * {seq_len}"
     queues = stage(queues.withColumn("last", F.expr(up(f"cast(total as {big}) * {all_w}", quantum))), "queues")
+    end = queues.agg(F.max("last")).first()[0] or 0
+    rounds = max(LEAST_ROUNDS, -(-end // MOST_BLOCKS))
 
     along = Window.partitionBy("q").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.withColumn("base", F.coalesce(F.sum("held").over(along), F.lit(0)))
@@ -225,11 +232,10 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
             f"sequence((base + {granule - 1}) div {granule}, (base + held - 1) div {granule}), array())")).alias("k")) \
         .withColumn("size", F.least(F.lit(granule), F.col("total") - F.col("k") * granule)) \
         .withColumn("r", F.expr(f"least(last, {up(f'cast((k + 1) * {granule} as {big}) * {all_w}', quantum)})")) \
-        .withColumn("block", F.expr(f"(r - 1) div {ROUNDS}"))
-    served = F.expr(f"if(block * {ROUNDS} >= last, total, "
-                    f"{granule} * (cast(block * {ROUNDS} as {big}) * ({quantum}) div (cast({all_w} as {big}) * {granule})))")
-    end = queues.agg(F.max("last")).first()[0] or 0
-    block_start = queues.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit((end - 1) // ROUNDS if end else 0).cast("long")))) \
+        .withColumn("block", F.expr(f"(r - 1) div {rounds}"))
+    served = F.expr(f"if(block * {rounds} >= last, total, "
+                    f"{granule} * (cast(block * {rounds} as {big}) * ({quantum}) div (cast({all_w} as {big}) * {granule})))")
+    block_start = queues.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit((end - 1) // rounds if end else 0).cast("long")))) \
         .groupBy("block").agg(F.sum(served).alias("block_start"))
     order = Window.partitionBy("block").orderBy("r", "q", "k").rowsBetween(Window.unboundedPreceding, -1)
     grains = grains.withColumn("ahead", F.coalesce(F.sum("size").over(order), F.lit(0))).join(block_start, "block") \
@@ -244,7 +250,8 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
             (F.col("at") + F.col("lo") - F.col("k") * granule).alias("pos"))).alias("cuts"))
     columns = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
                + (", ids binary" if with_ids else ""))
-    return ids.join(cuts, "rid").select("doc_id", "q", "n", "ids", "cuts").mapInArrow(_pieces(seq_len, with_ids), columns)
+    with text_batches(spark):
+        return stage(ids.join(cuts, "rid").select("doc_id", "q", "n", "ids", "cuts").mapInArrow(_pieces(seq_len, with_ids), columns), "pieces")
 
 
 def assemble(pieces: DataFrame) -> DataFrame:
