@@ -1017,7 +1017,8 @@ def oracle() -> dict[str, str]:
     sql["ingest_xlsx"] = ingest
     sql["rejects"] = _with(files, units) + (
         "SELECT DISTINCT name, 'unit not parsable' AS reason FROM u WHERE unit IS NULL "
-        "UNION ALL SELECT 'README.txt' AS name, 'ignored' AS reason")
+        "UNION ALL SELECT 'README.txt' AS name, 'ignored' AS reason "
+        "UNION ALL SELECT 'HYD000000-0_RAW.csv' AS name, 'empty file' AS reason")
     sql["union_by_name"] = (
         "WITH a AS (SELECT CAST(user_id AS BIGINT) AS UNIT, value AS s, "
         "TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS t, NULL AS DURATION, "

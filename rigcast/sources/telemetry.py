@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rigcast.constants import INTERIM_FEATURES
-from rigcast.sources.files import write_xlsx
+from rigcast.sources.workbook_writer import write_workbook
 
 # sensor -> source letter (v, k or u); STEP is handled separately
 SENSOR_SOURCE: dict[str, str] = {
@@ -131,6 +131,9 @@ def _flatten(spark: SparkSession, staging: str, final: str, pattern: str) -> Non
         fs.rename(st.getPath(), Path(final + "/" + name))
 
 
+EMPTY_NAME = "HYD000000-0_RAW.csv"
+
+
 def _note(spark: SparkSession, final: str) -> None:
     jvm = spark.sparkContext._jvm
     Path = jvm.org.apache.hadoop.fs.Path
@@ -138,11 +141,12 @@ def _note(spark: SparkSession, final: str) -> None:
     out = fs.create(Path(final + "/README.txt"))
     out.write(bytearray(b"not a raw file\n"))
     out.close()
+    fs.create(Path(final + "/" + EMPTY_NAME)).close()
 
 
 def write_raw_csv_folder(events: DataFrame, folder: str) -> str:
     """Stand-in raw folder: one CSV per (unit, event type), rows in time order,
-    plus one non-raw file. Returns the folder."""
+    plus one non-raw file and one empty raw file. Returns the folder."""
     spark = events.sparkSession
     staging = folder + "-staging"
     for tag, df in _layouts(events):
@@ -155,16 +159,16 @@ def write_raw_csv_folder(events: DataFrame, folder: str) -> str:
 
 
 def write_raw_xlsx_folder(events: DataFrame, folder: str) -> str:
-    """Stand-in raw folder of ``.xlsx`` workbooks, one per (unit, event type),
-    written by executor tasks (one group per workbook)."""
+    """Stand-in raw folder of workbooks, one per (unit, event type), written by
+    executor tasks (one group per workbook): ``.xls`` for ``view`` files, else ``.xlsx``."""
     import pandas as pd
 
     def one_book(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        name = key[0].replace("_RAW.csv", "_RAW.xlsx")
+        name = key[0].replace("_RAW.csv", "_RAW.xls" if "-view_" in key[0] else "_RAW.xlsx")
         cols = [c for c in pdf.columns if c not in ("name", "ts", "event_id")]
         pdf = pdf.sort_values(["ts", "event_id"])
         rows = [cols] + pdf[cols].astype(object).where(pdf[cols].notna(), None).values.tolist()
-        write_xlsx(rows, f"{folder}/{name}")
+        write_workbook(rows, f"{folder}/{name}")
         return pd.DataFrame({"name": [name], "rows": [len(pdf)]})
 
     jvm = events.sparkSession.sparkContext._jvm
