@@ -37,7 +37,7 @@ TABLES = 12
 PROBES = 12          # nearest signed axes that a query probes in each table
 BLOCK = 4000         # stored vectors of a bucket that meet the probes in one task
 BAND = 1.1           # longest to shortest vector of a band of lengths
-SCAN = 1000          # stored vectors of a band up to which it is met as a whole
+SCAN = 100           # stored vectors of a band up to which it is met as a whole; all larger bands are hashed
 SEED = 7
 
 

@@ -61,6 +61,7 @@ def test_recall_on_the_table(spark):
         found.setdefault(r.query_id, set()).add(r.vec_id)
     rows = {r.vec_id: np.array(r.embedding, float) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()}
     hit = sum(len(found[q] & {i for _, i in sorted((-(rows[q] @ v), i) for i, v in rows.items() if i != q)[:20]}) for q in found)
+    assert crosspoly.SCAN < len(rows)                     # so the table is hashed
     assert set(found) == {i for i in rows if i % 20 == 0} and hit >= 0.9 * 20 * len(found)
 
 
