@@ -24,8 +24,9 @@ def language(spark, docs, sf_dir):
 
 
 def quality(spark, docs, sf_dir):
-    """Documents that the base rule and the weak-supervision posterior keep."""
-    voted = quality_rules.rule_votes(docs)
+    """Documents that the base rule and the weak-supervision posterior keep; empty
+    texts have no words and go. Ids play no part, so null and repeated ones pass."""
+    voted = stage(quality_rules.rule_votes(docs), "votes")
     return quality_rules.judge(voted, quality_rules.posteriors(voted)).where("kept").select("row.*")
 
 
@@ -47,12 +48,18 @@ def near_duplicates(spark, docs, sf_dir):
     if least.where("c > 1").limit(1).count():             # the smallest id repeated: its smallest text
         texts = named.join(least.where("c > 1").select("comp", "doc_id"), ["comp", "doc_id"], "left_semi").join(rows.select("_row", "text"), "_row")
         keep = keep.union(texts.groupBy("comp").agg(F.min(F.struct("text", "_row")).alias("m")).select("m._row"))
-    gone = named.select("_row").join(keep, "_row", "left_anti")
-    return rows.join(gone, "_row", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    # rows that repeat an id and its text: the first of them stays; only ids and digests are shuffled
+    same = rows.groupBy("doc_id", F.md5("text").alias("digest"), F.length("text").alias("size")).agg(F.min("_row").alias("first"), F.count(F.lit(1)).alias("c"))
+    twice = stage(same.where("c > 1"), "twice")
+    repeats = rows.select("_row", "doc_id", F.md5("text").alias("digest"), F.length("text").alias("size")).alias("r").join(
+        twice.alias("t"), F.expr("r.doc_id <=> t.doc_id and r.digest <=> t.digest and r.size <=> t.size and r._row > t.first"), "left_semi").select("_row")
+    gone = stage(named.select("_row").join(keep, "_row", "left_anti").union(repeats).distinct(), "gone")
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def pack(spark, docs, sf_dir):
-    """Pieces of the documents, packed into sequences of 4096 ids."""
+    """Pieces of the documents, packed into sequences of 4096 ids. Null and empty
+    texts are their closing id; null and repeated ids are documents of their own."""
     import public_tokenizers
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
