@@ -76,13 +76,12 @@ def corr_ref(df: DataFrame, by: Sequence[str] = (), column: Sequence[str] = ("ta
              pred: str = "pred", true: str = "true") -> DataFrame:
     """Per column ``u = sum (t - mt)(p - mp)``, ``d = sqrt(sum (t-mt)^2 (p-mp)^2)``,
     then the mean of ``u / d`` over the columns of each ``by`` group.
-    (Not Pearson's correlation.) Two passes: column means (one row per column,
-    broadcast back), then the sums."""
+    (Not Pearson's correlation.) Two passes: column means, then the sums."""
     keys = [*by, *column]
     if not keys:                       # one group: join the single means row on a constant key
         df, keys = df.withColumn("_one", F.lit(1)), ["_one"]
     means = df.groupBy(*keys).agg(F.avg(true).alias("_mt"), F.avg(pred).alias("_mp"))
-    j = df.join(F.broadcast(means), keys)
+    j = df.join(means, keys)           # one row per group: the planner broadcasts it where it is small
     dt, dp = F.col(true) - F.col("_mt"), F.col(pred) - F.col("_mp")
     per_col = j.groupBy(*keys).agg(
         (F.sum(dt * dp) / F.sqrt(F.sum(F.pow(dt, 2) * F.pow(dp, 2)))).alias("_c"))

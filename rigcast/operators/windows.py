@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rigcast.operators.clean import col
-from rigcast.operators.order import dense_index
 
 
 def default_block(before: int, after: int, minimum: int = 1024) -> int:
@@ -135,23 +134,50 @@ def batch_windows(windows: DataFrame, batch_size: int, first: int, count: int,
     return out.where(F.col("batch_id") < full)
 
 
+ROUNDS = 4           # of the keyed permutation
+
+
+def _permuted(x: Column, a: Column, b: Column, key: Column) -> Column:
+    """One pass of a Feistel network over mixed radices: a bijection of ``0 .. a b - 1``."""
+    left, right = x % a, F.floor(x / a)
+    for j in range(ROUNDS):
+        mixed = F.conv(F.substring(F.md5(F.concat_ws(":", key, F.lit(str(j)), right.cast("string"))), 1, 8), 16, 10).cast("long")
+        left, right = right, (left + mixed) % (a if j % 2 == 0 else b)
+    return a * right + left if ROUNDS % 2 == 0 else a * left + right
+
+
+def keyed_position(x: Column, n: Column, key: Column) -> Column:
+    """A permutation of ``0 .. n - 1`` chosen by the text ``key``, as a projection:
+    no row has to see another. The network's domain ``a b`` (``a`` the root of
+    ``n``, rounded up) exceeds ``n`` by less than ``a``; the few positions that
+    leave ``0 .. n - 1`` are permuted again until they are back."""
+    a = F.ceil(F.sqrt(n.cast("double"))).cast("long")
+    b = F.ceil(n / a).cast("long")
+    once = _permuted(x, a, b, key)
+    walk = F.aggregate(F.sequence(F.lit(1).cast("long"), a), once, lambda y, _: F.when(y < n, y).otherwise(_permuted(y, a, b, key)))
+    return F.when(once < n, once).otherwise(walk)
+
+
 def shuffled_batches(windows: DataFrame, batch_size: int, seed: int | str, idx: str = "idx",
                      series: Sequence[str] = ()) -> DataFrame:
-    """Repeatable shuffle of every series on its own: its windows are ranked
-    by ``md5('seed:series:idx')`` (``seed`` may name a column, so that repeats
-    are one more series key), then batched as E5, each series dropping its own
-    incomplete last batch. The rank is the dense index less the series' first
-    position, so neither a long series nor many repeats become one task."""
-    keys = list(series) or ["_all"]
+    """Repeatable shuffle of every series on its own, batched as E5; each
+    series drops its own incomplete last batch. ``seed`` may name a column, so
+    that repeats are one more series key. The place of a window in the shuffled
+    order is a keyed permutation of its position (``idx`` less the series' first,
+    so ``idx`` must have no gaps within a series): a projection, without a sort."""
+    keys = list(series)
+    keyed = windows if keys else windows.withColumn("_all", F.lit(0))
+    by = keys or ["_all"]
+    span = keyed.groupBy(*[col(k) for k in by]).agg(F.min(idx).alias("_first"), F.max(idx).alias("_last"), F.count(F.lit(1)).alias("_n"))
+    size = F.when(F.col("_last") - F.col("_first") + 1 == F.col("_n"), F.col("_n")).otherwise(
+        F.raise_error(F.lit("the index of a series has gaps or repeats")).cast("long"))
+    span = span.select(*[col(k) for k in by], "_first", size.alias("_n"))
     seeded = F.col(seed) if isinstance(seed, str) else F.lit(seed)
-    keyed = windows if series else windows.withColumn("_all", F.lit(0))
-    text = [x.cast("string") for x in (seeded, *[col(s) for s in series], F.col(idx))]
-    keyed = keyed.withColumn("_h", F.md5(F.concat_ws(":", *text)))
-    ranked = dense_index(keyed, [*keys, "_h", idx], idx="_pos", name="shuffled-batches")
-    span = ranked.groupBy(*[col(k) for k in keys]).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    out = (ranked.join(span, keys).withColumn("window_no", F.col("_pos") - F.col("_first"))
-           .withColumn("batch_id", F.expr(f"window_no div {int(batch_size)}")))
-    return out.where(F.expr(f"batch_id < _n div {int(batch_size)}")).drop("_h", "_pos", "_first", "_n", "_all")
+    key = F.concat_ws(":", seeded.cast("string"), *[col(k).cast("string") for k in keys])
+    placed = keyed.join(span, by).withColumn("_key", key).withColumn("_pos", F.col(idx) - F.col("_first")) \
+        .withColumn("window_no", keyed_position(F.col("_pos"), F.col("_n"), F.col("_key"))) \
+        .withColumn("batch_id", F.expr(f"window_no div {int(batch_size)}"))
+    return placed.where(F.expr(f"batch_id < _n div {int(batch_size)}")).drop("_key", "_pos", "_first", "_n", "_all")
 
 
 def horizon_slice(c: Column | str, pred_len: int) -> Column:

@@ -24,16 +24,17 @@ from rigcast.operators import splits as sp
 from rigcast.operators import windows as wn
 from rigcast.operators.clean import (add_running_time, clean_interim, coerce_numeric,
                                      drop_columns, drop_idle_steps, drop_missing,
-                                     normalise_columns, select_features, select_mode, unpivot_targets)
+                                     forecast_targets, normalise_columns, select_features, select_mode, unpivot_targets)
 from rigcast.operators.ingest import test_ordinals
 from rigcast.operators.order import IndexedTable, IndexedView, dense_index, index_table
 from rigcast.plans import oracle as oq
+from rigcast.plans.pipeline import predict_new
 from rigcast.functions.numeric import coerce_double
 from rigcast.operators.order import RAW_ORDER
 from rigcast.session import materialize, scratch_path
 from rigcast.sources import files as fl
 from rigcast.sources.telemetry import (EVENT_ORDER, SENSOR_SOURCE, load, raw_file_names,
-                                       raw_from_events, write_raw_csv_folder,
+                                       raw_from_events, write_new_csvs, write_raw_csv_folder,
                                        write_raw_xlsx_folder)
 
 TARGETS = FORECAST_FEATURES
@@ -618,20 +619,11 @@ def q_predict_new_data(spark, d):
     column that only some layouts have decides nothing) -> power (B11-B13) ->
     index -> the training scaler (D2) -> inference windows inside each file
     (E4) -> native predict (F3). Lookback 2, as most stand-in files are short."""
-    from rigcast.operators.clean import add_power_features, coerce_all_but_time
     wide = scaled_view(spark, d)
     n, k = wide.count, sp.split_border(wide.count, TRAIN)
     coefs = fc.fit_ar(wide, TARGETS, 2, end=k, ridge=1.0, n_rows=n)
     new = fl.ingest_folder(spark, raw_folder(spark, d, "csv")).rows.drop("UNIT", "TEST")
-    order = ["_file", "_block", "_ord"]
-    feats = [c for c in new.columns if c not in order]
-    x = drop_missing(drop_idle_steps(coerce_all_but_time(new, feats)), INTERIM_FEATURES)
-    x = normalise_columns(add_power_features(x), keep=order)
-    x = index_table(x, order)
-    scaled = sc.transform(x.frame().select("_file", "idx", *TARGETS), train_params(spark, d), TARGETS)
-    long = unpivot_targets(scaled, TARGETS, ids=("_file", "idx"))
-    w = wn.inference_windows(long, "value", 2, x.count, include_latest=True, series=["_file", "target"])
-    pred = fc.predict(w, coefs.where(F.col("fit") == "full"))
+    pred = predict_new(new, coefs, train_params(spark, d), 2, include_latest=True)
     return pred.groupBy("target").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("pred")).alias("avg_pred"))
 
 
@@ -758,6 +750,95 @@ def q_folder_pipeline(spark, d):
                       r6("val_rmse_mean").alias("val_rmse_mean"))
 
 
+def q_projected_csv(spark, d):
+    """The raw log as CSV, read back for a list of columns only."""
+    columns = ["event_id", *INTERIM_FEATURES]
+    path = scratch_path(spark, "raw-csv")
+    fl.write_csv(raw_log(spark, d).select(*[F.col(f"`{c}`") for c in columns]), path)
+    x = fl.read_projected_csv(spark, [path], columns, ["event_id", "M1 SPEED", " Vibration 2", "STEP"])
+    return x.select(F.col("event_id").cast("long").alias("event_id"), *[r6(coerce_double(F.col(f"`{c}`"))).alias(n) for c, n in
+                                  (("M1 SPEED", "M1_SPEED"), (" Vibration 2", "VIBRATION_2"), ("STEP", "STEP"))])
+
+
+def q_target_selection(spark, d):
+    """The forecast targets picked from the interim columns by their names."""
+    df, _ = interim(spark, d)
+    targets = forecast_targets(df.columns)
+    at = F.array_position(F.array(*[F.lit(t) for t in targets]), F.col("target")) - 1
+    return unpivot_targets(df, targets).groupBy("target").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("value")).alias("mean")) \
+        .select("target", at.alias("position"), "n", "mean")
+
+
+def q_holdout_tail(spark, d):
+    """The windows of the train part, the last share of them held out."""
+    n = interim_table(spark, d).count
+    m = sp.split_border(n, TRAIN) - LOOKBACK
+    pairs = lag1_pairs(spark, d).withColumn("window_no", F.col("idx") - LOOKBACK).where(F.col("window_no") < m)
+    out = None
+    for part, rows in zip(("fit", "tail"), sp.holdout_tail(pairs, m, VAL_SIZE)):
+        s = rows.groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.min("idx").alias("first"), F.max("idx").alias("last"), r6(mt.rmse()).alias("rmse"))
+        out = s.select(F.lit(part).alias("part"), "*") if out is None else out.unionByName(s.select(F.lit(part).alias("part"), "*"))
+    return out
+
+
+def q_scale_constant(spark, d):
+    """D1 and D3 on a column that is constant once idle rows are gone: a zero deviation counts as 1, or stays and gives NaN."""
+    columns = ["STEP", "M1 SPEED"]
+    x = select_features(raw_log(spark, d), INTERIM_FEATURES)
+    x = drop_idle_steps(drop_missing(coerce_numeric(x, INTERIM_FEATURES), INTERIM_FEATURES)).select(*[F.col(f"`{c}`") for c in columns])
+    out = None
+    for rule in ("one", "zero"):
+        params = sc.fit_standard(x, columns, zero_std=rule)
+        scaled = unpivot_targets(sc.transform(x, params, columns), columns, ids=(), name="feature")
+        s = scaled.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.sum(F.isnan("value").cast("long")).alias("n_nan")) \
+            .join(params.select("feature", r6("center").alias("center"), r6("scale").alias("scale")), "feature")
+        out = s.select(F.lit(rule).alias("rule"), "*") if out is None else out.unionByName(s.select(F.lit(rule).alias("rule"), "*"))
+    return out
+
+
+def q_zero_truth(spark, d):
+    """G5 and G6 where true values are zero (idle rows): such rows left out, or infinite as plain division gives."""
+    x = coerce_numeric(raw_log(spark, d).select("M1 SPEED", "STEP"))
+    rows = drop_missing(x).select(F.col("STEP").alias("step"), (F.col("M1 SPEED") * 2).alias("pred"), (F.col("M1 SPEED") * F.col("STEP")).alias("true"))
+    m = rows.groupBy("step").agg(F.count(F.lit(1)).alias("n"), r6(mt.mape()).alias("mape"), r6(mt.mspe()).alias("mspe"),
+                                 mt.mape(zero_true="inf").alias("a"), mt.mspe(zero_true="inf").alias("b"))
+    return m.select("step", "n", "mape", "mspe", *[(F.col(c) == float("inf")).alias(f"{n}_infinite") for c, n in (("a", "mape"), ("b", "mspe"))])
+
+
+def q_run_registry(spark, d):
+    """Run parameters and scaler through storage, into the promoted rows."""
+    champ, chal = _champions_challengers(spark, d)
+    base = scratch_path(spark, "runs")
+    for t in TARGETS:
+        fl.write_runs(fl.run_parameters(spark, "window-mean", t, {"lookback": LOOKBACK, "train_size": TRAIN, "folds": FOLDS}), f"{base}/runs")
+    train, _ = sp.prefix_split(interim_table(spark, d), interim_table(spark, d).count, TRAIN)
+    fl.write_params(sc.fit_standard(train, TARGETS), f"{base}/scaler")
+    scaler = fl.read_params(spark, f"{base}/scaler").select(F.col("feature").alias("target"), "center", "scale")
+    chal = chal.join(fl.read_runs(spark, f"{base}/runs"), ["target", "run_id"]).join(scaler, "target")
+    reg = rg.promote(champ, rg.compare_strict(chal, champ))
+    return reg.select("target", "run_id", r6("test_loss").alias("test_loss"), F.col("params")["lookback"].alias("lookback"),
+                      F.col("params")["train_size"].alias("train_size"), r6("center").alias("center"), r6("scale").alias("scale"))
+
+
+def q_new_csv(spark, d):
+    """A13 and F5 at the real lookback: every new CSV by its own header -> coerce
+    all but time -> idle filter -> missing -> power -> index -> training scaler ->
+    windows of 120 rows without the newest (E4) -> predict. The model is fitted at
+    lookback 2, so that SQL can follow, and reads nothing of the older rows."""
+    view = scaled_view(spark, d)
+    n, k = view.count, sp.split_border(view.count, TRAIN)
+    coefs = fc.fit_ar(view, TARGETS, 2, end=k, ridge=1.0, n_rows=n).withColumn(
+        "coef", F.concat(F.array_repeat(F.lit(0.0), LOOKBACK - 2), "coef"))
+    folder = write_new_csvs(load(spark, d, "events"), scratch_path(spark, "new-csv"))
+    out = None
+    for f in fl.file_manifest(spark, folder, recursive=True).where("kind = 'csv'").orderBy("path").collect():
+        p = predict_new(fl.scan_new_data(spark, f["path"]), coefs, train_params(spark, d), LOOKBACK)
+        p = p.groupBy("target").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("pred")).alias("avg_pred"))
+        p = p.select(F.lit(f["path"].split("event_type=")[1].split("/")[0]).alias("name"), "*")
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coerce_dropna_step": q_coerce_dropna_step,
     "unit_from_name": q_unit_from_name,
@@ -808,6 +889,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_xlsx": q_ingest_xlsx,
     "rejects": q_rejects,
     "predict_new_data": q_predict_new_data,
+    "new_csv": q_new_csv,
+    "projected_csv": q_projected_csv,
+    "target_selection": q_target_selection,
+    "holdout_tail": q_holdout_tail,
+    "scale_constant": q_scale_constant,
+    "zero_truth": q_zero_truth,
+    "run_registry": q_run_registry,
     "union_by_name": q_union_by_name,
     "kfp_features": q_kfp_features,
     "torch_scale": q_torch_scale,
@@ -1040,14 +1128,41 @@ def oracle() -> dict[str, str]:
         for t in TARGETS)
     sql["torch_scale"] = _with(base) + own
     repeats = ", ".join(f"({e}, {1 + e * (e + 1) // 2})" for e in range(REPEATS))
-    sql["shuffled_batches"] = _with(base, scaled, lag1, f"reps AS (SELECT * FROM (VALUES {repeats}) r(exp, seed))", (
-        "rk AS (SELECT target, exp, pred, yt, row_number() OVER (PARTITION BY target, exp "
-        "ORDER BY md5(concat_ws(':', seed, target, exp, idx))) - 1 AS p, "
-        "count(*) OVER (PARTITION BY target, exp) AS n FROM pairs, reps)"), (
+    sql["shuffled_batches"] = "WITH RECURSIVE " + _with(base, scaled, lag1, f"reps AS (SELECT * FROM (VALUES {repeats}) r(exp, seed))",
+                                                        "each AS (SELECT target, exp, seed, idx, pred, yt FROM pairs, reps)", oq.shuffle_ctes("each"), (
         f"pb AS (SELECT target, exp, p // {BATCH} AS b, sqrt(avg(power(pred - yt, 2))) AS r FROM rk "
-        f"WHERE p // {BATCH} < n // {BATCH} GROUP BY 1, 2, 3)")) + (
+        f"WHERE p // {BATCH} < n // {BATCH} GROUP BY 1, 2, 3)"))[5:] + (
         "SELECT target, CAST(exp AS BIGINT) AS exp, round(avg(r), 6) AS batch_rmse, count(*) AS n_batches "
         "FROM pb GROUP BY target, exp")
+    sql["new_csv"] = oq.new_files_sql(base, scaled, k, LOOKBACK)
+    sql["projected_csv"] = _with(base) + (
+        'SELECT event_id, round("M1 SPEED", 6) AS M1_SPEED, round(" Vibration 2", 6) AS VIBRATION_2, round("STEP", 6) AS STEP FROM typed')
+    places = ", ".join(f"({i}, '{t}')" for i, t in enumerate((
+        "VIBRATION_1", "VIBRATION_2", "DRIVE_POWER", "LOAD_POWER", "CHARGE_MECH_POWER", "CHARGE_HYD_POWER", "SERVO_MECH_POWER",
+        "SERVO_HYD_POWER", "SCAVENGE_POWER", "MAIN_COOLER_POWER", "GEARBOX_COOLER_POWER")))
+    sql["target_selection"] = _with(base, f"long AS ({oq.long_sql('interim')})", f"w(position, target) AS (VALUES {places})") + (
+        "SELECT w.target, CAST(position AS BIGINT) AS position, count(*) AS n, round(avg(value), 6) AS mean FROM w JOIN long ON long.target = w.target GROUP BY 1, 2")
+    cut = f"{LOOKBACK} + CAST(floor(({k} - {LOOKBACK}) * CAST({1 - VAL_SIZE!r} AS DOUBLE)) AS BIGINT)"
+    sql["holdout_tail"] = _with(base, scaled, lag1) + (
+        f"SELECT CASE WHEN idx < {cut} THEN 'fit' ELSE 'tail' END AS part, target, count(*) AS n, min(idx) AS first, max(idx) AS last, "
+        f"round(sqrt(avg(power(pred - yt, 2))), 6) AS rmse FROM pairs WHERE idx < {k} GROUP BY 1, 2")
+    sql["scale_constant"] = _with(base) + " UNION ALL ".join(
+        f"SELECT '{rule}' AS rule, '{c}' AS feature, count(*) AS n, CAST({nan} AS BIGINT) AS n_nan, round(avg(\"{c}\"), 6) AS center, "
+        f"round({scale}, 6) AS scale FROM kept"
+        for rule, c, nan, scale in (("one", "STEP", "0", "1.0"), ("zero", "STEP", "count(*)", "0.0"),
+                                    ("one", "M1 SPEED", "0", 'stddev_pop("M1 SPEED")'), ("zero", "M1 SPEED", "0", 'stddev_pop("M1 SPEED")')))
+    sql["zero_truth"] = _with(base, (
+        'z AS (SELECT "STEP" AS step, "M1 SPEED" * 2 AS p, "M1 SPEED" * "STEP" AS t FROM typed WHERE "STEP" IS NOT NULL '
+        'AND "M1 SPEED" IS NOT NULL AND NOT isnan("STEP") AND NOT isnan("M1 SPEED"))')) + (
+        "SELECT step, count(*) AS n, round(avg(CASE WHEN t <> 0 THEN abs((p - t) / t) END), 6) AS mape, "
+        "round(avg(CASE WHEN t <> 0 THEN power((p - t) / t, 2) END), 6) AS mspe, "
+        "bool_or(t = 0 AND p <> 0) AND NOT bool_or(t = 0 AND p = 0) AS mape_infinite, "
+        "bool_or(t = 0 AND p <> 0) AND NOT bool_or(t = 0 AND p = 0) AS mspe_infinite FROM z GROUP BY step")
+    sql["run_registry"] = _with(base, scaled, test_pairs, records) + (
+        "SELECT target, run_id, round(test_loss, 6) AS test_loss, CAST(NULL AS VARCHAR) AS lookback, CAST(NULL AS VARCHAR) AS train_size, "
+        "CAST(NULL AS DOUBLE) AS center, CAST(NULL AS DOUBLE) AS scale FROM champ WHERE target NOT IN (SELECT target FROM strict WHERE promote) "
+        f"UNION ALL SELECT target, run_id, round(test_loss, 6), '{LOOKBACK}', '{TRAIN}', round(center, 6), round(scale, 6) "
+        "FROM strict JOIN params ON feature = target WHERE promote")
     sql |= oq.mode_forecasts(base, scaled, k, tuple(MODE_PAIR), MODE_STEPS, MODE_KEPT)
     sql |= oq.small_forecasts(base, scaled, tfolds, k, PRED_LEN, SMALL_TRIALS, TARGETS)
     sql["predict_new_data"] = _with(base, scaled, oq.lag2_ctes(), oq.ridge2("ar2", f"idx >= 2 AND idx < {k}", 1.0),

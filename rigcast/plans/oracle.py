@@ -193,3 +193,34 @@ def mode_forecasts(base: str, scaled: str, k: str, pair: tuple[str, str], steps:
         f"JOIN hb ON hb.target = hl.target AND hb.h = hl.h JOIN (VALUES ('M', '{a}'), ('M', '{b}'), ('MS', '{b}')) m(mode, target) ON m.target = hl.target "
         f"WHERE idx > {k} AND idx <= (SELECT n FROM nrows) - {steps} AND hl.h > {steps} - {kept} GROUP BY 1, 2, 3")
     return out
+
+
+def shuffle_ctes(src: str, rounds: int = 4) -> str:
+    """``rk``: rows of ``src(target, exp, seed, idx, ..)`` with their place ``p`` in the shuffled order of their series:
+    a Feistel network over ``left = x % a``, ``right = x // a``, repeated while it leaves ``0 .. n - 1``."""
+    left, right = "(x % a)", "(x // a)"
+    for j in range(rounds):
+        mixed = f"CAST('0x' || substr(md5(concat_ws(':', seed, target, exp, '{j}', {right})), 1, 8) AS BIGINT)"
+        left, right = right, f"(({left} + {mixed}) % {'a' if j % 2 == 0 else 'b'})"
+    return (f"sized AS (SELECT *, count(*) OVER s AS n, idx - min(idx) OVER s AS x FROM {src} WINDOW s AS (PARTITION BY target, exp)),\n"
+            "roots AS (SELECT *, CAST(ceil(sqrt(n)) AS BIGINT) AS a, CAST(ceil(n / CAST(ceil(sqrt(n)) AS BIGINT)) AS BIGINT) AS b FROM sized),\n"
+            "walk AS (SELECT *, 0 AS step FROM roots UNION ALL "
+            f"SELECT * REPLACE (a * {right} + {left} AS x, step + 1 AS step) FROM walk WHERE step = 0 OR x >= n),\n"
+            "rk AS (SELECT *, x AS p FROM walk WHERE step > 0 AND x < n)")
+
+
+def new_files_sql(base: str, scaled: str, k: str, lookback: int) -> str:
+    """Predictions for every new file (one per event type) from windows of ``lookback`` rows that end before its last row."""
+    typed = ", ".join(["name", "ts", "event_id"] + [f"{coerce(qi(c))} AS {qi(c)}" for c in INTERIM_FEATURES])
+    ok = " AND ".join(f"{qi(c)} IS NOT NULL AND NOT isnan({qi(c)})" for c in INTERIM_FEATURES)
+    feat = ", ".join(["name", "ts", "event_id"] + [f"{qi(c)} AS {NORM[c]}" for c in SENSORS]
+                     + [f"{power_sql(kind, qi(a), qi(b))} AS {out}" for out, kind, a, b in POWER_FEATURES])
+    long = " UNION ALL ".join(f"SELECT name, ts, event_id, '{t}' AS target, {t} AS v FROM newf" for t in TARGETS)
+    return "WITH " + ",\n".join((base, scaled, lag2_ctes(), ridge2("ar2", f"idx >= 2 AND idx < {k}", 1.0), (
+        f"newr AS (SELECT event_type AS name, {raw_sql_columns()} FROM events),\n"
+        f"newt AS (SELECT {typed} FROM newr),\nnewf AS (SELECT {feat} FROM newt WHERE {ok} AND \"STEP\" <> 0),\nnewl AS ({long}),\n"
+        "neww AS (SELECT name, l.target, (v - center) / scale AS x1, lag((v - center) / scale) OVER s AS x2, row_number() OVER s AS r, "
+        "count(*) OVER (PARTITION BY name, l.target) AS n FROM newl l JOIN params p ON p.feature = l.target "
+        "WINDOW s AS (PARTITION BY name, l.target ORDER BY ts, event_id))"))) + (
+        "\nSELECT name, w.target, count(*) AS n, round(avg(icpt + older * x2 + newer * x1), 6) AS avg_pred FROM neww w "
+        f"JOIN ar2 ON ar2.target = w.target WHERE r >= {lookback} AND r < w.n GROUP BY 1, 2")

@@ -22,10 +22,11 @@ from rigcast.operators import registry as rg
 from rigcast.operators import scaling as sc
 from rigcast.operators import splits as sp
 from rigcast.constants import STEP_COLUMN
-from rigcast.operators.clean import (add_power_features, add_running_time, coerce_numeric,
+from rigcast.operators.clean import (add_power_features, add_running_time, coerce_all_but_time, coerce_numeric,
                                      drop_columns, drop_idle_steps, drop_missing,
-                                     forecast_targets, normalise_columns, select_features)
+                                     forecast_targets, normalise_columns, select_features, unpivot_targets)
 from rigcast.operators.order import IndexedTable, IndexedView, index_table, rows_in, shaped
+from rigcast.operators.windows import inference_windows
 from rigcast.sources.telemetry import EVENT_ORDER, load, raw_from_events
 
 
@@ -86,6 +87,26 @@ def train_pipeline(interim, n: int, targets: Sequence[str], lookback: int = 120,
                        mt.test_record(pred, run_id), mt.metric_bundle(pred))
 
 
+def predict_new(rows: DataFrame, coefs: DataFrame, params: dict, lookback: int, targets: Sequence[str] = FORECAST_FEATURES,
+                horizon: int = 1, include_latest: bool = False) -> DataFrame:
+    """new raw rows (text columns and ``_file, _block, _ord``) -> coerce all
+    but time (B6) -> idle filter (B9) -> drop rows with a missing interim feature
+    (B7; a column that only some layouts have decides nothing) -> power (B11-B13)
+    -> index -> training scaler (D2) -> inference windows inside each file (E4;
+    its newest ``horizon`` windows only with ``include_latest``) -> predict (F3)."""
+    order = ["_file", "_block", "_ord"]
+    x = coerce_all_but_time(rows, [c for c in rows.columns if c not in order])
+    x = normalise_columns(add_power_features(drop_missing(drop_idle_steps(x), INTERIM_FEATURES)), keep=order)
+    x = index_table(x, order)
+    scaled = sc.transform(x.frame().select("_file", "idx", *targets), params, targets)
+    long = unpivot_targets(scaled, targets, ids=("_file", "idx"))
+    w = inference_windows(long, "value", lookback, x.count, include_latest=True, series=["_file", "target"])
+    if not include_latest:
+        last = x.frame().groupBy("_file").agg(F.max("idx").alias("_last"))
+        w = w.join(last, "_file").where(F.col("end_idx") <= F.col("_last") - horizon).drop("_last")
+    return fc.predict(w, coefs)
+
+
 def update_registry(champions: DataFrame, result: TrainResult, rule: str = "strict",
                     tolerance: float = 0.0, on_missing: str = "error") -> DataFrame:
     """H1/H2 + H3: compare this run's test record with the champions and upsert

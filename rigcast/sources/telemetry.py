@@ -180,3 +180,13 @@ def write_raw_xlsx_folder(events: DataFrame, folder: str) -> str:
         written = w if written is None else written.unionByName(w)
     written.count()
     return folder
+
+
+def write_new_csvs(events: DataFrame, folder: str) -> str:
+    """Stand-in new logs for prediction: one CSV per event type, in time order, with a header of their own."""
+    raw = raw_from_events(events).withColumn("TIME", F.col("ts").cast("string")).withColumn("DURATION", F.lit("1"))
+    named = raw.join(events.select("event_id", "event_type"), "event_id")
+    body = named.repartition("event_type").sortWithinPartitions("event_type", "ts", "event_id")
+    (body.select("event_type", "DURATION", *[F.col(f"`{c}`") for c in reversed(INTERIM_FEATURES)], "TIME").write.option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).partitionBy("event_type").csv(folder))
+    return folder
