@@ -47,6 +47,7 @@ BITS = 1024          # bitmap of a leaf
 WIDE = 4096          # bitmap that decides which pairs of leaves are compared in full
 FANOUT = 8           # children of an inner node
 BLOCK = 1024         # rows that meet in one task's tree
+PART = 1 << 26       # code points of text whose tokens meet in one task of the first pass
 LEVELS = 2           # rounds of gathering, each by its own min-hash: members, then representatives
 MULT = [np.uint64(x) for x in (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -284,7 +285,8 @@ def _sum_block(num: int, den: int):
 def profile(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int) -> DataFrame:
     """``(doc_id, n, key, alive)`` per document: set size, set digest, and
     whether enough of its tokens occur in another set (or block copy) to link."""
-    parts = 2 * shuffle_width(docs.sparkSession)
+    chars = docs.agg(F.sum(F.length(text_col))).first()[0] or 0
+    parts = max(2 * shuffle_width(docs.sparkSession), -(-chars // PART))     # so a task's tokens do not grow with the corpus
     dealt = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")) \
         .mapInArrow(_profile("id", "text", k, parts), _DEALT)
     met = dealt.groupBy("pid").applyInArrow(_meet, _SHARED)

@@ -267,6 +267,12 @@ def test_jaccard_splits_large_blocks(spark, monkeypatch):
     assert got == brute_components(dict(enumerate(texts)))
 
 
+def test_jaccard_parts_follow_the_text(spark, odd, monkeypatch):
+    want = sorted(map(tuple, jaccard.jaccard_components(odd).collect()), key=str)
+    monkeypatch.setattr(jaccard, "PART", 5_000)            # some 30 hash ranges instead of 8
+    assert sorted(map(tuple, jaccard.jaccard_components(odd).collect()), key=str) == want
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40) if i != 20] + [(50, 51), (51, 50), (60, 60)], "a long, b long")
     got = {r.node: r.comp for r in components(links).collect()}
