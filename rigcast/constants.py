@@ -80,12 +80,3 @@ RAW_NAME_MARK = "RAW"
 UNIT_STRIP_CHARS = "-/HYDhyd0"
 STEP_COLUMN = "STEP"
 TARGET_MARKS: tuple[str, ...] = ("POWER", "VIBRATION")
-
-# Workload defaults of the pipeline variants (parameters, not semantics).
-DEFAULTS = {
-    "dvc": dict(lookback=120, batch_size=128, folds=5, val_size=0.2, train_size=0.8,
-                univariate=True),
-    "prefect": dict(lookback=60, batch_size=64, folds=3, val_size=0.1, train_size=0.8),
-    "kfp": dict(lookback=120, batch_size=256, train_size=0.8),
-    "torch": dict(seq_len=120, pred_len=15, batch_size=96, val_split=0.2, test_split=0.2),
-}

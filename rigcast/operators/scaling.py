@@ -100,12 +100,6 @@ def transform_long(df: DataFrame, params: DataFrame, by: str = "target", value:
     return out.drop("center", "scale")
 
 
-def inverse_long(df: DataFrame, params: DataFrame, by: str = "target", value: str = "value") -> DataFrame:
-    p = F.broadcast(params.select(F.col("feature").alias(by), "center", "scale"))
-    out = df.join(p, by).withColumn(value, F.col(value) * F.col("scale") + F.col("center"))
-    return out.drop("center", "scale")
-
-
 def first_rows(part: DataFrame, n: int, idx: str = "idx") -> DataFrame:
     """The first ``n`` rows of a part with a dense index."""
     low = part.agg(F.min(idx)).first()[0]

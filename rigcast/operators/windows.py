@@ -45,23 +45,50 @@ def halo_blocks(df: DataFrame, before: int, after: int, block: int | None = None
     return out, b
 
 
+def _series_blocks(df: DataFrame, fields: dict[str, Column], before: int, after: int, series: Sequence[str], idx: str,
+                   block: int | None) -> DataFrame:
+    """One row per (series, block): arrays of the block's rows with its halo, in
+    the order of ``idx``: ``_i`` (index), ``_own`` (whether the row is the
+    block's own) and one array per field, with a mark ``<field>_null`` for blocks that hold a null."""
+    blocks, _ = halo_blocks(df, before, after, block, idx)
+    item = F.struct(F.col(idx).alias("_i"), *[c.alias(n) for n, c in fields.items()], (F.col("_blk") == F.col("_own")).alias("_own"))
+    keys = [col(s) for s in series]
+    rows = blocks.select(*keys, "_blk", item.alias("_r")).groupBy(*keys, "_blk").agg(F.sort_array(F.collect_list("_r")).alias("_r"))
+    # the arrays are taken out of the rows once: below a generator they are not taken out again for each use
+    names = ("_i", *fields, "_own")
+    arrays = rows.select(*keys, F.explode(F.array(F.struct(*[F.col(f"_r.{n}").alias(n) for n in names],
+                                                           *[F.exists(f"_r.{n}", lambda v: v.isNull()).alias(f"{n}_null") for n in fields]))).alias("_a"))
+    return arrays.select(*keys, *[F.col(f"_a.{n}").alias(n) for n in (*names, *[f"{n}_null" for n in fields])])
+
+
+def _full(lo: Column, hi: Column) -> Column:
+    """Rows at positions ``lo .. hi`` are there and follow one another."""
+    return (lo >= 1) & (hi <= F.size("_i")) & (F.get("_i", hi - 1) - F.get("_i", lo - 1) == hi - lo)
+
+
+def _no_null(values: str, lo: Column, size: int) -> Column:
+    """No null among ``size`` values from position ``lo``; looked at only in blocks that hold one."""
+    return ~F.col(f"{values}_null") | F.forall(F.slice(values, lo, size), lambda v: v.isNotNull())
+
+
 def _windowed(df: DataFrame, x_value: Column, y_value: Column | None, lookback: int,
               horizon: int, series: Sequence[str], idx: str, block: int | None,
               y_scalar: bool) -> DataFrame:
+    """Windows as slices of a block's arrays: rows are gathered once per block, not once per window.
+    A window that is not complete, has a gap or holds a null value is left out."""
     after = max(horizon - 1, 0)
-    blocks, _ = halo_blocks(df, lookback, after, block, idx)
-    w = Window.partitionBy(*[col(s) for s in series], F.col("_blk")).orderBy(F.col(idx))
-    x = F.collect_list(x_value).over(w.rangeBetween(-lookback, -1))
-    cols = [*[col(s) for s in series], F.col(idx), x.alias("x")]
-    keep = (F.col("_blk") == F.col("_own")) & (F.size("x") == lookback)
-    if y_value is not None:
-        if y_scalar:
-            cols.append(y_value.alias("y"))
-        else:
-            cols.append(F.collect_list(y_value).over(w.rangeBetween(0, horizon - 1)).alias("y"))
-            keep = keep & (F.size("y") == horizon)
-    framed = blocks.select(*cols, "_blk", "_own")
-    return framed.where(keep).drop("_blk", "_own")
+    rows = _series_blocks(df, {"_x": x_value, "_y": y_value}, lookback, after, series, idx, block)
+
+    def keep(p: Column) -> Column:
+        ok = F.get("_own", p - 1) & _full(p - lookback, p + after) & _no_null("_x", p - lookback, lookback)
+        return ok if y_scalar else ok & _no_null("_y", p, horizon)
+
+    def window(p: Column) -> Column:
+        y = F.get("_y", p - 1) if y_scalar else F.slice("_y", p, horizon)
+        return F.struct(F.get("_i", p - 1).alias(idx), F.slice("_x", p - lookback, lookback).alias("x"), y.alias("y"))
+
+    anchors = F.filter(F.sequence(F.lit(1), F.size("_i")), keep)
+    return rows.withColumn("_w", F.transform(anchors, window)).select(*[col(s) for s in series], F.inline("_w"))
 
 
 def lookback_windows(df: DataFrame, value: str, lookback: int, series: Sequence[str] = (),
@@ -98,14 +125,16 @@ def inference_windows(df: DataFrame, value: str | Sequence[str], lookback: int,
     With the reference rule the newest ``horizon`` windows are not emitted
     (``r <= n - 1 - horizon``); ``include_latest`` emits them all."""
     v = col(value) if isinstance(value, str) else F.array(*[col(c) for c in value])
-    blocks, _ = halo_blocks(df, lookback - 1, 0, block, idx)
-    w = Window.partitionBy(*[col(s) for s in series], F.col("_blk")).orderBy(F.col(idx))
-    x = F.collect_list(v).over(w.rangeBetween(-(lookback - 1), 0))
+    rows = _series_blocks(df, {"_x": v}, lookback - 1, 0, series, idx, block)
     last = n - 1 if include_latest else n - 1 - horizon
-    out = blocks.select(*[col(s) for s in series], F.col(idx).alias("end_idx"), x.alias("x"), "_blk", "_own")
-    return (out.where((F.col("_blk") == F.col("_own")) & (F.size("x") == lookback)
-                      & (F.col("end_idx") <= last))
-            .drop("_blk", "_own"))
+    first = lookback - 1
+
+    def keep(p: Column) -> Column:
+        return F.get("_own", p - 1) & (F.get("_i", p - 1) <= last) & _full(p - first, p) & _no_null("_x", p - first, lookback)
+
+    ends = F.filter(F.sequence(F.lit(1), F.size("_i")), keep)
+    made = F.transform(ends, lambda p: F.struct(F.get("_i", p - 1).alias("end_idx"), F.slice("_x", p - first, lookback).alias("x")))
+    return rows.withColumn("_w", made).select(*[col(s) for s in series], F.inline("_w"))
 
 
 def lookback_stats(df: DataFrame, value: str, lookback: int, series: Sequence[str] = (),

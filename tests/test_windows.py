@@ -97,3 +97,23 @@ def test_halo_equals_numpy_random_shapes(spark):
         assert sorted(got) == list(range(L, n - P + 1))
         for a, (xs, ys) in got.items():
             assert np.allclose(xs, x[a - L:a]) and np.allclose(ys, x[a:a + P])
+
+
+def test_null_values_leave_their_windows_out(spark):
+    rows = [(i, None if i in (7, 20) else float(i)) for i in range(30) if i != 25]
+    df = spark.createDataFrame(rows, "idx long, v double")
+    got = {r["idx"]: (r["x"], r["y"]) for r in wn.lookback_windows(df, "v", 3, block=8).collect()}
+    value = dict(rows)
+    want = {a: ([value[a - 3], value[a - 2], value[a - 1]], value[a]) for a in value
+            if all(value.get(a - j) is not None for j in (1, 2, 3))}
+    assert got == want and got[7][1] is None and 26 not in got
+    seq = {r["idx"] for r in wn.seq2seq_windows(df, "v", "v", 3, 2, block=8).collect()}
+    assert seq == {a for a in want if all(value.get(a + j) is not None for j in (0, 1))}
+    ends = {r["end_idx"] for r in wn.inference_windows(df, "v", 3, 30, block=8, include_latest=True).collect()}
+    assert ends == {a - 1 for a in [*want, 30] if all(value.get(a - j) is not None for j in (1, 2, 3))} | {24}
+
+
+def test_windows_shuffle_one_row_per_block(spark):
+    df, _ = _series(spark, 500)
+    plan = wn.lookback_windows(df, "v", 12, block=50)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "collect_list" in plan
