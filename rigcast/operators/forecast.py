@@ -13,6 +13,7 @@ per halo block.
 from __future__ import annotations
 
 import math
+import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -324,3 +325,71 @@ def trial_search(df, targets: Sequence[str], n_rows: int, train_end: int,
     best = out.groupBy("target").agg(F.min_by("params", "rmse").alias("params"),
                                      F.min("rmse").alias("rmse"))
     return out, best
+
+
+Range = tuple[float, float]
+
+
+def propose(history: Sequence[tuple[int, float, float]], count: int, rng: np.random.Generator, lookback_range: tuple[int, int],
+            ridge_range: Range, startup: int = 10, good_share: float = 0.2, tries: int = 32) -> list[tuple[int, float]]:
+    """The next ``count`` trials ``(lookback, ridge)`` for one target from its
+    ``history`` of ``(lookback, ridge, score)`` (lower is better). Until ``startup``
+    trials are known they are uniform. Then the best share of the history and the
+    rest each give a kernel density over the unit square of the two parameters
+    (ridge by its logarithm), and of some draws from the density of the good ones
+    the one is taken where it exceeds that of the others most."""
+    low = np.array([lookback_range[0], math.log(ridge_range[0])], float)
+    span = np.array([lookback_range[1], math.log(ridge_range[1])], float) - low
+    span[span == 0] = 1.0
+
+    def trial(u: np.ndarray) -> tuple[int, float]:
+        x = low + np.clip(u, 0, 1) * span
+        return int(round(x[0])), float(np.exp(x[1]))
+
+    known = sorted((h for h in history if math.isfinite(h[2])), key=lambda h: h[2])
+    if len(known) < startup:
+        return [trial(rng.random(2)) for _ in range(count)]
+    points = (np.array([[h[0], math.log(h[1])] for h in known]) - low) / span
+    n_good = max(2, math.ceil(good_share * len(known)))
+    good, bad = points[:n_good], points[n_good:]
+
+    def density(at: np.ndarray, centres: np.ndarray) -> np.ndarray:
+        width = max(0.05, 0.5 * len(centres) ** -0.4)
+        d = ((at[:, None, :] - centres[None]) ** 2).sum(-1)
+        return (1 + (np.exp(-d / (2 * width**2)) / (2 * math.pi * width**2)).sum(1)) / (len(centres) + 1)    # one part uniform
+
+    out = []
+    for _ in range(count):
+        width = max(0.05, 0.5 * n_good ** -0.4)
+        near = good[rng.integers(0, n_good, tries)] + width * rng.normal(size=(tries, 2))
+        draws = np.vstack([np.clip(near, 0, 1), rng.random((2, 2))])
+        best = draws[np.argmax(density(draws, good) / density(draws, bad))]
+        out.append(trial(best))
+        bad = np.vstack([bad, best])                     # the next of this generation looks elsewhere
+    return out
+
+
+def adaptive_search(df, targets: Sequence[str], n_rows: int, train_end: int, lookback_range: tuple[int, int], ridge_range: Range,
+                    budget: int = 100, generation: int = 25, seconds: float = 1000.0, seed: int = 0, val_size: float = 0.1,
+                    select_on: str = "val", idx: str = "idx", clock=time.monotonic) -> tuple[DataFrame, DataFrame]:
+    """F6, adaptive: generations of trials, each from the scores so far, until
+    ``budget`` trials are done or ``seconds`` have passed (checked between
+    generations; the first always runs). A generation is one statistics pass; its
+    trials are proposed by the targets in turn and scored for every target.
+    Returns ``(trials, best)`` as ``trial_search`` does; scores kept on the driver
+    number ``budget x targets``."""
+    spark = (df if isinstance(df, DataFrame) else df.frame()).sparkSession
+    rng, begin, done, out = np.random.default_rng(seed), clock(), 0, None
+    history: dict[str, list] = {t: [] for t in targets}
+    while done < budget and (done == 0 or clock() - begin < seconds):
+        size = min(generation, budget - done)
+        share = [size // len(history) + (i < size % len(history)) for i in range(len(history))]
+        rows = [p for t, n in zip(history, share) for p in propose(history[t], n, rng, lookback_range, ridge_range)]
+        table = spark.createDataFrame([(done + i, look, ridge) for i, (look, ridge) in enumerate(rows)], "trial int, lookback int, ridge double")
+        scored, _ = trial_search(df, targets, n_rows, train_end, table, val_size, select_on, idx)
+        for r in scored.collect():
+            history[r["target"]].append((r["params"]["lookback"], r["params"]["ridge"], r["rmse"]))
+        out = scored if out is None else out.unionByName(scored)
+        done += size
+    best = out.groupBy("target").agg(F.min_by("params", "rmse").alias("params"), F.min("rmse").alias("rmse"))
+    return out, best

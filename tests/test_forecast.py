@@ -256,3 +256,32 @@ def test_stored_index_gives_the_same_models_and_prunes(spark):
         assert np.allclose(x["coef"], y["coef"], atol=1e-10)
     rows = lagfit.solve(view, ["s0"], [lagfit.Job("j", 5, (5, 300))])
     assert rows.columns == [c for c in lagfit._COLUMNS if c != "gap"] and rows.count() == 1
+
+
+def test_proposals_beat_random_trials_on_a_fixed_surface():
+    """Equal numbers of trials: the best of the adaptive ones is better in the mean, and in most of the runs."""
+    def surface(look, ridge):
+        return (look - 83) ** 2 / 900 + (np.log(ridge) - np.log(0.03)) ** 2 / 4
+
+    ranges = (12, 120), (1e-4, 10.0)
+    adaptive, plain = [], []
+    for seed in range(30):
+        rng = np.random.default_rng(seed)
+        history = []
+        for _ in range(10):
+            history += [(a, b, surface(a, b)) for a, b in fc.propose(history, 6, rng, *ranges)]
+        assert all(12 <= a <= 120 and 1e-4 * 0.999 <= b <= 10.001 for a, b, _ in history) and len(history) == 60
+        adaptive.append(min(h[2] for h in history))
+        plain.append(min(surface(a, b) for a, b in fc.propose([], 60, np.random.default_rng(1000 + seed), *ranges)))
+    assert np.mean(adaptive) < np.mean(plain) and np.median(adaptive) < np.median(plain)
+
+
+def test_adaptive_search_keeps_its_budgets(spark):
+    n = 400
+    df, cols = _series(spark, n, k=2, seed=2)
+    ticks = iter([0.0, 5.0, 20.0, 30.0])
+    tab, best = fc.adaptive_search(df, list(cols), n, 320, (2, 6), (1e-3, 1.0), budget=12, generation=4, seconds=10, clock=lambda: next(ticks))
+    assert tab.select("trial").distinct().count() == 8          # the time was up after the second generation
+    tab, best = fc.adaptive_search(df, list(cols), n, 320, (2, 6), (1e-3, 1.0), budget=6, generation=4)
+    low = {r["target"]: r["m"] for r in tab.groupBy("target").agg(F.min("rmse").alias("m")).collect()}
+    assert tab.count() == 12 and {r["target"]: r["rmse"] for r in best.collect()} == low
