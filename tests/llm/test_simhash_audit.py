@@ -196,3 +196,24 @@ def test_hot_documents_only_shift_the_plan(spark):
     assert len(got) == 400 and {got[i] for i in range(300)} == {0}
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") is not None
     assert docs(spark, rows).where(F.col("doc_id") < 0).count() == 0
+
+
+@pytest.mark.parametrize("share", [1, 3, 1000])
+def test_hot_join_is_a_join(spark, monkeypatch, share):
+    from rigcast.llm import common
+    monkeypatch.setattr(common, "HOT_SHARE", share)
+    rows = spark.createDataFrame([(i, 0 if i % 2 else i % 11) for i in range(200)], "id long, k long")
+    keyed = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("k <> 5").withColumn("name", F.concat(F.lit("n"), "k"))
+    got = common.hot_join(rows, keyed, "k", "n", 200)
+    want = rows.join(keyed.drop("n"), "k")
+    assert sorted(map(tuple, got.select("k", "id", "name").collect())) == sorted(map(tuple, want.select("k", "id", "name").collect()))
+
+
+@pytest.mark.parametrize("share", [3, 1000])
+def test_simhash_hot_and_cold_prints_agree(spark, monkeypatch, share):
+    from rigcast.llm import common
+    monkeypatch.setattr(common, "HOT_SHARE", share)
+    monkeypatch.setattr(simhash, "HOT_SHARE", share)
+    rows = [(i, ODD[i % len(ODD)] if i % 3 else "one text that a third of all rows share", None) for i in range(90)]
+    got = [tuple(r) for r in simhash.simhash_components(docs(spark, rows)).collect()]
+    assert sorted(got, key=str) == classes([(i, fingerprint(t)) for i, t, _ in rows])
