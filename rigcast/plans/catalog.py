@@ -64,6 +64,11 @@ def r6(c: Column | str) -> Column:
     return F.round(x, 9).cast("float").cast("double") + F.lit(0.0)
 
 
+def exact_sum(c: str) -> Column:
+    """Sum of the values at nine decimals, in decimal arithmetic: the same bits in any order and partitioning."""
+    return F.sum(F.col(c).cast("decimal(28,9)")).cast("double")
+
+
 def _key(spark: SparkSession, sf_dir: str, what: str, table: str = "events"):
     """Key of a table derived once per session: a changed source table gives another key."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
@@ -180,7 +185,7 @@ def _part_summary(parts: dict[str, DataFrame]) -> DataFrame:
     out = None
     for name, p in parts.items():
         s = p.agg(F.count(F.lit(1)).alias("n_rows"), F.min("idx").alias("min_idx"),
-                  F.max("idx").alias("max_idx"), r6(F.sum("VIBRATION_1")).alias("sum_v"))
+                  F.max("idx").alias("max_idx"), r6(exact_sum("VIBRATION_1")).alias("sum_v"))
         s = s.select(F.lit(name).alias("part"), "*")
         out = s if out is None else out.unionByName(s)
     return out
@@ -960,7 +965,7 @@ def oracle() -> dict[str, str]:
     sensors = ", ".join(f"round({c}, 6) AS {c}" for c in SENSORS)
     powers = ", ".join(f"round({c}, 6) AS {c}" for c in TARGETS[2:])
     part_cols = ("count(*) AS n_rows, min(idx) AS min_idx, max(idx) AS max_idx, "
-                 "round(sum(VIBRATION_1), 6) AS sum_v")
+                 "round(CAST(sum(CAST(VIBRATION_1 AS DECIMAL(28, 9))) AS DOUBLE), 6) AS sum_v")
     b1 = oq.border(1 - 0.2 - 0.2)
     b2 = oq.border(1 - 0.2)
     ev_names = ("SELECT DISTINCT 'HYD' || lpad(CAST(user_id AS VARCHAR), 6, '0') || '-' || event_type "
