@@ -280,8 +280,9 @@ def predict_blocks(src, start: int, end: int, coefs: DataFrame, features: Sequen
                 true = np.lib.stride_tricks.sliding_window_view(x[:, own], horizon)[a]
                 out.append(pd.DataFrame({"target": t, "idx": np.repeat(a + low, horizon), "h": np.tile(np.arange(1, horizon + 1), len(a)),
                                          "pred": (lag @ c + icpt).ravel(), "true": true.ravel()}))
-        if not out:
-            return pd.DataFrame({"target": [], "idx": [], "h": [], "pred": [], "true": []})
+        if not out:                                     # a block at an edge of the rows may have no anchor; an untyped empty column is no text
+            return pd.DataFrame({"target": np.array([], object), "idx": np.array([], np.int64), "h": np.array([], np.int32),
+                                 "pred": np.array([], float), "true": np.array([], float)})
         return pd.concat(out)
 
     return blocks.groupBy("_blk").applyInPandas(one_block, "target string, idx long, h int, pred double, true double")

@@ -151,6 +151,17 @@ def test_forecast_blocks_equals_window_predict(spark):
             assert p == pytest.approx(r["pred"][h], abs=1e-9) and t == r["y"][h]
 
 
+def test_predict_blocks_at_edges_without_anchors(spark):
+    """The first and the last block hold fewer rows than one window needs: they give no rows and no error."""
+    n, L, P = 230, 6, 3
+    df, cols = _series(spark, n, k=2, seed=14)
+    coefs = fc.fit_ar(df, list(cols), L, ridge=0.3, horizon=P, n_rows=n)
+    for start, end in ((97, 204), (97, 100)):
+        got = fc.predict_blocks(df, start, end, coefs, list(cols), list(cols), L, P, block=100).collect()
+        assert len(got) == 2 * P * max(0, end - start - L - P + 1)
+        assert all(r["true"] == cols[r["target"]][r["idx"] + r["h"] - 1] for r in got)
+
+
 def test_ridge_grid_picked_on_tail(spark):
     n, L, k = 600, 5, 3
     df, cols = _series(spark, n, k=1, seed=21)
