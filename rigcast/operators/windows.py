@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rigcast.operators.clean import col
@@ -68,7 +68,17 @@ def _full(lo: Column, hi: Column) -> Column:
 
 def _no_null(values: str, lo: Column, size: int) -> Column:
     """No null among ``size`` values from position ``lo``; looked at only in blocks that hold one."""
-    return ~F.col(f"{values}_null") | F.forall(F.slice(values, lo, size), lambda v: v.isNotNull())
+    return ~F.col(f"{values}_null") | F.forall(F.sequence(lo, lo + (size - 1)), lambda p: F.get(values, p - 1).isNotNull())
+
+
+def _at_each(rows: DataFrame, series: Sequence[str], keep, **made: Column) -> DataFrame:
+    """One row per position ``_p`` of a block that ``keep`` accepts, with the columns ``made`` of it. The
+    generators take the values out as compiled code, one row after the other: inside a
+    lambda every slice would copy its whole block, and a block's windows would be held at once."""
+    keys = [col(s) for s in series]
+    placed = rows.withColumn("_p", F.filter(F.sequence(F.lit(1), F.size("_i")), keep))
+    placed = placed.select(*keys, *[c for c in rows.columns if c in ("_i", "_x", "_y")], F.explode("_p").alias("_p"))
+    return placed.select(*keys, F.inline(F.array(F.struct(*[c.alias(n) for n, c in made.items()]))))
 
 
 def _windowed(df: DataFrame, x_value: Column, y_value: Column | None, lookback: int,
@@ -83,12 +93,9 @@ def _windowed(df: DataFrame, x_value: Column, y_value: Column | None, lookback:
         ok = F.get("_own", p - 1) & _full(p - lookback, p + after) & _no_null("_x", p - lookback, lookback)
         return ok if y_scalar else ok & _no_null("_y", p, horizon)
 
-    def window(p: Column) -> Column:
-        y = F.get("_y", p - 1) if y_scalar else F.slice("_y", p, horizon)
-        return F.struct(F.get("_i", p - 1).alias(idx), F.slice("_x", p - lookback, lookback).alias("x"), y.alias("y"))
-
-    anchors = F.filter(F.sequence(F.lit(1), F.size("_i")), keep)
-    return rows.withColumn("_w", F.transform(anchors, window)).select(*[col(s) for s in series], F.inline("_w"))
+    p = F.col("_p")
+    y = F.get("_y", p - 1) if y_scalar else F.slice("_y", p, horizon)
+    return _at_each(rows, series, keep, **{idx: F.get("_i", p - 1), "x": F.slice("_x", p - lookback, lookback), "y": y})
 
 
 def lookback_windows(df: DataFrame, value: str, lookback: int, series: Sequence[str] = (),
@@ -132,24 +139,17 @@ def inference_windows(df: DataFrame, value: str | Sequence[str], lookback: int,
     def keep(p: Column) -> Column:
         return F.get("_own", p - 1) & (F.get("_i", p - 1) <= last) & _full(p - first, p) & _no_null("_x", p - first, lookback)
 
-    ends = F.filter(F.sequence(F.lit(1), F.size("_i")), keep)
-    made = F.transform(ends, lambda p: F.struct(F.get("_i", p - 1).alias("end_idx"), F.slice("_x", p - first, lookback).alias("x")))
-    return rows.withColumn("_w", made).select(*[col(s) for s in series], F.inline("_w"))
+    p = F.col("_p")
+    return _at_each(rows, series, keep, end_idx=F.get("_i", p - 1), x=F.slice("_x", p - first, lookback))
 
 
 def lookback_stats(df: DataFrame, value: str, lookback: int, series: Sequence[str] = (),
                    idx: str = "idx", block: int | None = None) -> DataFrame:
     """E1 where only the newest value and the mean of a window are needed:
-    ``last``, ``mean`` and the anchor's ``y`` for every full window, from frame
-    aggregates instead of one array per row."""
-    blocks, _ = halo_blocks(df, lookback, 0, block, idx)
-    frame = (Window.partitionBy(*[col(s) for s in series], F.col("_blk")).orderBy(F.col(idx))
-             .rangeBetween(-lookback, -1))
-    v = col(value)
-    out = blocks.select(*[col(s) for s in series], F.col(idx), F.last(v).over(frame).alias("last"),
-                        F.avg(v).over(frame).alias("mean"), v.alias("y"),
-                        F.count(v).over(frame).alias("_n"), "_blk", "_own")
-    return out.where((F.col("_blk") == F.col("_own")) & (F.col("_n") == lookback)).drop("_n", "_blk", "_own")
+    ``last``, ``mean`` and the anchor's ``y`` for every full window."""
+    w = lookback_windows(df, value, lookback, series, idx, block)
+    mean = F.aggregate("x", F.lit(0.0), lambda a, v: a + v) / F.lit(float(lookback))
+    return w.select(*[col(s) for s in series], col(idx), F.element_at("x", -1).alias("last"), mean.alias("mean"), "y")
 
 
 def batch_windows(windows: DataFrame, batch_size: int, first: int, count: int,
@@ -166,25 +166,61 @@ def batch_windows(windows: DataFrame, batch_size: int, first: int, count: int,
 ROUNDS = 4           # of the keyed permutation
 
 
+def _round(j: int, left: Column, right: Column, a: Column, b: Column, key: Column) -> Column:
+    """The new right half of round ``j`` of a Feistel network over mixed radices."""
+    mixed = F.conv(F.substring(F.md5(F.concat_ws(":", key, F.lit(str(j)), right.cast("string"))), 1, 8), 16, 10).cast("long")
+    return (left + mixed) % (a if j % 2 == 0 else b)
+
+
 def _permuted(x: Column, a: Column, b: Column, key: Column) -> Column:
-    """One pass of a Feistel network over mixed radices: a bijection of ``0 .. a b - 1``."""
+    """One pass of the network: a bijection of ``0 .. a b - 1``."""
     left, right = x % a, F.floor(x / a)
     for j in range(ROUNDS):
-        mixed = F.conv(F.substring(F.md5(F.concat_ws(":", key, F.lit(str(j)), right.cast("string"))), 1, 8), 16, 10).cast("long")
-        left, right = right, (left + mixed) % (a if j % 2 == 0 else b)
+        left, right = right, _round(j, left, right, a, b, key)
     return a * right + left if ROUNDS % 2 == 0 else a * left + right
 
 
+def _radices(n: Column) -> tuple[Column, Column]:
+    a = F.ceil(F.sqrt(n.cast("double"))).cast("long")
+    return a, F.ceil(n / a).cast("long")
+
+
+def _back(once: Column, n: Column, a: Column, b: Column, key: Column) -> Column:
+    """``once``, permuted again while it lies outside ``0 .. n - 1``."""
+    walk = F.aggregate(F.sequence(F.lit(1).cast("long"), a), once, lambda y, _: F.when(y < n, y).otherwise(_permuted(y, a, b, key)))
+    return F.when(once < n, once).otherwise(walk)
+
+
 def keyed_position(x: Column, n: Column, key: Column) -> Column:
     """A permutation of ``0 .. n - 1`` chosen by the text ``key``, as a projection:
     no row has to see another. The network's domain ``a b`` (``a`` the root of
     ``n``, rounded up) exceeds ``n`` by less than ``a``; the few positions that
     leave ``0 .. n - 1`` are permuted again until they are back."""
-    a = F.ceil(F.sqrt(n.cast("double"))).cast("long")
-    b = F.ceil(n / a).cast("long")
-    once = _permuted(x, a, b, key)
-    walk = F.aggregate(F.sequence(F.lit(1).cast("long"), a), once, lambda y, _: F.when(y < n, y).otherwise(_permuted(y, a, b, key)))
-    return F.when(once < n, once).otherwise(walk)
+    a, b = _radices(n)
+    return _back(_permuted(x, a, b, key), n, a, b, key)
+
+
+def _with_position(rows: DataFrame, name: str) -> DataFrame:
+    """:func:`keyed_position` of ``_pos`` among ``_n`` by ``_key`` as a column. Every round is a
+    generator of one element, so no later use of its result works it out again: written as
+    one expression, the halves that two rounds share double its work in every round."""
+    a, b = _radices(F.col("_n"))
+
+    def step(df: DataFrame, **made: Column) -> DataFrame:
+        kept = [col(c) for c in df.columns if c not in made]
+        return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(n) for n, c in made.items()]))))
+
+    rows = step(rows, _key=F.col("_key"), _a=a, _b=b)
+    rows = step(rows, _left=F.col("_pos") % F.col("_a"), _right=F.floor(F.col("_pos") / F.col("_a")))
+    parts = tuple(F.col(c) for c in ("_left", "_right", "_a", "_b", "_key"))
+    for j in range(ROUNDS):
+        rows = step(rows, _left=F.col("_right"), _right=_round(j, *parts))
+    left, right, a, b, key = parts
+    once = a * right + left if ROUNDS % 2 == 0 else a * left + right
+    rows = step(rows, _once=once)
+    # stored by a generator as well: the filter on it is not pushed below, where it would be worked out twice
+    rows = rows.withColumn(name, F.array(_back(F.col("_once"), F.col("_n"), a, b, key)))
+    return rows.withColumn(name, F.explode(name)).drop("_left", "_right", "_a", "_b", "_once")
 
 
 def shuffled_batches(windows: DataFrame, batch_size: int, seed: int | str, idx: str = "idx",
@@ -203,9 +239,8 @@ def shuffled_batches(windows: DataFrame, batch_size: int, seed: int | str, idx:
     span = span.select(*[col(k) for k in by], "_first", size.alias("_n"))
     seeded = F.col(seed) if isinstance(seed, str) else F.lit(seed)
     key = F.concat_ws(":", seeded.cast("string"), *[col(k).cast("string") for k in keys])
-    placed = keyed.join(span, by).withColumn("_key", key).withColumn("_pos", F.col(idx) - F.col("_first")) \
-        .withColumn("window_no", keyed_position(F.col("_pos"), F.col("_n"), F.col("_key"))) \
-        .withColumn("batch_id", F.expr(f"window_no div {int(batch_size)}"))
+    placed = keyed.join(span, by).withColumn("_key", key).withColumn("_pos", F.col(idx) - F.col("_first"))
+    placed = _with_position(placed, "window_no").withColumn("batch_id", F.expr(f"window_no div {int(batch_size)}"))
     return placed.where(F.expr(f"batch_id < _n div {int(batch_size)}")).drop("_key", "_pos", "_first", "_n", "_all")
 
 

@@ -117,3 +117,21 @@ def test_windows_shuffle_one_row_per_block(spark):
     df, _ = _series(spark, 500)
     plan = wn.lookback_windows(df, "v", 12, block=50)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "collect_list" in plan
+
+
+def test_windows_are_sliced_by_compiled_generators(spark):
+    """A slice inside a lambda copies its whole block for every window."""
+    df = spark.range(400).select(F.col("id").alias("idx"), F.col("id").cast("double").alias("v"))
+    for w in (wn.lookback_windows(df, "v", 12, block=50), wn.seq2seq_windows(df, "v", "v", 12, 3, block=50),
+              wn.inference_windows(df, "v", 12, 400, block=50), wn.lookback_stats(df, "v", 12, block=50)):
+        plan = w._jdf.queryExecution().optimizedPlan().toString()
+        assert "inline(array(" in plan and "transform(" not in plan and "windowspecdefinition" not in plan
+
+
+def test_shuffle_works_every_round_out_once(spark):
+    df = spark.range(1000).select(F.col("id").alias("idx"), F.lit("a").alias("s"))
+    plan = wn.shuffled_batches(df, 10, seed=3, series=["s"])._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("_right" in line and "md5" in line for line in plan.splitlines() if "Generate" in line) == wn.ROUNDS
+    got = wn.shuffled_batches(df, 10, seed=3, series=["s"]).select("idx", "window_no").collect()
+    want = df.withColumn("at", wn.keyed_position(F.col("idx"), F.lit(1000).cast("long"), F.lit("3:a"))).collect()
+    assert {r["idx"]: r["window_no"] for r in got} == {r["idx"]: r["at"] for r in want}
