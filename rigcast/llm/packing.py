@@ -17,9 +17,9 @@ sum inside a block of rounds.
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rigcast.llm.common import stage, table, text_batches
-from rigcast.llm.textnum import chunks
+from rigcast.llm.textnum import chunks, held, let_go
 from rigcast.llm.wordcache import PieceTable
 
 SEQ_LEN = 4096
@@ -112,9 +112,11 @@ class WhiteSpaceTokenizer:
         return self.words.lookup_arrow(pc.ascii_split_whitespace(texts))
 
 
-@lru_cache(maxsize=2)
 def load(path: str) -> WhiteSpaceTokenizer:
-    return WhiteSpaceTokenizer(path)
+    """A worker's tokenizer, held until another step's task runs there. Its library
+    gets no threads of its own: a task has one core, and each thread holds memory."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    return held(f"packing {path}", lambda: WhiteSpaceTokenizer(path))
 
 
 def _tokenize(path: str, end_id: int):
@@ -122,7 +124,7 @@ def _tokenize(path: str, end_id: int):
 
     def run(batches):
         tok = load(path)
-        for b in chunks(batches, "text", TEXT_BYTES):
+        for b in chunks(batches, "text", TEXT_BYTES, keep=True):
             flat, n = tok.encode(b.column("text"))
             ends = np.cumsum(n)
             flat = np.insert(flat, ends, end_id)             # after each document
@@ -143,6 +145,7 @@ def _pieces(seq_len: int, with_ids: bool):
     schema = pa.schema(fields + ([("ids", pa.binary())] if with_ids else []))
 
     def run(batches):
+        let_go()                                             # the tokenizer has done its work
         for b in batches:
             cuts = b.column("cuts")
             flat = cuts.flatten()

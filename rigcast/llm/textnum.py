@@ -10,7 +10,9 @@ the character view agree.
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterable, Iterator
+import gc
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +35,11 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def chunks(batches: Iterable[pa.RecordBatch], text: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches into slices of about ``limit`` bytes of ``text`` (at least one row each)."""
+def chunks(batches: Iterable[pa.RecordBatch], text: str, limit: int = BATCH_BYTES, keep: bool = False) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches into slices of about ``limit`` bytes of ``text`` (at least one row each).
+    What an earlier step holds in this worker is let go, unless ``keep`` says that it is this step's own."""
+    if not keep:
+        let_go()
     for b in batches:
         if not b.num_rows:
             continue
@@ -48,12 +53,34 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str, limit: int = BATCH_BYTE
 def give_back() -> None:
     """Hand freed memory back to the system at the end of a task, so that a
     reused worker does not hold the peak of an earlier stage (glibc only)."""
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):
         pass
 
 
+_HELD: dict[str, Any] = {}
+
+
+def held(step: str, make: Callable[[], Any]) -> Any:
+    """What a worker holds from one task of ``step`` to the next, such as a
+    table of known words; what another step held there is let go."""
+    if step not in _HELD:
+        let_go()
+        _HELD[step] = make()
+    return _HELD[step]
+
+
+def let_go() -> None:
+    """Free what a step holds in this worker. Workers outlive steps, so a later
+    step would carry that memory besides its own."""
+    if _HELD:
+        _HELD.clear()
+        gc.collect()          # a tokenizer and its tables refer to each other
+        give_back()
+
+
 def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of every run of equal neighbours."""
     if not len(keys):

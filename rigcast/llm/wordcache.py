@@ -61,6 +61,8 @@ class PieceTable:
     def _gather(self, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         length = self.length[at]
         ends = np.cumsum(length)
-        flat = self.ids[np.repeat(self.start[at] - (ends - length), length) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        where = np.repeat(self.start[at] - (ends - length), length)
+        where += np.arange(len(where))
+        flat = self.ids[where]
         upto = np.r_[0, ends][np.cumsum(n)]
         return flat, np.diff(np.r_[0, upto])

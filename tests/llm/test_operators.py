@@ -3,10 +3,12 @@
 import hashlib
 import random
 import re
+import weakref
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -14,6 +16,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from rigcast.llm import (bpe, crosspoly, html_text, jaccard, langid, nbsvm, packing, quality_rules, reply_trees, revisits, wordstats)
 from rigcast.llm.common import components
+from rigcast.llm.textnum import chunks
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -365,6 +368,19 @@ def test_white_space_tokenizer_matches_the_library():
         assert [c.tolist() for c in np.split(ids, np.cumsum(n)[:-1])] == [e.ids for e in lib.encode_batch(part, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("later", [lambda b: chunks([b], "text"), lambda b: packing._pieces(64, False)(iter([]))])
+def test_a_worker_lets_the_tokenizer_go(later):
+    """Tasks of the tokenizing step share it; a task of any later step does not carry its tables."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    b = pa.RecordBatch.from_pydict({"doc_id": [1, None], "q": ["", "sa"], "text": ["a few words", None]})
+    first = [list(packing._tokenize(path, 2)([b])) for _ in range(2)]
+    held = weakref.ref(packing.load(path))
+    assert first[0] == first[1] and list(packing._tokenize(path, 2)([b])) == first[0] and held() is not None
+    list(later(b))
+    assert held() is None
+    assert list(packing._tokenize(path, 2)([b])) == first[0]
+
+
 @pytest.mark.parametrize("targets", [None, {"s0": 1, "s1": 3, "s2": 1, "": 1}])
 def test_packing(spark, odd, targets):
     rows = odd if targets is None else odd.withColumn("source", F.coalesce("source", F.lit("")))
