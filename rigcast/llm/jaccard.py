@@ -22,8 +22,11 @@ Plan, every step a Spark job over bounded blocks:
    the needed overlap, or when both are already one component. Surviving
    leaf pairs are tested on the whole sets. The found links collapse groups
    of near copies.
-4. **Completion.** Two linked sets share one of the ``n - ceil(t n) + 1``
-   smallest tokens of each. Where such a token still joins different
+4. **Completion.** A set can only link with another component when enough of
+   its tokens are in a set of another one: a second pass over the tokens, dealt
+   like those of the first, leaves out all others, however many tokens long
+   documents share by chance. Of the rest, two linked sets share one of the
+   ``n - ceil(t n) + 1`` smallest tokens of each. Where such a token still joins different
    components, its holders meet again under the smallest of them (in pairs of
    bounded blocks where they are many) for the same traversal and the same
    test on the whole sets. So no link between components is lost.
@@ -47,7 +50,9 @@ BITS = 1024          # bitmap of a leaf
 WIDE = 4096          # bitmap that decides which pairs of leaves are compared in full
 FANOUT = 8           # children of an inner node
 BLOCK = 1024         # rows that meet in one task's tree
-PART = 1 << 26       # code points of text whose tokens meet in one task of the first pass
+PART = 1 << 25       # code points of text whose tokens meet in one task of the first pass
+RANGES = 256         # hash ranges of the first pass while a task's tokens are fewer; each block sends a message to each
+MEET = 1 << 22       # tokens that meet in one task of the second pass
 LEVELS = 2           # rounds of gathering, each by its own min-hash: members, then representatives
 MULT = [np.uint64(x) for x in (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -178,12 +183,31 @@ def block_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, i
 
 # ------------------------------------------------------------------ step 1
 
-_DEALT = "pid int, block string, n_docs int, counts binary, tokens binary, ids binary, sizes binary, keys binary, local binary"
+_DEALT = "pid int, block string, n_docs int, counts binary, tokens binary, comps binary, ids binary, sizes binary, keys binary, local binary"
+_EMPTY = dict.fromkeys(("counts", "tokens", "comps", "ids", "sizes", "keys", "local"))
 
 
-def _profile(id_col: str, text_col: str, k: int, parts: int):
-    empty = {"counts": None, "tokens": None, "ids": None, "sizes": None, "keys": None, "local": None}
+def _packed(x: np.ndarray) -> bytes:
+    """Counts in the fewest bytes each."""
+    return x.astype(np.min_scalar_type(int(x.max(initial=0)))).tobytes()
+
+
+def _unpacked(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, f"u{len(raw) // n}")
+
+
+def _messages(send: np.ndarray, whose: np.ndarray, n: int, parts: int, head: dict) -> list[dict]:
+    """One message to each hash range: the low parts of its tokens and how many each of the ``n``
+    documents sends; tokens of document ``n`` are known to be shared."""
+    part = (send % np.uint64(parts)).astype(np.int64)
+    low = (send // np.uint64(parts)).astype(np.uint32)
+    order = np.lexsort((low, whose, part))
+    part, low, whose = part[order], low[order], whose[order]
+    return [_EMPTY | head | {"pid": int(part[s]), "tokens": low[s:e].tobytes(), "counts": _packed(np.bincount(whose[s:e], minlength=n + 1))}
+            for s, e in zip(*runs(part))]
 
+
+def _profile(id_col: str, text_col: str, k: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, serial = TaskContext.get().partitionId(), 0
         for b in chunks(batches, text_col):
@@ -210,40 +234,39 @@ def _profile(id_col: str, text_col: str, k: int, parts: int):
             once = ~many
             send = np.r_[t[lo[once]], t[lo[many]]]
             whose = np.r_[d[lo[once]], np.full(int(many.sum()), len(keys))]     # n_docs: "known to be shared"
-            part = (send % np.uint64(parts)).astype(np.int64)
-            low = (send // np.uint64(parts)).astype(np.uint32)
-            order = np.lexsort((low, whose, part))
-            part, low, whose = part[order], low[order], whose[order]
-            rows = [empty | {"pid": int(part[s]), "block": block, "n_docs": len(keys), "tokens": low[s:e].tobytes(),
-                             "counts": np.bincount(whose[s:e], minlength=len(keys) + 1).astype(np.uint32).tobytes()}
-                    for s, e in zip(*runs(part))]
-            rows.append(empty | {"pid": serial % parts, "block": block, "n_docs": len(keys), "ids": ids.tobytes(),
-                                 "sizes": size.astype(np.int64).tobytes(), "keys": b"".join(keys),
-                                 "local": local.astype(np.int64).tobytes()})
+            head = {"block": block, "n_docs": len(keys)}
+            rows = _messages(send, whose, len(keys), parts, head)
+            rows.append(_EMPTY | head | {"pid": serial % parts, "ids": ids.tobytes(), "sizes": size.astype(np.int64).tobytes(),
+                                         "keys": b"".join(keys), "local": local.astype(np.int64).tobytes()})
             yield pa.RecordBatch.from_pylist(rows, schema=_ARROW_DEALT)
     return run
 
 
 _ARROW_DEALT = pa.schema([("pid", pa.int32()), ("block", pa.string()), ("n_docs", pa.int32())]
-                         + [(c, pa.binary()) for c in ("counts", "tokens", "ids", "sizes", "keys", "local")])
+                         + [(c, pa.binary()) for c in _EMPTY])
 _ARROW_SHARED = pa.schema([("block", pa.string()), ("n_docs", pa.int32())]
                           + [(c, pa.binary()) for c in ("shared", "ids", "sizes", "keys", "local")])
 _SHARED = "block string, n_docs int, shared binary, ids binary, sizes binary, keys binary, local binary"
 
 
 def _meet(t: pa.Table) -> pa.Table:
-    """Tokens of one hash range, from all blocks: how many of each document's are in another set."""
+    """Tokens of one hash range, from all blocks: how many of each document's are in another set,
+    or, where the messages name components, in a set of another component."""
     rows = t.to_pylist()
     sent = [r for r in rows if r["tokens"] is not None]
     out = [{c: r[c] for c in ("block", "n_docs", "ids", "sizes", "keys", "local")} | {"shared": None}
            for r in rows if r["ids"] is not None]
     if sent:
         low = np.concatenate([np.frombuffer(r["tokens"], np.uint32) for r in sent])
-        counts = [np.frombuffer(r["counts"], np.uint32) for r in sent]
+        counts = [_unpacked(r["counts"], r["n_docs"] + 1) for r in sent]
         order = np.argsort(low, kind="stable")
         known = np.concatenate([np.repeat(np.arange(len(c)) == len(c) - 1, c) for c in counts])
         lo, hi = runs(low[order])
-        twice = (hi - lo > 1) | np.maximum.reduceat(known[order].astype(np.int8), lo).astype(bool)
+        twice = hi - lo > 1
+        if sent[0]["comps"] is not None:
+            comp = np.concatenate([np.repeat(np.r_[np.frombuffer(r["comps"], np.int64), 0], c) for r, c in zip(sent, counts)])[order]
+            twice = np.minimum.reduceat(comp, lo) != np.maximum.reduceat(comp, lo)
+        twice |= np.maximum.reduceat(known[order].astype(np.int8), lo).astype(bool)
         mark = np.empty(len(low), bool)
         mark[order] = np.repeat(twice, hi - lo)
         at = 0
@@ -253,7 +276,7 @@ def _meet(t: pa.Table) -> pa.Table:
             at += n
             got = np.bincount(who, minlength=len(c))[:-1]
             if got.any():
-                out.append({"block": r["block"], "n_docs": r["n_docs"], "shared": got.astype(np.uint32).tobytes(),
+                out.append({"block": r["block"], "n_docs": r["n_docs"], "shared": _packed(got),
                             "ids": None, "sizes": None, "keys": None, "local": None})
     del rows, sent
     give_back()
@@ -272,7 +295,7 @@ def _sum_block(num: int, den: int):
         heard = np.zeros(len(keys), np.int64)
         for r in rows:
             if r["shared"] is not None:
-                heard += np.frombuffer(r["shared"], np.uint32)
+                heard += _unpacked(r["shared"], len(keys))
         _, rep, inv = np.unique(np.array([x.hex() for x in keys]), return_index=True, return_inverse=True)
         speaker = np.zeros(len(rep), np.int64)
         np.add.at(speaker, inv, heard)          # only one copy in the block spoke
@@ -286,7 +309,8 @@ def profile(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den:
     """``(doc_id, n, key, alive)`` per document: set size, set digest, and
     whether enough of its tokens occur in another set (or block copy) to link."""
     chars = docs.agg(F.sum(F.length(text_col))).first()[0] or 0
-    parts = max(2 * shuffle_width(docs.sparkSession), -(-chars // PART))     # so a task's tokens do not grow with the corpus
+    # so neither a task's tokens nor the messages for each token grow with the corpus
+    parts = max(min(2 * shuffle_width(docs.sparkSession), RANGES), -(-chars // PART))
     dealt = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")) \
         .mapInArrow(_profile("id", "text", k, parts), _DEALT)
     met = dealt.groupBy("pid").applyInArrow(_meet, _SHARED)
@@ -422,10 +446,45 @@ def _meet_links(num: int, den: int):
     return run
 
 
+def _spoken(parts: int):
+    """The tokens of labelled sets for the second pass. A token that sets of two components in the block
+    hold is counted here and sent once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, serial = TaskContext.get().partitionId(), 0
+        for b in chunks(batches, "tokens"):
+            keys, raw = b.column("key").to_pylist(), b.column("tokens").to_pylist()
+            comp = np.asarray(b.column("comp").to_numpy(zero_copy_only=False), np.int64)
+            size = np.array([len(x) // 8 for x in raw], np.int64)
+            t, d = np.frombuffer(b"".join(raw), np.uint64), np.repeat(np.arange(len(raw)), size)
+            order = np.argsort(t, kind="stable")
+            t, d = t[order], d[order]
+            lo, hi = runs(t)
+            many = np.minimum.reduceat(comp[d], lo) != np.maximum.reduceat(comp[d], lo)
+            shared = np.repeat(many, hi - lo)
+            send = np.r_[t[~shared], t[lo[many]]]
+            whose = np.r_[d[~shared], np.full(int(many.sum()), len(keys))]
+            head = {"block": f"{task}:{serial}:" + hashlib.blake2b(b"".join(keys), digest_size=8).hexdigest(), "n_docs": len(keys)}
+            rows = _messages(send, whose, len(keys), parts, head | {"comps": comp.tobytes()})
+            rows.append(_EMPTY | head | {"pid": serial % parts, "ids": bytes(8 * len(keys)), "sizes": size.tobytes(), "keys": b"".join(keys),
+                                         "local": np.bincount(d[shared], minlength=len(keys)).astype(np.int64).tobytes()})
+            serial += 1
+            yield pa.RecordBatch.from_pylist(rows, schema=_ARROW_DEALT)
+    return run
+
+
+def reachable(labelled: DataFrame, num: int, den: int) -> DataFrame:
+    """``key`` of the sets of ``labelled(key, comp, n, tokens)`` with enough tokens in sets of other components for a link."""
+    total = labelled.agg(F.sum("n")).first()[0] or 0
+    parts = max(min(shuffle_width(labelled.sparkSession), RANGES // 4), -(-total // MEET))
+    met = labelled.select("key", "comp", "tokens").mapInArrow(_spoken(parts), _DEALT).groupBy("pid").applyInArrow(_meet, _SHARED)
+    return met.groupBy("block").applyInArrow(_sum_block(num, den), "doc_id long, n long, key binary, alive boolean").where("alive").select("key")
+
+
 def _cross_links(sets: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
     """Links that connect different components, complete by the prefix rule."""
-    labelled = sets.join(labels.select("key", F.xxhash64("comp").alias("comp")), "key")
-    pre = stage(labelled.select("key", "comp", "tokens").mapInArrow(_prefix(num, den), "token long, key binary, comp long"), "prefix")
+    labelled = sets.join(labels.select("key", F.xxhash64("comp").alias("comp")), "key").select("key", "comp", "n", "tokens", "wide")
+    sets = stage(labelled.join(stage(reachable(labelled, num, den), "reachable"), "key", "left_semi"), "near")
+    pre = stage(sets.select("key", "comp", "tokens").mapInArrow(_prefix(num, den), "token long, key binary, comp long"), "prefix")
     # holders of a token meet under the smallest of them, so that the many tokens of similar sets make few meetings
     shared = pre.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("key").alias("meet")) \
         .where("lo <> hi").select("token", "meet")

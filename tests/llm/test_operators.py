@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import weakref
 import zlib
 
@@ -15,7 +16,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from rigcast.llm import (bpe, crosspoly, html_text, jaccard, langid, nbsvm, packing, quality_rules, reply_trees, revisits, wordstats)
-from rigcast.llm.common import components
+from rigcast.llm.common import components, stage
 from rigcast.llm.textnum import chunks
 
 SF = "/root/testdata/sf0.001"
@@ -276,6 +277,50 @@ def test_jaccard_parts_follow_the_text(spark, odd, monkeypatch):
     assert sorted(map(tuple, jaccard.jaccard_components(odd).collect()), key=str) == want
 
 
+def test_jaccard_chance_tokens_of_long_documents_do_not_meet(spark, monkeypatch):
+    rng = random.Random(12)
+    vocab, line, texts = [f"w{i}" for i in range(5000)], [f"common{i}" for i in range(14)], []
+    for _ in range(20):                                    # pairs of near copies; a line that all have links nothing
+        base = [rng.choice(vocab) for _ in range(90)] + line
+        texts += [" ".join(base), " ".join([*base, "end"])]
+    kept, stage = {}, jaccard.stage
+    monkeypatch.setattr(jaccard, "stage", lambda df, name: kept.setdefault(name, []).append(stage(df, name)) or kept[name][-1])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs(spark, texts)).collect()}
+    assert got == brute_components(dict(enumerate(texts))) and len({c for _, c in got.values()}) == 20
+    assert kept["met"][0].count() == 0
+
+
+@pytest.mark.parametrize("ranges", [1, 8, 64])
+def test_jaccard_reachable_sets_by_brute_force(spark, monkeypatch, ranges):
+    monkeypatch.setattr(jaccard, "RANGES", 4 * ranges)
+    rng = random.Random(ranges)
+    sets = [sorted(rng.sample(range(400), rng.randint(1, 40))) for _ in range(300)]
+    comp = [rng.randrange(30) for _ in sets]
+    held = {}
+    for s, c in zip(sets, comp):
+        for t in s:
+            held.setdefault(t, set()).add(c if t > 120 else 0)          # tokens up to 120 are in one component only
+    sets = [[t for t in s if t > 120 or c == 0] or [1000 + i] for i, (s, c) in enumerate(zip(sets, comp))]
+    wide = lambda t: (t * 0x9E3779B97F4A7C15) % 2**64
+    rows = [(bytes([i // 256, i % 256]) * 8, c, len(s), np.sort(np.array([wide(t) for t in s], np.uint64)).tobytes())
+            for i, (s, c) in enumerate(zip(sets, comp))]
+    found = {r.key for r in jaccard.reachable(spark.createDataFrame(rows, "key binary, comp long, n long, tokens binary").repartition(3), 75, 100).collect()}
+    for (key, c, n, _), s in zip(rows, sets):
+        assert (bytes(key) in {bytes(k) for k in found}) == (100 * sum(len(held.get(t, {c})) > 1 for t in s) >= 75 * n)
+
+
+def test_stage_leaves_no_shuffle_files(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in found.split("\n") if "/shuffle_" in f}
+    before = files()
+    out = stage(spark.range(5000).repartition(7, "id").groupBy(F.col("id") % 50).count(), "few")
+    deadline = time.time() + 15
+    while files() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not files() - before and out.count() == 50
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40) if i != 20] + [(50, 51), (51, 50), (60, 60)], "a long, b long")
     got = {r.node: r.comp for r in components(links).collect()}
