@@ -28,10 +28,12 @@ def small_batches(spark: SparkSession) -> None:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back: cuts the
-    lineage, and a lost executor costs a reread instead of a recomputation."""
+    lineage, and a lost executor costs a reread instead of a recomputation. The
+    shuffle files of the write go with its end, not when the driver next collects garbage."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -113,6 +115,20 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(own)
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for the jobs run inside; the caller's comes back."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 @contextmanager
 def text_batches(spark: SparkSession, rows: int = ARROW_ROWS):
     """Small Arrow batches for the jobs run inside; the caller's setting comes back."""
